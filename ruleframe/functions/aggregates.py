@@ -33,15 +33,15 @@ def most_common_by(
     """
     values = df.select(*keys, _column(col).cast("string").alias("__value"))
     counts = values.groupBy(*keys, "__value").agg(F.count("__value").alias("__rows"))
-    return counts.groupBy(*keys).agg(best_value("__value", "__rows").alias(name))
+    return counts.groupBy(*keys).agg(best_value("__value", F.col("__rows")).alias(name))
 
 
-def best_value(value: str, rows: str, when: Column | None = None) -> Column:
+def best_value(value: str, rows: Column, when: Column | None = None) -> Column:
     """The value with the most rows, the smallest one on ties; aggregates pre-counted values.
 
     A null value must come with a count of zero, so that it only wins when it is alone.
     """
-    order = F.struct((-F.col(rows)).alias("n"), F.col(value).alias("v"))
+    order = F.struct((-rows).alias("n"), F.col(value).alias("v"))
     return F.min_by(value, order if when is None else F.when(when, order))
 
 
@@ -59,6 +59,16 @@ def weighted_average(
     another number over zero gives plus or minus infinity. With a decimal ``number_type`` the sums
     are exact and do not depend on the order in which partitions are merged.
     """
+    total, weights = weighted_sums(weight, value, nulls, number_type)
+    if over is not None:
+        total, weights = total.over(over), weights.over(over)
+    return weighted_ratio(total, weights)
+
+
+def weighted_sums(
+    weight: Column | str, value: Column | str, nulls: str = "zero", number_type: str = "double"
+) -> tuple[Column, Column]:
+    """The two sums of a weighted average; sums of such sums give the average of a whole."""
     w = _column(weight).try_cast(number_type)
     v = _column(value).try_cast(number_type)
     if nulls == "zero":
@@ -69,13 +79,12 @@ def weighted_average(
         w, v = F.when(both, w), F.when(both, v)
     else:
         raise ValueError(f"nulls must be 'zero' or 'skip', not {nulls!r}")
-    total, weights = F.sum(w * v), F.sum(w)
-    if over is not None:
-        total, weights = total.over(over), weights.over(over)
-    return _ratio(total.cast("double"), weights.cast("double"))
+    return F.sum(w * v), F.sum(w)
 
 
-def _ratio(total: Column, weights: Column) -> Column:
+def weighted_ratio(total: Column, weights: Column) -> Column:
+    """The average from its two sums."""
+    total, weights = total.cast("double"), weights.cast("double")
     infinity = F.lit(float("inf"))
     result = (
         F.when(weights != 0, total / weights)

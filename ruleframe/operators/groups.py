@@ -16,7 +16,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ruleframe.functions.aggregates import best_value, weighted_average
+from ruleframe.functions.aggregates import (
+    best_value,
+    weighted_average,
+    weighted_ratio,
+    weighted_sums,
+)
 from ruleframe.functions.calls import calls_any, expand_calls, replace_calls, split_arguments
 
 # Aggregates whose value does not depend on row order and whose state does not grow with the group
@@ -32,6 +37,16 @@ PARTITION = re.compile(r"^\s*PARTITION\s+BY\b(?P<keys>.*)$", re.I | re.S)
 ORDERED = re.compile(r"\b(ORDER|SORT|ROWS|RANGE)\b", re.I)
 
 
+# Aggregates of parts of a group that give the aggregate of the whole group
+COMBINED = {
+    "sum": F.sum, "count": F.sum, "count_if": F.sum, "min": F.min, "max": F.max,
+    "bool_and": F.bool_and, "every": F.bool_and, "bool_or": F.bool_or, "some": F.bool_or,
+    "any": F.bool_or, "bit_and": F.bit_and, "bit_or": F.bit_or, "bit_xor": F.bit_xor,
+    "collect_set": lambda part: F.array_distinct(F.flatten(F.collect_set(part))),
+}
+DISTINCT = re.compile(r"^\s*DISTINCT\b", re.I)
+
+
 @dataclass(frozen=True)
 class GroupValue:
     """One aggregate over whole groups: ``call(args)`` per distinct ``keys``."""
@@ -42,8 +57,7 @@ class GroupValue:
 
     def column(self) -> Column:
         if self.call == "weightedaverage":
-            weight, value = split_arguments(expand_calls(self.args))
-            return weighted_average(F.expr(weight), F.expr(value))
+            return weighted_average(*self._weight_and_value())
         return F.expr(f"{self.call}({expand_calls(self.args)})")
 
     def mode_input(self) -> Column | None:
@@ -54,6 +68,23 @@ class GroupValue:
             return F.expr(expand_calls(split_arguments(self.args)[0]))
         return None
 
+    def parts(self) -> list[Column] | None:
+        """Aggregates over parts of a group that :meth:`combine` can use; None if there are none."""
+        if self.call == "weightedaverage":
+            return list(weighted_sums(*self._weight_and_value()))
+        if self.call in COMBINED and not DISTINCT.match(self.args):
+            return [self.column()]
+        return None
+
+    def combine(self, parts: Sequence[Column]) -> Column:
+        if self.call == "weightedaverage":
+            return weighted_ratio(*[F.sum(part) for part in parts])
+        return COMBINED[self.call](parts[0])
+
+    def _weight_and_value(self) -> tuple[Column, Column]:
+        weight, value = split_arguments(expand_calls(self.args))
+        return F.expr(weight), F.expr(value)
+
 
 class GroupValues:
     """Collects the whole-group windows of several rule texts and names them.
@@ -104,48 +135,62 @@ def partition_keys(over: str) -> tuple[str, ...] | None:
 def group_table(
     df: DataFrame, keys: Sequence[str], values: Mapping[str, GroupValue]
 ) -> DataFrame:
-    """One row per distinct ``keys``: columns ``__key_0``, ... and one column per value.
-
-    Most common values are counted per (keys, value) before they are grouped by keys, so no task
-    holds the values of a whole group. All of them share one pass with the other aggregates
-    through grouping sets.
-    """
+    """One row per distinct ``keys``: columns ``__key_0``, ... and one column per value."""
     key_names = [f"__key_{i}" for i in range(len(keys))]
-    named_keys = [F.expr(key).alias(name) for key, name in zip(keys, key_names)]
-    modes = {name: v.mode_input() for name, v in values.items() if v.mode_input() is not None}
-    plain = {name: v.column() for name, v in values.items() if name not in modes}
-    if not modes:
-        return df.groupBy(*named_keys).agg(*[v.alias(name) for name, v in plain.items()])
+    rows = df.select("*", *[F.expr(key).alias(name) for key, name in zip(keys, key_names)])
+    modes = {name: v for name, v in values.items() if v.mode_input() is not None}
+    others = {name: v for name, v in values.items() if name not in modes}
+    if modes:
+        return _with_modes(rows, key_names, modes, others)
+    return rows.groupBy(*key_names).agg(*[v.column().alias(n) for n, v in others.items()])
+
+
+def _with_modes(
+    rows: DataFrame,
+    key_names: list[str],
+    modes: Mapping[str, GroupValue],
+    others: Mapping[str, GroupValue],
+) -> DataFrame:
+    """Group table with most common values, which are counted per (keys, value) first.
 
+    No task ever holds the values of a whole group. The other aggregates share the pass: they are
+    taken per (keys, value) as well and combined with the counts. Several modes become grouping
+    sets, and so do the keys alone if an aggregate cannot be combined from parts.
+    """
     mode_names = [f"__mode_{i}" for i in range(len(modes))]
-    named_modes = [m.alias(name) for m, name in zip(modes.values(), mode_names)]
-    rows = df.select("*", *named_keys, *named_modes)
-    first_pass = [F.count("*").alias("__rows"), *[v.alias(name) for name, v in plain.items()]]
+    rows = rows.select("*", *[v.mode_input().alias(m) for v, m in zip(modes.values(), mode_names)])
+    combined = {n: v.parts() for n, v in others.items() if v.parts() is not None}
+    whole = {n: v.column() for n, v in others.items() if n not in combined}
+    first_pass = [F.count("*").alias("__rows")]
+    first_pass += [v.alias(name) for name, v in whole.items()]
+    for name, parts in combined.items():
+        first_pass += [part.alias(f"{name}_part_{i}") for i, part in enumerate(parts)]
     columns = [*key_names, *mode_names]
-    if len(modes) == 1 and not plain:
+    # grouping_id has one bit per column, set for columns that are not part of the set
+    absent = 2 ** len(mode_names) - 1
+    set_ids = [absent - 2 ** (len(mode_names) - 1 - i) for i in range(len(mode_names))]
+    if len(modes) == 1 and not whole:
         counts = rows.groupBy(*columns).agg(F.lit(0).alias("__set"), *first_pass)
-        set_of = {mode_names[0]: 0}
     else:
-        sets = [[*key_names, mode] for mode in mode_names]
-        if plain:
-            sets.append(key_names)
+        sets = [[*key_names, mode] for mode in mode_names] + ([key_names] if whole else [])
         counts = rows.groupingSets(sets, *columns).agg(
             F.grouping_id().alias("__set"), *first_pass
         )
-        # grouping_id has one bit per column, set for columns that are not part of the set
-        absent = 2 ** len(mode_names) - 1
-        set_of = {m: absent - 2 ** (len(mode_names) - 1 - i) for i, m in enumerate(mode_names)}
-    known = F.lit(None)
-    for mode in mode_names:
-        known = F.when(F.col("__set") == set_of[mode], F.col(mode).isNotNull()).otherwise(known)
-    counts = counts.withColumn("__known", F.when(known, F.col("__rows")).otherwise(0))
-    second_pass = [
-        best_value(mode, "__known", F.col("__set") == set_of[mode]).alias(name)
-        for mode, name in zip(mode_names, modes)
-    ]
-    if plain:
-        whole = F.col("__set") == absent
-        second_pass += [F.first(F.when(whole, F.col(n)), ignorenulls=True).alias(n) for n in plain]
+    in_set = {set_id: F.col("__set") == set_id for set_id in [*set_ids, absent]}
+    second_pass = []
+    for name, mode, set_id in zip(modes, mode_names, set_ids):
+        known = F.when(F.col(mode).isNotNull(), F.col("__rows")).otherwise(0)
+        second_pass.append(best_value(mode, known, in_set[set_id]).alias(name))
+    types = rows.agg(*[others[n].column().alias(n) for n in combined]).schema if combined else {}
+    for name, parts in combined.items():
+        of_first = [
+            F.when(in_set[set_ids[0]], F.col(f"{name}_part_{i}")) for i in range(len(parts))
+        ]
+        value = others[name].combine(of_first).cast(types[name].dataType)
+        second_pass.append(value.alias(name))
+    for name in whole:
+        value = F.first(F.when(in_set[absent], F.col(name)), ignorenulls=True)
+        second_pass.append(value.alias(name))
     return counts.groupBy(*key_names).agg(*second_pass)
 
 

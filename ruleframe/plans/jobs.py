@@ -16,7 +16,7 @@ from ruleframe.operators.checks import (
 )
 from ruleframe.operators.derive import derive
 from ruleframe.operators.stats import analyze
-from ruleframe.session import session_settings
+from ruleframe.session import session_settings, stage
 from ruleframe.sources.rules import (
     TIME_FORMAT,
     clean_rules,
@@ -115,7 +115,7 @@ def run_rules(
     Format problems end the run with code 100 before anything else is checked; other problems
     only block publishing. ``report`` is a folder for the problems as text lines.
     """
-    rules = read_rules(spark, path)
+    rules = stage(read_rules(spark, path), "rules")  # read and numbered once, used by every check
     problems, code = format_problems(rules), FORMAT_PROBLEM_CODE
     if problems.isEmpty():
         problems, code = check_rules(rules, source_columns), 0

@@ -157,28 +157,25 @@ def duplicate_rows_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_rows(lines, ["l_orderkey", "l_linenumber"])
 
 
-def _references(expression: str) -> str:
-    """The names of an expression in the comparison engine, as a list."""
+def _references(columns: str, expression: str, source: str) -> str:
+    """Distinct names of expressions in the comparison engine, one row per name."""
     literals, intervals = references.LITERALS.replace("'", "''"), references.INTERVALS
-    bare = (
-        f"regexp_replace(regexp_replace({expression}, '{literals}', ' ', 'g'), "
-        f"'{intervals}', ' ', 'g')"
-    )
-    words = f"regexp_extract_all({bare}, '{references.WORDS}')"
-    variables = f"regexp_extract_all({bare}, '{references.LAMBDAS}', 1)"
-    variables = f"array_to_string({variables}, ',')"
-    excluded = (
-        f"list_concat({list(references.KEYWORDS)}, "
-        f"string_split(upper(translate({variables}, '() ', '')), ','))"
-    )
-    return (
-        f"list_distinct(list_filter(list_transform({words}, lambda w: upper(trim(w))), "
-        f"lambda w: NOT regexp_matches(w, '{references.NOT_NAMES}') "
-        f"AND NOT list_contains({excluded}, w)))"
-    )
+    keywords = ", ".join(f"'{word}'" for word in references.KEYWORDS)
+    return f"""
+SELECT DISTINCT {columns}, reference FROM (
+  SELECT {columns}, upper(trim(unnest(words))) AS reference, variables FROM (
+    SELECT {columns}, regexp_extract_all(bare, '{references.WORDS}') AS words,
+           string_split(upper(translate(array_to_string(
+             regexp_extract_all(bare, '{references.LAMBDAS}', 1), ','), '() ', '')), ',')
+             AS variables
+    FROM (SELECT {columns}, regexp_replace(regexp_replace({expression}, '{literals}', ' ', 'g'),
+                                           '{intervals}', ' ', 'g') AS bare FROM {source})))
+WHERE NOT regexp_matches(reference, '{references.NOT_NAMES}') AND reference NOT IN ({keywords})
+  AND NOT list_contains(variables, reference)
+"""
 
 
-@query(f"SELECT doc_id, unnest({_references('text')}) AS reference FROM documents")
+@query(_references("doc_id", "text", "documents"))
 def expression_references_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of whole texts, read as if they were expressions."""
     documents = table(spark, sf_dir, "documents")
@@ -187,7 +184,7 @@ def expression_references_documents(spark: SparkSession, sf_dir: str) -> DataFra
 
 _MISSING = f"""
 SELECT u.seq_no, u.TableName, u.ColumnName, u.Level, u.reference
-FROM (SELECT *, unnest({_references("Expression")}) AS reference FROM ({PART_RULES})) u
+FROM ({_references("seq_no, TableName, ColumnName, Level", "Expression", f"({PART_RULES})")}) u
 WHERE CAST(trim(u.Level) AS INTEGER) > 0 AND NOT EXISTS (
   SELECT 1 FROM ({PART_RULES}) d
   WHERE lower(d.TableName) = lower(u.TableName) AND upper(d.ColumnName) = u.reference
