@@ -60,8 +60,8 @@ def check_fields(df: DataFrame, fields: Iterable[Field], keep: Sequence[str] = (
         value = F.col(field.column).cast("string")
         code = F.when(is_empty(value), EMPTY if field.required else F.lit(None))
         if field.pattern is not None:
-            bare = F.trim(F.regexp_replace(value, r'\A"|"\z', " "))
-            code = code.when(~bare.rlike(rf"\A(?:{field.pattern})\z"), MISMATCH)
+            whole = rf'\A(?:" *| *)(?:{field.pattern})(?: *"| *)\z'
+            code = code.when(~value.rlike(whole), MISMATCH)
         failure = F.struct(F.lit(field.column).alias("field"), code.alias("code"))
         failures.append(F.when(code.isNotNull(), failure))
     found = df.select(*keep, F.explode(F.array_compact(F.array(*failures))).alias("__failure"))

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ruleframe.functions.calls import calls_any, expand_calls
 from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_table
+from ruleframe.operators.running import RunningValues, attach_running, largest_group
 from ruleframe.session import session_settings, stage
 
 
+HOT_ROWS = 10_000_000
+FILTERED = re.compile(r"\bFILTER\s*\(\s*WHERE\b", re.I)
+# Aggregates that are not taken apart
+OTHER_AGGREGATES = frozenset(
+    "array_agg collect_list first first_value histogram_numeric last last_value listagg median "
+    "percentile percentile_approx string_agg".split()
+)
+
+
 class Rule(NamedTuple):
     """One derived column: ``CAST(expression AS type) AS column`` at a level."""
 
@@ -44,6 +55,7 @@ def derive(
     view: str | None = None,
     windows: str = "join",
     stage_groups: bool = False,
+    hot_rows: int = HOT_ROWS,
     ansi: bool | None = None,
 ) -> DataFrame:
     """Apply rules level by level.
@@ -53,9 +65,11 @@ def derive(
     rules at all give ``df`` back. Values that do not fit a rule's type become null.
 
     view: name under which rule text may refer to the relation; the view is registered per level.
-    windows: "join" computes whole-group windows as a grouped aggregate joined back, which stands
-        keys holding a large part of the table; "spark" leaves every window to Spark, which reads
-        the source once and suits evenly spread keys.
+    windows: "join" keeps a large key from landing in one task: whole-group windows become a
+        grouped aggregate joined back, running values are computed in blocks. "spark" leaves every
+        window to Spark, which reads the source once and suits evenly spread keys.
+    hot_rows: running values are computed in blocks if some key has more rows than this, which is
+        counted first, or if there is no key. Other ordered windows are always Spark's.
     stage_groups: write each group table to the shared folder before it is joined, so that the
         planner knows its size and a small one is broadcast without shuffling the rows.
     ansi: run the rule text with or without ANSI errors; by default as the session does. Without
@@ -76,9 +90,8 @@ def derive(
         for level in dict.fromkeys(rule.level for rule in rules):
             step = [rule for rule in rules if rule.level == level]
             _refuse_redefinition(df.columns if level else [], step)
-            df, grouped = _apply(df, step, level, windows, stage_groups, joined)
+            df, joined = _apply(df, step, level, view, windows, stage_groups, hot_rows, joined)
             df = _named(df, view)
-            joined = joined or grouped
     return df
 
 
@@ -93,40 +106,85 @@ def append_level(df: DataFrame, rules: Iterable[Sequence], windows: str = "join"
 
 
 def _apply(
-    df: DataFrame, rules: list[Rule], level: int, windows: str, stage_groups: bool, joined: bool
+    df: DataFrame,
+    rules: list[Rule],
+    level: int,
+    view: str | None,
+    windows: str,
+    stage_groups: bool,
+    hot_rows: int,
+    joined: bool,
 ) -> tuple[DataFrame, bool]:
-    found = GroupValues()
+    found, running = GroupValues(), RunningValues()
     texts = [rule.expression for rule in rules]
-    if windows == "join" and not (level == 0 and _collapses(texts)):
+    total = level == 0 and _collapses(texts)
+    if windows == "join" and total:
+        return _grand_total(df, rules), False
+    if windows == "join":
         texts = [found.extract(text) for text in texts]
+        texts, running = _split_running(df, texts, hot_rows)
     if joined and found.names:
         # The rows already hang on one join back. Grouping them again would compute everything
         # below once more per level, doubling the work each time; a written table is read instead.
-        df = stage(df, "level")
+        df = _aliased(stage(df, "level"), view)
     source = df
     for keys, values in found.by_keys().items():
         groups = group_table(source, keys, values)
         if stage_groups:
             groups = stage(groups, "groups")
         df = attach_groups(df, keys, groups, list(values))
-    columns = [
+    for window, values in running.by_window().items():
+        df = _aliased(attach_running(df, window, values, view), view)
+    columns = _columns(rules, texts)
+    helpers = [*found.names, *running.names]
+    result = df.select(*columns) if level == 0 else df.select("*", *columns).drop(*helpers)
+    # running values have written the rows, so nothing hangs on a join back any more
+    return result, (joined or bool(found.names)) and not running.names
+
+
+def _columns(rules: list[Rule], texts: list[str]) -> list[Column]:
+    return [
         F.expr(expand_calls(text)).try_cast(rule.type).alias(rule.column)
         for rule, text in zip(rules, texts)
     ]
-    result = df.select(*columns) if level == 0 else df.select("*", *columns).drop(*found.names)
-    return result, bool(found.names)
+
+
+def _split_running(
+    df: DataFrame, texts: list[str], hot_rows: int
+) -> tuple[list[str], RunningValues]:
+    """The texts with running values taken out, if a key is too large for one task."""
+    running = RunningValues()
+    split = [running.extract(text) for text in texts]
+    key_sets = {window.keys for window in running.by_window()}
+    if any(not keys or largest_group(df, keys) > hot_rows for keys in key_sets):
+        return split, running
+    return texts, RunningValues()
+
+
+def _grand_total(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """Level 0 with aggregates: one row. Most common values are counted before they meet."""
+    found = GroupValues()
+    texts = [found.extract_totals(rule.expression) for rule in rules]
+    values = found.by_keys().get((), {})
+    modes = [value for value in values.values() if value.mode_input() is not None]
+    if not modes or _collapses(texts) or any(FILTERED.search(text) for text in texts):
+        return df.select(*_columns(rules, [rule.expression for rule in rules]))
+    return group_table(df, (), values).select(*_columns(rules, texts))
 
 
 def _collapses(texts: list[str]) -> bool:
     """Whether a level 0 is a grand total, whose windows see its single row only."""
-    return any(calls_any(text, AGGREGATES | {"collect_list", "first", "last"}) for text in texts)
+    return any(calls_any(text, AGGREGATES | OTHER_AGGREGATES) for text in texts)
 
 
 def _named(df: DataFrame, view: str | None) -> DataFrame:
-    if view is None:
-        return df
-    df.createOrReplaceTempView(view)
-    return df.alias(view)
+    if view is not None:
+        df.createOrReplaceTempView(view)
+    return _aliased(df, view)
+
+
+def _aliased(df: DataFrame, view: str | None) -> DataFrame:
+    return df if view is None else df.alias(view)
 
 
 def _refuse_redefinition(existing: Iterable[str], rules: list[Rule]) -> None:

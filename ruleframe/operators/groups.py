@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,7 +79,8 @@ class GroupValue:
     def combine(self, parts: Sequence[Column]) -> Column:
         if self.call == "weightedaverage":
             return weighted_ratio(*[F.sum(part) for part in parts])
-        return COMBINED[self.call](parts[0])
+        combined = COMBINED[self.call](parts[0])
+        return F.coalesce(combined, F.lit(0)) if self.call.startswith("count") else combined
 
     def _weight_and_value(self) -> tuple[Column, Column]:
         weight, value = split_arguments(expand_calls(self.args))
@@ -104,9 +105,17 @@ class GroupValues:
             keys = partition_keys(over)
             if keys is None or calls_any(args, AGGREGATES, windowed=True):
                 return None
-            quoted = "'" in args or '"' in args
-            value = GroupValue(keys, name, args if quoted else " ".join(args.split()))
-            return self._names.setdefault(value, f"__group_value_{len(self._names)}")
+            return self._name(GroupValue(keys, name, args))
+
+        return replace_calls(text, one)
+
+    def extract_totals(self, text: str) -> str:
+        """``text`` with every aggregate call replaced by the name of a value of the whole table."""
+
+        def one(name: str, args: str, over: str | None) -> str | None:
+            if over is not None or name not in AGGREGATES or calls_any(args, AGGREGATES):
+                return None
+            return self._name(GroupValue((), name, args))
 
         return replace_calls(text, one)
 
@@ -114,6 +123,11 @@ class GroupValues:
     def names(self) -> list[str]:
         return list(self._names.values())
 
+    def _name(self, value: GroupValue) -> str:
+        if "'" not in value.args and '"' not in value.args:
+            value = replace(value, args=" ".join(value.args.split()))
+        return self._names.setdefault(value, f"__group_value_{len(self._names)}")
+
     def by_keys(self) -> dict[tuple[str, ...], dict[str, GroupValue]]:
         """Group values per key set; each key set costs one grouping and one join."""
         grouped: dict[tuple[str, ...], dict[str, GroupValue]] = {}

@@ -25,10 +25,11 @@ KEYWORDS = tuple(
 LITERALS = r"""'[^'\\]*(?:\\.[^'\\]*)*'|"[^"\\]*(?:\\.[^"\\]*)*\""""
 UNITS = "YEAR|QUARTER|MONTH|WEEK|DAY|HOUR|MINUTE|SECOND|MILLISECOND|MICROSECOND|NANOSECOND"
 INTERVALS = rf"(?i)\bINTERVAL[-+.0-9 ]+(?:{UNITS})S?\b(?: +TO +(?:{UNITS})S?\b)?"
-# A word, with the bracket that makes it a function name
-WORDS = r"[A-Za-z0-9_#]+ *[(]?"
-# Words that are numbers, with the suffix of a typed number, and function names
-NOT_NAMES = r"^[0-9]+(?:E[0-9]+)?(?:L|S|Y|D|F|BD)?$|[(]$"
+# A whole word that is neither a number, plain or typed, nor a function name before a bracket
+WORDS = (
+    r"(?<![A-Za-z0-9_#])(?![0-9]+(?:[Ee][0-9]+)?(?:[LlSsYyDdFf]|[Bb][Dd])?(?![A-Za-z0-9_#]))"
+    r"[A-Za-z0-9_#]++(?! *[(])"
+)
 # The variables of a lambda: x -> or (x, y) ->
 LAMBDAS = r"([A-Za-z0-9_#]+|[(][A-Za-z0-9_#, ]+[)]) *->"
 
@@ -41,10 +42,12 @@ def expression_references(expression: Column | str) -> Column:
     """
     col = F.col(expression) if isinstance(expression, str) else expression
     bare = F.regexp_replace(F.regexp_replace(col, LITERALS, " "), INTERVALS, " ")
-    # upper case word by word: words are ASCII, the text around them may not be
-    words = F.transform(_all(bare, WORDS, 0), lambda word: F.upper(F.trim(word)))
-    names = F.filter(words, lambda word: ~word.rlike(NOT_NAMES))
-    variables = F.upper(F.concat_ws(",", _all(bare, LAMBDAS, 1)))
+    # Upper case word by word, since words are ASCII but the text around them may not be; a long
+    # text repeats its words, so only distinct ones are looked at.
+    names = F.transform(F.array_distinct(_all(bare, WORDS, 0)), lambda word: F.upper(word))
+    variables = F.when(
+        F.contains(col, F.lit("->")), F.upper(F.concat_ws(",", _all(bare, LAMBDAS, 1)))
+    ).otherwise("")
     excluded = F.concat(
         F.array(*[F.lit(word) for word in KEYWORDS]),
         F.split(F.translate(variables, "() ", ""), ","),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from ruleframe.sources.tables import quoted
 
 # The column statistics Spark's catalog shows.
 COLUMN_STATS = ("min", "max", "num_nulls", "distinct_count", "avg_col_len", "max_col_len")
+MEASURES = (
+    "row_count", "num_nulls", "distinct_count", "min", "max", "avg_col_len", "max_col_len"
+)
 
 
 def analyze(
@@ -53,32 +57,46 @@ def read_stats(spark: SparkSession, table: str, columns: Sequence[str] = ()) ->
 def profile(df: DataFrame, columns: Sequence[str], approximate: bool = False) -> DataFrame:
     """One row per column: rows, nulls, distinct values, extremes, and lengths of the text form.
 
-    A single aggregation over the pruned columns. Distinct counts are exact by default, which
-    shuffles the distinct values; ``approximate=True`` uses sketches as ANALYZE does and shuffles
-    one row per task only.
+    Distinct counts are exact by default: each column is read for itself and shrinks to its
+    distinct values before the shuffle. ``approximate=True`` uses sketches as ANALYZE does: all
+    columns in one pass, and one row per task is shuffled.
     """
+    if approximate:
+        return _sketched(df, columns)
+    return reduce(DataFrame.unionByName, [_counted(df, column) for column in columns])
+
+
+def _counted(df: DataFrame, column: str) -> DataFrame:
+    values = df.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    known = F.when(F.col("v").isNotNull(), F.col("n"))
+    length = F.length(F.col("v").cast("string"))
+    return values.agg(
+        F.lit(column).alias("column_name"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("num_nulls"),
+        F.count("v").alias("distinct_count"),
+        F.min("v").cast("string").alias("min"),
+        F.max("v").cast("string").alias("max"),
+        (F.sum(length * known).cast("double") / F.sum(known)).alias("avg_col_len"),
+        F.max(length).alias("max_col_len"),
+    )
+
+
+def _sketched(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     measures = []
     for i, column in enumerate(columns):
-        col, text = F.col(column), F.col(column).cast("string")
-        distinct = F.approx_count_distinct(col) if approximate else F.count_distinct(col)
+        col, length = F.col(column), F.length(F.col(column).cast("string"))
         measures += [
-            F.count("*").alias(f"rows_{i}"),
-            (F.count("*") - F.count(col)).alias(f"nulls_{i}"),
-            distinct.alias(f"distinct_{i}"),
+            F.count("*").alias(f"row_count_{i}"),
+            (F.count("*") - F.count(col)).alias(f"num_nulls_{i}"),
+            F.approx_count_distinct(col).alias(f"distinct_count_{i}"),
             F.min(col).cast("string").alias(f"min_{i}"),
             F.max(col).cast("string").alias(f"max_{i}"),
-            F.avg(F.length(text)).alias(f"avg_{i}"),
-            F.max(F.length(text)).alias(f"longest_{i}"),
-        ]
-    names = ("rows", "nulls", "distinct", "min", "max", "avg", "longest")
-    shown = ("row_count", "num_nulls", "distinct_count", "min", "max", "avg_col_len", "max_col_len")
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(column).alias("column_name"),
-                *[F.col(f"{n}_{i}").alias(s) for n, s in zip(names, shown)],
-            )
-            for i, column in enumerate(columns)
+            F.avg(length).alias(f"avg_col_len_{i}"),
+            F.max(length).alias(f"max_col_len_{i}"),
         ]
-    )
-    return df.agg(*measures).select(F.inline(rows))
+    rows = [
+        F.struct(F.lit(column).alias("column_name"), *[F.col(f"{m}_{i}").alias(m) for m in MEASURES])
+        for i, column in enumerate(columns)
+    ]
+    return df.agg(*measures).select(F.inline(F.array(*rows)))

@@ -248,3 +248,45 @@ def group_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
     values = {"segment_customers": "count(*)", "segment_best": "max(c_acctbal)"}
     return with_group_values(customers, ["c_mktsegment"], values)
+
+
+@query("""
+SELECT event_id, user_id, event_type, running_rank, CAST(running_total AS DOUBLE) AS running_total,
+       seen, top_place
+FROM (
+  SELECT *, CAST(max(place) OVER (PARTITION BY event_type) AS INTEGER) AS top_place FROM (
+    SELECT event_id, user_id, event_type,
+           CAST(rank() OVER (PARTITION BY event_type ORDER BY user_id % 10 DESC) AS INTEGER)
+             AS running_rank,
+           sum(CAST(value AS DECIMAL(18,2))) OVER (
+             PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
+             AS running_total,
+           CAST(count(nullif(user_id, 7)) OVER (ORDER BY ts, event_id) AS BIGINT) AS seen,
+           CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS INTEGER)
+             AS place
+    FROM events))
+""")
+def derive_running_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ordered windows, of few large keys and of the whole table, computed in blocks."""
+    rules = [
+        Rule(
+            1, "running_rank", "INT", 1,
+            "rank() OVER (PARTITION BY event_type ORDER BY user_id % 10 DESC)",
+        ),
+        Rule(
+            2, "running_total", "DECIMAL(28,2)", 1,
+            "sum(CAST(value AS DECIMAL(18,2))) OVER ("
+            "PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)",
+        ),
+        Rule(3, "seen", "BIGINT", 1, "count(nullif(user_id, 7)) OVER (ORDER BY ts, event_id)"),
+        Rule(
+            4, "place", "INT", 1,
+            "row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id)",
+        ),
+        Rule(5, "top_place", "INT", 2, "max(place) OVER (PARTITION BY event_type)"),
+    ]
+    events = table(spark, sf_dir, "events").drop("props")
+    return derive(events, rules, hot_rows=100).selectExpr(
+        "event_id", "user_id", "event_type", "running_rank",
+        "CAST(running_total AS DOUBLE) AS running_total", "seen", "top_place",
+    )

@@ -164,13 +164,13 @@ def _references(columns: str, expression: str, source: str) -> str:
     return f"""
 SELECT DISTINCT {columns}, reference FROM (
   SELECT {columns}, upper(trim(unnest(words))) AS reference, variables FROM (
-    SELECT {columns}, regexp_extract_all(bare, '{references.WORDS}') AS words,
+    SELECT {columns}, regexp_extract_all(bare, '[A-Za-z0-9_#]+ *[(]?') AS words,
            string_split(upper(translate(array_to_string(
              regexp_extract_all(bare, '{references.LAMBDAS}', 1), ','), '() ', '')), ',')
              AS variables
     FROM (SELECT {columns}, regexp_replace(regexp_replace({expression}, '{literals}', ' ', 'g'),
                                            '{intervals}', ' ', 'g') AS bare FROM {source})))
-WHERE NOT regexp_matches(reference, '{references.NOT_NAMES}') AND reference NOT IN ({keywords})
+WHERE NOT regexp_matches(reference, '^[0-9]+(?:E[0-9]+)?(?:L|S|Y|D|F|BD)?$|[(]$') AND reference NOT IN ({keywords})
   AND NOT list_contains(variables, reference)
 """
 

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from ruleframe import Rule, append_level, derive, project_level, with_group_values
 from ruleframe.operators.groups import GroupValues, partition_keys
+from ruleframe.operators.running import (
+    OrderedWindow,
+    cut_into_blocks,
+    ordered_window,
+)
 from ruleframe.session import session_settings
 from ruleframe.workloads.derivations import flagship
 
@@ -202,3 +207,87 @@ def test_group_values_by_name(sales):
     ]
     everything = with_group_values(sales, [], {"top": "max(x)"})
     assert {r["top"] for r in everything.collect()} == {30}
+
+
+RUNNING = [
+    Rule(1, "number", "INT", 1, "row_number() OVER (PARTITION BY k ORDER BY o DESC, id)"),
+    Rule(2, "rank", "INT", 1, "rank() OVER (PARTITION BY k ORDER BY o)"),
+    Rule(3, "dense", "INT", 1, "dense_rank() OVER (PARTITION BY k ORDER BY o) + 1"),
+    Rule(4, "total", "BIGINT", 1, "sum(x) OVER (PARTITION BY k ORDER BY o)"),
+    Rule(5, "n", "BIGINT", 1, "count(x) OVER (PARTITION BY k ORDER BY o DESC NULLS FIRST)"),
+    Rule(
+        6, "low", "INT", 1,
+        "min(x) OVER (PARTITION BY k ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+    ),
+    Rule(7, "high", "INT", 1, "max(x) OVER (PARTITION BY k ORDER BY id ROWS UNBOUNDED PRECEDING)"),
+    Rule(8, "money", "DECIMAL(20,2)", 1, "sum(CAST(x AS DECIMAL(9,2))) OVER (ORDER BY id)"),
+    Rule(9, "before", "INT", 1, "lag(x) OVER (PARTITION BY k ORDER BY id)"),
+    Rule(10, "of_key", "BIGINT", 1, "count(*) OVER (PARTITION BY k)"),
+    Rule(11, "late", "BIGINT", 2, "max(n) OVER (PARTITION BY rank % 7)"),
+]
+
+
+@pytest.fixture(scope="module")
+def ordered(spark):
+    """A third of the rows has one key, some have none; orders repeat and may be null."""
+    return spark.range(0, 4000, 1, 5).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, -1).when(F.col("id") % 7 > 0, F.col("id") % 50).alias("k"),
+        F.when(F.col("id") % 11 > 0, F.hash("id") % 40).alias("o"),
+        F.when(F.col("id") % 13 > 0, F.hash(F.col("id") + 1) % 1000).alias("x"),
+    )
+
+
+MANY_BLOCKS = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
+
+
+def test_running_values_in_blocks_equal_spark_windows(spark, ordered):
+    with session_settings(spark, MANY_BLOCKS):
+        in_blocks = derive(ordered, RUNNING, hot_rows=100, view="ordered_view")
+    assert in_blocks.dtypes == derive(ordered, RUNNING, windows="spark").dtypes
+    assert rows(in_blocks) == rows(derive(ordered, RUNNING, windows="spark"))
+
+
+def test_blocks_cut_a_large_key(spark, ordered):
+    rules = [Rule(1, "n", "BIGINT", 1, "sum(x) OVER (PARTITION BY ordered_view.k ORDER BY id)")]
+    with session_settings(spark, MANY_BLOCKS):
+        in_blocks = derive(ordered, rules, hot_rows=1000, view="ordered_view")
+        blocks = cut_into_blocks(ordered, ordered_window("PARTITION BY k ORDER BY id"))
+        assert blocks.filter("k = -1").select("__block").distinct().count() > 2
+    text = plan(in_blocks)
+    assert "__block" in text and "BroadcastHashJoin" in text
+    assert "__block" not in plan(derive(ordered, rules, hot_rows=5000, view="ordered_view"))
+    assert rows(in_blocks) == rows(derive(ordered, rules, windows="spark", view="ordered_view"))
+
+
+def test_row_number_of_equal_orders_is_a_numbering(spark, ordered):
+    rules = [Rule(1, "i", "INT", 1, "row_number() OVER (PARTITION BY k ORDER BY 1)")]
+    with session_settings(spark, MANY_BLOCKS):
+        found = derive(ordered, rules, hot_rows=10)
+    counts = found.groupBy("k").agg(F.count("*").alias("n"), F.count_distinct("i").alias("d"),
+                                    F.max("i").alias("m"))
+    assert counts.filter("n <> d OR n <> m").isEmpty()
+
+
+def test_other_windows_are_left_alone():
+    for over in ("PARTITION BY k", "ORDER BY x ROWS BETWEEN 1 PRECEDING AND CURRENT ROW", "",
+                 "PARTITION BY f(SELECT 1 ORDER BY 2) ORDER BY x", "PARTITION BY 'a' ORDER BY x",
+                 "ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"):
+        assert ordered_window(over) is None, over
+    window = ordered_window("partition by a, f(b, c) order by d desc, e rows unbounded preceding")
+    assert window == OrderedWindow(("a", "f(b, c)"), ("d desc", "e"), True)
+
+
+def test_grand_total_counts_common_values_first(sales):
+    rules = [
+        Rule(1, "n", "BIGINT", 0, "count(y) + 1"),
+        Rule(2, "m", "STRING", 0, "concat(MostCommon(k), '!')"),
+        Rule(3, "t", "BIGINT", 0, "sum(x)"),
+        Rule(4, "one", "INT", 0, "1"),
+    ]
+    for source, expected in ((sales, (5, "a!", 65, 1)), (sales.filter("false"), (1, None, None, 1))):
+        derived = derive(source, rules)
+        assert rows(derived) == [expected]
+        assert "mode(" not in plan(derived)
+    with_filter = [*rules, Rule(5, "f", "BIGINT", 0, "count(*) FILTER (WHERE x > 5)")]
+    assert rows(derive(sales, with_filter)) == [(5, "a!", 65, 1, 3)]
