@@ -152,13 +152,14 @@ def _columns(rules: list[Rule], texts: list[str]) -> list[Column]:
 def _split_running(
     df: DataFrame, texts: list[str], hot_rows: int
 ) -> tuple[list[str], RunningValues]:
-    """The texts with running values taken out, if a key is too large for one task."""
-    running = RunningValues()
-    split = [running.extract(text) for text in texts]
-    key_sets = {window.keys for window in running.by_window()}
-    if any(not keys or largest_group(df, keys) > hot_rows for keys in key_sets):
-        return split, running
-    return texts, RunningValues()
+    """The texts with the running values of too large keys taken out."""
+    found = RunningValues()
+    for text in texts:
+        found.extract(text)
+    key_sets = dict.fromkeys(window.keys for window in found.by_window())
+    hot = {keys for keys in key_sets if not keys or largest_group(df, keys) > hot_rows}
+    running = RunningValues(hot)
+    return [running.extract(text) for text in texts], running
 
 
 def _grand_total(df: DataFrame, rules: list[Rule]) -> DataFrame:

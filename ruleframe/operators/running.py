@@ -8,7 +8,7 @@ computes its own running values, and adds what the earlier blocks of its first k
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Collection, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -70,9 +70,10 @@ class RunningValue:
 
 
 class RunningValues:
-    """Collects the ordered windows of several rule texts and names them."""
+    """Collects the ordered windows of several rule texts, of some key sets only, and names them."""
 
-    def __init__(self) -> None:
+    def __init__(self, key_sets: Collection[tuple[str, ...]] | None = None) -> None:
+        self._key_sets = key_sets
         self._names: dict[tuple[OrderedWindow, RunningValue], str] = {}
 
     def extract(self, text: str) -> str:
@@ -82,6 +83,8 @@ class RunningValues:
             window = None if over is None or name not in RUNNING else ordered_window(over)
             if window is None or re.match(r"\s*DISTINCT\b", args, re.I):
                 return None
+            if self._key_sets is not None and window.keys not in self._key_sets:
+                return None
             if name == "row_number":
                 window = OrderedWindow(window.keys, window.orders, True)
             if name in ("rank", "dense_rank"):
