@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ruleframe.functions.calls import calls_any, expand_calls
 from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_table
-from ruleframe.operators.running import RunningValues, attach_running, largest_group
+from ruleframe.operators.running import RunningValues, attach_running, group_sizes
 from ruleframe.session import session_settings, stage
 
 
@@ -68,8 +68,8 @@ def derive(
     windows: "join" keeps a large key from landing in one task: whole-group windows become a
         grouped aggregate joined back, running values are computed in blocks. "spark" leaves every
         window to Spark, which reads the source once and suits evenly spread keys.
-    hot_rows: running values are computed in blocks if some key has more rows than this, which is
-        counted first, or if there is no key. Other ordered windows are always Spark's.
+    hot_rows: running values are computed in blocks of about this many rows if some key has more,
+        which is counted first, or if there is no key. Other ordered windows are always Spark's.
     stage_groups: write each group table to the shared folder before it is joined, so that the
         planner knows its size and a small one is broadcast without shuffling the rows.
     ansi: run the rule text with or without ANSI errors; by default as the session does. Without
@@ -115,14 +115,14 @@ def _apply(
     hot_rows: int,
     joined: bool,
 ) -> tuple[DataFrame, bool]:
-    found, running = GroupValues(), RunningValues()
+    found, running, blocks = GroupValues(), RunningValues(), 0
     texts = [rule.expression for rule in rules]
     total = level == 0 and _collapses(texts)
     if windows == "join" and total:
         return _grand_total(df, rules), False
     if windows == "join":
         texts = [found.extract(text) for text in texts]
-        texts, running = _split_running(df, texts, hot_rows)
+        texts, running, blocks = _split_running(df, texts, hot_rows)
     if joined and found.names:
         # The rows already hang on one join back. Grouping them again would compute everything
         # below once more per level, doubling the work each time; a written table is read instead.
@@ -134,7 +134,7 @@ def _apply(
             groups = stage(groups, "groups")
         df = attach_groups(df, keys, groups, list(values))
     for window, values in running.by_window().items():
-        df = _aliased(attach_running(df, window, values, view), view)
+        df = _aliased(attach_running(df, window, values, view, blocks), view)
     columns = _columns(rules, texts)
     helpers = [*found.names, *running.names]
     result = df.select(*columns) if level == 0 else df.select("*", *columns).drop(*helpers)
@@ -151,15 +151,16 @@ def _columns(rules: list[Rule], texts: list[str]) -> list[Column]:
 
 def _split_running(
     df: DataFrame, texts: list[str], hot_rows: int
-) -> tuple[list[str], RunningValues]:
-    """The texts with the running values of too large keys taken out."""
+) -> tuple[list[str], RunningValues, int]:
+    """The texts with the running values of too large keys taken out, and a number of blocks."""
     found = RunningValues()
     for text in texts:
         found.extract(text)
     key_sets = dict.fromkeys(window.keys for window in found.by_window())
-    hot = {keys for keys in key_sets if not keys or largest_group(df, keys) > hot_rows}
-    running = RunningValues(hot)
-    return [running.extract(text) for text in texts], running
+    sizes = {keys: group_sizes(df, keys) for keys in key_sets}
+    running = RunningValues({k for k, (largest, _) in sizes.items() if not k or largest > hot_rows})
+    texts = [running.extract(text) for text in texts]
+    return texts, running, max((rows // hot_rows + 1 for _, rows in sizes.values()), default=0)
 
 
 def _grand_total(df: DataFrame, rules: list[Rule]) -> DataFrame:

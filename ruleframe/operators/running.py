@@ -118,17 +118,20 @@ def ordered_window(over: str) -> OrderedWindow | None:
     )
 
 
-def largest_group(df: DataFrame, keys: Iterable[str]) -> int:
-    """Rows of the most frequent key; counted map-side, so a hot key is no burden here."""
+def group_sizes(df: DataFrame, keys: Iterable[str]) -> tuple[int, int]:
+    """Rows of the most frequent key, and of all; counted map-side, so a hot key is no burden."""
     counts = df.groupBy(*[F.expr(key) for key in keys]).agg(F.count("*").alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
+    largest, rows = counts.agg(F.max("n"), F.sum("n")).first()
+    return largest or 0, rows or 0
 
 
-def cut_into_blocks(df: DataFrame, window: OrderedWindow) -> DataFrame:
+def cut_into_blocks(df: DataFrame, window: OrderedWindow, blocks: int = 0) -> DataFrame:
     """``df`` cut along (keys, order), written to the shared folder.
 
     Adds ``__block``, numbered along the order, and the columns ``__key_0``, ``__order_0``, ...
     Rows of equal key and order share a block. Writing fixes the blocks for all later steps.
+    The number of blocks is ``blocks``, or what adaptive execution makes of the session's shuffle
+    partitions if those are more.
     """
     keys, sorting = _key_names(window), _sorting(window)
     helpers = {name: F.expr(key) for name, key in zip(keys, window.keys)}
@@ -140,7 +143,10 @@ def cut_into_blocks(df: DataFrame, window: OrderedWindow) -> DataFrame:
         hashed = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
         helpers["__order_row"] = F.xxhash64(*hashed)
     rows = df.select("*", *[col.alias(name) for name, col in helpers.items()])
-    ranged = rows.repartitionByRange(*keys, *sorting)
+    if blocks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        ranged = rows.repartitionByRange(blocks, *keys, *sorting)
+    else:
+        ranged = rows.repartitionByRange(*keys, *sorting)
     return stage(ranged.withColumn("__block", F.spark_partition_id()), "blocks")
 
 
@@ -149,15 +155,17 @@ def attach_running(
     window: OrderedWindow,
     values: Mapping[str, RunningValue],
     view: str | None = None,
+    blocks: int = 0,
 ) -> DataFrame:
     """``df`` with running values over one ordered window.
 
     Sums of floating-point numbers are added block by block, in another order than row by row.
-    ``view`` is a name under which the values may refer to the rows.
+    ``view`` is a name under which the values may refer to the rows, ``blocks`` the least number
+    of blocks.
     """
-    blocks = cut_into_blocks(df, window)
+    rows = cut_into_blocks(df, window, blocks)
     if view is not None:
-        blocks = blocks.alias(view)
+        rows = rows.alias(view)
     keys = _key_names(window)
     inside = Window.partitionBy("__block", *keys).orderBy(*_sorting(window))
     running = {}
@@ -165,10 +173,10 @@ def attach_running(
         framed = window.rows and value.call not in RANKING
         frame = inside.rowsBetween(Window.unboundedPreceding, 0) if framed else inside
         running[name] = value.local().over(frame)
-    local = blocks.select("*", *[value.alias(name) for name, value in running.items()])
+    local = rows.select("*", *[value.alias(name) for name, value in running.items()])
 
     orders = [f"__order_{i}" for i in range(len(window.orders))]
-    totals = blocks.groupBy("__block", *keys).agg(
+    totals = rows.groupBy("__block", *keys).agg(
         *[value.total(orders).alias(name) for name, value in values.items()]
     )
     earlier = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)

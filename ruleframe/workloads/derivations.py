@@ -82,12 +82,6 @@ def derive_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flagship(spark, sf_dir)
 
 
-@query(FLAGSHIP_SQL)
-def derive_levels_spark_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same with Spark's own windows, for evenly spread keys."""
-    return flagship(spark, sf_dir, windows="spark")
-
-
 @query("""
 SELECT *, CAST(year_total AS DOUBLE) / CAST(order_total AS DOUBLE) AS year_factor FROM (
   SELECT *, CAST(sum(order_total) OVER (PARTITION BY o_custkey, order_year) AS DECIMAL(28,2))

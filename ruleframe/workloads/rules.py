@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,9 +25,9 @@ from ruleframe.sources.rules import (
     number_rows,
     publish_rules,
     read_rules,
-    rules_schema,
     select_rules,
 )
+from ruleframe.sources.tables import create_table_from_rules
 from ruleframe.workloads.data import (
     FAULTY_PART_RULES,
     PART_RULES,
@@ -275,11 +277,24 @@ def job_rules_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run.problems.select("line_no", "reason")
 
 
+# One rule per brand: however many parts there are, the columns are as many as brands.
+_BRAND_RULES = """
+SELECT row_number() OVER (ORDER BY p_brand) AS seq_no, p_brand AS ColumnName,
+       CASE WHEN smallest < 2 THEN 'LONG' ELSE 'DECIMAL(18,2)' END AS DataType,
+       '0' AS Level, 'p_size' AS Expression
+FROM (SELECT p_brand, min(p_size) AS smallest FROM part GROUP BY p_brand) AS brands
+"""
+
+
 @query(f"""
-SELECT trim(ColumnName, '"') AS column_name, 'double' AS type_name FROM ({SOUND_PART_RULES})
+SELECT ColumnName AS column_name, CASE DataType WHEN 'LONG' THEN 'bigint' ELSE 'decimal(18,2)' END
+         AS type_name
+FROM ({_BRAND_RULES})
 """)
 def table_schema_of_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns and types that a table made from rules gets."""
-    rules = clean_rules(rules_from(spark, sf_dir, SOUND_PART_RULES))
-    columns = [(field.name, field.dataType.simpleString()) for field in rules_schema(rules)]
-    return spark.createDataFrame(columns, "column_name STRING, type_name STRING")
+    """Columns and types that a table made from rules gets, as the catalog shows them."""
+    rules = rules_from(spark, sf_dir, _BRAND_RULES)
+    name = f"ruleframe_{uuid.uuid4().hex}"
+    create_table_from_rules(spark, name, rules, fresh_path(spark, "declared"))
+    shown = spark.sql(f"DESCRIBE {name}")
+    return shown.selectExpr("col_name AS column_name", "data_type AS type_name")

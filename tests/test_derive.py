@@ -254,6 +254,8 @@ def test_blocks_cut_a_large_key(spark, ordered):
         in_blocks = derive(ordered, rules, hot_rows=1000, view="ordered_view")
         blocks = cut_into_blocks(ordered, ordered_window("PARTITION BY k ORDER BY id"))
         assert blocks.filter("k = -1").select("__block").distinct().count() > 2
+        finer = cut_into_blocks(ordered, ordered_window("ORDER BY id"), blocks=20)
+        assert finer.select("__block").distinct().count() == 20
     text = plan(in_blocks)
     assert "__block" in text and "BroadcastHashJoin" in text
     assert "__block" not in plan(derive(ordered, rules, hot_rows=5000, view="ordered_view"))
