@@ -16,7 +16,7 @@ FILE_COLUMNS = (
     "OracleDataType", "SourceTable", "Version",
 )
 RULES_SCHEMA = ", ".join(f"{name} STRING" for name in FILE_COLUMNS)
-QUOTED_COLUMNS = ("TableName", "ColumnName", "DataType", "Expression")
+QUOTED_COLUMNS = ("TableName", "ColumnName", "DataType", "Level", "Expression")
 # Fixed value: the text form of insert_time.
 TIME_FORMAT = "%Y-%m-%dT%H:%M:%S"
 

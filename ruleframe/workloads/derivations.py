@@ -83,7 +83,9 @@ def derive_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-SELECT *, CAST(year_total AS DOUBLE) / CAST(order_total AS DOUBLE) AS year_factor FROM (
+SELECT * EXCLUDE (o_orderdate) REPLACE (CAST(order_total AS DOUBLE) AS order_total,
+                                        CAST(year_total AS DOUBLE) AS year_total),
+       CAST(year_total AS DOUBLE) / CAST(order_total AS DOUBLE) AS year_factor FROM (
   SELECT *, CAST(sum(order_total) OVER (PARTITION BY o_custkey, order_year) AS DECIMAL(28,2))
               AS year_total FROM (
     SELECT *, CAST(year(o_orderdate) AS INTEGER) AS order_year,
@@ -103,11 +105,13 @@ def derive_no_level0(spark: SparkSession, sf_dir: str) -> DataFrame:
             "CAST(year_total AS DOUBLE) / CAST(order_total AS DOUBLE)",
         ),
     ]
-    return derive(table(spark, sf_dir, "orders"), rules)
+    derived = derive(table(spark, sf_dir, "orders"), rules).drop("o_orderdate")
+    doubles = ("order_total", "year_total")
+    return derived.withColumns({name: derived[name].cast("double") for name in doubles})
 
 
 @query("""
-SELECT *, CAST(qty AS DOUBLE) / CAST(line_count AS DOUBLE) AS mean_qty FROM (
+SELECT * REPLACE (CAST(qty AS DOUBLE) AS qty), CAST(qty AS DOUBLE) / CAST(line_count AS DOUBLE) AS mean_qty FROM (
   SELECT count(*) AS line_count,
          CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS qty,
          (SELECT l_returnflag FROM lineitem GROUP BY l_returnflag
@@ -124,7 +128,8 @@ def derive_level0_aggregate(spark: SparkSession, sf_dir: str) -> DataFrame:
         Rule(4, "mean_line", "DOUBLE", 0, "WeightedAverage(l_quantity, l_linenumber)"),
         Rule(5, "mean_qty", "DOUBLE", 1, "CAST(qty AS DOUBLE) / CAST(line_count AS DOUBLE)"),
     ]
-    return derive(table(spark, sf_dir, "lineitem"), rules)
+    derived = derive(table(spark, sf_dir, "lineitem"), rules)
+    return derived.withColumn("qty", derived["qty"].cast("double"))
 
 
 @query("""

@@ -35,10 +35,10 @@ SELECT segment, order_month, orders,
                               ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS last_three,
        lag(orders) OVER (PARTITION BY segment ORDER BY order_month) AS month_before,
        CAST(rank() OVER (PARTITION BY segment ORDER BY orders DESC) AS INT) AS place
-FROM (SELECT c_mktsegment AS segment, CAST(date_trunc('month', o_orderdate) AS DATE) AS order_month,
+FROM (SELECT c_mktsegment AS segment, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INT) AS order_month,
              count(*) AS orders
       FROM orders JOIN customer ON o_custkey = c_custkey
-      GROUP BY c_mktsegment, CAST(date_trunc('month', o_orderdate) AS DATE)) AS months
+      GROUP BY c_mktsegment, CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INT)) AS months
 """,
     "sql_setops": """
 (SELECT o_custkey AS k FROM orders WHERE o_orderstatus = 'F'

@@ -63,7 +63,7 @@ def test_number_rows_of_a_folder_is_gapless(spark, tmp_path):
 def test_clean_rules_takes_one_quote_from_each_end(spark):
     df = frame(spark, rule(1, '"a"', '"0"', '""x"" + "y"', table=' "T" '))
     cleaned = clean_rules(df).first()
-    assert (cleaned.ColumnName, cleaned.Expression, cleaned.Level) == ("a", '"x"" + "y', '"0"')
+    assert (cleaned.ColumnName, cleaned.Expression, cleaned.Level) == ("a", '"x"" + "y', "0")
 
 
 def test_select_rules(spark):
