@@ -54,7 +54,7 @@ def derive(
     *,
     view: str | None = None,
     windows: str = "join",
-    stage_groups: bool = False,
+    stage_groups: bool = True,
     hot_rows: int = HOT_ROWS,
     ansi: bool | None = None,
 ) -> DataFrame:
@@ -71,7 +71,8 @@ def derive(
     hot_rows: running values are computed in blocks of about this many rows if some key has more,
         which is counted first, or if there is no key. Other ordered windows are always Spark's.
     stage_groups: write each group table to the shared folder before it is joined, so that the
-        planner knows its size and a small one is broadcast without shuffling the rows.
+        planner knows its size and broadcasts a small one without shuffling the rows. Without it
+        nothing is computed here, but the rows are shuffled before the size is known.
     ansi: run the rule text with or without ANSI errors; by default as the session does. Without
         them a division by zero or a bad cast inside an expression is null.
     """

@@ -74,7 +74,6 @@ def run_aggregate(
             rules,
             view=step.get("viewname"),
             windows=step.get("windows", "join"),
-            stage_groups=True,
             ansi=step.get("ansi"),
         )
         write_result(result, step["tablename"], step["location"], step.get("partitionby", ()))
