@@ -15,6 +15,14 @@ from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DateType,
+    NumericType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from ruleframe.functions.aggregates import (
     best_value,
@@ -42,8 +50,9 @@ COMBINED = {
     "sum": F.sum, "count": F.sum, "count_if": F.sum, "min": F.min, "max": F.max,
     "bool_and": F.bool_and, "every": F.bool_and, "bool_or": F.bool_or, "some": F.bool_or,
     "any": F.bool_or, "bit_and": F.bit_and, "bit_or": F.bit_or, "bit_xor": F.bit_xor,
-    "collect_set": lambda part: F.array_distinct(F.flatten(F.collect_set(part))),
 }
+# Types that hash aggregation keeps in place
+FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
 DISTINCT = re.compile(r"^\s*DISTINCT\b", re.I)
 
 
@@ -146,65 +155,75 @@ def partition_keys(over: str) -> tuple[str, ...] | None:
     return tuple(split_arguments(match["keys"]))
 
 
-def group_table(
+def group_tables(
     df: DataFrame, keys: Sequence[str], values: Mapping[str, GroupValue]
-) -> DataFrame:
-    """One row per distinct ``keys``: columns ``__key_0``, ... and one column per value."""
+) -> list[tuple[DataFrame, list[str]]]:
+    """Tables with one row per distinct ``keys``, and the names of the values in each.
+
+    The columns are ``__key_0``, ... and the values. One table holds all values, unless most common
+    values meet others that would spoil their hash aggregation.
+    """
     key_names = [f"__key_{i}" for i in range(len(keys))]
     rows = df.select("*", *[F.expr(key).alias(name) for key, name in zip(keys, key_names)])
     modes = {name: v for name, v in values.items() if v.mode_input() is not None}
     others = {name: v for name, v in values.items() if name not in modes}
+    tables = []
     if modes:
-        return _with_modes(rows, key_names, modes, others)
-    return rows.groupBy(*key_names).agg(*[v.column().alias(n) for n, v in others.items()])
+        types = rows.agg(F.count("*"), *[v.column().alias(n) for n, v in others.items()]).schema
+        with_counts = {
+            name: types[name].dataType
+            for name, v in others.items()
+            if v.parts() is not None and isinstance(types[name].dataType, FIXED_WIDTH)
+        }
+        counted = _with_modes(rows, key_names, modes, values, with_counts)
+        tables.append((counted, [*modes, *with_counts]))
+        others = {name: v for name, v in others.items() if name not in with_counts}
+    if others:
+        plain = rows.groupBy(*key_names).agg(*[v.column().alias(n) for n, v in others.items()])
+        tables.append((plain, list(others)))
+    return tables
 
 
 def _with_modes(
     rows: DataFrame,
     key_names: list[str],
     modes: Mapping[str, GroupValue],
-    others: Mapping[str, GroupValue],
+    values: Mapping[str, GroupValue],
+    others: Mapping[str, DataType],
 ) -> DataFrame:
     """Group table with most common values, which are counted per (keys, value) first.
 
-    No task ever holds the values of a whole group. The other aggregates share the pass: they are
-    taken per (keys, value) as well and combined with the counts. Several modes become grouping
-    sets, and so do the keys alone if an aggregate cannot be combined from parts.
+    No task ever holds the values of a whole group. The ``others``, given with their types, share
+    the pass: they are taken per (keys, value) as well and combined with the counts. Several modes
+    become grouping sets.
     """
     mode_names = [f"__mode_{i}" for i in range(len(modes))]
     rows = rows.select("*", *[v.mode_input().alias(m) for v, m in zip(modes.values(), mode_names)])
-    combined = {n: v.parts() for n, v in others.items() if v.parts() is not None}
-    whole = {n: v.column() for n, v in others.items() if n not in combined}
     first_pass = [F.count("*").alias("__rows")]
-    first_pass += [v.alias(name) for name, v in whole.items()]
-    for name, parts in combined.items():
-        first_pass += [part.alias(f"{name}_part_{i}") for i, part in enumerate(parts)]
+    for name in others:
+        parts = enumerate(values[name].parts())
+        first_pass += [part.alias(f"{name}_part_{i}") for i, part in parts]
     columns = [*key_names, *mode_names]
-    # grouping_id has one bit per column, set for columns that are not part of the set
-    absent = 2 ** len(mode_names) - 1
-    set_ids = [absent - 2 ** (len(mode_names) - 1 - i) for i in range(len(mode_names))]
-    if len(modes) == 1 and not whole:
+    if len(modes) == 1:
         counts = rows.groupBy(*columns).agg(F.lit(0).alias("__set"), *first_pass)
     else:
-        sets = [[*key_names, mode] for mode in mode_names] + ([key_names] if whole else [])
+        sets = [[*key_names, mode] for mode in mode_names]
         counts = rows.groupingSets(sets, *columns).agg(
             F.grouping_id().alias("__set"), *first_pass
         )
-    in_set = {set_id: F.col("__set") == set_id for set_id in [*set_ids, absent]}
+    # grouping_id has one bit per column, set for columns that are not part of the set
+    absent = 2 ** len(mode_names) - 1
+    in_set = [
+        F.col("__set") == absent - 2 ** (len(mode_names) - 1 - i) for i in range(len(mode_names))
+    ]
     second_pass = []
-    for name, mode, set_id in zip(modes, mode_names, set_ids):
+    for name, mode, of_mode in zip(modes, mode_names, in_set):
         known = F.when(F.col(mode).isNotNull(), F.col("__rows")).otherwise(0)
-        second_pass.append(best_value(mode, known, in_set[set_id]).alias(name))
-    types = rows.agg(*[others[n].column().alias(n) for n in combined]).schema if combined else {}
-    for name, parts in combined.items():
-        of_first = [
-            F.when(in_set[set_ids[0]], F.col(f"{name}_part_{i}")) for i in range(len(parts))
-        ]
-        value = others[name].combine(of_first).cast(types[name].dataType)
-        second_pass.append(value.alias(name))
-    for name in whole:
-        value = F.first(F.when(in_set[absent], F.col(name)), ignorenulls=True)
-        second_pass.append(value.alias(name))
+        second_pass.append(best_value(mode, known, of_mode).alias(name))
+    for name, data_type in others.items():
+        count = len(values[name].parts())
+        parts = [F.when(in_set[0], F.col(f"{name}_part_{i}")) for i in range(count)]
+        second_pass.append(values[name].combine(parts).cast(data_type).alias(name))
     return counts.groupBy(*key_names).agg(*second_pass)
 
 
@@ -234,7 +253,8 @@ def with_group_values(
     found = GroupValues()
     over = f"PARTITION BY {', '.join(keys)}" if keys else ""
     texts = {name: found.extract(f"{text} OVER ({over})") for name, text in values.items()}
+    source = df
     for group_keys, group_values in found.by_keys().items():
-        groups = group_table(df, group_keys, group_values)
-        df = attach_groups(df, group_keys, groups, list(group_values))
+        for groups, names in group_tables(source, group_keys, group_values):
+            df = attach_groups(df, group_keys, groups, names)
     return df.select("*", *[F.expr(t).alias(n) for n, t in texts.items()]).drop(*found.names)

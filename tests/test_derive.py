@@ -133,8 +133,10 @@ def test_several_modes_and_uncombinable_aggregates_share_a_group_table(sales):
         Rule(4, "d", "BIGINT", 1, f"count(DISTINCT x) {over}"),
         Rule(5, "e", "DOUBLE", 1, f"WeightedAverage(y, x) {over}"),
         Rule(6, "f", "DECIMAL(20,2)", 1, f"sum(CAST(y AS DECIMAL(10,2))) {over}"),
+        Rule(7, "g", "STRING", 1, f"max(k) {over}"),
     ]
     found = {r["id"]: r for r in derive(sales, rules).collect()}
+    assert [found[i]["g"] for i in (1, 3, 5)] == ["a", None, "b"]
     assert (found[1]["a"], found[1]["b"], found[1]["d"], found[1]["e"]) == ("10", 2.5, 2, 10.0)
     assert (found[3]["a"], found[3]["b"], found[3]["e"]) == ("30", 1.0, 10.0)
     assert (found[5]["a"], found[5]["c"], found[5]["e"]) == (None, None, 0.0)
@@ -291,5 +293,7 @@ def test_grand_total_counts_common_values_first(sales):
         derived = derive(source, rules)
         assert rows(derived) == [expected]
         assert "mode(" not in plan(derived)
+    apart = [*rules, Rule(5, "low", "STRING", 0, "concat(min(k), max(k))")]
+    assert rows(derive(sales, apart)) == [(5, "a!", 65, 1, "ab")]
     with_filter = [*rules, Rule(5, "f", "BIGINT", 0, "count(*) FILTER (WHERE x > 5)")]
     assert rows(derive(sales, with_filter)) == [(5, "a!", 65, 1, 3)]
