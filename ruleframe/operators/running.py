@@ -19,7 +19,8 @@ from ruleframe.functions.calls import expand_calls, replace_calls, split_argumen
 from ruleframe.session import stage
 
 RANKING = ("row_number", "rank", "dense_rank")
-RUNNING = frozenset([*RANKING, "count", "sum", "min", "max"])
+NEIGHBOURS = ("lag", "lead")
+RUNNING = frozenset([*RANKING, *NEIGHBOURS, "count", "sum", "min", "max"])
 
 ORDERED_WINDOW = re.compile(
     r"^\s*(?:PARTITION\s+BY\b(?P<keys>.*?))?\bORDER\s+BY\b(?P<orders>.*?)"
@@ -85,7 +86,9 @@ class RunningValues:
                 return None
             if self._key_sets is not None and window.keys not in self._key_sets:
                 return None
-            if name == "row_number":
+            if name in NEIGHBOURS and neighbour_arguments(args) is None:
+                return None
+            if name == "row_number" or name in NEIGHBOURS:
                 window = OrderedWindow(window.keys, window.orders, True)
             if name in ("rank", "dense_rank"):
                 window = OrderedWindow(window.keys, window.orders, False)
@@ -118,6 +121,13 @@ def ordered_window(over: str) -> OrderedWindow | None:
     )
 
 
+def neighbour_arguments(args: str) -> tuple[str, int, str] | None:
+    """Value, distance and default of a lag or lead; None if the distance is no plain number."""
+    given = split_arguments(args)
+    value, distance, default = given + [None, "1", "NULL"][len(given) :]
+    return (value, int(distance), default) if re.fullmatch(r"-?\d+", distance) else None
+
+
 def group_sizes(df: DataFrame, keys: Iterable[str]) -> tuple[int, int]:
     """Rows of the most frequent key, and of all; counted map-side, so a hot key is no burden."""
     counts = df.groupBy(*[F.expr(key) for key in keys]).agg(F.count("*").alias("n"))
@@ -157,12 +167,19 @@ def attach_running(
     view: str | None = None,
     blocks: int = 0,
 ) -> DataFrame:
-    """``df`` with running values over one ordered window.
+    """``df`` with running values over one ordered window, lag and lead included.
 
     Sums of floating-point numbers are added block by block, in another order than row by row.
     ``view`` is a name under which the values may refer to the rows, ``blocks`` the least number
     of blocks.
     """
+    near = {name: value for name, value in values.items() if value.call in NEIGHBOURS}
+    if near:
+        df = _attach_neighbours(df, window, near, view, blocks)
+        df = df if view is None else df.alias(view)
+        values = {name: value for name, value in values.items() if name not in near}
+        if not values:
+            return df
     rows = cut_into_blocks(df, window, blocks)
     if view is not None:
         rows = rows.alias(view)
@@ -191,15 +208,64 @@ def attach_running(
     # Only the first key of a block can have begun in an earlier one: one row per block at most,
     # whatever the size of the data, which is safe to broadcast.
     joined = local.join(F.broadcast(offsets), reduce(lambda a, b: a & b, same), "left")
-    types = local.schema
-    results = [
-        value.combine(F.col(f"{name}_before"), F.col(name)).cast(types[name].dataType).alias(name)
-        for name, value in values.items()
-    ]
+    types, results = local.schema, []
+    for name, value in values.items():
+        result = value.combine(F.col(f"{name}_before"), F.col(name))
+        if value.call not in RANKING:  # an INT cannot number the rows of a very large key
+            result = result.cast(types[name].dataType)
+        results.append(result.alias(name))
     kept = [F.col(f"`{name}`") for name in df.columns]
     return joined.select(*kept, *results)
 
 
+def _attach_neighbours(
+    df: DataFrame,
+    window: OrderedWindow,
+    values: Mapping[str, RunningValue],
+    view: str | None,
+    blocks: int,
+) -> DataFrame:
+    """``df`` with values of rows some places before or after in the window.
+
+    Rows are numbered, and each finds its neighbour by key and number: an equi-join that spreads a
+    large key evenly. The numbered rows are written, so that both sides agree on them.
+    """
+    place = {"__place": RunningValue("row_number", "")}
+    placed = attach_running(df, window, place, view, blocks)
+    if view is not None:
+        placed = placed.alias(view)
+    keys = _key_names(window)
+    helpers = {name: F.expr(key) for name, key in zip(keys, window.keys)}
+    steps = {}
+    for name, value in values.items():
+        text, distance, default = neighbour_arguments(expand_calls(value.args))
+        steps[name] = distance if value.call == "lag" else -distance
+        helpers[f"{name}_of"], helpers[f"{name}_else"] = F.expr(text), F.expr(default)
+    order = Window.partitionBy(*keys).orderBy("__place")
+    named = placed.select("*", *[col.alias(name) for name, col in helpers.items()])
+    types = named.select(*[v.local().over(order).alias(n) for n, v in values.items()]).schema
+    for name in values:
+        kind = types[name].dataType
+        for column in (f"{name}_of", f"{name}_else"):
+            named = named.withColumn(column, F.col(column).cast(kind))
+    rows = stage(named, "places")
+    joined = rows
+    for step in dict.fromkeys(steps.values()):
+        of_step = [name for name in values if steps[name] == step]
+        other = rows.select(
+            (F.col("__place") + step).alias("__at"),
+            *[F.col(key).alias(f"__at{key}") for key in keys],
+            *[F.col(f"{name}_of").alias(name) for name in of_step],
+            F.lit(True).alias("__found"),
+        )
+        same = [F.col("__place") == F.col("__at")]
+        same += [F.col(key).eqNullSafe(F.col(f"__at{key}")) for key in keys]
+        joined = joined.join(other, reduce(lambda a, b: a & b, same), "left")
+        found = {n: F.when(F.col("__found"), F.col(n)).otherwise(F.col(f"{n}_else")) for n in of_step}
+        joined = joined.withColumns(found).drop("__found", "__at", *[f"__at{key}" for key in keys])
+    return joined.select(*[F.col(f"`{name}`") for name in [*df.columns, *values]])
+
+
 def _key_names(window: OrderedWindow) -> list[str]:
     return [f"__key_{i}" for i in range(len(window.keys))]
 

@@ -251,7 +251,7 @@ def group_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT event_id, user_id, event_type, running_rank, CAST(running_total AS DOUBLE) AS running_total,
-       seen, top_place
+       seen, two_before, next_type, top_place
 FROM (
   SELECT *, CAST(max(place) OVER (PARTITION BY event_type) AS INTEGER) AS top_place FROM (
     SELECT event_id, user_id, event_type,
@@ -261,6 +261,8 @@ FROM (
              PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)
              AS running_total,
            CAST(count(nullif(user_id, 7)) OVER (ORDER BY ts, event_id) AS BIGINT) AS seen,
+           lag(value, 2) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS two_before,
+           lead(event_type, 1, 'none') OVER (ORDER BY ts, event_id) AS next_type,
            CAST(row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id) AS INTEGER)
              AS place
     FROM events))
@@ -282,6 +284,14 @@ def derive_running_values(spark: SparkSession, sf_dir: str) -> DataFrame:
             4, "place", "INT", 1,
             "row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id)",
         ),
+        Rule(
+            6, "two_before", "DOUBLE", 1,
+            "lag(value, 2) OVER (PARTITION BY event_type ORDER BY ts, event_id)",
+        ),
+        Rule(
+            7, "next_type", "STRING", 1,
+            "lead(event_type, 1, 'none') OVER (ORDER BY ts, event_id)",
+        ),
         Rule(5, "top_place", "INT", 2, "max(place) OVER (PARTITION BY event_type)"),
     ]
     events = table(spark, sf_dir, "events").drop("props")
@@ -289,5 +299,6 @@ def derive_running_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     hot_rows = min(HOT_ROWS, events.count() // 8 + 1)
     return derive(events, rules, hot_rows=hot_rows).selectExpr(
         "event_id", "user_id", "event_type", "running_rank",
-        "CAST(running_total AS DOUBLE) AS running_total", "seen", "top_place",
+        "CAST(running_total AS DOUBLE) AS running_total", "seen", "two_before", "next_type",
+        "top_place",
     )

@@ -224,6 +224,10 @@ RUNNING = [
     Rule(7, "high", "INT", 1, "max(x) OVER (PARTITION BY k ORDER BY id ROWS UNBOUNDED PRECEDING)"),
     Rule(8, "money", "DECIMAL(20,2)", 1, "sum(CAST(x AS DECIMAL(9,2))) OVER (ORDER BY id)"),
     Rule(9, "before", "INT", 1, "lag(x) OVER (PARTITION BY k ORDER BY id)"),
+    Rule(12, "far", "INT", 1, "lag(x, 700, id) OVER (PARTITION BY k ORDER BY id)"),
+    Rule(13, "after", "INT", 1, "lead(x * 2, 3) OVER (PARTITION BY k ORDER BY o DESC, id)"),
+    Rule(14, "all", "INT", 1, "coalesce(lead(x) OVER (ORDER BY id), -7)"),
+    Rule(15, "own", "BIGINT", 1, "lag(id, 0, -1) OVER (PARTITION BY k ORDER BY id)"),
     Rule(10, "of_key", "BIGINT", 1, "count(*) OVER (PARTITION BY k)"),
     Rule(11, "late", "BIGINT", 2, "max(n) OVER (PARTITION BY rank % 7)"),
 ]
