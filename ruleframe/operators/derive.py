@@ -10,11 +10,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ruleframe.functions.calls import calls_any, expand_calls
+from ruleframe.functions.levels import level_number
 from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_tables
 from ruleframe.operators.running import RunningValues, attach_running, group_sizes
 from ruleframe.session import session_settings, stage
 
-
 HOT_ROWS = 10_000_000
 FILTERED = re.compile(r"\bFILTER\s*\(\s*WHERE\b", re.I)
 # Aggregates that are not taken apart
@@ -42,9 +42,12 @@ def rule_list(rules: DataFrame | Iterable[Sequence]) -> list[Rule]:
     if isinstance(rules, DataFrame):
         names = [F.trim(c) for c in ("ColumnName", "DataType", "Expression")]
         column, data_type, expression = names
-        level = F.trim(F.col("Level").cast("string")).cast("int")
+        level = level_number("Level")
         rules = rules.select("seq_no", column, data_type, level, expression).distinct().collect()
     ordered = dict.fromkeys(Rule(*rule) for rule in rules)
+    for rule in ordered:
+        if rule.level is None:
+            raise ValueError(f"rule {rule.seq_no} has no level")
     return sorted(ordered, key=lambda rule: (rule.level, rule.seq_no))
 
 

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ruleframe.functions.levels import level_number
+
 # Words of Spark SQL expressions that are not column names when no bracket follows.
 KEYWORDS = tuple(
     """
@@ -70,8 +72,7 @@ def check_references(
     Definitions shrink to the lowest level per name before they are joined, so a name defined and
     used very often costs one row on one side and is never paired with itself.
     """
-    level = F.expr("try_cast(trim(CAST(Level AS STRING)) AS INT)")
-    leveled = rules.withColumn("__level", level).withColumn("__table", F.lower("TableName"))
+    leveled = rules.withColumn("__level", level_number("Level")).withColumn("__table", F.lower("TableName"))
     uses = leveled.filter("__level > 0").select(
         "seq_no", "TableName", "ColumnName", "Level", "__level", "__table",
         F.explode(expression_references("Expression")).alias("reference"),

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ruleframe.functions.levels import level_number
 from ruleframe.operators.derive import rule_list
 
 # The columns of a rules file, in file order, all text.
@@ -16,7 +17,7 @@ FILE_COLUMNS = (
     "OracleDataType", "SourceTable", "Version",
 )
 RULES_SCHEMA = ", ".join(f"{name} STRING" for name in FILE_COLUMNS)
-QUOTED_COLUMNS = ("TableName", "ColumnName", "DataType", "Level", "Expression")
+QUOTED_COLUMNS = ("TableName", "ColumnName", "DataType", "Expression")
 # Fixed value: the text form of insert_time.
 TIME_FORMAT = "%Y-%m-%dT%H:%M:%S"
 
@@ -62,7 +63,7 @@ def clean_rules(df: DataFrame, columns: tuple[str, ...] = QUOTED_COLUMNS) -> Dat
 def select_rules(rules: DataFrame, table: str, low: int, high: int) -> DataFrame:
     """Distinct rules of one table, in any case, within a level range; ordered for ``derive``."""
     return (
-        rules.withColumn("Level", F.expr("try_cast(trim(CAST(Level AS STRING)) AS INT)"))
+        rules.withColumn("Level", level_number("Level"))
         .filter((F.lower("TableName") == table.lower()) & F.col("Level").between(low, high))
         .dropDuplicates()
         .orderBy("Level", "seq_no")
@@ -102,7 +103,7 @@ def load_rules(
 ) -> DataFrame:
     """Published rules, with ``Level`` as an int."""
     rules = spark.read.parquet(path) if table is None else spark.table(table)
-    return rules.withColumn("Level", F.trim(F.col("Level").cast("string")).cast("int"))
+    return rules.withColumn("Level", level_number("Level"))
 
 
 def rules_schema(rules: DataFrame) -> StructType:

@@ -17,6 +17,7 @@ from ruleframe import (
     report_lines,
     select_rules,
 )
+from ruleframe.operators.derive import rule_list
 from ruleframe.sources.rules import FILE_COLUMNS, rules_schema
 
 RULES = f"seq_no INT, {', '.join(f'{name} STRING' for name in FILE_COLUMNS)}"
@@ -63,7 +64,7 @@ def test_number_rows_of_a_folder_is_gapless(spark, tmp_path):
 def test_clean_rules_takes_one_quote_from_each_end(spark):
     df = frame(spark, rule(1, '"a"', '"0"', '""x"" + "y"', table=' "T" '))
     cleaned = clean_rules(df).first()
-    assert (cleaned.ColumnName, cleaned.Expression, cleaned.Level) == ("a", '"x"" + "y', "0")
+    assert (cleaned.ColumnName, cleaned.Expression, cleaned.Level) == ("a", '"x"" + "y', '"0"')
 
 
 def test_select_rules(spark):
@@ -76,6 +77,18 @@ def test_select_rules(spark):
     assert [(r.seq_no, r.Level) for r in found.collect()] == [(1, 1), (4, 1), (3, 2)]
 
 
+def test_quoted_levels_pass_the_checks_and_are_kept(spark, tmp_path):
+    df = frame(spark, rule(1, "a", '"0"', "src"), rule(2, "b", ' "1"', "a"), rule(3, "c", "+2", "zz"))
+    assert [p.line_no for p in check_rules(df).collect()] == [3, 4]
+    sound = df.filter("seq_no <> 2")
+    assert [r.Level for r in select_rules(sound, "T", 0, 9).collect()] == [0, 2]
+    published = publish_rules(sound, str(tmp_path / "quoted"))
+    assert sorted(r.Level for r in published.collect()) == [0, 2]
+    assert [r.level for r in rule_list(sound)] == [0, 2]
+    with pytest.raises(ValueError, match="rule 2 has no level"):
+        rule_list(frame(spark, rule(2, "b", "1+2", "a")))
+
+
 def test_publish_and_load(spark, tmp_path):
     path = str(tmp_path / "published")
     df = frame(spark, rule(1, "a", "0 ", "x"), rule(2, "b", "+1", "a"))
