@@ -175,11 +175,8 @@ def attach_running(
     """
     near = {name: value for name, value in values.items() if value.call in NEIGHBOURS}
     if near:
-        df = _attach_neighbours(df, window, near, view, blocks)
-        df = df if view is None else df.alias(view)
-        values = {name: value for name, value in values.items() if name not in near}
-        if not values:
-            return df
+        others = {name: value for name, value in values.items() if name not in near}
+        return _attach_neighbours(df, window, near, others, view, blocks)
     rows = cut_into_blocks(df, window, blocks)
     if view is not None:
         rows = rows.alias(view)
@@ -222,16 +219,17 @@ def _attach_neighbours(
     df: DataFrame,
     window: OrderedWindow,
     values: Mapping[str, RunningValue],
+    others: Mapping[str, RunningValue],
     view: str | None,
     blocks: int,
 ) -> DataFrame:
-    """``df`` with values of rows some places before or after in the window.
+    """``df`` with values of rows some places before or after in the window, and the others.
 
     Rows are numbered, and each finds its neighbour by key and number: an equi-join that spreads a
     large key evenly. The numbered rows are written, so that both sides agree on them.
     """
     place = {"__place": RunningValue("row_number", "")}
-    placed = attach_running(df, window, place, view, blocks)
+    placed = attach_running(df, window, {**place, **others}, view, blocks)
     if view is not None:
         placed = placed.alias(view)
     keys = _key_names(window)
@@ -263,7 +261,7 @@ def _attach_neighbours(
         joined = joined.join(other, reduce(lambda a, b: a & b, same), "left")
         found = {n: F.when(F.col("__found"), F.col(n)).otherwise(F.col(f"{n}_else")) for n in of_step}
         joined = joined.withColumns(found).drop("__found", "__at", *[f"__at{key}" for key in keys])
-    return joined.select(*[F.col(f"`{name}`") for name in [*df.columns, *values]])
+    return joined.select(*[F.col(f"`{name}`") for name in [*df.columns, *others, *values]])
 
 
 def _key_names(window: OrderedWindow) -> list[str]:
