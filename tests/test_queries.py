@@ -5,6 +5,7 @@ from compare import difference, duck
 from conftest import SF
 
 import __spark_entry__
+from ruleframe.workloads.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +13,7 @@ def con():
     return duck(SF)
 
 
-@pytest.mark.parametrize("name", list(__spark_entry__.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
     assert difference(spark, con, name, SF) is None
 
