@@ -12,13 +12,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ruleframe.llm.words import LOWER, SPACED, buffers, hashes, pieces, signed, spans
-from ruleframe.session import stage
+from ruleframe.llm.words import LOWER, SPACED, buffers, hashes, pieces, spans
+from ruleframe.session import fresh_path, stage
 
 #: The hash of the token that ends every text.
 END = np.uint64(0x656E64)
 #: Tokens of a chunk: texts that share one dictionary and are scored together.
 CHUNK = 1 << 20
+#: Bits of a place in a chunk's dictionary, below the chunk's number in one long.
+PLACE = 27
 
 
 @dataclass(frozen=True)
@@ -75,6 +77,23 @@ class Automaton:
         return total
 
 
+def _planes(tokens: np.ndarray) -> bytes:
+    """First the lowest bytes of all numbers, then the next: high bytes are nearly all zero and compress."""
+    return tokens.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _tokens(planes: pa.Scalar) -> np.ndarray:
+    return np.frombuffer(planes.as_buffer(), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
+def _write(rows: DataFrame) -> DataFrame:
+    """Chunks in the shared folder, in small row groups: each row holds megabytes."""
+    path, schema = fresh_path(rows.sparkSession, "chunks"), rows.schema
+    options = {"parquet.block.size": 16 << 20, "parquet.enable.dictionary": "false", "compression": "zstd"}
+    rows.write.options(**options).parquet(path)
+    return rows.sparkSession.read.schema(schema).parquet(path)
+
+
 def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     """One row for about ``size`` tokens of (id, train, text): the ids, the tokens as numbers, and the
     dictionary behind them with the counts in training texts."""
@@ -98,8 +117,8 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             token, vocabulary = place[token], vocabulary[order]
             learned = np.bincount(token[np.repeat(train, sizes)], minlength=len(vocabulary))
             columns = [
-                pa.array([task << 32 | number]), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([train.tobytes()]),
-                pa.array([sizes.astype(np.int64).tobytes()]), pa.array([token.tobytes()]), pa.array([vocabulary.tobytes()]),
+                pa.array([task << 12 | number]), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([train.tobytes()]),
+                pa.array([sizes.astype(np.int64).tobytes()]), pa.array([_planes(token)]), pa.array([vocabulary.tobytes()]),
                 pa.array([learned.astype(np.int64).tobytes()]),
             ]
             held, count = [], 0
@@ -127,20 +146,20 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
 
 
 def _word_rows(parts: DataFrame) -> DataFrame:
-    """(word, chunk, place, n): the dictionaries of all chunks, with counts in training texts."""
+    """(word, at, n): the dictionaries of all chunks, with counts in training texts. ``at`` is the chunk and,
+    in its lowest bits, the place in its dictionary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 words = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
                 n = np.frombuffer(batch.column(2)[i].as_buffer(), np.int64)
-                chunk = np.full(len(words), batch.column(0)[i].as_py(), np.int64)
-                place = np.arange(len(words), dtype=np.int32)
-                for at in range(0, len(words), 100_000):
-                    cut = slice(at, at + 100_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(x[cut]) for x in (words, chunk, place, n)], ["word", "chunk", "place", "n"])
+                at = (batch.column(0)[i].as_py() << PLACE) + np.arange(len(words))
+                for first in range(0, len(words), 50_000):
+                    cut = slice(first, first + 50_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(x[cut]) for x in (words, at, n)], ["word", "at", "n"])
 
-    return parts.select("chunk", "vocabulary", "learned").mapInArrow(run, "word long, chunk long, place int, n long")
+    return parts.select("chunk", "vocabulary", "learned").mapInArrow(run, "word long, at long, n long")
 
 
 def _histories(token: np.ndarray, sizes: np.ndarray, known: np.ndarray, end: int, levels: list[np.ndarray]) -> np.ndarray:
@@ -196,10 +215,10 @@ def fit_automaton(parts: DataFrame, counts: DataFrame, *, order: int, share: flo
             words, end, levels = model.value
             for batch in batches:
                 for i in range(batch.num_rows):
-                    train, sizes, token, vocabulary = (
-                        np.frombuffer(batch.column(c)[i].as_buffer(), t)
-                        for c, t in enumerate((bool, np.int64, np.int32, np.uint64))
+                    train, sizes, vocabulary = (
+                        np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in enumerate((bool, np.int64, np.uint64))
                     )
+                    token = _tokens(batch.column(3)[i])
                     known = _places(words, vocabulary)
                     history = _histories(token, sizes, known, end, levels)
                     word = known[token]
@@ -207,7 +226,7 @@ def fit_automaton(parts: DataFrame, counts: DataFrame, *, order: int, share: flo
                     keys, n = np.unique(history[good] * max(len(words), 1) + word[good], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
 
-        grams = parts.select("train", "sizes", "tokens", "vocabulary").mapInArrow(run, "gram long, n long")
+        grams = parts.select("train", "sizes", "vocabulary", "tokens").mapInArrow(run, "gram long, n long")
         table = grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).orderBy("gram").toArrow()
         keys, n = table["gram"].to_numpy().astype(np.int64), table["n"].to_numpy().astype(np.int64)
         kept.append((keys, n))
@@ -296,22 +315,24 @@ def score_texts(
     an empty table gives no rows.
     """
     rows = docs.select(F.col(id).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
-    parts = stage(chunks(rows, chunk), "chunks")
+    parts = _write(chunks(rows, chunk))
     words = _word_rows(parts)
-    counts = stage(words.groupBy("word").agg(F.sum("n").alias("c")).where("c > 0"), "counts")
+    counts = stage(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
     automaton = fit_automaton(parts, counts, order=order, share=share, discount=discount)
     shared = docs.sparkSession.sparkContext.broadcast(automaton)
-    back = words.join(counts, "word").select("chunk", "place", "c")
+    back = words.select("word", "at").join(counts, "word").select(
+        F.shiftright("at", PLACE).alias("chunk"), F.col("at").bitwiseAND((1 << PLACE) - 1).cast("int").alias("place"), "c"
+    )
     kind = docs.schema[id].dataType.simpleString()
     names = ["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         model = shared.value
         row = {c: left[c][0] for c in left.column_names}
-        train, sizes, token, vocabulary = (
-            np.frombuffer(row[c].as_buffer(), t)
-            for c, t in (("train", bool), ("sizes", np.int64), ("tokens", np.int32), ("vocabulary", np.uint64))
+        train, sizes, vocabulary = (
+            np.frombuffer(row[c].as_buffer(), t) for c, t in (("train", bool), ("sizes", np.int64), ("vocabulary", np.uint64))
         )
+        token = _tokens(row["tokens"])
         c = np.zeros(len(vocabulary), np.int64)
         c[right["place"].to_numpy()] = right["c"].to_numpy()
         firsts = np.cumsum(sizes) - sizes
