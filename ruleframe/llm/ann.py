@@ -61,7 +61,7 @@ def _squares(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a * a).sum(1)[:, None] - 2 * a @ b.T + (b * b).sum(1)[None]
 
 
-def fit_tree(sample: np.ndarray, branch: int = 16, leaf_size: int = 64, seed: int = 5) -> Tree:
+def fit_tree(sample: np.ndarray, branch: int = 16, leaf_size: int = 256, seed: int = 5) -> Tree:
     """Split the sample by k-means into ``branch`` parts, and each part again, down to ``leaf_size``."""
     random = np.random.default_rng(seed)
     centres, first, count, leaf = [sample.mean(axis=0)], [0], [0], [-1]
@@ -115,8 +115,8 @@ def _arrays(column: pa.Array, dim: int) -> np.ndarray:
 
 
 def nearest(
-    vectors: DataFrame, queries: DataFrame, *, k: int = 10, recall: float = 0.97, sample: int = 32_768,
-    leaf_size: int = 64, branch: int = 16, trials: int = 256, tile: int = 4096,
+    vectors: DataFrame, queries: DataFrame, *, k: int = 10, recall: float = 0.95, sample: int = 32_768,
+    leaf_size: int = 256, branch: int = 16, trials: int = 256, tile: int = 4096,
 ) -> DataFrame:
     """(query, rank, id, distance): the ``k`` nearest of ``vectors`` for each of ``queries``, both (id, v)
     as ``usable_vectors`` gives them; a row with the query's id is the query itself.
@@ -174,16 +174,16 @@ def nearest(
             return out.empty_table()
         a, b = (_arrays(t["v"].combine_chunks(), dim) for t in (left, right))
         ids, names = right["id"].to_numpy(), left["id"].to_numpy()
+        squares = _squares(a, b)  # fast but rounded: exact distances only where they may count
+        squares[names[:, None] == ids[None]] = np.inf
+        last = np.partition(squares, min(k, len(b)) - 1, axis=1)[:, min(k, len(b)) - 1]
+        slack = 1e-9 * ((a * a).sum(axis=1) + (b * b).sum(axis=1).max())
         found = []
-        for i in range(len(a)):
-            distances = np.sqrt(((b - a[i]) ** 2).sum(axis=1))
-            distances[ids == names[i]] = np.inf
-            best = np.argpartition(distances, k)[:k] if len(b) > k else np.arange(len(b))
-            if len(b) > k:  # all that tie with the last
-                best = np.flatnonzero(distances <= distances[best].max())
-            best = best[np.isfinite(distances[best])]
-            best = best[np.lexsort((ids[best], distances[best]))][:k]
-            found += [(names[i], ids[j], distances[j]) for j in best]
+        for i, reach in enumerate(last + slack):
+            near = np.flatnonzero((squares[i] <= reach) & (ids != names[i]))
+            distances = np.sqrt(((b[near] - a[i]) ** 2).sum(axis=1))
+            best = np.lexsort((ids[near], distances))[:k]
+            found += [(names[i], j, d) for j, d in zip(ids[near[best]], distances[best])]
         columns = list(zip(*found)) or [(), (), ()]
         return pa.table([pa.array(c, t) for c, t in zip(columns, out.types)], out.names)
 
