@@ -29,6 +29,7 @@ from ruleframe.sources.rules import (
     read_rules,
     select_rules,
 )
+from ruleframe.sources.sqltext import run_sql_text as sql
 from ruleframe.sources.sqltext import source_from_sql
 from ruleframe.sources.tables import (
     create_table_from_rules,
@@ -44,5 +45,5 @@ __all__ = [
     "load_rules", "most_common", "most_common_by", "number_rows", "profile", "project_level",
     "publish_rules", "read_back", "read_rules", "read_stats", "register_functions",
     "report_lines", "run_aggregate", "run_rules", "run_sql", "run_stats", "run_steps",
-    "select_rules", "source_from_sql", "weighted_average", "with_group_values", "write_result",
+    "select_rules", "source_from_sql", "sql", "weighted_average", "with_group_values", "write_result",
 ]

@@ -5,53 +5,127 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
-LITERAL = r"'(?:[^'\\]|\\.)*+'|\"(?:[^\"\\]|\\.)*+\""
-NESTING = 12
-
-
-def _nested(plain: str) -> str:
-    """Pattern for text of ``plain`` characters, literals and balanced brackets."""
-    inner = rf"(?:[^()'\"]|{LITERAL})*+"
-    for _ in range(NESTING):
-        inner = rf"(?:[^()'\"]|{LITERAL}|\({inner}\))*+"
-    return rf"(?:{plain}|{LITERAL}|\({inner}\))"
-
-
-INSIDE = _nested(r"[^()'\"]") + "*+"
-ARGUMENT = re.compile(_nested(r"[^()'\",]") + "++", re.S)
-CALL = re.compile(
-    rf"(?P<literal>{LITERAL})"
-    rf"|(?<![\w`.])(?P<name>[A-Za-z_]\w*)\s*\((?P<args>{INSIDE})\)"
-    rf"(?:\s*\bOVER\s*\((?P<over>{INSIDE})\))?",
-    re.I | re.S,
-)
+WORD = re.compile(r"\w+")
+NAME = re.compile(r"[A-Za-z_]\w*")
+BLANK = re.compile(r"\s*")
+OVER = re.compile(r"\s*\bOVER\s*(?=\()", re.I)
+SUBQUERY = re.compile(r"\s*(?:SELECT|WITH|FROM|VALUES|TABLE|MAP|REDUCE)\b(?!\s*\()", re.I)
+COMMENT_EDGE = re.compile(r"/\*|\*/")
 
 Replace = Callable[[str, str, "str | None"], "str | None"]
 
 
-def replace_calls(text: str, replace: Replace) -> str:
-    """Replace function calls, outermost first, leaving string literals alone.
+def _skip(text: str, at: int) -> int:
+    """The end of the literal, quoted name or comment that starts at ``at``; else ``at``."""
+    char = text[at]
+    if char in "'\"":
+        end = at + 1
+        while end < len(text) and text[end] != char:
+            end += 2 if text[end] == "\\" else 1
+        return min(end + 1, len(text))
+    if char == "`":
+        end = text.find("`", at + 1)
+        return len(text) if end < 0 else end + 1
+    if text.startswith("--", at):
+        end = text.find("\n", at)
+        return len(text) if end < 0 else end + 1
+    if text.startswith("/*", at):
+        depth = 0
+        for edge in COMMENT_EDGE.finditer(text, at):
+            depth += 1 if edge[0] == "/*" else -1
+            if not depth:
+                return edge.end()
+        return len(text)
+    return at
+
+
+def _closing(text: str, opening: int) -> int | None:
+    """The bracket that closes the one at ``opening``, at any depth; None if there is none."""
+    depth, at = 0, opening
+    while at < len(text):
+        end = _skip(text, at)
+        if end > at:
+            at = end
+            continue
+        depth += {"(": 1, ")": -1}.get(text[at], 0)
+        if not depth:
+            return at
+        at += 1
+    return None
+
+
+def _is_subquery(inside: str) -> bool:
+    at = 0
+    while at < len(inside):
+        at = BLANK.match(inside, at).end()
+        end = _skip(inside, at) if inside[at : at + 2] in ("--", "/*") else at
+        if end == at:
+            return SUBQUERY.match(inside, at) is not None
+        at = end
+    return False
+
+
+def replace_calls(text: str, replace: Replace, subqueries: bool = False) -> str:
+    """Replace function calls, outermost first, leaving literals, quoted names and comments alone.
 
     ``replace(name, args, over)`` gets the lower-case name, the argument text and the window text
     (None without OVER). It returns the new text, or None to keep the call and look inside it.
+    What stands inside a subquery belongs to other rows and is looked at with ``subqueries`` only.
     """
-
-    def one(match: re.Match[str]) -> str:
-        if match["literal"] is not None:
-            return match[0]
-        new = replace(match["name"].lower(), match["args"], match["over"])
-        if new is not None:
-            return new
-        start = match[0][: match.start("args") - match.start()]
-        rest = match[0][match.end("args") - match.start() :]
-        return start + replace_calls(match["args"], replace) + rest
-
-    return CALL.sub(one, text)
+    out, at = [], 0
+
+    def inner(inside: str) -> str:
+        return inside if _is_subquery(inside) and not subqueries else replace_calls(inside, replace, subqueries)
+
+    while at < len(text):
+        end = _skip(text, at)
+        if end > at:
+            out.append(text[at:end])
+            at = end
+            continue
+        word = WORD.match(text, at)
+        if word is None and text[at] != "(":
+            out.append(text[at])
+            at += 1
+            continue
+        opening = BLANK.match(text, word.end()).end() if word else at
+        closing = _closing(text, opening) if text[opening : opening + 1] == "(" else None
+        if closing is None:
+            end = word.end() if word else at + 1
+            out.append(text[at:end])
+            at = end
+            continue
+        args, end, over = text[opening + 1 : closing], closing + 1, None
+        called = word is not None and NAME.fullmatch(word[0]) and (at == 0 or text[at - 1] not in ".`")
+        if called:
+            window = OVER.match(text, end)
+            last = _closing(text, window.end()) if window else None
+            if last is not None:
+                over, end = text[window.end() + 1 : last], last + 1
+            new = replace(word[0].lower(), args, over)
+            if new is not None:
+                out.append(new)
+                at = end
+                continue
+        out.append(text[at : opening + 1] + inner(args) + text[closing:end])
+        at = end
+    return "".join(out)
 
 
 def split_arguments(args: str) -> list[str]:
     """The arguments of a call, split at its outermost commas."""
-    return [part.strip() for part in ARGUMENT.findall(args)]
+    parts, first, depth, at = [], 0, 0, 0
+    while at < len(args):
+        end = _skip(args, at)
+        if end > at:
+            at = end
+            continue
+        depth += {"(": 1, ")": -1}.get(args[at], 0)
+        if args[at] == "," and not depth:
+            parts.append(args[first:at])
+            first = at + 1
+        at += 1
+    return [part.strip() for part in [*parts, args[first:]] if part]
 
 
 def calls_any(text: str, names: frozenset[str], windowed: bool = False) -> bool:
@@ -89,4 +163,4 @@ def expand_calls(text: str) -> str:
             return f"nullif({ratio}, double('NaN'))"
         return None
 
-    return replace_calls(text, one)
+    return replace_calls(text, one, subqueries=True)

@@ -94,8 +94,9 @@ def format_problems(rules: DataFrame) -> DataFrame:
 
 
 def duplicate_problems(rules: DataFrame) -> DataFrame:
-    """Rules that define the same column of the same table, one problem row per rule."""
-    repeated = duplicate_rows(clean_rules(rules), ["TableName", "ColumnName"])
+    """Rules that define the same column of the same table, in any case, one problem row per rule."""
+    names = {"__table": F.lower("TableName"), "__column": F.lower("ColumnName")}
+    repeated = duplicate_rows(clean_rules(rules).withColumns(names), list(names))
     return _problems(repeated, DUPLICATE, F.concat(F.lit("defined by rules: "), F.col("n")))
 
 

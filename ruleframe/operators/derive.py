@@ -12,10 +12,9 @@ from pyspark.sql import functions as F
 from ruleframe.functions.calls import calls_any, expand_calls
 from ruleframe.functions.levels import level_number
 from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_tables
-from ruleframe.operators.running import RunningValues, attach_running, group_sizes
+from ruleframe.operators.running import RunningValues, attach_running
 from ruleframe.session import session_settings, stage
 
-HOT_ROWS = 10_000_000
 FILTERED = re.compile(r"\bFILTER\s*\(\s*WHERE\b", re.I)
 # Aggregates that are not taken apart
 OTHER_AGGREGATES = frozenset(
@@ -58,7 +57,7 @@ def derive(
     view: str | None = None,
     windows: str = "join",
     stage_groups: bool = True,
-    hot_rows: int = HOT_ROWS,
+    blocks: int = 0,
     ansi: bool | None = None,
 ) -> DataFrame:
     """Apply rules level by level.
@@ -71,8 +70,8 @@ def derive(
     windows: "join" keeps a large key from landing in one task: whole-group windows become a
         grouped aggregate joined back, running values are computed in blocks. "spark" leaves every
         window to Spark, which reads the source once and suits evenly spread keys.
-    hot_rows: running values are computed in blocks of about this many rows if some key has more,
-        which is counted first, or if there is no key. Other ordered windows are always Spark's.
+    blocks: the least number of blocks in which "join" computes running values; 0 leaves it to the
+        session's shuffle partitions. Other ordered windows are always Spark's.
     stage_groups: write each group table to the shared folder before it is joined, so that the
         planner knows its size and broadcasts a small one without shuffling the rows. Without it
         nothing is computed here, but the rows are shuffled before the size is known.
@@ -94,7 +93,7 @@ def derive(
         for level in dict.fromkeys(rule.level for rule in rules):
             step = [rule for rule in rules if rule.level == level]
             _refuse_redefinition(df.columns if level else [], step)
-            df, joined = _apply(df, step, level, view, windows, stage_groups, hot_rows, joined)
+            df, joined = _apply(df, step, level, view, windows, stage_groups, blocks, joined)
             df = _named(df, view)
     return df
 
@@ -116,17 +115,17 @@ def _apply(
     view: str | None,
     windows: str,
     stage_groups: bool,
-    hot_rows: int,
+    blocks: int,
     joined: bool,
 ) -> tuple[DataFrame, bool]:
-    found, running, blocks = GroupValues(), RunningValues(), 0
+    found, running = GroupValues(), RunningValues()
     texts = [rule.expression for rule in rules]
     total = level == 0 and _collapses(texts)
     if windows == "join" and total:
         return _grand_total(df, rules), False
     if windows == "join":
         texts = [found.extract(text) for text in texts]
-        texts, running, blocks = _split_running(df, texts, hot_rows)
+        texts = [running.extract(text) for text in texts]
     if joined and found.names:
         # The rows already hang on one join back. Grouping them again would compute everything
         # below once more per level, doubling the work each time; a written table is read instead.
@@ -153,20 +152,6 @@ def _columns(rules: list[Rule], texts: list[str]) -> list[Column]:
     ]
 
 
-def _split_running(
-    df: DataFrame, texts: list[str], hot_rows: int
-) -> tuple[list[str], RunningValues, int]:
-    """The texts with the running values of too large keys taken out, and a number of blocks."""
-    found = RunningValues()
-    for text in texts:
-        found.extract(text)
-    key_sets = dict.fromkeys(window.keys for window in found.by_window())
-    sizes = {keys: group_sizes(df, keys) for keys in key_sets}
-    running = RunningValues({k for k, (largest, _) in sizes.items() if not k or largest > hot_rows})
-    texts = [running.extract(text) for text in texts]
-    return texts, running, max((rows // hot_rows + 1 for _, rows in sizes.values()), default=0)
-
-
 def _grand_total(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Level 0 with aggregates: one row. Most common values are counted before they meet."""
     found = GroupValues()

@@ -8,7 +8,7 @@ computes its own running values, and adds what the earlier blocks of its first k
 from __future__ import annotations
 
 import re
-from collections.abc import Collection, Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -71,10 +71,9 @@ class RunningValue:
 
 
 class RunningValues:
-    """Collects the ordered windows of several rule texts, of some key sets only, and names them."""
+    """Collects the ordered windows of several rule texts and names them."""
 
-    def __init__(self, key_sets: Collection[tuple[str, ...]] | None = None) -> None:
-        self._key_sets = key_sets
+    def __init__(self) -> None:
         self._names: dict[tuple[OrderedWindow, RunningValue], str] = {}
 
     def extract(self, text: str) -> str:
@@ -84,8 +83,6 @@ class RunningValues:
             window = None if over is None or name not in RUNNING else ordered_window(over)
             if window is None or re.match(r"\s*DISTINCT\b", args, re.I):
                 return None
-            if self._key_sets is not None and window.keys not in self._key_sets:
-                return None
             if name in NEIGHBOURS and neighbour_arguments(args) is None:
                 return None
             if name == "row_number" or name in NEIGHBOURS:
@@ -128,13 +125,6 @@ def neighbour_arguments(args: str) -> tuple[str, int, str] | None:
     return (value, int(distance), default) if re.fullmatch(r"-?\d+", distance) else None
 
 
-def group_sizes(df: DataFrame, keys: Iterable[str]) -> tuple[int, int]:
-    """Rows of the most frequent key, and of all; counted map-side, so a hot key is no burden."""
-    counts = df.groupBy(*[F.expr(key) for key in keys]).agg(F.count("*").alias("n"))
-    largest, rows = counts.agg(F.max("n"), F.sum("n")).first()
-    return largest or 0, rows or 0
-
-
 def cut_into_blocks(df: DataFrame, window: OrderedWindow, blocks: int = 0) -> DataFrame:
     """``df`` cut along (keys, order), written to the shared folder.
 
@@ -207,10 +197,9 @@ def attach_running(
     joined = local.join(F.broadcast(offsets), reduce(lambda a, b: a & b, same), "left")
     types, results = local.schema, []
     for name, value in values.items():
+        # The type is that of Spark's own window, so that expressions around it give the same.
         result = value.combine(F.col(f"{name}_before"), F.col(name))
-        if value.call not in RANKING:  # an INT cannot number the rows of a very large key
-            result = result.cast(types[name].dataType)
-        results.append(result.alias(name))
+        results.append(result.cast(types[name].dataType).alias(name))
     kept = [F.col(f"`{name}`") for name in df.columns]
     return joined.select(*kept, *results)
 

@@ -35,12 +35,19 @@ def analyze(
         spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {listed}")
 
 
-def read_stats(spark: SparkSession, table: str, columns: Sequence[str] = ()) -> DataFrame:
-    """Stored statistics as rows (column_name, statistic, value); the table's have no column."""
+def read_stats(
+    spark: SparkSession, table: str, columns: Sequence[str] = (), partition: Sequence[str] = ()
+) -> DataFrame:
+    """Stored statistics as rows (column_name, statistic, value); the table's have no column.
+
+    With ``partition``, ``name=value`` texts of one partition, its size instead of the table's.
+    """
     name = quoted(table)
+    of_partition = f" PARTITION ({', '.join(partition)})" if partition else ""
+    shown = "Partition Statistics" if partition else "Statistics"
     stats = (
-        spark.sql(f"DESCRIBE EXTENDED {name}")
-        .filter("col_name = 'Statistics'")
+        spark.sql(f"DESCRIBE EXTENDED {name}{of_partition}")
+        .filter(F.col("col_name") == shown)
         .selectExpr("CAST(NULL AS STRING) AS column_name", "'size' AS statistic", "data_type AS value")
     )
     for column in columns:

@@ -62,9 +62,10 @@ def run_aggregate(
     """
     if rules is None:
         rules = load_published(spark, _value(step, "rules"))
-    if "levels" in step:
-        low, high = (int(level) for level in step["levels"].split(","))
-        rules = select_rules(rules, _value(step, "rulestable"), low, high)
+    if "levels" not in step:
+        raise ValueError("an aggregator step needs levels")
+    low, high = (int(level) for level in step["levels"].split(","))
+    rules = select_rules(rules, _value(step, "rulestable"), low, high)
     settings = {}
     if int(step.get("numpartition", 0)) > 0:
         settings["spark.sql.shuffle.partitions"] = step["numpartition"]
@@ -114,15 +115,15 @@ def run_rules(
     Format problems end the run with code 100 before anything else is checked; other problems
     only block publishing. ``report`` is a folder for the problems as text lines.
     """
+    at = datetime.now().strftime(TIME_FORMAT)
     rules = stage(read_rules(spark, path), "rules")  # read and numbered once, used by every check
     problems, code = format_problems(rules), FORMAT_PROBLEM_CODE
     if problems.isEmpty():
         problems, code = check_rules(rules, source_columns), 0
     blocked = code != 0 or not problems.isEmpty()
     if report is not None:
-        at = datetime.now().strftime(TIME_FORMAT)
         report_lines(problems, at).write.mode("overwrite").text(report)
-    published = None if blocked else publish_rules(clean_rules(rules), target, table)
+    published = None if blocked else publish_rules(clean_rules(rules), target, table, at)
     return RulesRun(problems, published, code)
 
 

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from urllib.parse import urlparse
+from urllib.parse import unquote, urlparse
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ruleframe.session import session_settings
@@ -59,10 +58,13 @@ def read_back(spark: SparkSession, location: str) -> DataFrame:
 
 
 def _refuse_own_input(df: DataFrame, location: str) -> None:
-    try:
-        df.sparkSession.read.schema("x STRING").parquet(location)
-    except AnalysisException:
+    """Raise if ``df`` reads a file at or below ``location``, however either is written."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
         return  # nothing there yet, so nothing of it can be read
-    target = urlparse(location).path.rstrip("/") + "/"
-    if any(urlparse(file).path.startswith(target) for file in df.inputFiles()):
+    target = files.makeQualified(path).toUri().getPath().rstrip("/")  # absolute and decoded
+    read = (unquote(urlparse(file).path) for file in df.inputFiles())
+    if any(file == target or file.startswith(f"{target}/") for file in read):
         raise ValueError(f"{location} is an input of the result to be written there")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ruleframe.operators.derive import HOT_ROWS, Rule, derive
+from ruleframe.operators.derive import Rule, derive
 from ruleframe.operators.groups import with_group_values
 from ruleframe.workloads.data import register_tables, table
 from ruleframe.workloads.registry import query
@@ -295,9 +295,7 @@ def derive_running_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         Rule(5, "top_place", "INT", 2, "max(place) OVER (PARTITION BY event_type)"),
     ]
     events = table(spark, sf_dir, "events").drop("props")
-    # An event type is one of five: large even where the tables are small
-    hot_rows = min(HOT_ROWS, events.count() // 8 + 1)
-    return derive(events, rules, hot_rows=hot_rows).selectExpr(
+    return derive(events, rules).selectExpr(
         "event_id", "user_id", "event_type", "running_rank",
         "CAST(running_total AS DOUBLE) AS running_total", "seen", "two_before", "next_type",
         "top_place",

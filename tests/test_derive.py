@@ -249,7 +249,7 @@ MANY_BLOCKS = {"spark.sql.adaptive.coalescePartitions.enabled": "false"}
 
 def test_running_values_in_blocks_equal_spark_windows(spark, ordered):
     with session_settings(spark, MANY_BLOCKS):
-        in_blocks = derive(ordered, RUNNING, hot_rows=100, view="ordered_view")
+        in_blocks = derive(ordered, RUNNING, blocks=20, view="ordered_view")
     assert in_blocks.dtypes == derive(ordered, RUNNING, windows="spark").dtypes
     assert rows(in_blocks) == rows(derive(ordered, RUNNING, windows="spark"))
 
@@ -257,26 +257,42 @@ def test_running_values_in_blocks_equal_spark_windows(spark, ordered):
 def test_blocks_cut_a_large_key(spark, ordered):
     rules = [Rule(1, "n", "BIGINT", 1, "sum(x) OVER (PARTITION BY ordered_view.k ORDER BY id)")]
     with session_settings(spark, MANY_BLOCKS):
-        in_blocks = derive(ordered, rules, hot_rows=1000, view="ordered_view")
+        in_blocks = derive(ordered, rules, view="ordered_view")
         blocks = cut_into_blocks(ordered, ordered_window("PARTITION BY k ORDER BY id"))
         assert blocks.filter("k = -1").select("__block").distinct().count() > 2
         finer = cut_into_blocks(ordered, ordered_window("ORDER BY id"), blocks=20)
         assert finer.select("__block").distinct().count() == 20
     text = plan(in_blocks)
     assert "__block" in text and "BroadcastHashJoin" in text
-    assert "__block" not in plan(derive(ordered, rules, hot_rows=5000, view="ordered_view"))
+    assert "__block" not in plan(derive(ordered, rules, windows="spark", view="ordered_view"))
     assert rows(in_blocks) == rows(derive(ordered, rules, windows="spark", view="ordered_view"))
 
 
 def test_row_number_of_equal_orders_is_a_numbering(spark, ordered):
     rules = [Rule(1, "i", "INT", 1, "row_number() OVER (PARTITION BY k ORDER BY 1)")]
     with session_settings(spark, MANY_BLOCKS):
-        found = derive(ordered, rules, hot_rows=10)
+        found = derive(ordered, rules, blocks=20)
     counts = found.groupBy("k").agg(F.count("*").alias("n"), F.count_distinct("i").alias("d"),
                                     F.max("i").alias("m"))
     assert counts.filter("n <> d OR n <> m").isEmpty()
 
 
+def test_ranks_have_one_type_in_both_plans(spark, ordered):
+    rules = [
+        Rule(1, "h", "BIGINT", 1, "hash(row_number() OVER (PARTITION BY k ORDER BY id))"),
+        Rule(2, "i", "BIGINT", 1, "rank() OVER (ORDER BY id) * 500000"),
+    ]
+    assert rows(derive(ordered, rules)) == rows(derive(ordered, rules, windows="spark"))
+
+
+def test_windows_of_a_subquery_stay_there(spark):
+    vv = spark.range(10).selectExpr("id", "id % 2 AS k")
+    text = "(SELECT max(s) FROM (SELECT sum(id) OVER (PARTITION BY k) AS s FROM vv))"
+    rules = [Rule(1, "m", "BIGINT", 1, text), Rule(2, "s", "BIGINT", 1, "sum(id) OVER (PARTITION BY k)")]
+    derived = derive(vv, rules, view="vv")
+    assert {r.m for r in derived.collect()} == {25}
+
+
 def test_other_windows_are_left_alone():
     for over in ("PARTITION BY k", "ORDER BY x ROWS BETWEEN 1 PRECEDING AND CURRENT ROW", "",
                  "PARTITION BY f(SELECT 1 ORDER BY 2) ORDER BY x", "PARTITION BY 'a' ORDER BY x",

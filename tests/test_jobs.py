@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import SF, rows
 
@@ -56,6 +58,31 @@ def test_write_refuses_its_own_input(spark, orders, table, tmp_path):
     assert read_back(spark, location).count() == 4
 
 
+@pytest.mark.parametrize("name", ["with blank", "per%20cent", "ü", "deep/er"])
+def test_no_spelling_of_an_input_is_overwritten(spark, orders, table, tmp_path, name):
+    location = str(tmp_path / name)
+    orders.limit(4).write.parquet(location)
+    relative = os.path.relpath(location)
+    for target in (location, f"file://{location}", relative, str((tmp_path / name).parent)):
+        if "%" in target and "://" in target:
+            continue  # an escape in a URI is another name
+        with pytest.raises(ValueError, match="is an input"):
+            write_result(read_back(spark, location), table, target)
+    assert read_back(spark, location).count() == 4
+
+
+def test_a_folder_of_sql_files_runs_whole(spark, tmp_path):
+    (tmp_path / "1.sql").write_text("SELECT 1 AS a -- it's one\n")
+    (tmp_path / "2.sql").write_text("UNION ALL SELECT MostCommon(x) FROM VALUES (2), (2), (3) AS t(x)")
+    assert sorted(str(r.a) for r in run_sql(spark, str(tmp_path)).collect()) == ["1", "2"]
+
+
+def test_an_aggregator_without_levels_is_refused(spark):
+    rules = spark.createDataFrame([], "seq_no int, TableName string")
+    with pytest.raises(ValueError, match="needs levels"):
+        run_aggregate(spark, {"sqlfile": "x", "rulestable": "T"}, rules)
+
+
 def test_legacy_format_setting_is_restored(spark, orders, table, tmp_path):
     name = "spark.sql.parquet.writeLegacyFormat"
     before = spark.conf.get(name)

@@ -151,7 +151,7 @@ def test_duplicates_across_levels(spark):
                rule(4, "A", "0", "x", table="U"))
     found = check_rules(df).collect()
     assert sorted((p.kind, p.line_no, p.level) for p in found) == [
-        ("Duplicate Check", 2, "0"), ("Duplicate Check", 3, "2"),
+        ("Duplicate Check", 2, "0"), ("Duplicate Check", 3, "2"), ("Duplicate Check", 4, "0"),
     ]
 
 
