@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleframe.operators.derive import Rule
@@ -94,6 +95,33 @@ def table_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stats(spark, _analyzed_orders(spark, sf_dir), STATS_COLUMNS)
 
 
+def _row_count() -> Column:
+    """The row count in a catalog text like "9 bytes, 5 rows"."""
+    return F.regexp_extract("value", r"(\d+) rows", 1).cast("long").alias("row_count")
+
+
+@query("SELECT count(*) AS row_count FROM orders")
+def table_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a written table, as its catalog statistics have them."""
+    name = _table_name()
+    write_result(table(spark, sf_dir, "orders"), name, fresh_path(spark, "orders"))
+    analyze(spark, name)
+    stats = read_stats(spark, name)
+    return stats.select(_row_count())
+
+
+@query("SELECT o_orderpriority, count(*) AS row_count FROM orders GROUP BY o_orderpriority")
+def partition_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each partition of a written table, as its catalog statistics have them."""
+    name = _analyzed_orders(spark, sf_dir)
+    priorities = spark.table(name).select("o_orderpriority").distinct().collect()
+    counts = []
+    for (priority,) in priorities:  # one row per partition of the catalog
+        stats = read_stats(spark, name, partition=[f"o_orderpriority='{priority}'"])
+        counts.append(stats.select(F.lit(priority).alias("o_orderpriority"), _row_count()))
+    return reduce(DataFrame.unionByName, counts)
+
+
 @query("""
 SELECT 'o_orderkey' AS column_name, 'min' AS statistic, CAST(min(o_orderkey) AS VARCHAR) AS value
 FROM orders
