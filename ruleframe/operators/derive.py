@@ -6,6 +6,7 @@ import re
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -120,7 +121,7 @@ def _apply(
 ) -> tuple[DataFrame, bool]:
     found, running = GroupValues(), RunningValues()
     texts = [rule.expression for rule in rules]
-    total = level == 0 and _collapses(texts)
+    total = level == 0 and _collapses(df, texts)
     if windows == "join" and total:
         return _grand_total(df, rules), False
     if windows == "join":
@@ -158,7 +159,7 @@ def _grand_total(df: DataFrame, rules: list[Rule]) -> DataFrame:
     texts = [found.extract_totals(rule.expression) for rule in rules]
     values = found.by_keys().get((), {})
     modes = [value for value in values.values() if value.mode_input() is not None]
-    if not modes or _collapses(texts) or any(FILTERED.search(text) for text in texts):
+    if not modes or _aggregates(texts) or any(FILTERED.search(text) for text in texts):
         return df.select(*_columns(rules, [rule.expression for rule in rules]))
     (totals, _), *more = group_tables(df, (), values)
     for groups, names in more:
@@ -166,8 +167,22 @@ def _grand_total(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return totals.select(*_columns(rules, texts))
 
 
-def _collapses(texts: list[str]) -> bool:
-    """Whether a level 0 is a grand total, whose windows see its single row only."""
+def _collapses(df: DataFrame, texts: list[str]) -> bool:
+    """Whether a level 0 is a grand total, whose windows see its single row only.
+
+    The analyzer knows: next to a column of the source an aggregate would need a grouping.
+    """
+    if not df.columns:
+        return _aggregates(texts)
+    beside = [F.expr(expand_calls(text)) for text in texts]
+    try:
+        df.select(F.col(f"`{df.columns[0]}`") if len(set(df.columns)) == len(df.columns) else "*", *beside).schema
+    except AnalysisException as error:
+        return error.getCondition() in ("MISSING_GROUP_BY", "MISSING_AGGREGATION")
+    return False
+
+
+def _aggregates(texts: list[str]) -> bool:
     return any(calls_any(text, AGGREGATES | OTHER_AGGREGATES) for text in texts)
 
 

@@ -293,6 +293,14 @@ def test_windows_of_a_subquery_stay_there(spark):
     assert {r.m for r in derived.collect()} == {25}
 
 
+@pytest.mark.parametrize("call", ["approx_percentile(id, 0.5)", "percentile_cont(0.5) WITHIN GROUP (ORDER BY id)", "regr_count(id, id)"])
+def test_any_aggregate_makes_level_0_a_total(spark, call):
+    rules = [Rule(1, "a", "DOUBLE", 0, call), Rule(2, "n", "BIGINT", 0, "count(*) OVER ()")]
+    source = spark.range(10)
+    found = rows(derive(source, rules))
+    assert found == rows(derive(source, rules, windows="spark")) and len(found) == 1
+
+
 def test_other_windows_are_left_alone():
     for over in ("PARTITION BY k", "ORDER BY x ROWS BETWEEN 1 PRECEDING AND CURRENT ROW", "",
                  "PARTITION BY f(SELECT 1 ORDER BY 2) ORDER BY x", "PARTITION BY 'a' ORDER BY x",
