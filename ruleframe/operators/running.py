@@ -2,7 +2,9 @@
 
 ``sum(x) OVER (PARTITION BY k ORDER BY t)`` sorts all rows of a key in one task. Here the rows are
 cut into blocks along (keys, order) instead, so that a large key fills many blocks. Each block
-computes its own running values, and adds what the earlier blocks of its first key amount to.
+computes its own running values, and adds what the earlier blocks of its first key amount to. Rows of
+equal key and order may lie in several blocks: at most one such run crosses the border of two blocks, so
+what its parts amount to is a table of two rows per block at most.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ from ruleframe.session import stage
 
 RANKING = ("row_number", "rank", "dense_rank")
 NEIGHBOURS = ("lag", "lead")
-RUNNING = frozenset([*RANKING, *NEIGHBOURS, "count", "sum", "min", "max"])
+RUNNING = frozenset([*RANKING, *NEIGHBOURS, "count", "count_if", "sum", "min", "max"])
 
 ORDERED_WINDOW = re.compile(
     r"^\s*(?:PARTITION\s+BY\b(?P<keys>.*?))?\bORDER\s+BY\b(?P<orders>.*?)"
-    r"(?P<rows>\bROWS\s+(?:BETWEEN\s+UNBOUNDED\s+PRECEDING\s+AND\s+CURRENT\s+ROW"
+    r"(?:\b(?P<unit>ROWS|RANGE)\s+(?:BETWEEN\s+UNBOUNDED\s+PRECEDING\s+AND\s+CURRENT\s+ROW"
     r"|UNBOUNDED\s+PRECEDING)\s*)?$",
     re.I | re.S,
 )
@@ -36,28 +38,26 @@ ORDER_ITEM = re.compile(
 
 @dataclass(frozen=True)
 class OrderedWindow:
-    """PARTITION BY keys ORDER BY orders, up to the current row (``rows``) or its last equal."""
+    """PARTITION BY keys ORDER BY orders."""
 
     keys: tuple[str, ...]
     orders: tuple[str, ...]
-    rows: bool
 
 
 @dataclass(frozen=True)
 class RunningValue:
+    """A value of the rows up to the current one (``rows``) or to the last of equal order."""
+
     call: str
     args: str
+    rows: bool = False
 
     def local(self) -> Column:
         return F.expr(f"{self.call}({expand_calls(self.args)})")
 
-    def total(self, orders: Sequence[str]) -> Column:
-        """What a block adds to the values of the blocks after it."""
-        if self.call in ("row_number", "rank"):
-            return F.count("*")
-        if self.call == "dense_rank":
-            return F.count_distinct(F.struct(*orders))
-        return self.local()
+    def total(self) -> Column:
+        """What a block adds to the values of the blocks after it; dense ranks are not counted here."""
+        return F.count("*") if self.call in RANKING else self.local()
 
     def before(self, totals: Column) -> Column:
         return {"min": F.min, "max": F.max}.get(self.call, F.sum)(totals)
@@ -85,11 +85,9 @@ class RunningValues:
                 return None
             if name in NEIGHBOURS and neighbour_arguments(args) is None:
                 return None
-            if name == "row_number" or name in NEIGHBOURS:
-                window = OrderedWindow(window.keys, window.orders, True)
-            if name in ("rank", "dense_rank"):
-                window = OrderedWindow(window.keys, window.orders, False)
-            value = (window, RunningValue(name, args.strip()))
+            window, by_rows = window
+            by_rows = name not in ("rank", "dense_rank") and (by_rows or name in ("row_number", *NEIGHBOURS))
+            value = (window, RunningValue(name, args.strip(), by_rows))
             return self._names.setdefault(value, f"__running_value_{len(self._names)}")
 
         return replace_calls(text, one)
@@ -105,17 +103,16 @@ class RunningValues:
         return grouped
 
 
-def ordered_window(over: str) -> OrderedWindow | None:
-    """The window of an OVER text, or None if it is of another form."""
+def ordered_window(over: str) -> tuple[OrderedWindow, bool] | None:
+    """The window of an OVER text, and whether its frame is of rows; None if it is of another form."""
     match = ORDERED_WINDOW.match(over)
     if match is None:
         return None
     keys, orders = match["keys"] or "", match["orders"]
     if OTHER_WORDS.search(keys) or OTHER_WORDS.search(orders):
         return None
-    return OrderedWindow(
-        tuple(split_arguments(keys)), tuple(split_arguments(orders)), match["rows"] is not None
-    )
+    window = OrderedWindow(tuple(split_arguments(keys)), tuple(split_arguments(orders)))
+    return window, (match["unit"] or "").upper() == "ROWS"
 
 
 def neighbour_arguments(args: str) -> tuple[str, int, str] | None:
@@ -129,7 +126,8 @@ def cut_into_blocks(df: DataFrame, window: OrderedWindow, blocks: int = 0) -> Da
     """``df`` cut along (keys, order), written to the shared folder.
 
     Adds ``__block``, numbered along the order, and the columns ``__key_0``, ``__order_0``, ...
-    Rows of equal key and order share a block. Writing fixes the blocks for all later steps.
+    Rows of equal key and order follow each other by a hash of the row, which a repeated task finds
+    again, and may be cut apart. Writing fixes the blocks for all later steps.
     The number of blocks is ``blocks``, or what adaptive execution makes of the session's shuffle
     partitions if those are more.
     """
@@ -137,11 +135,8 @@ def cut_into_blocks(df: DataFrame, window: OrderedWindow, blocks: int = 0) -> Da
     helpers = {name: F.expr(key) for name, key in zip(keys, window.keys)}
     for i, item in enumerate(window.orders):
         helpers[f"__order_{i}"] = F.expr(ORDER_ITEM.match(item)["expr"])
-    if window.rows:
-        # Which of several rows of equal order comes first is open, so they need not stay in one
-        # block. A hash of the row decides, which a repeated task finds again.
-        hashed = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
-        helpers["__order_row"] = F.xxhash64(*hashed)
+    hashed = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
+    helpers["__order_row"] = F.xxhash64(*hashed)
     rows = df.select("*", *[col.alias(name) for name, col in helpers.items()])
     if blocks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         ranged = rows.repartitionByRange(blocks, *keys, *sorting)
@@ -171,39 +166,96 @@ def attach_running(
     if view is not None:
         rows = rows.alias(view)
     keys = _key_names(window)
-    inside = Window.partitionBy("__block", *keys).orderBy(*_sorting(window))
+    orders = [f"__order_{i}" for i in range(len(window.orders))]
+    by_order = Window.partitionBy("__block", *keys).orderBy(*_sorting(window)[:-1])
+    by_row = Window.partitionBy("__block", *keys).orderBy(*_sorting(window))
     running = {}
     for name, value in values.items():
-        framed = window.rows and value.call not in RANKING
-        frame = inside.rowsBetween(Window.unboundedPreceding, 0) if framed else inside
+        frame = by_order
+        if value.rows:
+            frame = by_row if value.call in RANKING else by_row.rowsBetween(Window.unboundedPreceding, 0)
         running[name] = value.local().over(frame)
     local = rows.select("*", *[value.alias(name) for name, value in running.items()])
 
-    orders = [f"__order_{i}" for i in range(len(window.orders))]
+    dense = {name for name, value in values.items() if value.call == "dense_rank"}
     totals = rows.groupBy("__block", *keys).agg(
-        *[value.total(orders).alias(name) for name, value in values.items()]
+        *[v.total().alias(n) for n, v in values.items()]
     )
+    runs = None
+    if not all(value.rows for value in values.values()):
+        runs = rows.groupBy(*keys, *orders).agg(
+            F.min("__block").alias("__block"), F.max("__block").alias("__last")
+        )
+    if dense:
+        # Every run counts once, in the block where it begins.
+        begun = runs.groupBy("__block", *keys).agg(F.count("*").alias("__begun"))
+        totals = _matched(totals, begun, ["__block", *keys], "__of")
+        totals = totals.withColumns({name: F.coalesce("__begun", F.lit(0)) for name in dense})
     earlier = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        F.col("__block").alias("__of_block"),
-        *[F.col(key).alias(f"__of{key}") for key in keys],
+        "__block", *keys,
         *[v.before(F.col(n)).over(earlier).alias(f"{n}_before") for n, v in values.items()],
         F.count("*").over(earlier).alias("__earlier"),
-    ).filter("__earlier > 0")
-    same = [F.col("__block") == F.col("__of_block")]
-    same += [F.col(key).eqNullSafe(F.col(f"__of{key}")) for key in keys]
+    ).filter("__earlier > 0").drop("__earlier")
     # Only the first key of a block can have begun in an earlier one: one row per block at most,
     # whatever the size of the data, which is safe to broadcast.
-    joined = local.join(F.broadcast(offsets), reduce(lambda a, b: a & b, same), "left")
+    joined = _matched(local, F.broadcast(offsets), ["__block", *keys], "__of")
+    if runs is not None:
+        parts = stage(_cut_runs(rows, runs, keys, orders, values), "runs")
+        joined = _matched(joined, F.broadcast(parts.drop("__goes_on")), ["__block", *keys, *orders], "__cut")
+        if dense:
+            # A run that began in an earlier block has been counted there.
+            goes_on = parts.filter("__goes_on").select("__block", *keys, "__goes_on")
+            joined = _matched(joined, F.broadcast(goes_on), ["__block", *keys], "__on")
+            twice = F.when(F.col("__goes_on"), F.lit(-1))
+            joined = joined.withColumns({f"{name}_rest": twice for name in dense})
     types, results = local.schema, []
     for name, value in values.items():
         # The type is that of Spark's own window, so that expressions around it give the same.
         result = value.combine(F.col(f"{name}_before"), F.col(name))
+        if not value.rows:
+            result = value.combine(F.col(f"{name}_rest"), result)
         results.append(result.cast(types[name].dataType).alias(name))
     kept = [F.col(f"`{name}`") for name in df.columns]
     return joined.select(*kept, *results)
 
 
+def _cut_runs(
+    rows: DataFrame,
+    runs: DataFrame,
+    keys: Sequence[str],
+    orders: Sequence[str],
+    values: Mapping[str, RunningValue],
+) -> DataFrame:
+    """What the other parts of a run of equal (key, order) add to its part in a block.
+
+    A value up to the last equal row takes the parts in later blocks as well, a rank does not
+    count those in earlier blocks. Each border of two blocks cuts one run at most.
+    """
+    cut = runs.filter("__block < __last").select(*keys, *orders)
+    parts = _matched(rows, F.broadcast(cut.withColumn("__is_cut", F.lit(True))), [*keys, *orders], "__run")
+    sums = [v.total().alias(n) for n, v in values.items() if not v.rows]
+    parts = parts.filter("__is_cut").groupBy("__block", *keys, *orders).agg(*sums)
+    of_run = Window.partitionBy(*keys, *orders).orderBy("__block")
+    earlier = of_run.rowsBetween(Window.unboundedPreceding, -1)
+    later = of_run.rowsBetween(1, Window.unboundedFollowing)
+    rest = {"__goes_on": F.count("*").over(earlier) > 0}
+    for name, value in values.items():
+        if value.call == "rank":
+            rest[f"{name}_rest"] = -F.sum(name).over(earlier)
+        elif not value.rows and value.call != "dense_rank":
+            rest[f"{name}_rest"] = value.before(F.col(name)).over(later)
+    return parts.select("__block", *keys, *orders, *[col.alias(name) for name, col in rest.items()])
+
+
+def _matched(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
+    """``left`` with the other columns of ``right``, found by equal ``names``, nulls included."""
+    other = right.withColumnsRenamed({name: f"{prefix}{name}" for name in names})
+    same = [F.col(name).eqNullSafe(F.col(f"{prefix}{name}")) for name in names]
+    joined = left.join(other, reduce(lambda a, b: a & b, same), "left")
+    return joined.drop(*[f"{prefix}{name}" for name in names])
+
+
 def _attach_neighbours(
     df: DataFrame,
     window: OrderedWindow,
@@ -217,7 +269,7 @@ def _attach_neighbours(
     Rows are numbered, and each finds its neighbour by key and number: an equi-join that spreads a
     large key evenly. The numbered rows are written, so that both sides agree on them.
     """
-    place = {"__place": RunningValue("row_number", "")}
+    place = {"__place": RunningValue("row_number", "", True)}
     placed = attach_running(df, window, {**place, **others}, view, blocks)
     if view is not None:
         placed = placed.alias(view)
@@ -266,4 +318,4 @@ def _sorting(window: OrderedWindow) -> list[Column]:
         nulls = (item["nulls"] or ("LAST" if descending else "FIRST")).lower()
         direction = f"{'desc' if descending else 'asc'}_nulls_{nulls}"
         orders.append(getattr(F.col(f"__order_{i}"), direction)())
-    return [*orders, F.col("__order_row")] if window.rows else orders
+    return [*orders, F.col("__order_row").asc()]

@@ -258,9 +258,9 @@ def test_blocks_cut_a_large_key(spark, ordered):
     rules = [Rule(1, "n", "BIGINT", 1, "sum(x) OVER (PARTITION BY ordered_view.k ORDER BY id)")]
     with session_settings(spark, MANY_BLOCKS):
         in_blocks = derive(ordered, rules, view="ordered_view")
-        blocks = cut_into_blocks(ordered, ordered_window("PARTITION BY k ORDER BY id"))
+        blocks = cut_into_blocks(ordered, ordered_window("PARTITION BY k ORDER BY id")[0])
         assert blocks.filter("k = -1").select("__block").distinct().count() > 2
-        finer = cut_into_blocks(ordered, ordered_window("ORDER BY id"), blocks=20)
+        finer = cut_into_blocks(ordered, ordered_window("ORDER BY id")[0], blocks=20)
         assert finer.select("__block").distinct().count() == 20
     text = plan(in_blocks)
     assert "__block" in text and "BroadcastHashJoin" in text
@@ -268,6 +268,28 @@ def test_blocks_cut_a_large_key(spark, ordered):
     assert rows(in_blocks) == rows(derive(ordered, rules, windows="spark", view="ordered_view"))
 
 
+def test_rows_of_equal_order_fill_many_blocks(spark, ordered):
+    """Three order values, some null, in twenty blocks of about equal size."""
+    few = ordered.withColumn("o", F.expr("nullif(id % 4, 3)"))
+    over = "OVER (PARTITION BY k ORDER BY o DESC"
+    rules = [
+        Rule(1, "rank", "INT", 1, f"rank() {over})"),
+        Rule(2, "dense", "INT", 1, f"dense_rank() {over})"),
+        Rule(3, "total", "BIGINT", 1, f"sum(x) {over} RANGE UNBOUNDED PRECEDING)"),
+        Rule(4, "low", "INT", 1, f"min(x) {over})"),
+        Rule(5, "n", "BIGINT", 1, f"count_if(x > 500) {over})"),
+        Rule(6, "all_dense", "INT", 1, "dense_rank() OVER (ORDER BY o)"),
+        Rule(7, "all_rank", "INT", 1, "rank() OVER (ORDER BY o)"),
+        Rule(8, "all_money", "DECIMAL(20,2)", 1, "sum(CAST(x AS DECIMAL(9,2))) OVER (ORDER BY o)"),
+    ]
+    with session_settings(spark, MANY_BLOCKS):
+        blocks = cut_into_blocks(few, ordered_window("ORDER BY o")[0], blocks=20)
+        sizes = [row["count"] for row in blocks.groupBy("__block").count().collect()]
+        assert len(sizes) == 20 and max(sizes) < 2 * 4000 / 20
+        found = derive(few, rules, blocks=20)
+        assert rows(found) == rows(derive(few, rules, windows="spark"))
+
+
 def test_row_number_of_equal_orders_is_a_numbering(spark, ordered):
     rules = [Rule(1, "i", "INT", 1, "row_number() OVER (PARTITION BY k ORDER BY 1)")]
     with session_settings(spark, MANY_BLOCKS):
@@ -304,10 +326,12 @@ def test_any_aggregate_makes_level_0_a_total(spark, call):
 def test_other_windows_are_left_alone():
     for over in ("PARTITION BY k", "ORDER BY x ROWS BETWEEN 1 PRECEDING AND CURRENT ROW", "",
                  "PARTITION BY f(SELECT 1 ORDER BY 2) ORDER BY x", "PARTITION BY 'a' ORDER BY x",
-                 "ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"):
+                 "ORDER BY x RANGE BETWEEN 1 PRECEDING AND CURRENT ROW"):
         assert ordered_window(over) is None, over
     window = ordered_window("partition by a, f(b, c) order by d desc, e rows unbounded preceding")
-    assert window == OrderedWindow(("a", "f(b, c)"), ("d desc", "e"), True)
+    assert window == (OrderedWindow(("a", "f(b, c)"), ("d desc", "e")), True)
+    ranged = ordered_window("ORDER BY x RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW")
+    assert ranged == (OrderedWindow((), ("x",)), False)
 
 
 def test_grand_total_counts_common_values_first(sales):
