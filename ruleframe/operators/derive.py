@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ruleframe.functions.calls import calls_any, expand_calls
 from ruleframe.functions.levels import level_number
-from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_tables
+from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_table
 from ruleframe.operators.running import RunningValues, attach_running
 from ruleframe.session import session_settings, stage
 
@@ -133,10 +133,8 @@ def _apply(
         df = _aliased(stage(df, "level"), view)
     source = df
     for keys, values in found.by_keys().items():
-        for groups, names in group_tables(source, keys, values):
-            if stage_groups:
-                groups = stage(groups, "groups")
-            df = attach_groups(df, keys, groups, names)
+        groups = group_table(source, keys, values)
+        df = attach_groups(df, keys, stage(groups, "groups") if stage_groups else groups, values)
     for window, values in running.by_window().items():
         df = _aliased(attach_running(df, window, values, view, blocks), view)
     columns = _columns(rules, texts)
@@ -161,10 +159,7 @@ def _grand_total(df: DataFrame, rules: list[Rule]) -> DataFrame:
     modes = [value for value in values.values() if value.mode_input() is not None]
     if not modes or _aggregates(texts) or any(FILTERED.search(text) for text in texts):
         return df.select(*_columns(rules, [rule.expression for rule in rules]))
-    (totals, _), *more = group_tables(df, (), values)
-    for groups, names in more:
-        totals = attach_groups(totals, (), groups, names)
-    return totals.select(*_columns(rules, texts))
+    return group_table(df, (), values).select(*_columns(rules, texts))
 
 
 def _collapses(df: DataFrame, texts: list[str]) -> bool:

@@ -114,7 +114,7 @@ class GroupValues:
             keys = partition_keys(over)
             if keys is None or calls_any(args, AGGREGATES, windowed=True):
                 return None
-            return self._name(GroupValue(keys, name, args))
+            return self._name(GroupValue(tuple(sorted(set(keys))), name, args))
 
         return replace_calls(text, one)
 
@@ -155,33 +155,32 @@ def partition_keys(over: str) -> tuple[str, ...] | None:
     return tuple(split_arguments(match["keys"]))
 
 
-def group_tables(
-    df: DataFrame, keys: Sequence[str], values: Mapping[str, GroupValue]
-) -> list[tuple[DataFrame, list[str]]]:
-    """Tables with one row per distinct ``keys``, and the names of the values in each.
+def group_table(df: DataFrame, keys: Sequence[str], values: Mapping[str, GroupValue]) -> DataFrame:
+    """A table with one row per distinct ``keys``: ``__key_0``, ... and the values.
 
-    The columns are ``__key_0``, ... and the values. One table holds all values, unless most common
-    values meet others that would spoil their hash aggregation.
+    One grouping gives all values, unless most common values meet others that would spoil their
+    hash aggregation; then two tables, one row per key each, are joined before they meet the rows.
     """
     key_names = [f"__key_{i}" for i in range(len(keys))]
     rows = df.select("*", *[F.expr(key).alias(name) for key, name in zip(keys, key_names)])
     modes = {name: v for name, v in values.items() if v.mode_input() is not None}
     others = {name: v for name, v in values.items() if name not in modes}
-    tables = []
-    if modes:
-        types = rows.agg(F.count("*"), *[v.column().alias(n) for n, v in others.items()]).schema
-        with_counts = {
-            name: types[name].dataType
-            for name, v in others.items()
-            if v.parts() is not None and isinstance(types[name].dataType, FIXED_WIDTH)
-        }
-        counted = _with_modes(rows, key_names, modes, values, with_counts)
-        tables.append((counted, [*modes, *with_counts]))
-        others = {name: v for name, v in others.items() if name not in with_counts}
-    if others:
-        plain = rows.groupBy(*key_names).agg(*[v.column().alias(n) for n, v in others.items()])
-        tables.append((plain, list(others)))
-    return tables
+    if not modes:
+        return rows.groupBy(*key_names).agg(*[v.column().alias(n) for n, v in others.items()])
+    types = rows.agg(F.count("*"), *[v.column().alias(n) for n, v in others.items()]).schema
+    with_counts = {
+        name: types[name].dataType
+        for name, v in others.items()
+        if v.parts() is not None and isinstance(types[name].dataType, FIXED_WIDTH)
+    }
+    counted = _with_modes(rows, key_names, modes, values, with_counts)
+    others = {name: v for name, v in others.items() if name not in with_counts}
+    if not others:
+        return counted
+    plain = rows.groupBy(*key_names).agg(*[v.column().alias(n) for n, v in others.items()])
+    own_names = {name: f"_{name}" for name in key_names}
+    both = attach_groups(counted.withColumnsRenamed(own_names), list(own_names.values()), plain, others)
+    return both.withColumnsRenamed({own: name for name, own in own_names.items()})
 
 
 def _with_modes(
@@ -255,6 +254,5 @@ def with_group_values(
     texts = {name: found.extract(f"{text} OVER ({over})") for name, text in values.items()}
     source = df
     for group_keys, group_values in found.by_keys().items():
-        for groups, names in group_tables(source, group_keys, group_values):
-            df = attach_groups(df, group_keys, groups, names)
+        df = attach_groups(df, group_keys, group_table(source, group_keys, group_values), group_values)
     return df.select("*", *[F.expr(t).alias(n) for n, t in texts.items()]).drop(*found.names)

@@ -169,7 +169,11 @@ def test_hot_key_is_split_by_the_join(spark):
         "id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.hash("id") % 5000).alias("k"),
         F.sha2(F.col("id").cast("string"), 512).alias("pad"),
     )
-    rules = [Rule(1, "n", "BIGINT", 1, "count(pad) OVER (PARTITION BY k)")]
+    rules = [
+        Rule(1, "n", "BIGINT", 1, "count(pad) OVER (PARTITION BY k)"),
+        Rule(2, "usual", "STRING", 1, "MostCommon(id % 3) OVER (PARTITION BY k)"),
+        Rule(3, "last", "STRING", 1, "max(pad) OVER (PARTITION BY k)"),
+    ]
     small = {
         "spark.sql.autoBroadcastJoinThreshold": -1,
         "spark.sql.adaptive.autoBroadcastJoinThreshold": -1,
