@@ -17,6 +17,8 @@ from ruleframe.operators.running import RunningValues, attach_running
 from ruleframe.session import session_settings, stage
 
 FILTERED = re.compile(r"\bFILTER\s*\(\s*WHERE\b", re.I)
+# A star that stands for all columns, as in struct(*) or v.*; count(*) needs none
+STAR = re.compile(r"(?<!\bcount)\s*[(]\s*\*|[,.]\s*\*")
 # Aggregates that are not taken apart
 OTHER_AGGREGATES = frozenset(
     "array_agg collect_list first first_value histogram_numeric last last_value listagg median "
@@ -58,6 +60,7 @@ def derive(
     view: str | None = None,
     windows: str = "join",
     stage_groups: bool = True,
+    stage_source: bool = False,
     blocks: int = 0,
     ansi: bool | None = None,
 ) -> DataFrame:
@@ -76,6 +79,9 @@ def derive(
     stage_groups: write each group table to the shared folder before it is joined, so that the
         planner knows its size and broadcasts a small one without shuffling the rows. Without it
         nothing is computed here, but the rows are shuffled before the size is known.
+    stage_source: write the rows to the shared folder before the first group values, so that a source
+        with joins or windows of its own is evaluated once. Without it every group table evaluates
+        the source again, which is the better plan for a bare scan.
     ansi: run the rule text with or without ANSI errors; by default as the session does. Without
         them a division by zero or a bad cast inside an expression is null.
     """
@@ -88,7 +94,7 @@ def derive(
     settings = {"spark.sql.lateralColumnAlias.enableImplicitResolution": "false"}
     if ansi is not None:
         settings["spark.sql.ansi.enabled"] = str(ansi).lower()
-    joined = False
+    joined = stage_source
     with session_settings(df.sparkSession, settings):
         df = _named(df, view)
         for level in dict.fromkeys(rule.level for rule in rules):
@@ -127,6 +133,8 @@ def _apply(
     if windows == "join":
         texts = [found.extract(text) for text in texts]
         texts = [running.extract(text) for text in texts]
+    if level == 0 and (running.names or joined and found.names):
+        df = _aliased(_needed(df, [rule.expression for rule in rules]), view)
     if joined and found.names:
         # The rows already hang on one join back. Grouping them again would compute everything
         # below once more per level, doubling the work each time; a written table is read instead.
@@ -151,6 +159,27 @@ def _columns(rules: list[Rule], texts: list[str]) -> list[Column]:
     ]
 
 
+def _needed(df: DataFrame, texts: list[str]) -> DataFrame:
+    """The columns whose names occur anywhere in level 0, before rows are written for running values.
+
+    Names that the source repeats go as well, since no rule can refer to them.
+    """
+    names = [name.lower() for name in df.columns]
+    once = df
+    if len(set(names)) < len(names):
+        once = df.toDF(*[
+            f"__repeated_{i}" if names.count(name.lower()) > 1 else name
+            for i, name in enumerate(df.columns)
+        ])
+    whole = " ".join(texts).lower()
+    every = STAR.search(whole)
+    kept = [
+        name for name in once.columns
+        if not name.startswith("__repeated_") and (every or "`" in name or name.lower() in whole)
+    ]
+    return once.select(*[F.col("`" + name.replace("`", "``") + "`") for name in kept or once.columns[:1]])
+
+
 def _grand_total(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """Level 0 with aggregates: one row. Most common values are counted before they meet."""
     found = GroupValues()

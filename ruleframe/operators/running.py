@@ -201,7 +201,8 @@ def attach_running(
     # whatever the size of the data, which is safe to broadcast.
     joined = _matched(local, F.broadcast(offsets), ["__block", *keys], "__of")
     if runs is not None:
-        parts = stage(_cut_runs(rows, runs, keys, orders, values), "runs")
+        parts = _cut_runs(rows, runs, keys, orders, values)
+        parts = stage(parts, "runs") if dense else parts  # read twice below
         joined = _matched(joined, F.broadcast(parts.drop("__goes_on")), ["__block", *keys, *orders], "__cut")
         if dense:
             # A run that began in an earlier block has been counted there.

@@ -1,4 +1,5 @@
 import re
+from pathlib import Path
 
 import pytest
 from conftest import SF, plan, rows
@@ -12,7 +13,7 @@ from ruleframe.operators.running import (
     cut_into_blocks,
     ordered_window,
 )
-from ruleframe.session import session_settings
+from ruleframe.session import session_settings, shared_folder
 from ruleframe.workloads.derivations import flagship
 
 
@@ -353,3 +354,20 @@ def test_grand_total_counts_common_values_first(sales):
     assert rows(derive(sales, apart)) == [(5, "a!", 65, 1, "ab")]
     with_filter = [*rules, Rule(5, "f", "BIGINT", 0, "count(*) FILTER (WHERE x > 5)")]
     assert rows(derive(sales, with_filter)) == [(5, "a!", 65, 1, 3)]
+
+
+def test_level_0_writes_needed_columns_only(spark, ordered):
+    """Names that the source repeats do no harm, and what no rule names is not written."""
+    twice = ordered.alias("a").join(ordered.select("id", "x").alias("b"), F.expr("a.id = b.id"))
+    source = twice.selectExpr("a.id", "b.id", "k", "o", "a.x AS wide", "b.x AS `Amount`")
+    rules = [
+        Rule(1, "k", "INT", 0, "k"),
+        Rule(2, "total", "BIGINT", 0, "sum(amount) OVER (PARTITION BY k ORDER BY o)"),
+        Rule(3, "n", "BIGINT", 0, "count(*) OVER (PARTITION BY k)"),
+    ]
+    folder = Path(shared_folder(spark)) / "ruleframe"
+    before = set(folder.glob("level-*"))
+    found = derive(source, rules, stage_source=True)
+    assert rows(found) == rows(derive(source, rules, windows="spark"))
+    (written,) = set(folder.glob("level-*")) - before
+    assert set(spark.read.parquet(str(written)).columns) == {"k", "o", "Amount"}
