@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ruleframe.functions.calls import calls_any, expand_calls
 from ruleframe.functions.levels import level_number
 from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_table
-from ruleframe.operators.running import RunningValues, attach_running
+from ruleframe.operators.running import RunningValues, attach_running, by_running_values
 from ruleframe.session import session_settings, stage
 
 FILTERED = re.compile(r"\bFILTER\s*\(\s*WHERE\b", re.I)
@@ -131,6 +131,7 @@ def _apply(
     if windows == "join" and total:
         return _grand_total(df, rules), False
     if windows == "join":
+        texts = [by_running_values(text, df) for text in texts]
         texts = [found.extract(text) for text in texts]
         texts = [running.extract(text) for text in texts]
     if level == 0 and (running.names or joined and found.names):

@@ -115,6 +115,40 @@ def ordered_window(over: str) -> tuple[OrderedWindow, bool] | None:
     return window, (match["unit"] or "").upper() == "ROWS"
 
 
+def by_running_values(text: str, df: DataFrame) -> str:
+    """``text`` with averages and relative ranks of ordered windows written by counts, sums and ranks.
+
+    Averages of decimals are left alone, since their rounding would change.
+    """
+
+    def one(name: str, args: str, over: str | None) -> str | None:
+        found = None if over is None else ordered_window(over)
+        if found is None:
+            return None
+        keys = f"PARTITION BY {', '.join(found[0].keys)}" if found[0].keys else ""
+        group = f"CAST(count(*) OVER ({keys}) AS DOUBLE)"
+        ordered = f"({keys} ORDER BY {', '.join(found[0].orders)})"
+        if name == "percent_rank":
+            return f"coalesce((rank() OVER {ordered} - 1) / nullif({group} - 1, 0D), 0D)"
+        if name == "cume_dist":
+            return f"(count(*) OVER {ordered} / {group})"
+        if name == "ntile" and re.fullmatch(r"\s*[1-9]\d*\s*", args):
+            place, rows = f"(row_number() OVER {ordered} - 1)", f"count(*) OVER ({keys})"
+            size, longer = f"({rows} div {args})", f"({rows} % {args})"
+            return (
+                f"CAST(CASE WHEN {place} < {longer} * ({size} + 1) THEN {place} div ({size} + 1) "
+                f"ELSE ({place} - {longer}) div nullif({size}, 0) END + 1 AS INT)"
+            )
+        if name in ("avg", "mean") and not re.match(r"\s*DISTINCT\b", args, re.I):
+            if df.select(F.expr(expand_calls(args))).dtypes[0][1].startswith(("decimal", "interval")):
+                return None
+            total = f"sum(CAST({args} AS DOUBLE)) OVER ({over})"
+            return f"({total} / nullif(count({args}) OVER ({over}), 0))"
+        return None
+
+    return replace_calls(text, one)
+
+
 def neighbour_arguments(args: str) -> tuple[str, int, str] | None:
     """Value, distance and default of a lag or lead; None if the distance is no plain number."""
     given = split_arguments(args)

@@ -300,3 +300,31 @@ def derive_running_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(running_total AS DOUBLE) AS running_total", "seen", "two_before", "next_type",
         "top_place",
     )
+
+
+@query("""
+SELECT event_id, percent_rank() OVER k AS share_before, cume_dist() OVER k AS share_up_to,
+       CAST(ntile(7) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS INTEGER) AS seventh,
+       avg(user_id) OVER k AS mean_user, CAST(count(*) FILTER (WHERE value > 50) OVER k AS BIGINT) AS dear,
+       min(value) OVER (ORDER BY user_id % 10 RANGE UNBOUNDED PRECEDING) AS low
+FROM events WINDOW k AS (PARTITION BY event_type ORDER BY user_id % 10)
+""")
+def derive_running_more(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relative ranks, averages and conditional counts, over few order values that repeat very often."""
+    over = "OVER (PARTITION BY event_type ORDER BY user_id % 10)"
+    rules = [
+        Rule(1, "event_id", "BIGINT", 0, "event_id"),
+        Rule(2, "share_before", "DOUBLE", 0, f"percent_rank() {over}"),
+        Rule(3, "share_up_to", "DOUBLE", 0, f"cume_dist() {over}"),
+        Rule(
+            4, "seventh", "INT", 0,
+            "ntile(7) OVER (PARTITION BY event_type ORDER BY ts, event_id)",
+        ),
+        Rule(5, "mean_user", "DOUBLE", 0, f"avg(user_id) {over}"),
+        Rule(6, "dear", "BIGINT", 0, f"count_if(value > 50) {over}"),
+        Rule(
+            7, "low", "DOUBLE", 0,
+            "min(value) OVER (ORDER BY user_id % 10 RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+        ),
+    ]
+    return derive(table(spark, sf_dir, "events"), rules)

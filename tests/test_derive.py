@@ -283,6 +283,11 @@ def test_rows_of_equal_order_fill_many_blocks(spark, ordered):
         Rule(3, "total", "BIGINT", 1, f"sum(x) {over} RANGE UNBOUNDED PRECEDING)"),
         Rule(4, "low", "INT", 1, f"min(x) {over})"),
         Rule(5, "n", "BIGINT", 1, f"count_if(x > 500) {over})"),
+        Rule(9, "share", "DOUBLE", 1, f"percent_rank() {over})"),
+        Rule(10, "up_to", "DOUBLE", 1, f"cume_dist() {over})"),
+        Rule(11, "tile", "INT", 1, "ntile(30) OVER (PARTITION BY k ORDER BY id)"),
+        Rule(12, "mean", "DOUBLE", 1, f"avg(x) {over})"),
+        Rule(13, "mean_money", "DECIMAL(20,6)", 1, f"avg(CAST(x AS DECIMAL(9,2))) {over})"),
         Rule(6, "all_dense", "INT", 1, "dense_rank() OVER (ORDER BY o)"),
         Rule(7, "all_rank", "INT", 1, "rank() OVER (ORDER BY o)"),
         Rule(8, "all_money", "DECIMAL(20,2)", 1, "sum(CAST(x AS DECIMAL(9,2))) OVER (ORDER BY o)"),
