@@ -21,6 +21,7 @@ from ruleframe.operators.groups import with_group_values
 from ruleframe.operators.references import check_references, expression_references
 from ruleframe.operators.stats import analyze, profile, read_stats
 from ruleframe.plans.jobs import run_aggregate, run_rules, run_sql, run_stats, run_steps
+from ruleframe.session import run_folder
 from ruleframe.sources.rules import (
     clean_rules,
     load_rules,
@@ -44,6 +45,6 @@ __all__ = [
     "derive", "drop_table", "duplicate_rows", "expand_calls", "expression_references",
     "load_rules", "most_common", "most_common_by", "number_rows", "profile", "project_level",
     "publish_rules", "read_back", "read_rules", "read_stats", "register_functions",
-    "report_lines", "run_aggregate", "run_rules", "run_sql", "run_stats", "run_steps",
+    "report_lines", "run_aggregate", "run_folder", "run_rules", "run_sql", "run_stats", "run_steps",
     "select_rules", "source_from_sql", "sql", "weighted_average", "with_group_values", "write_result",
 ]

@@ -16,7 +16,7 @@ from ruleframe.operators.checks import (
 )
 from ruleframe.operators.derive import derive
 from ruleframe.operators.stats import analyze
-from ruleframe.session import session_settings, stage
+from ruleframe.session import run_folder, session_settings, stage
 from ruleframe.sources.rules import (
     TIME_FORMAT,
     clean_rules,
@@ -57,8 +57,8 @@ def run_aggregate(
 
     Keys: sqlfile, viewname, tablename, location, and levels ("low,high"), rules (path or table
     of published rules) and rulestable (the TableName to select). Optional: numpartition (shuffle
-    width of this step, 0 keeps the session's), ansi, windows and partitionby. ``rules`` replaces
-    the published rules.
+    width of this step, 0 keeps the session's), ansi, windows, stagesource and partitionby. ``rules``
+    replaces the published rules. Intermediate tables are deleted after the write.
     """
     if rules is None:
         rules = load_published(spark, _value(step, "rules"))
@@ -69,16 +69,20 @@ def run_aggregate(
     settings = {}
     if int(step.get("numpartition", 0)) > 0:
         settings["spark.sql.shuffle.partitions"] = step["numpartition"]
-    with session_settings(spark, settings):
+    with session_settings(spark, settings), run_folder(spark):
         result = derive(
             source_from_sql(spark, step["sqlfile"]),
             rules,
             view=step.get("viewname"),
             windows=step.get("windows", "join"),
+            stage_source=step.get("stagesource", False),
             ansi=step.get("ansi"),
         )
         write_result(result, step["tablename"], step["location"], step.get("partitionby", ()))
-    return read_back(spark, step["location"])
+    stored = read_back(spark, step["location"])
+    if "viewname" in step:
+        stored.createOrReplaceTempView(step["viewname"])  # the derivation's tables are gone
+    return stored
 
 
 def load_published(spark: SparkSession, source: str) -> DataFrame:

@@ -6,10 +6,14 @@ import tempfile
 import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_RUN_FOLDER: ContextVar[str | None] = ContextVar("run_folder", default=None)
+
+
 @contextmanager
 def session_settings(spark: SparkSession, settings: Mapping[str, object]) -> Iterator[None]:
     """Set SQL settings for the duration of a block and restore the former values."""
@@ -43,9 +47,26 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+@contextmanager
+def run_folder(spark: SparkSession) -> Iterator[str]:
+    """Keep the intermediate tables of a block in one folder, which is deleted when the block ends.
+
+    A result that reads them has to be written, or used up, inside the block.
+    """
+    folder = fresh_path(spark, "run")
+    former = _RUN_FOLDER.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN_FOLDER.reset(former)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that nothing has been written to yet."""
-    return f"{shared_folder(spark).rstrip('/')}/ruleframe/{label}-{uuid.uuid4().hex}"
+    """A path in the folder of the run, or else below the shared one, that nothing was written to yet."""
+    folder = _RUN_FOLDER.get() or f"{shared_folder(spark).rstrip('/')}/ruleframe"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -53,7 +74,7 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
 
     Cuts the lineage the way a reliable checkpoint does, but stays columnar: later readers still
     prune columns, and the planner knows the real size when it chooses between broadcast and
-    shuffle. The files belong to the caller's checkpoint folder and are not removed here.
+    shuffle. The files stay in the caller's checkpoint folder, unless :func:`run_folder` holds them.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)

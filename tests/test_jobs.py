@@ -1,4 +1,5 @@
 import os
+from pathlib import Path
 
 import pytest
 from conftest import SF, rows
@@ -17,7 +18,7 @@ from ruleframe import (
     run_steps,
     write_result,
 )
-from ruleframe.session import fresh_path, session_settings, shared_folder, stage
+from ruleframe.session import fresh_path, run_folder, session_settings, shared_folder, stage
 from ruleframe.workloads.tables import stored_rules
 
 
@@ -145,7 +146,8 @@ def test_aggregate_step(spark, orders, table, tmp_path):
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
     assert result.columns == ["cust", "price", "total"]
     assert result.count() == orders.count() == spark.table(table).count()
-    assert spark.table("job_view").columns == result.columns
+    assert rows(spark.table("job_view")) == rows(result)
+    assert not list((Path(shared_folder(spark)) / "ruleframe").glob("run-*"))
 
 
 def test_steps_run_in_order(spark, tmp_path):
@@ -196,6 +198,14 @@ def test_shared_folder_and_stage(spark):
     assert staged.dtypes == df.dtypes and rows(staged) == [(1, None)]
 
 
+def test_a_run_folder_goes_with_its_block(spark):
+    with run_folder(spark) as folder:
+        assert stage(spark.range(3)).count() == 3
+        assert len(os.listdir(folder)) == 1
+    assert not os.path.exists(folder)
+    assert not fresh_path(spark, "x").startswith(folder)
+
+
 def test_settings_are_restored_after_errors(spark):
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
