@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterable, Sequence
 from typing import NamedTuple
 
@@ -10,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ruleframe.functions.calls import calls_any, expand_calls
+from ruleframe.functions.calls import calls_any, expand_calls, replace_calls
 from ruleframe.functions.levels import level_number
 from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_table
 from ruleframe.operators.running import RunningValues, attach_running, by_running_values
@@ -75,7 +76,8 @@ def derive(
         grouped aggregate joined back, running values are computed in blocks. "spark" leaves every
         window to Spark, which reads the source once and suits evenly spread keys.
     blocks: the least number of blocks in which "join" computes running values; 0 leaves it to the
-        session's shuffle partitions. Other ordered windows are always Spark's.
+        session's shuffle partitions. Other ordered windows are always Spark's, and a RuntimeWarning
+        names each.
     stage_groups: write each group table to the shared folder before it is joined, so that the
         planner knows its size and broadcasts a small one without shuffling the rows. Without it
         nothing is computed here, but the rows are shuffled before the size is known.
@@ -134,6 +136,8 @@ def _apply(
         texts = [by_running_values(text, df) for text in texts]
         texts = [found.extract(text) for text in texts]
         texts = [running.extract(text) for text in texts]
+        for rule, text in zip(rules, texts):
+            _warn_of_windows(rule, text)
     if level == 0 and (running.names or joined and found.names):
         df = _aliased(_needed(df, [rule.expression for rule in rules]), view)
     if joined and found.names:
@@ -160,6 +164,22 @@ def _columns(rules: list[Rule], texts: list[str]) -> list[Column]:
     ]
 
 
+def _warn_of_windows(rule: Rule, text: str) -> None:
+    """Name the windows that stay Spark's: all rows of a key, or of the table, meet in one task."""
+
+    def one(name: str, args: str, over: str | None) -> None:
+        if over is not None:
+            rows = "a key" if re.match(r"\s*PARTITION\b", over, re.I) else "the whole table"
+            warnings.warn(
+                f"rule {rule.seq_no}, column {rule.column}: {name} OVER ({over}) takes all rows of "
+                f"{rows} to one task",
+                RuntimeWarning,
+                stacklevel=2,
+            )
+
+    replace_calls(text, one)
+
+
 def _needed(df: DataFrame, texts: list[str]) -> DataFrame:
     """The columns whose names occur anywhere in level 0, before rows are written for running values.
 

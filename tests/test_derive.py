@@ -376,3 +376,16 @@ def test_level_0_writes_needed_columns_only(spark, ordered):
     assert rows(found) == rows(derive(source, rules, windows="spark"))
     (written,) = set(folder.glob("level-*")) - before
     assert set(spark.read.parquet(str(written)).columns) == {"k", "o", "Amount"}
+
+
+def test_windows_left_to_spark_are_named(sales):
+    rules = [
+        Rule(1, "a", "INT", 1, "sum(x) OVER (ORDER BY id ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)"),
+        Rule(2, "b", "INT", 1, "size(collect_list(x) OVER (PARTITION BY k))"),
+        Rule(3, "c", "INT", 1, "sum(x) OVER (PARTITION BY k ORDER BY id) + count(x) OVER ()"),
+    ]
+    with pytest.warns(RuntimeWarning) as told:
+        found = derive(sales, rules)
+    assert rows(found) == rows(derive(sales, rules, windows="spark"))
+    texts = [str(w.message) for w in told if w.category is RuntimeWarning and "rule " in str(w.message)]
+    assert [("column a" in t, "whole table" in t) for t in texts] == [(True, True), (False, False)]
