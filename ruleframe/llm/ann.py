@@ -41,14 +41,16 @@ class Tree:
                 children = self.centres[first : first + self.count[parent]]
                 node[rows] = first + _squares(vectors[rows], children).argmin(axis=1)
 
-    def best_bins(self, vector: np.ndarray, visits: int) -> list[int]:
+    def best_bins(self, vector: np.ndarray, visits: int, sizes: np.ndarray | None = None, least: int = 0) -> list[int]:
         """The first ``visits`` leaves of a best-bin-first traversal: the open node whose centre is nearest
-        comes next, whatever branch it is on."""
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < visits:
+        comes next, whatever branch it is on. With the ``sizes`` of the leaves it goes on until those
+        found hold ``least`` members."""
+        queue, found, held = [(0.0, 0)], [], 0
+        while queue and (len(found) < visits or (sizes is not None and held < least)):
             _, node = heapq.heappop(queue)
             if not self.count[node]:
                 found.append(int(self.leaf[node]))
+                held += 0 if sizes is None else int(sizes[found[-1]])
                 continue
             first = int(self.first[node])
             distances = _squares(vector[None], self.centres[first : first + self.count[node]])[0]
@@ -124,7 +126,8 @@ def nearest(
     The tree is fitted on at most ``sample`` vectors, those with the smallest hash of their id; every
     vector is then put into its leaf. For ``trials`` queries (again by hash) the exact neighbours are
     found against all vectors, and the number of leaves to visit is widened until ``recall`` of them are
-    met; if the leaves do not give it, all are visited. Distances are Euclidean, in double precision on
+    met; if the leaves do not give it, all are visited. A query whose leaves hold fewer than ``k`` others
+    visits more, so that every query gets ``k`` if there are as many. Distances are Euclidean, in double precision on
     the vectors given; ties go to the smaller id. Fewer than ``k`` candidates give them all; no queries or
     no vectors give no rows. Vectors that are equal are kept with their k + 1 smallest ids only, since
     no answer can hold more of them. A leaf is searched in tiles of at most about ``tile`` members by
@@ -151,11 +154,15 @@ def nearest(
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [shared.value.best_bins(v, visits) for v in _arrays(batch.column(1), dim)] if batch.num_rows else []
+            rows = [shared.value.best_bins(v, visits, sizes.value, k + 1) for v in _arrays(batch.column(1), dim)] if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(rows, pa.list_(pa.int64()))], ["id", "v", "leaves"])
 
     kind, asked_kind = (d.schema["id"].dataType.simpleString() for d in (kept, asked))
     members = stage(kept.select("id", "v").mapInArrow(place, f"id {kind}, v array<double>, leaf long"), "leaves")
+    filled = members.groupBy("leaf").count().collect()  # at most one row for each leaf of the tree
+    sizes = np.zeros(tree.leaves, np.int64)
+    sizes[[r["leaf"] for r in filled]] = [r["count"] for r in filled]
+    sizes = spark.sparkContext.broadcast(sizes)
     seeking = asked.select("id", "v").mapInArrow(visit, f"id {asked_kind}, v array<double>, leaves array<long>")
     seeking = stage(seeking.select("id", "v", F.explode("leaves").alias("leaf")), "visits")
     # How many tiles a leaf needs on either side; two small tables of one row per leaf.

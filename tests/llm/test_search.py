@@ -140,11 +140,22 @@ def test_few_or_no_vectors(spark):
     assert ann.nearest(three, three.limit(0)).count() == 0
 
 
+def test_queries_of_small_leaves_get_k(spark):
+    random = np.random.default_rng(6)
+    rows = [(i, random.normal(size=4).astype(np.float32).tolist()) for i in range(200)]
+    table = ann.usable_vectors(vectors(spark, rows))
+    found = ann.nearest(table, table.where("id < 20"), recall=0.1, leaf_size=4, branch=4).groupBy("query").count().collect()
+    assert len(found) == 20 and {r["count"] for r in found} == {10}
+
+
 def test_best_bins_reach_every_leaf():
     random = np.random.default_rng(1)
     tree = ann.fit_tree(random.normal(size=(500, 4)), branch=4, leaf_size=20)
     assert sorted(tree.best_bins(random.normal(size=4), tree.leaves)) == list(range(tree.leaves))
     assert tree.best_bins(np.zeros(4), 3) == tree.best_bins(np.zeros(4), 10)[:3]
+    sizes = np.arange(tree.leaves) % 3
+    found = tree.best_bins(np.zeros(4), 1, sizes, 12)
+    assert sizes[found].sum() >= 12 > sizes[found[:-1]].sum() and found == tree.best_bins(np.zeros(4), len(found))
 
 
 # --- language model -------------------------------------------------------------------------------
