@@ -17,7 +17,7 @@ _START, _DAYS, _SIDE = datetime.date(1900, 1, 1).toordinal(), 73049, 271  # fixe
 
 _PATTERN = re.compile(
     r"(?<![\w.@+-])(?:"
-    r"(?P<email>[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?!\w)"
+    r"(?P<email>(?<!%)[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?!\w)"
     r"|(?P<iban>[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?!\w)"
     r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\w|\.[0-9])"
     r"|(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?!\w|[./-][0-9])"
@@ -163,9 +163,6 @@ def _date(value: str, f: Feistel, back: bool) -> str | None:
             return None
         return number if 0 <= number < _DAYS else None
 
-    def short(x: int, width: int, other: int) -> bool:
-        return width == 2 or x < 10 or other == 2
-
     day_first = sign == "." or a > 12
     number = day_of(a, b, c) if sign == "-" else day_of(c, *((b, a) if day_first else (a, b)))
     if number is None or (sign == "." and a > 31):
@@ -216,7 +213,7 @@ def pseudonymise_documents(
     Validated values are e-mail addresses (the local part changes), IBANs and cards with a right check
     digit, IPv4 addresses, dates from 1900 to 2099, US social security and ten-digit telephone numbers.
     Each is mapped by a keyed permutation of its own format, so equal values stay equal in all documents
-    however they are written, check digits stay right, and ``back`` with the same key restores the text.
+    whatever blanks or signs part their digits (a date is linked to others of its notation), check digits stay right, and ``back`` with the same key restores the text.
     A value that fails its check is text and stays. Null stays null, an empty text empty; nothing is
     shuffled; a column called ``name`` is replaced; all other columns and rows pass unchanged.
     """
