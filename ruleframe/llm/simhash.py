@@ -19,6 +19,8 @@ from ruleframe.session import stage
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 #: A bucket with more fingerprints is dealt out again by more bits.
 BUCKET = 512
+#: Comparisons of a fingerprint with a block that are held in memory at a time.
+ITEMS = 1 << 18
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -151,15 +153,22 @@ def bucket_links(prints: np.ndarray, bucket: np.ndarray, radius: int) -> tuple[n
     for b in range(64):
         bits = ((prints >> np.uint64(b)) & np.uint64(1)) << lane.astype(np.uint64)
         planes[b] = np.bitwise_or.reduceat(bits, starts)
-    # Every row meets every block of its bucket.
+    # Every row meets every block of its bucket, some rows at a time.
     times = np.repeat(blocks, size)
-    row = np.repeat(np.arange(count), times)
     start_block = np.repeat(np.cumsum(blocks) - blocks, size)
-    block = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(start_block, times)
-    item, members = within(prints, row, block, planes, block_size, radius)
-    hit = np.unpackbits(members.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-    at, bit = np.nonzero(hit)
-    a, b = row[item[at]], block_first[block[item[at]]] + bit
+    met = np.cumsum(times)
+    found, at = [], 0
+    while at < count:
+        to = max(at + 1, int(np.searchsorted(met, (met[at - 1] if at else 0) + ITEMS, "right")))
+        some = times[at:to]
+        row = np.repeat(np.arange(at, to), some)
+        block = np.arange(len(row)) - np.repeat(np.cumsum(some) - some, some) + np.repeat(start_block[at:to], some)
+        item, members = within(prints, row, block, planes, block_size, radius)
+        hit = np.unpackbits(members.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+        which, bit = np.nonzero(hit)
+        found.append((row[item[which]], block_first[block[item[which]]] + bit))
+        at = to
+    a, b = (np.concatenate(x) for x in zip(*found))
     # Rows of a bucket are sorted, so the smallest row number is the smallest fingerprint.
     label = np.arange(count)
     while True:

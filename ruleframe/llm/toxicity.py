@@ -100,7 +100,7 @@ class ToxicityModel:
         for last, (size, weight) in self.automaton().iter(f" {' '.join(words)} "):
             (hits if weight else excused).append((last - size + 1, last, weight))
         if excused:
-            hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in excused)]
+            hits = _outside(hits, excused)
         total = sum(h[2] for h in hits)
         return math.log1p(total), math.log1p(100 * total / len(words))
 
@@ -110,6 +110,19 @@ class ToxicityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, a + b * x + c * y))))
 
 
+def _outside(hits: list[tuple], phrases: list[tuple]) -> list[tuple]:
+    """The hits that lie in no phrase. Both are in order of their ends; from the back, the earliest start
+    of the phrases that end at a hit's end or later tells whether one of them covers it."""
+    kept, start, i = [], math.inf, len(phrases) - 1
+    for hit in reversed(hits):
+        while i >= 0 and phrases[i][1] >= hit[1]:
+            start = min(start, phrases[i][0])
+            i -= 1
+        if hit[0] < start:
+            kept.append(hit)
+    return kept[::-1]
+
+
 def _sketch(words: list[str]) -> int:
     """Nearly equal texts mostly share it: the smallest word hash under each of three seeds."""
     return hash(tuple(min(xxhash.xxh32_intdigest(w, seed) for w in words) for seed in (1, 2, 3)))

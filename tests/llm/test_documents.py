@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import numpy as np
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -74,6 +75,20 @@ def brute_components(ids, prints, radius=3):
     return [least.get(root(i)) for i in range(len(ids))]
 
 
+@pytest.mark.parametrize("items", [1, 7, 1 << 18])
+def test_buckets_are_compared_in_parts(monkeypatch, items):
+    rng = np.random.default_rng(4)
+    prints = np.unique(rng.integers(0, 1 << 12, 300).astype(np.uint64))
+    bucket = np.zeros(len(prints), np.int64)
+    bucket[len(prints) // 3 :] = 1
+    monkeypatch.setattr(simhash, "ITEMS", items)
+    a, b = simhash.bucket_links(prints, bucket, 2)
+    found = {p: p for p in prints.tolist()} | dict(zip(a.tolist(), b.tolist()))
+    for number in (0, 1):
+        own = prints[bucket == number].tolist()
+        assert [found[p] for p in own] == brute_components(own, own, 2)
+
+
 @pytest.mark.parametrize("bucket", [2, 512])
 def test_links_are_exact_whatever_the_bucket_size(spark, bucket):
     import random
@@ -331,6 +346,19 @@ def test_exceptions_and_length():
     assert model.score("") == model.score(None) < long < short
 
 
+def test_hits_in_phrases_are_left_out():
+    import random
+
+    rng = random.Random(5)
+    for _ in range(300):
+        hits, phrases = (
+            sorted(((a, a + rng.randrange(5), 1.0) for a in rng.choices(range(30), k=rng.randrange(8))), key=lambda x: x[1])
+            for _ in range(2)
+        )
+        expected = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in phrases)]
+        assert toxicity._outside(hits, phrases) == expected
+
+
 def test_scores_on_held_out_documents(spark):
     import random
 
