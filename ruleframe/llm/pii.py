@@ -15,17 +15,30 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 ROUNDS = 10
 _START, _DAYS, _SIDE = datetime.date(1900, 1, 1).toordinal(), 73049, 271  # fixed values: 1900 to 2099
 
-_PATTERN = re.compile(
-    r"(?<![\w.@+-])(?:"
-    r"(?P<email>(?<!%)[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?!\w)"
-    r"|(?P<iban>[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?)(?!\w)"
-    r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3})(?!\w|\.[0-9])"
-    r"|(?P<date>[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?!\w|[./-][0-9])"
-    r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4})(?!\w|-[0-9])"
-    r"|(?P<card>[0-9](?:[\x20-]?[0-9]){12,18})(?!\w|-[0-9])"
-    r")"
-    r"|(?<![\w.@])(?P<phone>(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4})(?!\w|[.-][0-9])"
-)
+_BEFORE = r"(?<![\w.@+-])"
+_SHAPES = {
+    "email": _BEFORE + r"(?:(?<!%)[\w.%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,})(?!\w)",
+    "iban": _BEFORE + r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?!\w)",
+    "ip": _BEFORE + r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\w|\.[0-9])",
+    "date": _BEFORE + r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}(?=[Tt][0-9]{2})"
+    r"|(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?!\w|[./-][0-9]))",
+    "ssn": _BEFORE + r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?!\w|-[0-9])",
+    "phone": r"(?<![\w.@])(?:\+[0-9]{1,3}[\x20.-]?)?(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?!\w|[.-][0-9])",
+    "card": _BEFORE + r"[0-9](?:[\x20-]?[0-9]){12,18}(?!\w|-[0-9])",
+}
+_PATTERN = re.compile("|".join(_SHAPES.values()))
+#: The shapes to try where something matches, in this order; for cards and IBANs one for each length. Blanks
+#: in threes and fours are a telephone number's, so what follows one does not make it a card.
+_TRIED = [
+    (kind, re.compile(shape))
+    for kind, whole in _SHAPES.items()
+    for shape in {
+        "iban": [_BEFORE + rf"[A-Z]{{2}}[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{(n - 4) // 4}}}" + (rf"\x20?[A-Z0-9]{{{n % 4}}}" if n % 4 else "") + r"(?!\w)" for n in range(34, 14, -1)],
+        "card": [_BEFORE + rf"[0-9](?:[\x20-]?[0-9]){{{n - 1}}}(?!\w|-[0-9])" for n in range(19, 12, -1)],
+    }.get(kind, [whole])
+]
+#: What no value holds: it parts a text into pieces that are read alike alone and together.
+_APART = re.compile(r"([^\w.%+@\x20()/-]|(?<=[a-z])\x20|\x20(?=[a-z]))")
 _HINT = re.compile(r"@|[0-9][\x20./()-]*[0-9]")
 
 
@@ -114,8 +127,12 @@ def _card(value: str, f: Feistel, back: bool) -> str | None:
     digits = [int(c) for c in value if c.isdigit()]
     if luhn(digits[:-1]) != digits[-1]:
         return None
-    new = f.digits(digits[:-1], [10] * (len(digits) - 1), f"card|{len(digits)}", back)
-    return _refill(value, "".join(map(str, [*new, luhn(new)])))
+    new = digits
+    while True:  # what digits behind it would make a longer card stays too, so that it is found again
+        new = f.digits(new[:-1], [10] * (len(digits) - 1), f"card|{len(digits)}", back)
+        new.append(luhn(new))
+        if luhn(new) == luhn(digits):
+            return _refill(value, "".join(map(str, new)))
 
 
 def _phone(value: str, f: Feistel, back: bool) -> str:
@@ -188,21 +205,54 @@ def _date(value: str, f: Feistel, back: bool) -> str | None:
 _KINDS = {"email": _email, "iban": _iban, "ip": _ip, "date": _date, "ssn": _ssn, "card": _card, "phone": _phone}
 
 
+def _values(text: str, feistel: Feistel, back: bool) -> list[tuple[int, int, str, str]]:
+    """(start, end, kind, new value) of the validated values. Where a shape matches, all kinds and lengths
+    are tried; if none is valid, the search goes on one character further."""
+    found, at = [], 0
+    while match := _PATTERN.search(text, at):
+        at = match.start() + 1
+        for kind, shape in _TRIED:
+            part = shape.match(text, match.start())
+            new = _KINDS[kind](part[0], feistel, back) if part else None
+            if new is not None:
+                at = part.end()
+                found.append((part.start(), at, kind, new))
+                break
+    return found
+
+
+def _replaced(text: str, found: list[tuple[int, int, str, str]]) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with the new values, and where they stand in it."""
+    out, places, at, moved = [], [], 0, 0
+    for start, end, kind, new in found:
+        out += [text[at:start], new]
+        places.append((start + moved, start + moved + len(new), kind))
+        at, moved = end, moved + len(new) - (end - start)
+    return "".join([*out, text[at:]]), places
+
+
+def _walked(text: str, feistel: Feistel, back: bool) -> str:
+    """The values permuted together until they are found where they stand, so that the way back finds them."""
+    step = _values(text, feistel, back)
+    while step:
+        text, places = _replaced(text, step)
+        if [x[:3] for x in _values(text, feistel, back)] == places:
+            break
+        step = [(*place, _KINDS[place[2]](text[place[0] : place[1]], feistel, back)) for place in places]
+    return text
+
+
 def pseudonymise(text: str, feistel: Feistel, back: bool = False) -> tuple[str, int]:
     """The text with every validated value permuted, and how many there were."""
     if not _HINT.search(text):
         return text, 0
-    count = 0
-
-    def replace(match: re.Match) -> str:
-        nonlocal count
-        new = _KINDS[match.lastgroup](match[0], feistel, back)
-        if new is None:
-            return match[0]
-        count += 1
-        return new
-
-    return _PATTERN.sub(replace, text), count
+    found = _values(text, feistel, back)
+    if not found:
+        return text, 0
+    new, places = _replaced(text, found)
+    if [x[:3] for x in _values(new, feistel, back)] != places:
+        new = "".join(_walked(x, feistel, back) if i % 2 == 0 else x for i, x in enumerate(_APART.split(text)))
+    return new, len(found)
 
 
 def pseudonymise_documents(
@@ -214,7 +264,9 @@ def pseudonymise_documents(
     digit, IPv4 addresses, dates from 1900 to 2099, US social security and ten-digit telephone numbers.
     Each is mapped by a keyed permutation of its own format, so equal values stay equal in all documents
     whatever blanks or signs part their digits (a date is linked to others of its notation), check digits stay right, and ``back`` with the same key restores the text.
-    A value that fails its check is text and stays. Null stays null, an empty text empty; nothing is
+    A value that fails its check is text and stays, but valid ones inside it are found: shorter ones, other
+    kinds at its place and those that start later. If a pseudonym makes such a neighbour valid by chance, the
+    values around it are permuted again, and are then not linked to equal ones elsewhere. Null stays null, an empty text empty; nothing is
     shuffled; a column called ``name`` is replaced; all other columns and rows pass unchanged.
     """
     schema = StructType(
