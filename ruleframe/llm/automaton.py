@@ -8,84 +8,73 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ruleframe.llm.words import LOWER, SPACED, buffers, hashes, pieces, spans
+from ruleframe.llm.words import LOWER, SPACED, buffers, hashes, mix, pieces, signed, spans
 from ruleframe.session import fresh_path, stage
 
 #: The hash of the token that ends every text.
 END = np.uint64(0x656E64)
 #: Tokens of a chunk: texts that share one dictionary and are scored together.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Bits of a place in a chunk's dictionary, below the chunk's number in one long.
 PLACE = 27
 
 
+#: Histories of at least this share of all training tokens are dealt out with the words that follow them.
+HOT = 2e-4
+
+
 @dataclass(frozen=True)
-class Automaton:
-    """States are histories of kept n-grams, 0 is the empty one.
-
-    ``arcs[state * width + word]`` is (next state, log10 probability) for the words seen after a history;
-    ``fail[state]`` is the history without its first word and ``cost[state]`` the log10 weight of the
-    arc to it; ``escape[state]`` sums these down to state 0. At state 0 every word has its unigram
-    probability, and ``after[word]`` is the state that follows. ``words`` holds the hashes of the words
-    that occur in kept n-grams, sorted.
-    """
+class Unigrams:
+    """The empty history: counts of all training texts."""
 
-    words: np.ndarray
-    arcs: dict[int, tuple[int, float]]
-    fail: list[int]
-    cost: list[float]
-    escape: list[float]
-    after: list[int]
-    start: int
     tokens: int
     distinct: int
     discount: float
 
-    def unigrams(self, counts: np.ndarray) -> np.ndarray:
-        """log10 probabilities by absolute discounting; what it takes off goes to unseen words."""
+    def chances(self, counts: np.ndarray) -> np.ndarray:
+        """Probabilities by absolute discounting; what it takes off goes to unseen words."""
         if not self.tokens:
-            return np.zeros(len(counts))
+            return np.ones(len(counts))
         unseen = self.discount * self.distinct / self.tokens
-        return np.log10(np.where(counts > 0, (counts - self.discount) / self.tokens, unseen))
-
-    def traverse(self, tokens: list[int], known: list[int], unigram: list[float]) -> float:
-        """One pass from left to right. ``tokens`` index ``known`` (place in ``words``, or -1) and
-        ``unigram``."""
-        arcs, fail, cost, escape, after, width = self.arcs, self.fail, self.cost, self.escape, self.after, len(self.words)
-        state, total = self.start, 0.0
-        for token in tokens:
-            word = known[token]
-            if word < 0:
-                total += escape[state] + unigram[token]
-                state = 0
-                continue
-            while state:
-                arc = arcs.get(state * width + word)
-                if arc is not None:
-                    state = arc[0]
-                    total += arc[1]
-                    break
-                total += cost[state]
-                state = fail[state]
-            else:
-                total += unigram[token]
-                state = after[word]
-        return total
-
-
-def _planes(tokens: np.ndarray) -> bytes:
+        return np.where(counts > 0, (counts - self.discount) / self.tokens, unseen)
+
+
+@dataclass(frozen=True)
+class Level:
+    """How the n-grams of ``size`` words are dealt out. ``hot`` holds the frequent histories, sorted, and
+    ``sums`` what follows them: all, kept, and kinds kept."""
+
+    size: int
+    buckets: int
+    hot: np.ndarray
+    sums: np.ndarray
+
+
+def _planes(numbers: np.ndarray, kind: str = "<i4") -> bytes:
     """First the lowest bytes of all numbers, then the next: high bytes are nearly all zero and compress."""
-    return tokens.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    numbers = np.ascontiguousarray(numbers, kind)
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
 
 
 def _tokens(planes: pa.Scalar) -> np.ndarray:
     return np.frombuffer(planes.as_buffer(), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
 
 
+def _packed(planes: bytes) -> bytes:
+    return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
+
+
+def _unpacked(body: pa.Scalar, kind: str) -> np.ndarray:
+    body = memoryview(body.as_buffer())
+    planes = np.frombuffer(pa.decompress(body[8:], int.from_bytes(body[:8], "little"), "zstd"), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return planes.T.copy().view(kind).ravel()
+
+
 def _write(rows: DataFrame) -> DataFrame:
     """Chunks in the shared folder, in small row groups: each row holds megabytes."""
     path, schema = fresh_path(rows.sparkSession, "chunks"), rows.schema
@@ -162,152 +151,181 @@ def _word_rows(parts: DataFrame) -> DataFrame:
     return parts.select("chunk", "vocabulary", "learned").mapInArrow(run, "word long, at long, n long")
 
 
-def _histories(token: np.ndarray, sizes: np.ndarray, known: np.ndarray, end: int, levels: list[np.ndarray]) -> np.ndarray:
-    """For each token the place of its history among the longest kept n-grams, or -1. The history of the
-    first token is the end of a text before."""
-    word = known[token]
-    first = np.zeros(len(token), bool)
-    first[np.cumsum(sizes) - sizes] = True
-    before = np.where(first, end, np.roll(word, 1))
-    history = before
-    for keys in levels:  # (history without its last word) * width + last word
-        older = np.where(first, -1, np.roll(history, 1))
-        history = _find(keys, older, before, len(known))
-    return history
-
-
-def _find(keys: np.ndarray, history: np.ndarray, word: np.ndarray, _: int) -> np.ndarray:
-    width = keys[0]
-    table = keys[1:]
-    key = history * width + word
-    at = np.searchsorted(table, key)
-    at[at == len(table)] = 0
-    good = (history >= 0) & (word >= 0)
-    return np.where(good & (table[at] == key), at, -1) if len(table) else np.full(len(word), -1)
-
-
-def fit_automaton(parts: DataFrame, counts: DataFrame, *, order: int, share: float, discount: float) -> Automaton:
-    """Count n-grams over all training texts and make those kept into an automaton.
-
-    An n-gram is kept if it makes up at least ``share`` of all training tokens and occurs twice. So
-    there are at most 1 / share of each length, at any size of the corpus, and the automaton can be
-    sent to every task. A kept n-gram's parts are kept too, so each length is counted from the one below.
+def _longer(history: np.ndarray, tag: np.ndarray) -> np.ndarray:
+    """The hash of a history and the word behind it."""
+    return mix(history * np.uint64(0xD6E8FEB86659FD93) + tag)
+
+
+def _places(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The place of each value, or -1."""
+    if not len(sorted_values):
+        return np.full(len(values), -1, np.int64)
+    at = np.searchsorted(sorted_values, values)
+    at[at == len(sorted_values)] = 0
+    return np.where(sorted_values[at] == values, at, -1)
+
+
+def _states(words: np.ndarray, sizes: np.ndarray, level: Level):
+    """The n-grams of a chunk of texts. Of each different one history, tag (40 bits of the last word's hash)
+    and bucket, sorted by bucket, history and tag; then the tokens that end one, and which."""
+    firsts = np.cumsum(sizes) - sizes
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    sequence = np.insert(words, firsts, END)  # before its first token a text has the end of one before
+    tags = mix(sequence) >> np.uint64(24)
+    at = np.flatnonzero(np.arange(len(words)) - firsts[text] + 2 >= level.size)
+    place = at + text[at] + 1
+    history = sequence[place - level.size + 1]
+    for back in range(level.size - 2, 0, -1):
+        history = _longer(history, tags[place - back])
+    tag = tags[place]
+    grams, one, which = np.unique(_longer(history, tag), return_index=True, return_inverse=True)
+    history, tag = history[one], tag[one]
+    spread = np.where(_places(level.hot, history) >= 0, grams, mix(history ^ np.uint64(level.size)))
+    bucket = (spread % np.uint64(level.buckets)).astype(np.int64)
+    order = np.lexsort((tag, history, bucket))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return history[order], tag[order], bucket[order], at, rank[which]
+
+
+def _requests(parts: DataFrame, level: Level) -> DataFrame:
+    """(bucket, chunk, history, tag, n): the different n-grams of each chunk, packed by bucket, with their
+    counts in training texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                train, sizes, vocabulary = (
+                    np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in enumerate((bool, np.int64, np.uint64), 1)
+                )
+                history, tag, bucket, at, which = _states(vocabulary[_tokens(batch.column(4)[i])], sizes, level)
+                n = np.bincount(which[np.repeat(train, sizes)[at]], minlength=len(history))
+                numbers, firsts = np.unique(bucket, return_index=True)
+                ends = np.append(firsts[1:], len(bucket))
+                rows = [
+                    (_packed(_planes(np.diff(history[a:b], prepend=np.uint64(0)), "<u8")), tag[a:b].view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes(), _packed(_planes(n[a:b])))
+                    for a, b in zip(firsts, ends)
+                ]
+                columns = [pa.array(numbers), pa.array(np.full(len(numbers), batch.column(0)[i].as_py()))]
+                columns += [pa.array([r[c] for r in rows], pa.binary()) for c in range(3)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "history", "tag", "n"])
+
+    return parts.select("chunk", "train", "sizes", "vocabulary", "tokens").mapInArrow(
+        run, "bucket long, chunk long, history binary, tag binary, n binary"
+    )
+
+
+def _counted(requests: DataFrame, level: Level, least: int, frequent: int) -> DataFrame:
+    """The sums over all chunks. For each request a row with four numbers of each n-gram, packed: its count,
+    0 if below ``least``, and what follows its history: all, kept, and kinds kept. These are in rows of
+    their own for hot histories, which are in many buckets; n-grams of ``frequent`` occurrences are
+    named as the hot histories of the next level."""
+    hot = level.hot
+
+    def count(rows: pa.Table) -> pa.Table:
+        packed = [[_unpacked(x, kind) for x in rows[c].combine_chunks()] for c, kind in (("history", "<u8"), ("n", "<i4"))]
+        sizes = [len(x) for x in packed[1]]
+        history = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in packed[0]])
+        n = np.concatenate(packed[1]).astype(np.int64)
+        tag = np.zeros((len(n), 8), np.uint8)
+        first = 0
+        for x, size in zip(rows["tag"].combine_chunks(), sizes):
+            tag[first : first + size, :5] = np.frombuffer(x.as_buffer(), np.uint8).reshape(5, -1).T
+            first += size
+        tag = tag.view("<u8").ravel()
+        order = np.lexsort((tag, history))
+        h, t = history[order], tag[order]
+        other = np.append(True, h[1:] != h[:-1])
+        fresh = np.append(True, (h[1:] != h[:-1]) | (t[1:] != t[:-1]))
+        gram, owner = np.cumsum(fresh) - 1, np.cumsum(other)[fresh] - 1
+        total = np.add.reduceat(n[order], np.flatnonzero(fresh))
+        c = np.where(total >= least, total, 0)
+        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
+        sums = np.stack([np.add.reduceat(x, starts) for x in (total, c, (c > 0).astype(np.int64))])
+        names = h[other]
+        is_hot = _places(hot, names) >= 0
+        shown = np.where(is_hot, 0, sums)[:, owner]
+        answer = np.empty((4, len(n)), np.int64)
+        answer[:, order] = np.concatenate([c[None], shown])[:, gram]
+        large = np.flatnonzero(total >= frequent)
+        further = _longer(h[fresh][large], t[fresh][large])
+        ends = np.cumsum(sizes)
+        bodies = [_packed(_planes(answer[:, b - s : b].ravel(), "<i8")) for s, b in zip(sizes, ends)]
+        k, m, f = len(bodies), int(is_hot.sum()), len(large)
+        return pa.table({
+            "chunk": pa.chunked_array([rows["chunk"].combine_chunks(), pa.nulls(m + f, pa.int64())]),
+            "bucket": pa.array(np.full(k + m + f, rows["bucket"][0].as_py())),
+            "body": pa.array(bodies + [None] * (m + f), pa.binary()),
+            "hot": pa.array(np.concatenate([np.zeros(k, bool), np.ones(m, bool), np.zeros(f, bool)])),
+            "name": pa.array(np.concatenate([np.zeros(k, np.int64), signed(names[is_hot]), signed(further)])),
+            **{x: pa.array(np.concatenate([np.zeros(k, np.int64), sums[i][is_hot], np.zeros(f, np.int64)])) for i, x in enumerate(("every", "kept", "kinds"))},
+        })
+
+    return requests.groupBy("bucket").applyInArrow(
+        count, "chunk long, bucket long, body binary, hot boolean, name long, every long, kept long, kinds long"
+    )
+
+
+def fit_levels(parts: DataFrame, counts: DataFrame, *, order: int, share: float) -> tuple[Unigrams, list[Level], list[DataFrame]]:
+    """Count n-grams over all training texts and bring each chunk the numbers of its own.
+
+    An n-gram is kept if it occurs twice and makes up at least ``share`` of all training tokens. Only
+    frequent histories, at most 1 / HOT of each length, go through the driver.
     """
-    totals = counts.agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
-    ).first()
-    tokens, distinct, once, twice = (int(x) for x in totals)
-    least = max(2, math.ceil(share * tokens))
-    heads = counts.where(F.col("c") >= least).select("word", "c").toArrow()  # at most 1 / share rows
-    hashed = heads["word"].to_numpy().view(np.uint64)
-    rank = np.argsort(hashed)
-    words, seen = hashed[rank], heads["c"].to_numpy()[rank].astype(np.int64)
-    width = max(len(words), 1)
-    end = int(np.searchsorted(words, END))
-    end = end if end < len(words) and words[end] == END else -1
+    tokens, distinct, once, twice = (
+        int(x)
+        for x in counts.agg(
+            F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
+        ).first()
+    )
+    least, frequent = max(2, math.ceil(share * tokens)), max(2, math.ceil(HOT * tokens))
     spark = parts.sparkSession
-    levels: list[np.ndarray] = []
-    kept: list[tuple[np.ndarray, np.ndarray]] = []
-    for _ in range(2, order + 1):
-        model = spark.sparkContext.broadcast((words, end, list(levels)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            words, end, levels = model.value
-            for batch in batches:
-                for i in range(batch.num_rows):
-                    train, sizes, vocabulary = (
-                        np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in enumerate((bool, np.int64, np.uint64))
-                    )
-                    token = _tokens(batch.column(3)[i])
-                    known = _places(words, vocabulary)
-                    history = _histories(token, sizes, known, end, levels)
-                    word = known[token]
-                    good = np.repeat(train, sizes) & (history >= 0) & (word >= 0)
-                    keys, n = np.unique(history[good] * max(len(words), 1) + word[good], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int64)), pa.array(n.astype(np.int64))], ["gram", "n"])
-
-        grams = parts.select("train", "sizes", "vocabulary", "tokens").mapInArrow(run, "gram long, n long")
-        table = grams.groupBy("gram").agg(F.sum("n").alias("n")).where(F.col("n") >= least).orderBy("gram").toArrow()
-        keys, n = table["gram"].to_numpy().astype(np.int64), table["n"].to_numpy().astype(np.int64)
-        kept.append((keys, n))
-        levels.append(np.concatenate(([width], keys)))
-    return _assemble(words, seen, end, kept, tokens, distinct, once / (once + 2 * twice) if once and twice else 0.5, discount)
-
-
-def _places(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    if not len(words):
-        return np.full(len(vocabulary), -1, np.int64)
-    at = np.searchsorted(words, vocabulary)
-    at[at == len(words)] = 0
-    return np.where(words[at] == vocabulary, at, -1)
-
-
-def _assemble(words, seen, end, kept, tokens, distinct, first_discount, discount) -> Automaton:
-    """Interpolated absolute discounting: p(w | h) = (c(hw) - d) / c(h) + weight(h) * p(w | shorter h)."""
-    width = max(len(words), 1)
-    base = Automaton(words, {}, [0], [0.0], [0.0], [], 0, tokens, distinct, first_discount)
-    unigram = 10 ** base.unigrams(seen)
-    # Level 1 histories are words; level m histories are kept n-grams of m words.
-    counts = [seen] + [n for _, n in kept]
-    last = [np.arange(len(words))] + [k % width for k, _ in kept]
-    older = [None] + [k // width for k, _ in kept]
-    # The same n-gram without its first word, as a place one level below.
-    shorter: list[np.ndarray] = [np.zeros(len(words), np.int64)]
-    for m, (keys, _) in enumerate(kept):
-        if m == 0:
-            shorter.append(last[1])
-        else:
-            key = shorter[m][older[m + 1]] * width + last[m + 1]
-            below = kept[m - 1][0]
-            at = np.minimum(np.searchsorted(below, key), max(len(below) - 1, 0))
-            shorter.append(np.where(below[at] == key, at, -1) if len(below) else np.full(len(key), -1))
-    state_of: list[np.ndarray] = []
-    fail, cost, escape = [0], [0.0], [0.0]
-    chance = [unigram]
-    for m, (keys, n) in enumerate(kept):
-        history = older[m + 1]
-        total = counts[m].astype(float)
-        mass = np.bincount(history, weights=n - discount, minlength=len(total)) / np.maximum(total, 1)
-        weight = np.maximum(1 - mass, 1e-12)
-        lower = np.where(shorter[m + 1] >= 0, chance[m][shorter[m + 1]] if len(chance[m]) else 0.0, 0.0)
-        chance.append((n - discount) / total[history] + weight[history] * lower)
-        used = np.unique(history)
-        ids = np.full(len(total), 0, np.int64)
-        ids[used] = len(fail) + np.arange(len(used))
-        state_of.append(ids)
-        for place in used.tolist():
-            down = int(state_of[m - 1][shorter[m][place]]) if m and shorter[m][place] >= 0 else 0
-            fail.append(down)
-            cost.append(math.log10(weight[place]))
-            escape.append(cost[-1] + escape[down])
-    # What follows an n-gram: the longest of its ends that is a history.
-    follow: list[np.ndarray] = []
-    for m in range(len(kept) + 1):
-        own = state_of[m].copy() if m < len(state_of) else np.zeros(len(last[m]), np.int64)
-        if m:
-            down = np.where(shorter[m] >= 0, follow[m - 1][np.maximum(shorter[m], 0)] if len(follow[m - 1]) else 0, 0)
-            own = np.where(own > 0, own, down)
-        follow.append(own)
-    arcs = {}
-    for m, (keys, _) in enumerate(kept):
-        source = state_of[m][older[m + 1]]
-        for s, w, t, p in zip(source.tolist(), last[m + 1].tolist(), follow[m + 1].tolist(), np.log10(chance[m + 1]).tolist()):
-            arcs[s * width + w] = (t, p)
-    after = follow[0].tolist() if len(words) else []
-    start = int(state_of[0][end]) if state_of and end >= 0 else 0
-    return Automaton(words, arcs, fail, cost, escape, after, start, tokens, distinct, first_discount)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count())
+    hot = counts.where(F.col("c") >= frequent).select(F.col("word").alias("name"))
+    levels, answers = [], []
+    for size in range(2, order + 1):
+        names = np.sort(hot.toArrow()["name"].to_numpy().astype(np.int64).view(np.uint64))
+        level = Level(size, buckets, names, np.zeros((len(names), 3), np.int64))
+        found = _write(_counted(_requests(parts, level), level, least, frequent if size < order else tokens + 1))
+        sums = found.where("hot").groupBy("name").agg(*(F.sum(x) for x in ("every", "kept", "kinds"))).toArrow()
+        level.sums[_places(names, sums["name"].to_numpy().astype(np.int64).view(np.uint64))] = np.stack([x.to_numpy() for x in sums.columns[1:]], axis=1)
+        levels.append(level)
+        answers.append(found.where("chunk IS NOT NULL").select("chunk", F.lit(size).alias("size"), "bucket", "body"))
+        hot = found.where("chunk IS NULL AND NOT hot").select("name")
+        spark._jvm.System.gc()  # the driver's: Spark deletes the shuffled requests of this level, which may be large
+    return Unigrams(tokens, distinct, once / (once + 2 * twice) if once and twice else 0.5), levels, answers
+
+
+def _walk(words: np.ndarray, sizes: np.ndarray, chance: np.ndarray, levels: list[Level], answers: list[list[pa.Scalar]], discount: float) -> np.ndarray:
+    """The probability of each token. A token's states are its last words, so all texts go through the
+    automaton at once, from the empty history up: p(w | h) = (c(hw) - d) / c(h) + weight(h) * p(w | shorter h),
+    where the weight is that of the arc to the shorter history, 1 if nothing kept follows h."""
+    chance = chance.copy()
+    for level, bodies in zip(levels, answers):
+        history, _, _, at, which = _states(words, sizes, level)
+        if not len(at):
+            continue
+        n, every, kept, kinds = np.concatenate([_unpacked(x, "<i8").reshape(4, -1) for x in bodies], axis=1)
+        if len(level.hot):
+            place = _places(level.hot, history)
+            every, kept, kinds = np.where(place >= 0, level.sums[place].T, [every, kept, kinds])
+        every = np.maximum(every, 1)
+        own = np.where(n > 0, n - discount, 0) / every
+        weight = np.where(kinds > 0, np.maximum(1 - (kept - discount * kinds) / every, 1e-12), 1.0)
+        chance[at] = own[which] + weight[which] * chance[at]
+    return chance
 
 
 def score_texts(
-    docs: DataFrame, train: Column, *, id: str = "doc_id", text: str = "text", order: int = 3, share: float = 1e-5,
+    docs: DataFrame, train: Column, *, id: str = "doc_id", text: str = "text", order: int = 3, share: float = 0.0,
     discount: float = 0.75, chunk: int = CHUNK,
 ) -> DataFrame:
     """(id, train, n_tokens, n_known, train_tokens, base_score, score) of each document.
 
     Tokens are words between ASCII white space, A-Z lower-cased, and one end per text. Word counts of
     all training texts, however rare, are gathered by an aggregate and go back to each chunk of texts
-    for its own dictionary; n-grams that make up a ``share`` of the corpus become the automaton's
-    states. ``base_score`` is the add-one unigram score in log10; ``score`` is the automaton's: p(w | h)
+    for its own dictionary; so do the counts of all n-grams that occur twice (and make up a ``share`` of the
+    corpus, if one is asked for), as states and arcs of an automaton for each chunk. ``base_score`` is the add-one unigram score in log10; ``score`` is the automaton's: p(w | h)
     by interpolated absolute discounting, arcs of weight to shorter histories where a word was not seen,
     and at the empty history a discounted unigram that leaves unseen words, as one, the discounts. It is a
     distribution over the known words and one unknown word. Null and empty texts are an end alone; a null
@@ -318,30 +336,33 @@ def score_texts(
     parts = _write(chunks(rows, chunk))
     words = _word_rows(parts)
     counts = stage(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    automaton = fit_automaton(parts, counts, order=order, share=share, discount=discount)
-    shared = docs.sparkSession.sparkContext.broadcast(automaton)
+    unigrams, levels, answers = fit_levels(parts, counts, order=order, share=share)
+    shared = docs.sparkSession.sparkContext.broadcast((unigrams, levels))
     back = words.select("word", "at").join(counts, "word").select(
         F.shiftright("at", PLACE).alias("chunk"), F.col("at").bitwiseAND((1 << PLACE) - 1).cast("int").alias("place"), "c"
     )
+    for answer in answers:
+        back = back.unionByName(answer, allowMissingColumns=True)
     kind = docs.schema[id].dataType.simpleString()
     names = ["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        model = shared.value
+        model, levels = shared.value
         row = {c: left[c][0] for c in left.column_names}
         train, sizes, vocabulary = (
             np.frombuffer(row[c].as_buffer(), t) for c, t in (("train", bool), ("sizes", np.int64), ("vocabulary", np.uint64))
         )
         token = _tokens(row["tokens"])
         c = np.zeros(len(vocabulary), np.int64)
-        c[right["place"].to_numpy()] = right["c"].to_numpy()
+        counted = right.filter(pc.is_valid(right["place"]))
+        c[counted["place"].to_numpy()] = counted["c"].to_numpy()
+        bodies = [right.filter(pc.equal(right["size"], x.size)).sort_by("bucket")["body"] for x in levels] 
         firsts = np.cumsum(sizes) - sizes
         base = np.log10((c + 1) / (model.tokens + model.distinct + 1))
-        known, unigram = _places(model.words, vocabulary).tolist(), model.unigrams(c).tolist()
-        scores = [model.traverse(token[a : a + n].tolist(), known, unigram) for a, n in zip(firsts.tolist(), sizes.tolist())]
+        chance = _walk(vocabulary[token], sizes, model.chances(c)[token], levels, bodies, discount)
         return pa.table([
             row["ids"].values, pa.array(train), pa.array(sizes), pa.array(np.add.reduceat((c > 0)[token].astype(np.int64), firsts)),
-            pa.array(np.full(len(sizes), model.tokens, np.int64)), pa.array(np.add.reduceat(base[token], firsts)), pa.array(scores, pa.float64()),
+            pa.array(np.full(len(sizes), model.tokens, np.int64)), pa.array(np.add.reduceat(base[token], firsts)), pa.array(np.add.reduceat(np.log10(chance), firsts)),
         ], names)
 
     texts = parts.select("chunk", "ids", "train", "sizes", "tokens", "vocabulary")

@@ -226,6 +226,24 @@ def test_scores_against_brute_force(spark, order, chunk):
         assert r.base_score == pytest.approx(base) and r.score == pytest.approx(score)
 
 
+@pytest.mark.parametrize("hot", [0.05, 1.0])
+def test_scores_whatever_histories_are_hot(spark, monkeypatch, hot):
+    monkeypatch.setattr(automaton, "HOT", hot)
+    rng = random.Random(6)
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.8)) % 50}" for _ in range(30)), i % 7 != 2) for i in range(60)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t, _ in rows], DOCS)
+    got = {r.id: r.score for r in automaton.score_texts(docs, F.col("doc_id") % 7 != 2, chunk=300).collect()}
+    assert got == {i: pytest.approx(x[-1]) for i, x in brute_model(rows, 3, 0, 0.75).items()}
+
+
+def test_pairs_that_occur_twice_count_in_a_large_corpus(spark):
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(4_000)) for _ in range(60)]  # of 240,000, 2 are less than 1e-5
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate([*texts, *["rare pair"] * 2, "w1 rare pair", "w1 pair rare"])], DOCS)
+    got = {r.id: r.score for r in automaton.score_texts(docs, F.col("doc_id") < 62).collect()}
+    assert got[62] > got[63] + 1
+
+
 def test_scores_without_training_or_texts(spark):
     docs = spark.createDataFrame([(1, "a b", "s"), (None, None, None)], DOCS)
     found = automaton.score_texts(docs, F.lit(False)).collect()
