@@ -291,6 +291,19 @@ def test_passages_are_found_and_nothing_else(spark):
     assert [(r.id, r.start, r.end, r.passage) for r in found if r.id > 7] == [(8, 0, 200, 8), (13, 0, 200, 8)]
 
 
+def test_parts_of_a_passage_that_stand_elsewhere_too():
+    rng = np.random.default_rng(4)
+    draw = lambda n: rng.integers(0, 1 << 16, n).astype(np.uint16)
+    x, y, z = draw(30), draw(30), draw(30)
+    for lead in ([draw(20), x, draw(40), x, y, draw(9)], [draw(20), x, y[:12], draw(40), y, z, draw(9)]):
+        text = np.concatenate([draw(15), x, y, z, draw(9)])
+        lead = np.concatenate(lead)
+        c, d = (15, 75) if len(lead) == 159 else (45, 105)
+        for one, two, side in ((text, lead, 0), (lead, text, 2)):
+            found = {p[side : side + 2] for p in passages.shared_passages(one, two, 50, 0.8)}
+            assert any(a <= c and d <= b for a, b in found)
+
+
 def test_passages_of_no_documents(spark):
     assert passages.repeated_passages(spark.createDataFrame([], DOCS)).count() == 0
     two = spark.createDataFrame([(None, "w%d " * 60 % tuple(range(60)), "s")] * 2, DOCS)
