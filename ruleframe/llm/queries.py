@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ruleframe.llm import ann, automaton, mixing, passages, pii, secrets, simhash, toxicity, warc, winnowing
+from ruleframe.llm import (
+    ann, automaton, importance, mixing, passages, pii, secrets, simhash, toxicity, warc, whitening, winnowing,
+)
 from ruleframe.session import fresh_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -175,3 +177,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").alias("doc_id"), F.col("start").alias("start_word"), F.col("end").alias("end_word"),
         F.col("passage").alias("class_id"), F.col("documents").alias("n_documents"),
     )
+
+
+@_query("op12_importance_resampling", r"""
+WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(lower_ascii(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all(lower_ascii(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+df AS (SELECT row_no, unnest(flatten([[array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)] FOR k IN [1, 2, 3]])) AS x FROM d),
+bf AS (SELECT unnest(flatten([[array_to_string(w[i:i + k - 1], ' ') FOR i IN range(1, len(w) - k + 2)] FOR k IN [1, 2, 3]])) AS x FROM b),
+dn AS (SELECT row_no, x, count(*) AS n FROM df GROUP BY row_no, x),
+f AS (SELECT DISTINCT x FROM (SELECT x FROM dn UNION ALL SELECT x FROM bf)),
+bytes AS (SELECT x, hex(encode(x)) AS h FROM f),
+steps AS (SELECT x, flatten([[CAST('0x' || substr(h, i, 2) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] FOR i IN range(1, len(h), 2)]) AS s FROM bytes),
+k AS (SELECT x, xor(list_reduce(list_prepend(4294967295::BIGINT, s), lambda a, v: CASE WHEN v >= 0 THEN xor(a, v) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) % 10000 AS bucket FROM steps),
+s AS (SELECT bucket, sum(n) AS s FROM dn JOIN k USING (x) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM bf JOIN k USING (x) GROUP BY bucket),
+total AS (SELECT coalesce((SELECT sum(s) FROM s), 0)::DOUBLE AS all_s, coalesce((SELECT sum(t) FROM t), 0)::DOUBLE AS all_t),
+gains AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0)::DOUBLE + 1) * (all_s + 10000) / ((coalesce(s, 0)::DOUBLE + 1) * (all_t + 10000)))) AS BIGINT) AS gain
+  FROM (SELECT unnest(range(10000)) AS bucket) LEFT JOIN s USING (bucket) LEFT JOIN t USING (bucket), total),
+weights AS (SELECT row_no, sum(n) AS n_features, sum(n * gain) AS weight FROM dn JOIN k USING (x) JOIN gains USING (bucket) GROUP BY row_no),
+scored AS (SELECT row_no, doc_id, len(w) >= 20 AS eligible, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT)::DOUBLE + 0.5) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN weights USING (row_no)),
+ranked AS (SELECT *, row_number() OVER (ORDER BY coalesce(eligible, false) DESC, score DESC, doc_id NULLS LAST) AS number, count(*) FILTER (eligible) OVER () AS n FROM scored)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight, CAST(score AS BIGINT) AS score,
+  CASE WHEN number <= 5 * n // 100 THEN CAST(number AS BIGINT) END AS rank FROM ranked
+""".replace("lower_ascii(text)", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"))
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return importance.importance_resample(documents, benchmark).withColumnRenamed("id", "doc_id")
+
+
+@_query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
