@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleframe.llm import (
-    ann, automaton, importance, mixing, passages, pii, secrets, simhash, toxicity, warc, whitening, winnowing,
+    ann, automaton, importance, mixing, passages, pii, quality, secrets, simhash, toxicity, warc, whitening, winnowing,
 )
 from ruleframe.session import fresh_path
 
@@ -179,6 +179,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query("op11_quality_rules")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.quality_report(_table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), *quality.COUNTS, "base_failed", "kept", "lang", "log_perplexity", "low", "high")
+
+
 @_query("op12_importance_resampling", r"""
 WITH d AS (SELECT row_number() OVER () AS row_no, doc_id, regexp_extract_all(lower_ascii(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 b AS (SELECT regexp_extract_all(lower_ascii(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
