@@ -15,7 +15,7 @@ COMMENT_EDGE = re.compile(r"/\*|\*/")
 Replace = Callable[[str, str, "str | None"], "str | None"]
 
 
-def _skip(text: str, at: int) -> int:
+def skip_quoted(text: str, at: int) -> int:
     """The end of the literal, quoted name or comment that starts at ``at``; else ``at``."""
     char = text[at]
     if char in "'\"":
@@ -39,11 +39,11 @@ def _skip(text: str, at: int) -> int:
     return at
 
 
-def _closing(text: str, opening: int) -> int | None:
+def closing_bracket(text: str, opening: int) -> int | None:
     """The bracket that closes the one at ``opening``, at any depth; None if there is none."""
     depth, at = 0, opening
     while at < len(text):
-        end = _skip(text, at)
+        end = skip_quoted(text, at)
         if end > at:
             at = end
             continue
@@ -58,7 +58,7 @@ def _is_subquery(inside: str) -> bool:
     at = 0
     while at < len(inside):
         at = BLANK.match(inside, at).end()
-        end = _skip(inside, at) if inside[at : at + 2] in ("--", "/*") else at
+        end = skip_quoted(inside, at) if inside[at : at + 2] in ("--", "/*") else at
         if end == at:
             return SUBQUERY.match(inside, at) is not None
         at = end
@@ -78,7 +78,7 @@ def replace_calls(text: str, replace: Replace, subqueries: bool = False) -> str:
         return inside if _is_subquery(inside) and not subqueries else replace_calls(inside, replace, subqueries)
 
     while at < len(text):
-        end = _skip(text, at)
+        end = skip_quoted(text, at)
         if end > at:
             out.append(text[at:end])
             at = end
@@ -89,7 +89,7 @@ def replace_calls(text: str, replace: Replace, subqueries: bool = False) -> str:
             at += 1
             continue
         opening = BLANK.match(text, word.end()).end() if word else at
-        closing = _closing(text, opening) if text[opening : opening + 1] == "(" else None
+        closing = closing_bracket(text, opening) if text[opening : opening + 1] == "(" else None
         if closing is None:
             end = word.end() if word else at + 1
             out.append(text[at:end])
@@ -99,7 +99,7 @@ def replace_calls(text: str, replace: Replace, subqueries: bool = False) -> str:
         called = word is not None and NAME.fullmatch(word[0]) and (at == 0 or text[at - 1] not in ".`")
         if called:
             window = OVER.match(text, end)
-            last = _closing(text, window.end()) if window else None
+            last = closing_bracket(text, window.end()) if window else None
             if last is not None:
                 over, end = text[window.end() + 1 : last], last + 1
             new = replace(word[0].lower(), args, over)
@@ -116,7 +116,7 @@ def split_arguments(args: str) -> list[str]:
     """The arguments of a call, split at its outermost commas."""
     parts, first, depth, at = [], 0, 0, 0
     while at < len(args):
-        end = _skip(args, at)
+        end = skip_quoted(args, at)
         if end > at:
             at = end
             continue

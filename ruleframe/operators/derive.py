@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 
 from ruleframe.functions.calls import calls_any, expand_calls, replace_calls
 from ruleframe.functions.levels import level_number
+from ruleframe.operators.distinct import RunningDistincts, attach_running_distinct
 from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_table
 from ruleframe.operators.running import RunningValues, attach_running, by_running_values
+from ruleframe.operators.sliding import SlidingValues, attach_sliding, by_sliding_sums
 from ruleframe.session import session_settings, stage
 
 FILTERED = re.compile(r"\bFILTER\s*\(\s*WHERE\b", re.I)
@@ -73,7 +75,7 @@ def derive(
 
     view: name under which rule text may refer to the relation; the view is registered per level.
     windows: "join" keeps a large key from landing in one task: whole-group windows become a
-        grouped aggregate joined back, running values are computed in blocks. "spark" leaves every
+        grouped aggregate joined back, running values and sliding frames are computed in blocks. "spark" leaves every
         window to Spark, which reads the source once and suits evenly spread keys.
     blocks: the least number of blocks in which "join" computes running values; 0 leaves it to the
         session's shuffle partitions. Other ordered windows are always Spark's, and a RuntimeWarning
@@ -127,18 +129,20 @@ def _apply(
     blocks: int,
     joined: bool,
 ) -> tuple[DataFrame, bool]:
-    found, running = GroupValues(), RunningValues()
-    texts = [rule.expression for rule in rules]
+    found, running, sliding = GroupValues(), RunningValues(), SlidingValues()
+    distinct = RunningDistincts()
+    texts = [distinct.extract(rule.expression) for rule in rules]
     total = level == 0 and _collapses(df, texts)
     if windows == "join" and total:
         return _grand_total(df, rules), False
     if windows == "join":
-        texts = [by_running_values(text, df) for text in texts]
+        texts = [by_sliding_sums(by_running_values(text, df), df) for text in texts]
         texts = [found.extract(text) for text in texts]
-        texts = [running.extract(text) for text in texts]
+        texts = [sliding.extract(running.extract(text)) for text in texts]
         for rule, text in zip(rules, texts):
             _warn_of_windows(rule, text)
-    if level == 0 and (running.names or joined and found.names):
+    in_blocks = [*running.names, *sliding.names, *distinct.names]
+    if level == 0 and (in_blocks or joined and found.names):
         df = _aliased(_needed(df, [rule.expression for rule in rules]), view)
     if joined and found.names:
         # The rows already hang on one join back. Grouping them again would compute everything
@@ -150,11 +154,15 @@ def _apply(
         df = attach_groups(df, keys, stage(groups, "groups") if stage_groups else groups, values)
     for window, values in running.by_window().items():
         df = _aliased(attach_running(df, window, values, view, blocks), view)
+    for (window, frame), values in sliding.by_frame().items():
+        df = _aliased(attach_sliding(df, window, frame, values, view, blocks), view)
+    for window, values in distinct.by_window().items():
+        df = _aliased(attach_running_distinct(df, window, values, view, blocks), view)
     columns = _columns(rules, texts)
-    helpers = [*found.names, *running.names]
+    helpers = [*found.names, *in_blocks]
     result = df.select(*columns) if level == 0 else df.select("*", *columns).drop(*helpers)
     # running values have written the rows, so nothing hangs on a join back any more
-    return result, (joined or bool(found.names)) and not running.names
+    return result, (joined or bool(found.names)) and not running.names or bool(sliding.names or distinct.names)
 
 
 def _columns(rules: list[Rule], texts: list[str]) -> list[Column]:

@@ -31,13 +31,19 @@ from ruleframe.functions.aggregates import (
     weighted_sums,
 )
 from ruleframe.functions.calls import calls_any, expand_calls, replace_calls, split_arguments
+from ruleframe.operators.percentiles import (
+    PERCENTILES,
+    percentile_table,
+    plain_percentiles,
+    value_and_share,
+)
 
 # Aggregates whose value does not depend on row order and whose state does not grow with the group
-# (collect_set: with its distinct values). Others stay window expressions.
+# (collect_set: with its distinct values), or that are found by rank. Others stay window expressions.
 AGGREGATES = frozenset(
     "any any_value approx_count_distinct avg bit_and bit_or bit_xor bool_and bool_or collect_set "
-    "corr count count_if covar_pop covar_samp every kurtosis max max_by mean min min_by mode "
-    "mostcommon regr_slope skewness some std stddev stddev_pop stddev_samp sum try_avg try_sum "
+    "corr count count_if covar_pop covar_samp every kurtosis max max_by mean median min min_by mode "
+    "mostcommon percentile regr_slope skewness some std stddev stddev_pop stddev_samp sum try_avg try_sum "
     "var_pop var_samp variance weightedaverage".split()
 )
 
@@ -114,9 +120,11 @@ class GroupValues:
             keys = partition_keys(over)
             if keys is None or calls_any(args, AGGREGATES, windowed=True):
                 return None
+            if name in PERCENTILES and value_and_share(name, args) is None:
+                return None
             return self._name(GroupValue(tuple(sorted(set(keys))), name, args))
 
-        return replace_calls(text, one)
+        return replace_calls(plain_percentiles(text), one)
 
     def extract_totals(self, text: str) -> str:
         """``text`` with every aggregate call replaced by the name of a value of the whole table."""
@@ -163,6 +171,16 @@ def group_table(df: DataFrame, keys: Sequence[str], values: Mapping[str, GroupVa
     """
     key_names = [f"__key_{i}" for i in range(len(keys))]
     rows = df.select("*", *[F.expr(key).alias(name) for key, name in zip(keys, key_names)])
+    by_rank = _by_rank(rows, values)
+    if by_rank:
+        found = percentile_table(rows, key_names, by_rank)
+        others = {name: v for name, v in values.items() if name not in by_rank}
+        if not others:
+            return found
+        own_names = {name: f"_{name}" for name in key_names}
+        plain = group_table(df, keys, others).withColumnsRenamed(own_names)
+        both = attach_groups(plain, list(own_names.values()), found, by_rank)
+        return both.withColumnsRenamed({own: name for name, own in own_names.items()})
     modes = {name: v for name, v in values.items() if v.mode_input() is not None}
     others = {name: v for name, v in values.items() if name not in modes}
     if not modes:
@@ -183,6 +201,15 @@ def group_table(df: DataFrame, keys: Sequence[str], values: Mapping[str, GroupVa
     return both.withColumnsRenamed({own: name for name, own in own_names.items()})
 
 
+def _by_rank(rows: DataFrame, values: Mapping[str, GroupValue]) -> dict[str, tuple[str, float]]:
+    """Percentiles of numbers, by name; those of intervals are left to Spark."""
+    found = {n: value_and_share(v.call, expand_calls(v.args)) for n, v in values.items() if v.call in PERCENTILES}
+    if not any(found.values()):
+        return {}
+    types = dict(rows.agg(F.count("*"), *[values[n].column().alias(n) for n in found]).dtypes)
+    return {n: of for n, of in found.items() if of is not None and types[n] == "double"}
+
+
 def _with_modes(
     rows: DataFrame,
     key_names: list[str],

@@ -160,18 +160,20 @@ def cut_into_blocks(df: DataFrame, window: OrderedWindow, blocks: int = 0) -> Da
     """``df`` cut along (keys, order), written to the shared folder.
 
     Adds ``__block``, numbered along the order, and the columns ``__key_0``, ``__order_0``, ...
-    Rows of equal key and order follow each other by a hash of the row, which a repeated task finds
-    again, and may be cut apart. Writing fixes the blocks for all later steps.
+    Rows of equal key and order follow each other by a hash of the row, and equal rows by their place in
+    the sorted rows of their task; both are found again by a repeated task. So any run of rows may be cut
+    apart. Writing fixes the blocks for all later steps.
     The number of blocks is ``blocks``, or what adaptive execution makes of the session's shuffle
     partitions if those are more.
     """
-    keys, sorting = _key_names(window), _sorting(window)
+    keys, sorting = key_names(window), _sorting(window)
     helpers = {name: F.expr(key) for name, key in zip(keys, window.keys)}
     for i, item in enumerate(window.orders):
         helpers[f"__order_{i}"] = F.expr(ORDER_ITEM.match(item)["expr"])
     hashed = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
     helpers["__order_row"] = F.xxhash64(*hashed)
     rows = df.select("*", *[col.alias(name) for name, col in helpers.items()])
+    rows = rows.sortWithinPartitions(*keys, *sorting[:-1]).withColumn("__order_tie", F.monotonically_increasing_id())
     if blocks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         ranged = rows.repartitionByRange(blocks, *keys, *sorting)
     else:
@@ -185,12 +187,13 @@ def attach_running(
     values: Mapping[str, RunningValue],
     view: str | None = None,
     blocks: int = 0,
+    keep: bool = False,
 ) -> DataFrame:
     """``df`` with running values over one ordered window, lag and lead included.
 
     Sums of floating-point numbers are added block by block, in another order than row by row.
     ``view`` is a name under which the values may refer to the rows, ``blocks`` the least number
-    of blocks.
+    of blocks. With ``keep`` the columns of the cut stay (not with lag or lead).
     """
     near = {name: value for name, value in values.items() if value.call in NEIGHBOURS}
     if near:
@@ -199,9 +202,9 @@ def attach_running(
     rows = cut_into_blocks(df, window, blocks)
     if view is not None:
         rows = rows.alias(view)
-    keys = _key_names(window)
+    keys = key_names(window)
     orders = [f"__order_{i}" for i in range(len(window.orders))]
-    by_order = Window.partitionBy("__block", *keys).orderBy(*_sorting(window)[:-1])
+    by_order = Window.partitionBy("__block", *keys).orderBy(*_sorting(window)[: len(orders)])
     by_row = Window.partitionBy("__block", *keys).orderBy(*_sorting(window))
     running = {}
     for name, value in values.items():
@@ -223,7 +226,7 @@ def attach_running(
     if dense:
         # Every run counts once, in the block where it begins.
         begun = runs.groupBy("__block", *keys).agg(F.count("*").alias("__begun"))
-        totals = _matched(totals, begun, ["__block", *keys], "__of")
+        totals = matched(totals, begun, ["__block", *keys], "__of")
         totals = totals.withColumns({name: F.coalesce("__begun", F.lit(0)) for name in dense})
     earlier = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -233,15 +236,15 @@ def attach_running(
     ).filter("__earlier > 0").drop("__earlier")
     # Only the first key of a block can have begun in an earlier one: one row per block at most,
     # whatever the size of the data, which is safe to broadcast.
-    joined = _matched(local, F.broadcast(offsets), ["__block", *keys], "__of")
+    joined = matched(local, F.broadcast(offsets), ["__block", *keys], "__of")
     if runs is not None:
         parts = _cut_runs(rows, runs, keys, orders, values)
         parts = stage(parts, "runs") if dense else parts  # read twice below
-        joined = _matched(joined, F.broadcast(parts.drop("__goes_on")), ["__block", *keys, *orders], "__cut")
+        joined = matched(joined, F.broadcast(parts.drop("__goes_on")), ["__block", *keys, *orders], "__cut")
         if dense:
             # A run that began in an earlier block has been counted there.
             goes_on = parts.filter("__goes_on").select("__block", *keys, "__goes_on")
-            joined = _matched(joined, F.broadcast(goes_on), ["__block", *keys], "__on")
+            joined = matched(joined, F.broadcast(goes_on), ["__block", *keys], "__on")
             twice = F.when(F.col("__goes_on"), F.lit(-1))
             joined = joined.withColumns({f"{name}_rest": twice for name in dense})
     types, results = local.schema, []
@@ -251,7 +254,7 @@ def attach_running(
         if not value.rows:
             result = value.combine(F.col(f"{name}_rest"), result)
         results.append(result.cast(types[name].dataType).alias(name))
-    kept = [F.col(f"`{name}`") for name in df.columns]
+    kept = [F.col(f"`{name}`") for name in (rows if keep else df).columns]
     return joined.select(*kept, *results)
 
 
@@ -268,7 +271,7 @@ def _cut_runs(
     count those in earlier blocks. Each border of two blocks cuts one run at most.
     """
     cut = runs.filter("__block < __last").select(*keys, *orders)
-    parts = _matched(rows, F.broadcast(cut.withColumn("__is_cut", F.lit(True))), [*keys, *orders], "__run")
+    parts = matched(rows, F.broadcast(cut.withColumn("__is_cut", F.lit(True))), [*keys, *orders], "__run")
     sums = [v.total().alias(n) for n, v in values.items() if not v.rows]
     parts = parts.filter("__is_cut").groupBy("__block", *keys, *orders).agg(*sums)
     of_run = Window.partitionBy(*keys, *orders).orderBy("__block")
@@ -283,11 +286,11 @@ def _cut_runs(
     return parts.select("__block", *keys, *orders, *[col.alias(name) for name, col in rest.items()])
 
 
-def _matched(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
+def matched(left: DataFrame, right: DataFrame, names: Sequence[str], prefix: str, how: str = "left") -> DataFrame:
     """``left`` with the other columns of ``right``, found by equal ``names``, nulls included."""
     other = right.withColumnsRenamed({name: f"{prefix}{name}" for name in names})
     same = [F.col(name).eqNullSafe(F.col(f"{prefix}{name}")) for name in names]
-    joined = left.join(other, reduce(lambda a, b: a & b, same), "left")
+    joined = left.join(other, reduce(lambda a, b: a & b, same), how)
     return joined.drop(*[f"{prefix}{name}" for name in names])
 
 
@@ -308,7 +311,7 @@ def _attach_neighbours(
     placed = attach_running(df, window, {**place, **others}, view, blocks)
     if view is not None:
         placed = placed.alias(view)
-    keys = _key_names(window)
+    keys = key_names(window)
     helpers = {name: F.expr(key) for name, key in zip(keys, window.keys)}
     steps = {}
     for name, value in values.items():
@@ -340,7 +343,7 @@ def _attach_neighbours(
     return joined.select(*[F.col(f"`{name}`") for name in [*df.columns, *others, *values]])
 
 
-def _key_names(window: OrderedWindow) -> list[str]:
+def key_names(window: OrderedWindow) -> list[str]:
     return [f"__key_{i}" for i in range(len(window.keys))]
 
 
@@ -353,4 +356,4 @@ def _sorting(window: OrderedWindow) -> list[Column]:
         nulls = (item["nulls"] or ("LAST" if descending else "FIRST")).lower()
         direction = f"{'desc' if descending else 'asc'}_nulls_{nulls}"
         orders.append(getattr(F.col(f"__order_{i}"), direction)())
-    return [*orders, F.col("__order_row").asc()]
+    return [*orders, F.col("__order_row").asc(), F.col("__order_tie").asc()]
