@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 from conftest import SF, rows
+from pyspark.sql import functions as F
 
 from ruleframe import (
     Rule,
@@ -19,6 +20,7 @@ from ruleframe import (
     write_result,
 )
 from ruleframe.session import fresh_path, run_folder, session_settings, shared_folder, stage
+from ruleframe.sources import tables
 from ruleframe.workloads.tables import stored_rules
 
 
@@ -51,25 +53,62 @@ def test_write_over_a_managed_table(spark, orders, table, tmp_path):
     assert spark.table(table).count() == 5
 
 
-def test_write_refuses_its_own_input(spark, orders, table, tmp_path):
+def test_a_result_may_replace_its_own_input(spark, orders, table, tmp_path):
     location = str(tmp_path / "out")
     write_result(orders.limit(4), table, location)
-    with pytest.raises(ValueError, match="is an input"):
-        write_result(read_back(spark, location), table, location + "/")
+    write_result(read_back(spark, location), table, location + "/")
     assert read_back(spark, location).count() == 4
-
-
-@pytest.mark.parametrize("name", ["with blank", "per%20cent", "ü", "deep/er"])
-def test_no_spelling_of_an_input_is_overwritten(spark, orders, table, tmp_path, name):
+    cached = read_back(spark, location).cache()
+    write_result(cached, table, location)
+    assert read_back(spark, location).count() == spark.table(table).count() == 4
+    cached.unpersist()
+    read_back(spark, location).createOrReplaceTempView("own_input")
+    inside = spark.sql("SELECT *, (SELECT count(*) FROM own_input) AS n FROM VALUES (1), (2) AS t(x)")
+    write_result(inside, table, location)
+    assert [tuple(r) for r in spark.table(table).orderBy("x").collect()] == [(1, 4), (2, 4)]
+    write_result(spark.table(table).unionAll(spark.table(table)), table, location)
+    assert spark.table(table).count() == 4
+    assert os.listdir(tmp_path) == ["out"]
+
+
+@pytest.mark.parametrize("name", ["with blank", "per%20cent", "ü", "deep/er", "it's"])
+def test_any_spelling_of_a_location_is_replaced(spark, orders, table, tmp_path, name):
     location = str(tmp_path / name)
     orders.limit(4).write.parquet(location)
-    relative = os.path.relpath(location)
-    for target in (location, f"file://{location}", relative, str((tmp_path / name).parent)):
+    for target in (location, f"file://{location}", os.path.relpath(location)):
         if "%" in target and "://" in target:
             continue  # an escape in a URI is another name
-        with pytest.raises(ValueError, match="is an input"):
-            write_result(read_back(spark, location), table, target)
-    assert read_back(spark, location).count() == 4
+        assert write_result(read_back(spark, location), table, target) == 4
+        assert read_back(spark, location).count() == spark.table(table).count() == 4
+
+
+def test_a_failed_write_leaves_the_former_table(spark, orders, table, tmp_path):
+    location = str(tmp_path / "out")
+    write_result(orders.limit(4), table, location, ("o_orderstatus",))
+    before = sorted(map(tuple, spark.table(table).collect()))
+    fails = orders.withColumn("o_orderkey", F.when(F.col("o_orderkey") > 30, F.raise_error(F.lit("killed"))).otherwise(1))
+    with pytest.raises(Exception, match="killed"):
+        write_result(fails, table, location)
+    assert sorted(map(tuple, spark.table(table).collect())) == before
+    assert os.listdir(tmp_path) == ["out"]
+
+
+def test_lost_rows_are_noticed(spark, orders, table, tmp_path, monkeypatch):
+    location = str(tmp_path / "out")
+    write_result(orders.limit(4), table, location)
+    monkeypatch.setattr(tables.Observation, "get", {"rows": 7})
+    with pytest.raises(tables.RowsLost, match="3 of 7 rows"):
+        write_result(orders.limit(3), table, location)
+    assert spark.table(table).count() == read_back(spark, location).count() == 4
+
+
+def test_an_empty_result_and_odd_columns_are_written(spark, table, tmp_path):
+    odd = spark.sql("SELECT 1 AS `a b`, '001' AS `p#`, struct(1 AS `x y`) AS s, array(1) AS l WHERE false")
+    assert write_result(odd, table, str(tmp_path / "out"), ("p#",)) == 0
+    assert spark.table(table).columns == ["a b", "s", "l", "p#"]
+    full = spark.sql("SELECT 1 AS `a b`, '001' AS `p#`, struct(1 AS `x y`) AS s, array(1) AS l")
+    assert write_result(full, table, str(tmp_path / "out"), ("p#",)) == 1
+    assert spark.table(table).first()["p#"] == "001"
 
 
 def test_a_folder_of_sql_files_runs_whole(spark, tmp_path):
