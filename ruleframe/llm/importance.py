@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
 from ruleframe.llm.words import LOWER, pieces
-from ruleframe.session import stage
+from ruleframe.session import fresh_path, stage
 from ruleframe.sources.rules import number_rows
 
 #: Fixed value: what counts as a word of a text in lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-#: Checksums of words kept by a task between texts; more are worked out again.
+#: Stretches of text whose words a task keeps in mind; others are split again.
 MEMORY = 1 << 18
-#: Words of one long text whose windows are hashed at once.
-RUN = 1 << 20
 
 
 def splitter() -> pre_tokenizers.PreTokenizer:
@@ -30,14 +28,20 @@ def splitter() -> pre_tokenizers.PreTokenizer:
     return pre_tokenizers.Split(Regex(WORD), "removed", invert=True)
 
 
-class _Words(dict):
-    """crc32 and length of words in UTF-8, worked out once for each word that is held."""
+class _Stretches(dict):
+    """Checksum and length, in UTF-8, of the words of stretches of text between blanks, which no word crosses: split
+    once each while they are held."""
 
-    def __missing__(self, word: str) -> tuple[int, int]:
-        body = word.encode()
-        found = zlib.crc32(body), len(body)
+    def __init__(self):
+        self.split = splitter()
+
+    def __missing__(self, stretch: str) -> tuple[int, ...]:
+        found: tuple[int, ...] = ()
+        for _, (first, last) in self.split.pre_tokenize_str(stretch):
+            body = stretch[first:last].encode()
+            found += zlib.crc32(body), len(body)
         if len(self) < MEMORY:
-            self[word] = found
+            self[stretch] = found
         return found
 
 
@@ -94,27 +98,25 @@ class Buckets:
 
     def __init__(self, longest: int, count: int):
         self.longest, self.count = longest, count
-        self.split, self.words, self.behind = splitter(), _Words(), _Behind()
+        self.stretches, self.behind = _Stretches(), _Behind()
         self.blank = np.uint32(zlib.crc32(b" "))
 
-    def windows(self, text: str) -> Iterator[np.ndarray]:
-        """Buckets of a text, a part at a time. A window is a pair of offsets into the text: from the start of its
-        first word to the end of its last, with one blank for whatever stands between two words."""
-        tokens = self.split.pre_tokenize_str(text)
-        for first in range(0, len(tokens), RUN):
-            part = tokens[first : first + RUN + self.longest - 1]
-            own = min(RUN, len(tokens) - first)
-            flat = np.fromiter(itertools.chain.from_iterable(self.words[w] for w, _ in part), np.int64, 2 * len(part)).reshape(-1, 2)
-            crc, lengths = flat[:, 0].astype(np.uint32), flat[:, 1]
-            after_blank = self.behind.join(np.full(len(crc), self.blank, np.uint32), crc, lengths)
-            window = crc
-            yield window[:own] % np.uint32(self.count)
-            for size in range(2, self.longest + 1):
-                window = window[: len(crc) - size + 1]
-                if not len(window):
-                    break
-                window = self.behind.join(window, after_blank[size - 1 :], lengths[size - 1 :] + 1)
-                yield window[:own] % np.uint32(self.count)
+    def windows(self, text: str) -> list[np.ndarray]:
+        """Buckets of the runs of 1, 2, ... words of a text. A window is a pair of words, the first and the last of a
+        run, with one blank for whatever stands between two words."""
+        numbers = itertools.chain.from_iterable(map(self.stretches.__getitem__, text.split(" ")))
+        flat = np.fromiter(numbers, np.int64).reshape(-1, 2)
+        crc, lengths = flat[:, 0].astype(np.uint32), flat[:, 1]
+        kind = np.min_scalar_type(self.count - 1)
+        found = [(crc % np.uint32(self.count)).astype(kind)]
+        after_blank = self.behind.join(np.full(len(crc), self.blank, np.uint32), crc, lengths)
+        window = crc
+        for size in range(2, self.longest + 1):
+            window = self.behind.join(window[:-1], after_blank[size - 1 :], lengths[size - 1 :] + 1)
+            found.append((window % np.uint32(self.count)).astype(kind))
+            if not len(window):
+                break
+        return found
 
 
 def _lowered(batch: pa.RecordBatch, column: str) -> list[str]:
@@ -125,21 +127,37 @@ def _lowered(batch: pa.RecordBatch, column: str) -> list[str]:
     return pa.LargeStringArray.from_buffers(len(texts), offsets, pa.py_buffer(data.tobytes()), None, 0, texts.offset).to_pylist()
 
 
-def bucket_counts(texts: DataFrame, *, text: str = "text", longest: int = 3, buckets: int = 10_000) -> DataFrame:
-    """(bucket, n): how many runs of words of all texts fall into each bucket that holds any. Every task adds up
-    its own texts first."""
+def with_buckets(docs: DataFrame, *, id: str = "doc_id", text: str = "text", longest: int = 3, buckets: int = 10_000) -> DataFrame:
+    """(id, n_words, features): the buckets of all runs of words of each document, in the fewest bytes each."""
+    kind = docs.schema[id].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows, total = Buckets(longest, buckets), np.zeros(buckets, np.int64)
+        hashed = Buckets(longest, buckets)
         for whole in batches:
             for batch in pieces(whole, "text"):
-                for body in _lowered(batch, "text"):
-                    for found in windows.windows(body):
-                        total += np.bincount(found, minlength=buckets)
+                found = [hashed.windows(body) for body in _lowered(batch, "text")]
+                words = pa.array([len(f[0]) for f in found], pa.int64())
+                bodies = pa.array([np.concatenate(f).tobytes() for f in found], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch.column("id"), words, bodies], ["id", "n_words", "features"])
+
+    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
+    return rows.mapInArrow(run, f"id {kind}, n_words long, features binary")
+
+
+def bucket_counts(hashed: DataFrame, buckets: int) -> DataFrame:
+    """(bucket, n): how many runs of words of all texts fall into each bucket that holds any. Every task adds up
+    its own texts first."""
+    kind = np.min_scalar_type(buckets - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(buckets, np.int64)
+        for batch in batches:
+            for body in batch.column("features"):
+                total += np.bincount(np.frombuffer(body.as_buffer(), kind), minlength=buckets)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["bucket", "n"])
 
-    return texts.select(F.col(text).alias("text")).mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    return hashed.select("features").mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
 def bucket_gains(source: DataFrame, target: DataFrame, buckets: int) -> np.ndarray:
@@ -154,26 +172,25 @@ def bucket_gains(source: DataFrame, target: DataFrame, buckets: int) -> np.ndarr
     return gains["gain"].to_numpy().astype(np.int64)
 
 
-def with_weights(docs: DataFrame, gains: np.ndarray, *, id: str = "doc_id", text: str = "text", longest: int = 3) -> DataFrame:
+def with_weights(hashed: DataFrame, gains: np.ndarray) -> DataFrame:
     """(id, n_words, n_features, weight): the gains of all runs of words of each document, added up."""
-    kind = docs.schema[id].dataType.simpleString()
+    kind = hashed.schema["id"].dataType.simpleString()
+    narrow = np.min_scalar_type(len(gains) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Buckets(longest, len(gains))
-        for whole in batches:
-            for batch in pieces(whole, "text"):
-                rows = []
-                for body in _lowered(batch, "text"):
-                    counts, weight = [0] * longest, 0
-                    for i, found in enumerate(windows.windows(body)):
-                        counts[i % longest] += len(found)
-                        weight += int(gains[found].sum())
-                    rows.append((counts[0], sum(counts), weight))
-                columns = [pa.array(c, pa.int64()) for c in zip(*rows)]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], ["id", "n_words", "n_features", "weight"])
+        for batch in batches:
+            found = [np.frombuffer(body.as_buffer(), narrow) for body in batch.column("features")]
+            sums = [pa.array([len(f) for f in found], pa.int64()), pa.array([int(gains[f].sum()) for f in found], pa.int64())]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("n_words"), *sums], ["id", "n_words", "n_features", "weight"])
 
-    rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, n_words long, n_features long, weight long")
+    return hashed.mapInArrow(run, f"id {kind}, n_words long, n_features long, weight long")
+
+
+def _stored(hashed: DataFrame) -> DataFrame:
+    """Written to the shared folder; buckets do not repeat as whole values."""
+    path, schema = fresh_path(hashed.sparkSession, "buckets"), hashed.schema
+    hashed.write.option("parquet.enable.dictionary", "false").parquet(path)
+    return hashed.sparkSession.read.schema(schema).parquet(path)
 
 
 def noise(id: Column, seed: int) -> Column:
@@ -193,17 +210,20 @@ def importance_resample(
     features, counted in ``buckets`` by their checksums, over all documents and over the target. A document's
     weight is the sum of its features' gains, its score adds Gumbel noise that its id fixes, and the highest
     ``percent`` of the documents with ``least_words`` words are drawn, without replacement: ties go to the smaller id.
-    Two passes over the texts; the driver sees one number per bucket. Ranks come from a distributed sort of the ids
+    The texts are split once; their buckets, two bytes for a feature, are written to the shared folder and read for
+    the counts and for the sums. The driver sees one number per bucket. Ranks come from a distributed sort of the ids
     and scores, whose equal rows are told apart by their place, so that no key is too large for a task.
 
     Null and empty texts have no features, weight 0 and no rank. A null id draws noise as an empty one, is drawn after
     other ids of the same score, and stays null. Rows that repeat count, and may be drawn, each. An empty
     table of documents gives no rows; an empty target gives every bucket its smoothed gain.
     """
-    source = bucket_counts(docs, text=text, longest=longest, buckets=buckets)
-    wanted = bucket_counts(target, text=target_text, longest=longest, buckets=buckets)
+    hashed = _stored(with_buckets(docs, id=id, text=text, longest=longest, buckets=buckets))
+    items = target.select(F.lit(0).alias("id"), F.col(target_text).alias("text"))
+    source = bucket_counts(hashed, buckets)
+    wanted = bucket_counts(with_buckets(items, id="id", longest=longest, buckets=buckets), buckets)
     gains = bucket_gains(stage(source, "source"), stage(wanted, "target"), buckets)
-    weighed = with_weights(docs, gains, id=id, text=text, longest=longest).withColumn("score", F.col("weight") + noise(F.col("id"), seed))
+    weighed = with_weights(hashed, gains).withColumn("score", F.col("weight") + noise(F.col("id"), seed))
     scored = stage(weighed.withColumn("place", F.monotonically_increasing_id()), "scores")
     eligible = F.col("n_words") >= least_words
     drawn = scored.where(eligible).count() * percent // 100
