@@ -46,6 +46,26 @@ def write_read_back(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both
 
 
+@query("SELECT o_orderstatus, 2 * count(*) AS n, count(*) AS before FROM orders GROUP BY o_orderstatus")
+def write_replaced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table replaced by a result that reads it twice, once in a subquery, after a write that failed half-way."""
+    name, location = _table_name(), fresh_path(spark, "out")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    write_result(orders, name, location, ("o_orderstatus",))
+    fails = F.when(F.col("o_orderkey") % 100 == 1, F.raise_error(F.lit("killed"))).otherwise(F.col("o_orderkey"))
+    try:
+        write_result(orders.withColumn("o_orderkey", fails), name, location, ("o_orderstatus",))
+    except Exception as error:  # noqa: BLE001 - the failure is the point
+        if "killed" not in str(error):
+            raise
+    before = f"(SELECT count(*) FROM {name} AS b WHERE b.o_orderstatus = a.o_orderstatus) AS before"
+    counted = spark.sql(f"SELECT o_orderkey, {before}, o_orderstatus FROM {name} AS a")
+    write_result(counted.unionAll(counted).cache(), name, location, ("o_orderstatus",))
+    found = stage(spark.table(name).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.max("before").alias("before")))
+    drop_table(spark, name)
+    return found
+
+
 @query("""
 SELECT CAST(o_orderkey AS BIGINT) AS order_key, CAST(o_totalprice AS DOUBLE) AS total,
        o_orderstatus AS status FROM orders
