@@ -140,7 +140,7 @@ def principal_components(matrix: np.ndarray, count: int) -> tuple[np.ndarray, np
         return np.zeros(0), np.zeros((0, size))
     diagonal, off, reflectors = tridiagonal(matrix)
     values = leading_values(diagonal, off, count)
-    values = values[values > size * EPS * max(values[0], 0.0)]
+    values = values[values > 32 * size * EPS * max(values[0], 0.0)]
     vectors = leading_vectors(diagonal, off, values)
     for k in range(len(reflectors) - 1, -1, -1):
         part = vectors[:, k + 1 :]
