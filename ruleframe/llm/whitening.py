@@ -49,12 +49,13 @@ def tridiagonal(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.nda
 def count_below(diagonal: np.ndarray, off: np.ndarray, shifts: np.ndarray) -> np.ndarray:
     """Sturm counts: how many eigenvalues of the tridiagonal matrix lie below each shift."""
     tiny = np.finfo(np.float64).tiny / EPS
+    below = np.zeros(len(shifts), np.int64)
     q = diagonal[0] - shifts
-    below = (q < 0).astype(np.int64)
-    for d, e in zip(diagonal[1:], off):
-        q = np.where(np.abs(q) < tiny, -tiny, q)
-        q = d - shifts - e * e / q
+    for k, e in enumerate(np.append(off, 0.0)):
+        q = np.where(np.abs(q) < tiny, -tiny, q)  # a zero counts as below, and is divided by
         below += q < 0
+        if k + 1 < len(diagonal):
+            q = diagonal[k + 1] - shifts - e * e / q
     return below
 
 
