@@ -10,20 +10,21 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleframe.llm.words import LOWER, SPACED, buffers, hashes, mix, pieces, signed, spans
-from ruleframe.session import fresh_path, stage
+from ruleframe.session import fresh_path, session_settings, stage
 
 #: The hash of the token that ends every text.
 END = np.uint64(0x656E64)
 #: Tokens of a chunk: texts that share one dictionary and are scored together.
-CHUNK = 1 << 19
-#: Bits of a place in a chunk's dictionary, below the chunk's number in one long.
-PLACE = 27
-
-
+CHUNK = 1 << 20
+#: Tokens of a lane: longer texts go through the automaton in several, side by side.
+LANE = 256
+#: Shuffled files go when the query that needed them has ended, so that a level's requests do not outlive its answers.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Histories of at least this share of all training tokens are dealt out with the words that follow them.
 HOT = 2e-4
 
@@ -47,7 +48,7 @@ class Unigrams:
 @dataclass(frozen=True)
 class Level:
     """How the n-grams of ``size`` words are dealt out. ``hot`` holds the frequent histories, sorted, and
-    ``sums`` what follows them: all, kept, and kinds kept."""
+    ``sums`` what follows them that is kept: its count and its kinds."""
 
     size: int
     buckets: int
@@ -75,17 +76,32 @@ def _unpacked(body: pa.Scalar, kind: str) -> np.ndarray:
     return planes.T.copy().view(kind).ravel()
 
 
-def _write(rows: DataFrame) -> DataFrame:
-    """Chunks in the shared folder, in small row groups: each row holds megabytes."""
+def _write(rows: DataFrame) -> tuple[DataFrame, str]:
+    """Chunks in the shared folder, in small row groups: each row holds megabytes. Also the path."""
     path, schema = fresh_path(rows.sparkSession, "chunks"), rows.schema
     options = {"parquet.block.size": 16 << 20, "parquet.enable.dictionary": "false", "compression": "zstd"}
     rows.write.options(**options).parquet(path)
-    return rows.sparkSession.read.schema(schema).parquet(path)
+    return rows.sparkSession.read.schema(schema).parquet(path), path
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+CHUNK_COLUMNS = ("chunk", "ids", "train", "sizes", "tokens", "vocabulary", "counts", "levels")
+
+
+def _chunk_schema(kind: str) -> str:
+    return (
+        f"chunk long, ids array<{kind}>, train binary, sizes binary, tokens binary, vocabulary binary, counts binary, "
+        "levels array<binary>"
+    )
 
 
 def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     """One row for about ``size`` tokens of (id, train, text): the ids, the tokens as numbers, and the
-    dictionary behind them with the counts in training texts."""
+    dictionary behind them with the counts in training texts, its own ones at first; levels come later."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,13 +122,13 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             token, vocabulary = place[token], vocabulary[order]
             learned = np.bincount(token[np.repeat(train, sizes)], minlength=len(vocabulary))
             columns = [
-                pa.array([task << 12 | number]), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([train.tobytes()]),
+                pa.array([task << 32 | number]), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([train.tobytes()]),
                 pa.array([sizes.astype(np.int64).tobytes()]), pa.array([_planes(token)]), pa.array([vocabulary.tobytes()]),
-                pa.array([learned.astype(np.int64).tobytes()]),
+                pa.array([learned.astype(np.int64).tobytes()]), pa.array([[]], pa.list_(pa.binary())),
             ]
             held, count = [], 0
             number += 1
-            return pa.RecordBatch.from_arrays(columns, ["chunk", "ids", "train", "sizes", "tokens", "vocabulary", "learned"])
+            return pa.RecordBatch.from_arrays(columns, [*CHUNK_COLUMNS])
 
         for whole in batches:
             for batch in pieces(whole, "text"):
@@ -130,25 +146,24 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
 
     return docs.select("id", "train", "text").mapInArrow(
         run,
-        f"chunk long, ids array<{kind}>, train binary, sizes binary, tokens binary, vocabulary binary, learned binary",
+        _chunk_schema(kind),
     )
 
 
 def _word_rows(parts: DataFrame) -> DataFrame:
-    """(word, at, n): the dictionaries of all chunks, with counts in training texts. ``at`` is the chunk and,
-    in its lowest bits, the place in its dictionary."""
+    """(word, chunk, place, n): the dictionaries of all chunks, with counts in training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 words = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
                 n = np.frombuffer(batch.column(2)[i].as_buffer(), np.int64)
-                at = (batch.column(0)[i].as_py() << PLACE) + np.arange(len(words))
+                chunk, place = np.full(len(words), batch.column(0)[i].as_py()), np.arange(len(words), dtype=np.int32)
                 for first in range(0, len(words), 50_000):
                     cut = slice(first, first + 50_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(x[cut]) for x in (words, at, n)], ["word", "at", "n"])
+                    yield pa.RecordBatch.from_arrays([pa.array(x[cut]) for x in (words, chunk, place, n)], ["word", "chunk", "place", "n"])
 
-    return parts.select("chunk", "vocabulary", "learned").mapInArrow(run, "word long, at long, n long")
+    return parts.select("chunk", "vocabulary", "counts").mapInArrow(run, "word long, chunk long, place int, n long")
 
 
 def _longer(history: np.ndarray, tag: np.ndarray) -> np.ndarray:
@@ -165,155 +180,320 @@ def _places(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(sorted_values[at] == values, at, -1)
 
 
-def _states(words: np.ndarray, sizes: np.ndarray, level: Level):
-    """The n-grams of a chunk of texts. Of each different one history, tag (40 bits of the last word's hash)
-    and bucket, sorted by bucket, history and tag; then the tokens that end one, and which."""
-    firsts = np.cumsum(sizes) - sizes
-    text = np.repeat(np.arange(len(sizes)), sizes)
-    sequence = np.insert(words, firsts, END)  # before its first token a text has the end of one before
-    tags = mix(sequence) >> np.uint64(24)
-    at = np.flatnonzero(np.arange(len(words)) - firsts[text] + 2 >= level.size)
-    place = at + text[at] + 1
-    history = sequence[place - level.size + 1]
-    for back in range(level.size - 2, 0, -1):
-        history = _longer(history, tags[place - back])
-    tag = tags[place]
-    grams, one, which = np.unique(_longer(history, tag), return_index=True, return_inverse=True)
-    history, tag = history[one], tag[one]
-    spread = np.where(_places(level.hot, history) >= 0, grams, mix(history ^ np.uint64(level.size)))
-    bucket = (spread % np.uint64(level.buckets)).astype(np.int64)
-    order = np.lexsort((tag, history, bucket))
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    return history[order], tag[order], bucket[order], at, rank[which]
+class Chunk:
+    """A chunk with the n-grams it knows to be kept, level by level.
+
+    The kept grams of ``size`` words are numbered by ``keys[size]``, sorted: the number of the gram without its last
+    word, times the size of the dictionary, plus that word. Every word is kept. Where ``at[size]`` is not -1, a
+    kept gram of that number ends; ``hashes[size]`` are the same in all chunks.
+    """
+
+    def __init__(self, row: dict[str, pa.Scalar]):
+        self.row = row
+        self.train, self.sizes, self.vocabulary, counts = (
+            np.frombuffer(row[c].as_buffer(), t)
+            for c, t in (("train", bool), ("sizes", np.int64), ("vocabulary", np.uint64), ("counts", np.int64))
+        )
+        tokens = _tokens(row["tokens"])
+        self.words = len(self.vocabulary)
+        firsts = np.cumsum(self.sizes) - self.sizes
+        end = int(np.flatnonzero(self.vocabulary == END)[0])
+        self.sequence = np.insert(tokens, firsts, end).astype(np.int64)  # before its first token a text has an end
+        self.pad = np.zeros(len(self.sequence), bool)
+        self.pad[firsts + np.arange(len(firsts))] = True
+        self.learned = np.repeat(self.train, self.sizes + 1)
+        self.tags = mix(self.vocabulary) >> np.uint64(24)
+        self.keys: list[np.ndarray] = [None, np.arange(self.words)]
+        self.counts: list[np.ndarray] = [None, counts]
+        self.hashes: list[np.ndarray] = [None, self.vocabulary]
+        self.at: list[np.ndarray] = [None, self.sequence]
+        self.follow: list[np.ndarray] = [None]  # of each kept gram, what follows it that is kept: count and kinds
+        bodies = [] if row["levels"].as_py() is None else list(row["levels"])
+        for first in range(0, len(bodies), 3):
+            keys = np.cumsum(_unpacked(bodies[first], "<i8"))
+            self._add(keys, _unpacked(bodies[first + 1], "<i8"), _unpacked(bodies[first + 2], "<i8").reshape(2, -1))
+
+    def _add(self, keys: np.ndarray, counts: np.ndarray, follow: np.ndarray) -> None:
+        history, word = keys // self.words, keys % self.words
+        at = np.full(len(self.sequence), -1, np.int64)
+        place = np.flatnonzero(~self.pad & (np.append(-1, self.at[-1][:-1]) >= 0))
+        at[place] = _places(keys, self.at[-1][place - 1] * self.words + self.sequence[place])
+        self.follow.append(follow)
+        self.hashes.append(_longer(self.hashes[-1][history], self.tags[word]))
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.at.append(at)
+
+    def levels(self) -> list[bytes]:
+        return [
+            _packed(_planes(x, "<i8"))
+            for keys, counts, follow in zip(self.keys[2:], self.counts[2:], self.follow[1:])
+            for x in (np.diff(keys, prepend=0), counts, follow.ravel())
+        ]
+
+    def asked(self, level: Level):
+        """What has to be asked on a level: grams whose parts, without the last and without the first word, are both
+        kept, for others cannot be, and the histories of all. Sorted by bucket, history and tag:
+        (bucket, hash of the history, its number, its tag, key or -1, count in own training texts)."""
+        before = np.append(-1, self.at[-1][:-1])
+        valid = ~self.pad & (before >= 0)
+        fit = np.flatnonzero(valid & (self.at[-1] >= 0) if level.size > 2 else valid)
+        key = before[fit] * self.words + self.sequence[fit]
+        order = np.argsort(key)
+        key, learned = key[order], self.learned[fit][order]
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
+        key = key[first]
+        n = np.add.reduceat(learned.astype(np.int64), first) if len(first) else first
+        history, word = key // self.words, key % self.words
+        mark = np.zeros(len(self.keys[-1]), bool)
+        mark[before[valid]] = True
+        mark[history] = False
+        alone = np.flatnonzero(mark)
+        hashed, tag = self.hashes[-1][history], self.tags[word]
+        hot = _places(level.hot, hashed) >= 0
+        spread = np.where(hot, _longer(hashed, tag), mix(hashed ^ np.uint64(level.size)))
+        alone = alone[_places(level.hot, self.hashes[-1][alone]) < 0]
+        lonely = self.hashes[-1][alone]
+        spread = np.concatenate([spread, mix(lonely ^ np.uint64(level.size))])
+        none = np.full(len(alone), -1, np.int64)
+        bucket = (spread % np.uint64(level.buckets)).astype(np.int64)
+        hashed, history = np.concatenate([hashed, lonely]), np.concatenate([history, alone])
+        tag, key, n = np.concatenate([tag, none.view(np.uint64)]), np.concatenate([key, none]), np.concatenate([n, none])
+        order = np.lexsort((tag, hashed, bucket))
+        return tuple(x[order] for x in (bucket, hashed, history, tag, key, n))
+
+    def answered(self, level: Level, bodies: list[pa.Scalar]) -> None:
+        """Take the answers, by bucket, to what was asked: the next kept grams, and what follows the last ones."""
+        bucket, hashed, history, _, key, _ = self.asked(level)
+        counts, sums = [], []
+        for body in bodies:
+            numbers = _unpacked(body, "<i8")
+            grams = int(numbers[0])
+            counts.append(numbers[1 : grams + 1])
+            sums.append(numbers[grams + 1 :].reshape(2, -1))
+        gram = key >= 0
+        count = np.concatenate([np.zeros(0, np.int64), *counts])
+        key, count = key[gram][count > 0], count[count > 0]
+        order = np.argsort(key)
+        follow = np.zeros((2, len(self.keys[-1])), np.int64)
+        group = np.append(True, (hashed[1:] != hashed[:-1]) | (bucket[1:] != bucket[:-1])) if len(hashed) else gram
+        follow[:, history[group]] = np.concatenate([np.zeros((2, 0), np.int64), *sums], axis=1)
+        place = _places(level.hot, self.hashes[-1])
+        if len(level.hot):
+            follow = np.where(place >= 0, level.sums[place].T, follow)
+        self._add(key[order], count[order], follow)
+
+    def automaton(self, model: Unigrams, discount: float) -> Automaton:
+        """States are the empty history, 0, and all kept grams but the longest; a state's failure arc leads to the gram
+        without its first word, with the weight of what the kept words leave over. An arc leads to the longest
+        kept gram that ends there."""
+        order = len(self.keys) - 1
+        base = np.cumsum([1, *(len(k) for k in self.keys[1:order])])  # the first state of each length, from 1
+        chance = model.chances(self.counts[1])
+        of_words, shorter = np.log10(chance), np.arange(self.words)
+        failure, weights = [np.zeros(1 + (self.words if order > 1 else 0), np.int64)], [np.zeros(1)]
+        arcs, gains, following = [], [], []
+        for size in range(2, order + 1):
+            keys, count, every = self.keys[size], self.counts[size], np.maximum(self.counts[size - 1], 1)
+            history, word = keys // self.words, keys % self.words
+            kept, kinds = self.follow[size - 1]
+            weight = np.where(kinds > 0, np.maximum(1 - (kept - discount * kinds) / every, 1e-12), 1.0)
+            # the gram without its first word: kept as well, since it occurs at least as often
+            suffix = word if size == 2 else _places(self.keys[size - 1], shorter[history] * self.words + word)
+            chance = (count - discount) / every[history] + weight[history] * chance[suffix]
+            shorter = suffix
+            weights.append(np.log10(weight))
+            arcs.append((base[size - 2] + history) * self.words + word)
+            gains.append(np.log10(chance))
+            last = size == order
+            following.append(base[size - 2] + suffix if last else base[size - 1] + np.arange(len(keys)))
+            if not last:
+                failure.append(base[size - 2] + suffix)
+        none = np.zeros(0, np.int64)
+        return Automaton(
+            self.words, of_words, np.concatenate([none, *arcs]), np.concatenate([none.astype(float), *gains]),
+            np.concatenate([none, *following]), np.concatenate(failure), np.concatenate(weights), order,
+        )
+
+
+@dataclass(frozen=True)
+class Automaton:
+    """Arcs by state times ``words`` plus word, sorted; failure arcs and their log weights by state."""
+
+    words: int
+    of_words: np.ndarray
+    arcs: np.ndarray
+    gains: np.ndarray
+    following: np.ndarray
+    failure: np.ndarray
+    weights: np.ndarray
+    order: int
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and the log probabilities of the words: along failure arcs until one has an arc."""
+        gain, following = np.zeros(len(state)), np.empty(len(state), np.int64)
+        left = np.arange(len(state))
+        while len(left):
+            own, of = state[left], word[left]
+            empty = own == 0
+            done = left[empty]
+            gain[done] += self.of_words[of[empty]]
+            following[done] = 1 + of[empty] if self.order > 1 else 0
+            left, own, of = left[~empty], own[~empty], of[~empty]
+            at = _places(self.arcs, own * self.words + of)
+            hit = at >= 0
+            gain[left[hit]] += self.gains[at[hit]]
+            following[left[hit]] = self.following[at[hit]]
+            left, own = left[~hit], own[~hit]
+            gain[left] += self.weights[own]
+            state[left] = self.failure[own]
+        return following, gain
+
+    def walk(self, tokens: np.ndarray, sizes: np.ndarray, start: int) -> np.ndarray:
+        """The log probability of each token, from left to right, all texts in step with their states carried.
+
+        Long texts are cut into lanes that begin some words early, from the empty history: a state depends on no more
+        words than the longest kept history has.
+        """
+        firsts = np.cumsum(sizes) - sizes
+        lanes = -(-sizes // LANE)
+        text = np.repeat(np.arange(len(sizes)), lanes)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        begin = firsts[text] + number * LANE
+        length = np.minimum(sizes[text] - number * LANE, LANE)
+        early = np.where(number > 0, self.order - 1, 0)
+        if self.order > LANE:
+            raise ValueError("a lane must be longer than the longest history")
+        state = np.where(number > 0, 0, 1 + start if self.order > 1 else 0)
+        out = np.zeros(len(tokens))
+        by = np.argsort(-(length + early), kind="stable")
+        begin, early, state, total = (begin - early)[by], early[by], state[by], (length + early)[by]
+        for t in range(int(total[0]) if len(total) else 0):
+            now = int(np.searchsorted(-total, -t))  # lanes longer than t come first
+            place = begin[:now] + t
+            state[:now], gain = self.step(state[:now].copy(), tokens[place])
+            own = t >= early[:now]
+            out[place[own]] = gain[own]
+        return out
 
 
 def _requests(parts: DataFrame, level: Level) -> DataFrame:
-    """(bucket, chunk, history, tag, n): the different n-grams of each chunk, packed by bucket, with their
-    counts in training texts."""
+    """(bucket, chunk, history, followers, tag, n): what each chunk asks, packed by bucket: each history once, the
+    number of words asked behind it, and of each the tag and the count in own training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                train, sizes, vocabulary = (
-                    np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in enumerate((bool, np.int64, np.uint64), 1)
-                )
-                history, tag, bucket, at, which = _states(vocabulary[_tokens(batch.column(4)[i])], sizes, level)
-                n = np.bincount(which[np.repeat(train, sizes)[at]], minlength=len(history))
+                chunk = Chunk({c: batch.column(c)[i] for c in batch.schema.names})
+                bucket, hashed, _, tag, key, n = chunk.asked(level)
+                if not len(bucket):
+                    continue
                 numbers, firsts = np.unique(bucket, return_index=True)
-                ends = np.append(firsts[1:], len(bucket))
-                rows = [
-                    (_packed(_planes(np.diff(history[a:b], prepend=np.uint64(0)), "<u8")), tag[a:b].view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes(), _packed(_planes(n[a:b])))
-                    for a, b in zip(firsts, ends)
-                ]
-                columns = [pa.array(numbers), pa.array(np.full(len(numbers), batch.column(0)[i].as_py()))]
-                columns += [pa.array([r[c] for r in rows], pa.binary()) for c in range(3)]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "history", "tag", "n"])
-
-    return parts.select("chunk", "train", "sizes", "vocabulary", "tokens").mapInArrow(
-        run, "bucket long, chunk long, history binary, tag binary, n binary"
-    )
+                rows = []
+                for a, b in zip(firsts, np.append(firsts[1:], len(bucket))):
+                    gram = key[a:b] >= 0
+                    first = np.flatnonzero(np.append(True, hashed[a + 1 : b] != hashed[a : b - 1]))
+                    behind = np.add.reduceat(gram.astype(np.int64), first)
+                    tags = np.ascontiguousarray(tag[a:b][gram]).view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes()
+                    deltas = _planes(np.diff(hashed[a:b][first], prepend=np.uint64(0)), "<u8")
+                    rows.append((_packed(deltas), _packed(_planes(behind)), tags, _packed(_planes(n[a:b][gram]))))
+                columns = [pa.array(numbers), pa.array(np.full(len(numbers), chunk.row["chunk"].as_py()))]
+                columns += [pa.array([r[c] for r in rows], pa.binary()) for c in range(4)]
+                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "history", "followers", "tag", "n"])
+
+    return parts.mapInArrow(run, "bucket long, chunk long, history binary, followers binary, tag binary, n binary")
 
 
 def _counted(requests: DataFrame, level: Level, least: int, frequent: int) -> DataFrame:
-    """The sums over all chunks. For each request a row with four numbers of each n-gram, packed: its count,
-    0 if below ``least``, and what follows its history: all, kept, and kinds kept. These are in rows of
+    """The sums over all chunks. For each request a row, packed: the number of its grams, their counts, 0 if below
+    ``least``, and of each history what follows it that is kept, count and kinds. These are in rows of
     their own for hot histories, which are in many buckets; n-grams of ``frequent`` occurrences are
     named as the hot histories of the next level."""
     hot = level.hot
 
     def count(rows: pa.Table) -> pa.Table:
-        packed = [[_unpacked(x, kind) for x in rows[c].combine_chunks()] for c, kind in (("history", "<u8"), ("n", "<i4"))]
-        sizes = [len(x) for x in packed[1]]
-        history = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in packed[0]])
-        n = np.concatenate(packed[1]).astype(np.int64)
+        rows = rows.combine_chunks()
+        packed = {c: [_unpacked(x, kind) for x in rows[c]] for c, kind in (("history", "<u8"), ("followers", "<i4"), ("n", "<i4"))}
+        sizes, groups = ([len(x) for x in packed[c]] for c in ("n", "history"))
+        asked = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in packed["history"]])
+        history = np.repeat(asked, np.concatenate(packed["followers"]))
+        n = np.concatenate(packed["n"]).astype(np.int64)
         tag = np.zeros((len(n), 8), np.uint8)
         first = 0
-        for x, size in zip(rows["tag"].combine_chunks(), sizes):
+        for x, size in zip(rows["tag"], sizes):
             tag[first : first + size, :5] = np.frombuffer(x.as_buffer(), np.uint8).reshape(5, -1).T
             first += size
         tag = tag.view("<u8").ravel()
         order = np.lexsort((tag, history))
         h, t = history[order], tag[order]
-        other = np.append(True, h[1:] != h[:-1])
-        fresh = np.append(True, (h[1:] != h[:-1]) | (t[1:] != t[:-1]))
+        other = np.append(True, h[1:] != h[:-1])[: len(h)]
+        fresh = np.append(True, (h[1:] != h[:-1]) | (t[1:] != t[:-1]))[: len(h)]
         gram, owner = np.cumsum(fresh) - 1, np.cumsum(other)[fresh] - 1
-        total = np.add.reduceat(n[order], np.flatnonzero(fresh))
+        begin, starts = np.flatnonzero(fresh), np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)])
+        total = np.add.reduceat(n[order], begin) if len(begin) else begin
         c = np.where(total >= least, total, 0)
-        starts = np.flatnonzero(np.append(True, owner[1:] != owner[:-1]))
-        sums = np.stack([np.add.reduceat(x, starts) for x in (total, c, (c > 0).astype(np.int64))])
         names = h[other]
+        sums = np.stack([np.add.reduceat(x, starts) if len(starts) else starts for x in (c, (c > 0).astype(np.int64))])
         is_hot = _places(hot, names) >= 0
-        shown = np.where(is_hot, 0, sums)[:, owner]
-        answer = np.empty((4, len(n)), np.int64)
-        answer[:, order] = np.concatenate([c[None], shown])[:, gram]
+        counts = np.empty(len(n), np.int64)
+        counts[order] = c[gram]
+        place = _places(names, asked)
+        shown = np.where(place >= 0, np.where(is_hot, 0, sums)[:, place] if len(names) else 0, 0)
         large = np.flatnonzero(total >= frequent)
         further = _longer(h[fresh][large], t[fresh][large])
-        ends = np.cumsum(sizes)
-        bodies = [_packed(_planes(answer[:, b - s : b].ravel(), "<i8")) for s, b in zip(sizes, ends)]
+        bodies = []
+        for size, end, own, last in zip(sizes, np.cumsum(sizes), groups, np.cumsum(groups)):
+            bodies.append(_packed(_planes(np.concatenate([[size], counts[end - size : end], shown[:, last - own : last].ravel()]), "<i8")))
         k, m, f = len(bodies), int(is_hot.sum()), len(large)
         return pa.table({
-            "chunk": pa.chunked_array([rows["chunk"].combine_chunks(), pa.nulls(m + f, pa.int64())]),
+            "chunk": pa.concat_arrays([rows["chunk"].combine_chunks(), pa.nulls(m + f, pa.int64())]),
             "bucket": pa.array(np.full(k + m + f, rows["bucket"][0].as_py())),
             "body": pa.array(bodies + [None] * (m + f), pa.binary()),
             "hot": pa.array(np.concatenate([np.zeros(k, bool), np.ones(m, bool), np.zeros(f, bool)])),
             "name": pa.array(np.concatenate([np.zeros(k, np.int64), signed(names[is_hot]), signed(further)])),
-            **{x: pa.array(np.concatenate([np.zeros(k, np.int64), sums[i][is_hot], np.zeros(f, np.int64)])) for i, x in enumerate(("every", "kept", "kinds"))},
+            **{x: pa.array(np.concatenate([np.zeros(k, np.int64), sums[i][is_hot], np.zeros(f, np.int64)])) for i, x in enumerate(("kept", "kinds"))},
         })
 
     return requests.groupBy("bucket").applyInArrow(
-        count, "chunk long, bucket long, body binary, hot boolean, name long, every long, kept long, kinds long"
+        count, "chunk long, bucket long, body binary, hot boolean, name long, kept long, kinds long"
     )
 
 
-def fit_levels(parts: DataFrame, counts: DataFrame, *, order: int, share: float) -> tuple[Unigrams, list[Level], list[DataFrame]]:
-    """Count n-grams over all training texts and bring each chunk the numbers of its own.
+def _count_level(parts: DataFrame, size: int, buckets: int, names: np.ndarray, least: int, frequent: int) -> tuple[Level, DataFrame, str]:
+    """The level with its hot histories, the answers to all chunks, and where they are written."""
+    level = Level(size, buckets, names, np.zeros((len(names), 2), np.int64))
+    found, path = _write(_counted(_requests(parts, level), level, least, frequent))
+    sums = found.where("hot").groupBy("name").agg(*(F.sum(x) for x in ("kept", "kinds"))).toArrow()
+    places = _places(names, sums["name"].to_numpy().astype(np.int64).view(np.uint64))
+    level.sums[places] = np.stack([x.to_numpy() for x in sums.columns[1:]], axis=1)
+    return level, found, path
 
-    An n-gram is kept if it occurs twice and makes up at least ``share`` of all training tokens. Only
-    frequent histories, at most 1 / HOT of each length, go through the driver.
-    """
-    tokens, distinct, once, twice = (
-        int(x)
-        for x in counts.agg(
-            F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
-        ).first()
-    )
-    least, frequent = max(2, math.ceil(share * tokens)), max(2, math.ceil(HOT * tokens))
-    spark = parts.sparkSession
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count())
-    hot = counts.where(F.col("c") >= frequent).select(F.col("word").alias("name"))
-    levels, answers = [], []
-    for size in range(2, order + 1):
-        names = np.sort(hot.toArrow()["name"].to_numpy().astype(np.int64).view(np.uint64))
-        level = Level(size, buckets, names, np.zeros((len(names), 3), np.int64))
-        found = _write(_counted(_requests(parts, level), level, least, frequent if size < order else tokens + 1))
-        sums = found.where("hot").groupBy("name").agg(*(F.sum(x) for x in ("every", "kept", "kinds"))).toArrow()
-        level.sums[_places(names, sums["name"].to_numpy().astype(np.int64).view(np.uint64))] = np.stack([x.to_numpy() for x in sums.columns[1:]], axis=1)
-        levels.append(level)
-        answers.append(found.where("chunk IS NOT NULL").select("chunk", F.lit(size).alias("size"), "bucket", "body"))
-        hot = found.where("chunk IS NULL AND NOT hot").select("name")
-        spark._jvm.System.gc()  # the driver's: Spark deletes the shuffled requests of this level, which may be large
-    return Unigrams(tokens, distinct, once / (once + 2 * twice) if once and twice else 0.5), levels, answers
-
-
-def _walk(words: np.ndarray, sizes: np.ndarray, chance: np.ndarray, levels: list[Level], answers: list[list[pa.Scalar]], discount: float) -> np.ndarray:
-    """The probability of each token. A token's states are its last words, so all texts go through the
-    automaton at once, from the empty history up: p(w | h) = (c(hw) - d) / c(h) + weight(h) * p(w | shorter h),
-    where the weight is that of the arc to the shorter history, 1 if nothing kept follows h."""
-    chance = chance.copy()
-    for level, bodies in zip(levels, answers):
-        history, _, _, at, which = _states(words, sizes, level)
-        if not len(at):
-            continue
-        n, every, kept, kinds = np.concatenate([_unpacked(x, "<i8").reshape(4, -1) for x in bodies], axis=1)
-        if len(level.hot):
-            place = _places(level.hot, history)
-            every, kept, kinds = np.where(place >= 0, level.sums[place].T, [every, kept, kinds])
-        every = np.maximum(every, 1)
-        own = np.where(n > 0, n - discount, 0) / every
-        weight = np.where(kinds > 0, np.maximum(1 - (kept - discount * kinds) / every, 1e-12), 1.0)
-        chance[at] = own[which] + weight[which] * chance[at]
-    return chance
+
+def _told(left: pa.Table, right: pa.Table, level: Level | None) -> Chunk:
+    """A chunk with the counts of its words and the answers of a level, as far as they came."""
+    row = {c: left[c][0] for c in left.column_names}
+    counted = right.filter(pc.is_valid(right["place"]))
+    if counted.num_rows or level is None or level.size == 2:
+        c = np.zeros(len(row["vocabulary"].as_buffer()) // 8, np.int64)
+        c[counted["place"].to_numpy()] = counted["c"].to_numpy()
+        row["counts"] = pa.scalar(c.tobytes(), pa.binary())
+    chunk = Chunk(row)
+    if level is not None:
+        chunk.answered(level, list(right.filter(pc.is_valid(right["body"])).sort_by("bucket")["body"]))
+    return chunk
+
+
+def _grower(shared: Broadcast):
+    """The chunks as they were, with the answers of one level more."""
+
+    def grow(left: pa.Table, right: pa.Table) -> pa.Table:
+        known = _told(left, right, shared.value)
+        columns = {c: left[c] for c in left.column_names}
+        columns["counts"] = pa.array([known.row["counts"].as_py()], pa.binary())
+        columns["levels"] = pa.array([known.levels()], pa.list_(pa.binary()))
+        return pa.table(columns)
+
+    return grow
 
 
 def score_texts(
@@ -322,50 +502,74 @@ def score_texts(
 ) -> DataFrame:
     """(id, train, n_tokens, n_known, train_tokens, base_score, score) of each document.
 
-    Tokens are words between ASCII white space, A-Z lower-cased, and one end per text. Word counts of
-    all training texts, however rare, are gathered by an aggregate and go back to each chunk of texts
-    for its own dictionary; so do the counts of all n-grams that occur twice (and make up a ``share`` of the
-    corpus, if one is asked for), as states and arcs of an automaton for each chunk. ``base_score`` is the add-one unigram score in log10; ``score`` is the automaton's: p(w | h)
-    by interpolated absolute discounting, arcs of weight to shorter histories where a word was not seen,
-    and at the empty history a discounted unigram that leaves unseen words, as one, the discounts. It is a
-    distribution over the known words and one unknown word. Null and empty texts are an end alone; a null
+    Tokens are words between ASCII white space, A-Z lower-cased, and one end per text. Texts are dealt to chunks. Word
+    counts of all training texts, however rare, are gathered by an aggregate and go back to each chunk of texts
+    for its own dictionary; then, length by length, each chunk asks for the n-grams it has that may have been kept, for
+    both their parts were: an n-gram is kept if it occurs twice (and makes up a ``share`` of the corpus, if one is
+    asked for). ``base_score`` is the add-one unigram score in log10. ``score`` is that of the chunk's automaton:
+    states are kept histories, arcs the words kept behind them, a failure arc leads to the longest kept suffix, and
+    one pass from left to right carries the state of each text. p(w | h) is interpolated absolute discounting, and
+    at the empty history a discounted unigram that leaves unseen words, as one, the discounts; so it is a
+    distribution over the known words and one unknown word. Only frequent histories, at most 1 / HOT of each length,
+    go through the driver. Null and empty texts are an end alone; a null
     ``train`` counts as false; rows that repeat count each; without training texts all scores are 0;
     an empty table gives no rows.
     """
+    spark = docs.sparkSession
+    with session_settings(spark, {CLEANUP: "true"}):
+        return _score(docs, train, id, text, order, share, discount, chunk)
+
+
+def _score(docs: DataFrame, train: Column, id: str, text: str, order: int, share: float, discount: float, chunk: int) -> DataFrame:
+    spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
-    parts = _write(chunks(rows, chunk))
+    parts, path = _write(chunks(rows, chunk))
     words = _word_rows(parts)
     counts = stage(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    unigrams, levels, answers = fit_levels(parts, counts, order=order, share=share)
-    shared = docs.sparkSession.sparkContext.broadcast((unigrams, levels))
-    back = words.select("word", "at").join(counts, "word").select(
-        F.shiftright("at", PLACE).alias("chunk"), F.col("at").bitwiseAND((1 << PLACE) - 1).cast("int").alias("place"), "c"
+    tokens, distinct, once, twice = (
+        int(x)
+        for x in counts.agg(
+            F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
+        ).first()
     )
-    for answer in answers:
-        back = back.unionByName(answer, allowMissingColumns=True)
+    model = Unigrams(tokens, distinct, once / (once + 2 * twice) if once and twice else 0.5)
+    least, frequent = max(2, math.ceil(share * tokens)), max(2, math.ceil(HOT * tokens))
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count())
+    hot = counts.where(F.col("c") >= frequent).select(F.col("word").alias("name"))
+    answers = words.select("word", "chunk", "place").join(counts, "word").select("chunk", "place", "c")
     kind = docs.schema[id].dataType.simpleString()
+    level = None
+    for size in range(2, order + 1):
+        names = np.sort(hot.toArrow()["name"].to_numpy().astype(np.int64).view(np.uint64))
+        level, found, found_path = _count_level(parts, size, buckets, names, least, frequent if size < order else tokens + 1)
+        own = found.where("chunk IS NOT NULL").select("chunk", "bucket", "body")
+        answers = answers.unionByName(own, allowMissingColumns=True) if size == 2 else own.withColumns({"place": F.lit(None).cast("int"), "c": F.lit(None).cast("long")})
+        if size == order:
+            break
+        hot = stage(found.where("chunk IS NULL AND NOT hot").select("name"), "hot")
+        shared = spark.sparkContext.broadcast(level)
+        grown, grown_path = _write(parts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_grower(shared), _chunk_schema(kind)))
+        for old in (path, found_path):
+            _delete(spark, old)
+        parts, path = grown, grown_path
+    if level is None:
+        answers = answers.withColumns({"bucket": F.lit(None).cast("long"), "body": F.lit(None).cast("binary")})
+    shared = spark.sparkContext.broadcast((model, level))
     names = ["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        model, levels = shared.value
-        row = {c: left[c][0] for c in left.column_names}
-        train, sizes, vocabulary = (
-            np.frombuffer(row[c].as_buffer(), t) for c, t in (("train", bool), ("sizes", np.int64), ("vocabulary", np.uint64))
-        )
-        token = _tokens(row["tokens"])
-        c = np.zeros(len(vocabulary), np.int64)
-        counted = right.filter(pc.is_valid(right["place"]))
-        c[counted["place"].to_numpy()] = counted["c"].to_numpy()
-        bodies = [right.filter(pc.equal(right["size"], x.size)).sort_by("bucket")["body"] for x in levels] 
+        model, level = shared.value
+        known = _told(left, right, level)
+        sizes, c = known.sizes, known.counts[1]
+        token = known.sequence[~known.pad]
         firsts = np.cumsum(sizes) - sizes
         base = np.log10((c + 1) / (model.tokens + model.distinct + 1))
-        chance = _walk(vocabulary[token], sizes, model.chances(c)[token], levels, bodies, discount)
+        gains = known.automaton(model, discount).walk(token, sizes, int(known.sequence[0]))
         return pa.table([
-            row["ids"].values, pa.array(train), pa.array(sizes), pa.array(np.add.reduceat((c > 0)[token].astype(np.int64), firsts)),
-            pa.array(np.full(len(sizes), model.tokens, np.int64)), pa.array(np.add.reduceat(base[token], firsts)), pa.array(np.add.reduceat(np.log10(chance), firsts)),
+            known.row["ids"].values, pa.array(known.train), pa.array(sizes), pa.array(np.add.reduceat((c > 0)[token].astype(np.int64), firsts)),
+            pa.array(np.full(len(sizes), model.tokens, np.int64)), pa.array(np.add.reduceat(base[token], firsts)), pa.array(np.add.reduceat(gains, firsts)),
         ], names)
 
-    texts = parts.select("chunk", "ids", "train", "sizes", "tokens", "vocabulary")
-    return texts.groupBy("chunk").cogroup(back.groupBy("chunk")).applyInArrow(
+    return parts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
         score, f"id {kind}, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

@@ -236,6 +236,17 @@ def test_scores_whatever_histories_are_hot(spark, monkeypatch, hot):
     assert got == {i: pytest.approx(x[-1]) for i, x in brute_model(rows, 3, 0, 0.75).items()}
 
 
+@pytest.mark.parametrize("order", [2, 3, 4])
+def test_long_texts_go_through_in_lanes(spark, order):
+    """Lanes after the first begin some words early; their scores are those of one pass."""
+    rng = random.Random(7)
+    sizes = [1, automaton.LANE - 1, automaton.LANE, automaton.LANE + 1, 3 * automaton.LANE, 1_000, 2_000]
+    rows = [(i, " ".join(f"w{int(rng.paretovariate(0.7)) % 30}" for _ in range(n)), i != 2) for i, n in enumerate(sizes)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t, _ in rows], DOCS)
+    got = {r.id: r.score for r in automaton.score_texts(docs, F.col("doc_id") != 2, order=order, chunk=2_500).collect()}
+    assert got == {i: pytest.approx(x[-1]) for i, x in brute_model(rows, order, 0, 0.75).items()}
+
+
 def test_pairs_that_occur_twice_count_in_a_large_corpus(spark):
     rng = random.Random(6)
     texts = [" ".join(f"w{rng.randrange(300)}" for _ in range(4_000)) for _ in range(60)]  # of 240,000, 2 are less than 1e-5
