@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ruleframe.functions.calls import calls_any, expand_calls, replace_calls
 from ruleframe.functions.levels import level_number
 from ruleframe.operators.distinct import RunningDistincts, attach_running_distinct
-from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_table
+from ruleframe.operators.groups import AGGREGATES, GroupValues, attach_groups, group_table, group_tables
 from ruleframe.operators.running import RunningValues, attach_running, by_running_values
 from ruleframe.operators.sliding import SlidingValues, attach_sliding, by_sliding_sums
 from ruleframe.session import session_settings, stage
@@ -149,9 +149,9 @@ def _apply(
         # below once more per level, doubling the work each time; a written table is read instead.
         df = _aliased(stage(df, "level"), view)
     source = df
-    for keys, values in found.by_keys().items():
-        groups = group_table(source, keys, values)
-        df = attach_groups(df, keys, stage(groups, "groups") if stage_groups else groups, values)
+    keep = (lambda groups: stage(groups, "groups")) if stage_groups else None
+    for keys, groups, values in group_tables(source, found.by_keys(), keep):
+        df = attach_groups(df, keys, groups, values)
     for window, values in running.by_window().items():
         df = _aliased(attach_running(df, window, values, view, blocks), view)
     for (window, frame), values in sliding.by_frame().items():

@@ -10,7 +10,7 @@ adaptive execution splits.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -201,6 +201,55 @@ def group_table(df: DataFrame, keys: Sequence[str], values: Mapping[str, GroupVa
     return both.withColumnsRenamed({own: name for name, own in own_names.items()})
 
 
+def group_tables(
+    df: DataFrame,
+    by_keys: Mapping[tuple[str, ...], Mapping[str, GroupValue]],
+    keep: Callable[[DataFrame], DataFrame] | None,
+) -> list[tuple[tuple[str, ...], DataFrame, Mapping[str, GroupValue]]]:
+    """(keys, group table, values) of each key set, with as few passes over ``df`` as possible.
+
+    A key set that lies inside another one is rolled up from that one's table, of the one with the fewest keys,
+    if the parts of its values can be combined; the finer table carries them along. So PARTITION BY a, b, c and
+    a, b and a and nothing read the rows once. ``keep`` writes a table before others read it; without it
+    every key set groups the rows itself.
+    """
+    sets = sorted(by_keys, key=len, reverse=True)
+    finer: dict[tuple[str, ...], tuple[str, ...]] = {}
+    if keep is not None:
+        for keys in sets:
+            over = [other for other in sets if set(keys) < set(other)]
+            if over and all(v.call in COMBINED and v.parts() is not None for v in by_keys[keys].values()):
+                finer[keys] = over[-1]
+    carried: dict[tuple[str, ...], dict[str, GroupValue]] = {keys: {} for keys in sets}
+    for keys in reversed(sets):  # coarse ones first: what they need goes up to the finest
+        if keys in finer:
+            needed = {**by_keys[keys], **carried[keys]}
+            carried[finer[keys]] |= {name: replace(value, keys=finer[keys]) for name, value in needed.items()}
+    tables: dict[tuple[str, ...], DataFrame] = {}
+    for keys in sets:
+        values = {**by_keys[keys], **carried[keys]}
+        if keys in finer:
+            table = _rolled_up(df, tables[finer[keys]], finer[keys], keys, values)
+        else:
+            table = group_table(df, keys, values)
+        tables[keys] = table if keep is None else keep(table)
+    return [(keys, _only(tables[keys], keys, by_keys[keys]), by_keys[keys]) for keys in by_keys]
+
+
+def _only(table: DataFrame, keys: Sequence[str], values: Iterable[str]) -> DataFrame:
+    return table.select(*[f"__key_{i}" for i in range(len(keys))], *values)
+
+
+def _rolled_up(
+    df: DataFrame, table: DataFrame, finer: Sequence[str], keys: Sequence[str], values: Mapping[str, GroupValue]
+) -> DataFrame:
+    """The group table of ``keys`` from that of a finer key set. Types are those of the values over ``df``."""
+    types = df.agg(F.count("*"), *[value.column().alias(name) for name, value in values.items()]).schema
+    own = [F.col(f"__key_{finer.index(key)}").alias(f"__key_{i}") for i, key in enumerate(keys)]
+    combined = [value.combine([F.col(name)]).cast(types[name].dataType).alias(name) for name, value in values.items()]
+    return table.groupBy(*own).agg(*combined)
+
+
 def _by_rank(rows: DataFrame, values: Mapping[str, GroupValue]) -> dict[str, tuple[str, float]]:
     """Percentiles of numbers, by name; those of intervals are left to Spark."""
     found = {n: value_and_share(v.call, expand_calls(v.args)) for n, v in values.items() if v.call in PERCENTILES}

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from ruleframe.operators.derive import Rule, derive
 from ruleframe.operators.lineage import lowest_levels, rule_lineage
+from ruleframe.operators.sketches import (
+    DISTINCT_ERROR,
+    column_histogram,
+    merged_statistics,
+    partition_statistics,
+    replaced_partitions,
+)
 from ruleframe.operators.temporal import join_as_of, join_intervals
+from ruleframe.session import stage
 from ruleframe.workloads.data import PART_RULES, rules_from, table
 from ruleframe.workloads.registry import query
 
@@ -135,3 +143,38 @@ SELECT t AS TableName, c AS ColumnName, CASE WHEN max(steps) < 45 THEN CAST(max(
 def rule_lowest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lowest level of each column; none where it depends on a cycle."""
     return lowest_levels(rules_from(spark, sf_dir, PART_RULES))
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS num_nulls, CAST(min({c}) AS VARCHAR) AS min, "
+    f"CAST(max({c}) AS VARCHAR) AS max, true AS near, {middle} AS middle_near FROM (SELECT *, nullif(o_orderstatus, 'F') AS open FROM orders)"
+    for c, middle in (("o_orderkey", "true"), ("o_custkey", "true"), ("open", "NULL"))
+))
+def merged_statistics_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of a table from those of its partitions, stored, and renewed for one partition only.
+
+    Counts and bounds are exact; distinct counts and medians are compared with the exact ones, and are near.
+    """
+    orders = table(spark, sf_dir, "orders").withColumn("open", F.expr("nullif(o_orderstatus, 'F')"))
+    columns, by = ["o_orderkey", "o_custkey", "open"], ["o_orderpriority"]
+    before = stage(partition_statistics(orders.where("o_orderkey % 2 = 0 OR o_orderpriority <> '5-LOW'"), by, columns), "statistics")
+    renewed = partition_statistics(orders.where("o_orderpriority = '5-LOW'"), by, columns)
+    merged = merged_statistics(stage(replaced_partitions(before, renewed, by), "statistics"))
+    exact = orders.select(F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).cast("string").alias("v"), F.col(c).try_cast("double").alias("x")) for c in columns])).alias("e"))
+    exact = exact.select("e.*").groupBy("of").agg(F.count_distinct("v").alias("n"), F.percentile("x", 0.45).alias("low"), F.percentile("x", 0.55).alias("high"))
+    joined = merged.join(exact, merged["column_name"] == exact["of"])
+    near = F.abs(F.col("distinct_count") - F.col("n")) <= F.ceil(5 * DISTINCT_ERROR * F.col("n"))
+    middle = F.col("quantiles")[1].between(F.col("low"), F.col("high"))
+    return joined.select("column_name", "row_count", "num_nulls", "min", "max", near.alias("near"), middle.alias("middle_near"))
+
+
+@query("""
+WITH edges AS (SELECT DISTINCT unnest(quantile_cont(CAST(value AS DOUBLE), [0.0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1.0])) AS edge FROM events),
+bounds AS (SELECT row_number() OVER (ORDER BY edge) AS bucket, edge AS low, lead(edge) OVER (ORDER BY edge) AS high FROM edges)
+SELECT CAST(bucket AS INTEGER) AS bucket, round(low, 6) AS low, round(high, 6) AS high, count(*) AS rows, count(DISTINCT value) AS "values"
+FROM bounds JOIN events ON (value > low OR bucket = 1 AND value >= low) AND value <= high WHERE high IS NOT NULL GROUP BY bucket, low, high
+""")
+def column_histogram_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Equi-height buckets with exact counts, written to a table and read back."""
+    found = stage(column_histogram(table(spark, sf_dir, "events"), "value"), "histogram")
+    return found.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
