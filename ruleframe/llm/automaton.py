@@ -20,9 +20,9 @@ from ruleframe.session import fresh_path, session_settings, stage
 #: The hash of the token that ends every text.
 END = np.uint64(0x656E64)
 #: Tokens of a chunk: texts that share one dictionary and are scored together.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Tokens of a lane: longer texts go through the automaton in several, side by side.
-LANE = 256
+LANE = 128
 #: Shuffled files go when the query that needed them has ended, so that a level's requests do not outlive its answers.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Histories of at least this share of all training tokens are dealt out with the words that follow them.
@@ -150,20 +150,66 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
     )
 
 
-def _word_rows(parts: DataFrame) -> DataFrame:
-    """(word, chunk, place, n): the dictionaries of all chunks, with counts in training texts."""
+def _rows(columns: dict[str, list], **one) -> pa.RecordBatch:
+    size = len(next(iter(columns.values())))
+    arrays = [pa.array(v, pa.binary()) if k not in ("bucket",) else pa.array(v) for k, v in columns.items()]
+    return pa.RecordBatch.from_arrays([*arrays, *(pa.array(np.full(size, v)) for v in one.values())], [*columns, *one])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _cuts(bucket: np.ndarray) -> list[tuple[int, int, int]]:
+    """(bucket, first, end) of each run of a sorted array."""
+    numbers, firsts = np.unique(bucket, return_index=True)
+    return list(zip(numbers.tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(bucket)]))
+
+
+def _by_bucket(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order of words by bucket and hash, and their buckets in that order."""
+    bucket = (mix(words) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(words)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    return order, bucket[order]
+
+
+def _count_words(parts: DataFrame, buckets: int) -> DataFrame:
+    """The counts of all words over all chunks: for each chunk and bucket a row, packed in the order of
+    :func:`_by_bucket`; for each bucket a row of totals (tokens, distinct, once, twice); and the words that
+    occur often, named with their counts."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                words = np.frombuffer(batch.column(1)[i].as_buffer(), np.int64)
+                words = np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64)
                 n = np.frombuffer(batch.column(2)[i].as_buffer(), np.int64)
-                chunk, place = np.full(len(words), batch.column(0)[i].as_py()), np.arange(len(words), dtype=np.int32)
-                for first in range(0, len(words), 50_000):
-                    cut = slice(first, first + 50_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(x[cut]) for x in (words, chunk, place, n)], ["word", "chunk", "place", "n"])
+                order, bucket = _by_bucket(words, buckets)
+                words, n, cuts = words[order], n[order], _cuts(bucket)
+                yield _rows({
+                    "bucket": [k for k, _, _ in cuts],
+                    "word": [_packed(_planes(np.diff(words[a:b], prepend=np.uint64(0)), "<u8")) for _, a, b in cuts],
+                    "n": [_packed(_planes(n[a:b], "<i8")) for _, a, b in cuts],
+                }, chunk=batch.column(0)[i].as_py())
 
-    return parts.select("chunk", "vocabulary", "counts").mapInArrow(run, "word long, chunk long, place int, n long")
+    def count(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        asked = [np.cumsum(_unpacked(x, "<u8"), dtype=np.uint64) for x in rows["word"]]
+        n = np.concatenate([_unpacked(x, "<i8") for x in rows["n"]])
+        words, which = np.unique(np.concatenate(asked), return_inverse=True)
+        c = np.bincount(which, weights=n, minlength=len(words)).astype(np.int64)
+        ends = np.cumsum([len(x) for x in asked])
+        found = c[which]
+        totals = [int(c.sum()), int((c > 0).sum()), int((c == 1).sum()), int((c == 2).sum())]
+        # In a bucket no more than 1 / HOT words can be frequent, and there are as many buckets as chunks at least.
+        often = np.flatnonzero(c >= max(2, HOT * totals[0]))
+        k, f = len(asked), len(often)
+        return pa.table({
+            "chunk": pa.concat_arrays([rows["chunk"].combine_chunks(), pa.nulls(1 + f, pa.int64())]),
+            "bucket": pa.array(np.full(k + 1 + f, rows["bucket"][0].as_py())),
+            "body": pa.array([_packed(_planes(found[e - len(x) : e], "<i8")) for x, e in zip(asked, ends)] + [None] * (1 + f), pa.binary()),
+            "name": pa.concat_arrays([pa.nulls(k + 1, pa.int64()), pa.array(signed(words[often]))]),
+            "totals": pa.array([None] * k + [totals] + [[int(x)] for x in c[often]], pa.list_(pa.int64())),
+        })
+
+    asked = parts.select("chunk", "vocabulary", "counts").mapInArrow(ask, "bucket long, word binary, n binary, chunk long")
+    return asked.groupBy("bucket").applyInArrow(count, "chunk long, bucket long, body binary, name long, totals array<long>")
 
 
 def _longer(history: np.ndarray, tag: np.ndarray) -> np.ndarray:
@@ -184,8 +230,8 @@ class Chunk:
     """A chunk with the n-grams it knows to be kept, level by level.
 
     The kept grams of ``size`` words are numbered by ``keys[size]``, sorted: the number of the gram without its last
-    word, times the size of the dictionary, plus that word. Every word is kept. Where ``at[size]`` is not -1, a
-    kept gram of that number ends; ``hashes[size]`` are the same in all chunks.
+    word, times the size of the dictionary, plus that word. Every word is kept. ``hashes[size]`` are the same
+    in all chunks.
     """
 
     def __init__(self, row: dict[str, pa.Scalar]):
@@ -206,7 +252,7 @@ class Chunk:
         self.keys: list[np.ndarray] = [None, np.arange(self.words)]
         self.counts: list[np.ndarray] = [None, counts]
         self.hashes: list[np.ndarray] = [None, self.vocabulary]
-        self.at: list[np.ndarray] = [None, self.sequence]
+        self._at: list[np.ndarray | None] = [None, self.sequence]
         self.follow: list[np.ndarray] = [None]  # of each kept gram, what follows it that is kept: count and kinds
         bodies = [] if row["levels"].as_py() is None else list(row["levels"])
         for first in range(0, len(bodies), 3):
@@ -215,14 +261,21 @@ class Chunk:
 
     def _add(self, keys: np.ndarray, counts: np.ndarray, follow: np.ndarray) -> None:
         history, word = keys // self.words, keys % self.words
-        at = np.full(len(self.sequence), -1, np.int64)
-        place = np.flatnonzero(~self.pad & (np.append(-1, self.at[-1][:-1]) >= 0))
-        at[place] = _places(keys, self.at[-1][place - 1] * self.words + self.sequence[place])
         self.follow.append(follow)
         self.hashes.append(_longer(self.hashes[-1][history], self.tags[word]))
         self.keys.append(keys)
         self.counts.append(counts)
-        self.at.append(at)
+        self._at.append(None)
+
+    def at(self, size: int) -> np.ndarray:
+        """The number of the kept gram of ``size`` words that ends at each place, or -1."""
+        if self._at[size] is None:
+            shorter = self.at(size - 1)
+            found = np.full(len(self.sequence), -1, np.int64)
+            place = np.flatnonzero(~self.pad & (np.append(-1, shorter[:-1]) >= 0))
+            found[place] = _places(self.keys[size], shorter[place - 1] * self.words + self.sequence[place])
+            self._at[size] = found
+        return self._at[size]
 
     def levels(self) -> list[bytes]:
         return [
@@ -235,9 +288,10 @@ class Chunk:
         """What has to be asked on a level: grams whose parts, without the last and without the first word, are both
         kept, for others cannot be, and the histories of all. Sorted by bucket, history and tag:
         (bucket, hash of the history, its number, its tag, key or -1, count in own training texts)."""
-        before = np.append(-1, self.at[-1][:-1])
+        ends = self.at(len(self.keys) - 1)
+        before = np.append(-1, ends[:-1])
         valid = ~self.pad & (before >= 0)
-        fit = np.flatnonzero(valid & (self.at[-1] >= 0) if level.size > 2 else valid)
+        fit = np.flatnonzero(valid & (ends >= 0) if level.size > 2 else valid)
         key = before[fit] * self.words + self.sequence[fit]
         order = np.argsort(key)
         key, learned = key[order], self.learned[fit][order]
@@ -249,18 +303,27 @@ class Chunk:
         mark[before[valid]] = True
         mark[history] = False
         alone = np.flatnonzero(mark)
-        hashed, tag = self.hashes[-1][history], self.tags[word]
-        hot = _places(level.hot, hashed) >= 0
-        spread = np.where(hot, _longer(hashed, tag), mix(hashed ^ np.uint64(level.size)))
-        alone = alone[_places(level.hot, self.hashes[-1][alone]) < 0]
-        lonely = self.hashes[-1][alone]
-        spread = np.concatenate([spread, mix(lonely ^ np.uint64(level.size))])
+        hashes = self.hashes[-1]
+        hot = _places(level.hot, hashes) >= 0
+        alone = alone[~hot[alone]]
+        # Where a history and the words behind it go: one place for all, but for hot ones, whose words are dealt out.
+        bucket = (mix(hashes ^ np.uint64(level.size)) % np.uint64(level.buckets)).astype(np.int64)
+        gram_bucket = bucket[history]
+        dealt = hot[history]
+        own = _longer(hashes[history[dealt]], self.tags[word[dealt]])
+        gram_bucket[dealt] = (own % np.uint64(level.buckets)).astype(np.int64)
+        rank = np.empty(self.words, np.int64)  # of a word among all by its tag
+        rank[np.argsort(self.tags, kind="stable")] = np.arange(self.words)
+        by_hash = np.empty(len(hashes), np.int64)
+        by_hash[np.argsort(hashes, kind="stable")] = np.arange(len(hashes))
         none = np.full(len(alone), -1, np.int64)
-        bucket = (spread % np.uint64(level.buckets)).astype(np.int64)
-        hashed, history = np.concatenate([hashed, lonely]), np.concatenate([history, alone])
-        tag, key, n = np.concatenate([tag, none.view(np.uint64)]), np.concatenate([key, none]), np.concatenate([n, none])
-        order = np.lexsort((tag, hashed, bucket))
-        return tuple(x[order] for x in (bucket, hashed, history, tag, key, n))
+        gram_bucket, history = np.concatenate([gram_bucket, bucket[alone]]), np.concatenate([history, alone])
+        ranked = np.concatenate([rank[word], none * 0])
+        order = np.argsort(by_hash[history] * self.words + ranked)
+        order = order[np.argsort(gram_bucket[order], kind="stable")]
+        tag = np.concatenate([self.tags[word], none.view(np.uint64)])
+        key, n = np.concatenate([key, none]), np.concatenate([n, none])
+        return tuple(x[order] for x in (gram_bucket, hashes[history], history, tag, key, n))
 
     def answered(self, level: Level, bodies: list[pa.Scalar]) -> None:
         """Take the answers, by bucket, to what was asked: the next kept grams, and what follows the last ones."""
@@ -378,7 +441,7 @@ class Automaton:
 
 
 def _requests(parts: DataFrame, level: Level) -> DataFrame:
-    """(bucket, chunk, history, followers, tag, n): what each chunk asks, packed by bucket: each history once, the
+    """(bucket, history, followers, tag, n, chunk): what each chunk asks, packed by bucket: each history once, the
     number of words asked behind it, and of each the tag and the count in own training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -388,20 +451,18 @@ def _requests(parts: DataFrame, level: Level) -> DataFrame:
                 bucket, hashed, _, tag, key, n = chunk.asked(level)
                 if not len(bucket):
                     continue
-                numbers, firsts = np.unique(bucket, return_index=True)
-                rows = []
-                for a, b in zip(firsts, np.append(firsts[1:], len(bucket))):
+                cuts, rows = _cuts(bucket), []
+                for _, a, b in cuts:
                     gram = key[a:b] >= 0
                     first = np.flatnonzero(np.append(True, hashed[a + 1 : b] != hashed[a : b - 1]))
                     behind = np.add.reduceat(gram.astype(np.int64), first)
                     tags = np.ascontiguousarray(tag[a:b][gram]).view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes()
                     deltas = _planes(np.diff(hashed[a:b][first], prepend=np.uint64(0)), "<u8")
                     rows.append((_packed(deltas), _packed(_planes(behind)), tags, _packed(_planes(n[a:b][gram]))))
-                columns = [pa.array(numbers), pa.array(np.full(len(numbers), chunk.row["chunk"].as_py()))]
-                columns += [pa.array([r[c] for r in rows], pa.binary()) for c in range(4)]
-                yield pa.RecordBatch.from_arrays(columns, ["bucket", "chunk", "history", "followers", "tag", "n"])
+                columns = {"bucket": [k for k, _, _ in cuts]} | dict(zip(("history", "followers", "tag", "n"), map(list, zip(*rows))))
+                yield _rows(columns, chunk=chunk.row["chunk"].as_py())
 
-    return parts.mapInArrow(run, "bucket long, chunk long, history binary, followers binary, tag binary, n binary")
+    return parts.mapInArrow(run, "bucket long, history binary, followers binary, tag binary, n binary, chunk long")
 
 
 def _counted(requests: DataFrame, level: Level, least: int, frequent: int) -> DataFrame:
@@ -416,31 +477,29 @@ def _counted(requests: DataFrame, level: Level, least: int, frequent: int) -> Da
         packed = {c: [_unpacked(x, kind) for x in rows[c]] for c, kind in (("history", "<u8"), ("followers", "<i4"), ("n", "<i4"))}
         sizes, groups = ([len(x) for x in packed[c]] for c in ("n", "history"))
         asked = np.concatenate([np.cumsum(x, dtype=np.uint64) for x in packed["history"]])
-        history = np.repeat(asked, np.concatenate(packed["followers"]))
+        names, group = np.unique(asked, return_inverse=True)
+        owner = np.repeat(group, np.concatenate(packed["followers"]))
         n = np.concatenate(packed["n"]).astype(np.int64)
         tag = np.zeros((len(n), 8), np.uint8)
         first = 0
         for x, size in zip(rows["tag"], sizes):
             tag[first : first + size, :5] = np.frombuffer(x.as_buffer(), np.uint8).reshape(5, -1).T
             first += size
-        tag = tag.view("<u8").ravel()
-        order = np.lexsort((tag, history))
-        h, t = history[order], tag[order]
-        other = np.append(True, h[1:] != h[:-1])[: len(h)]
-        fresh = np.append(True, (h[1:] != h[:-1]) | (t[1:] != t[:-1]))[: len(h)]
-        gram, owner = np.cumsum(fresh) - 1, np.cumsum(other)[fresh] - 1
-        begin, starts = np.flatnonzero(fresh), np.flatnonzero(np.append(True, owner[1:] != owner[:-1])[: len(owner)])
+        grams = _longer(names[owner], tag.view("<u8").ravel())
+        order = np.argsort(grams)
+        sorted_grams = grams[order]
+        fresh = np.append(True, sorted_grams[1:] != sorted_grams[:-1])[: len(order)]
+        begin = np.flatnonzero(fresh)
         total = np.add.reduceat(n[order], begin) if len(begin) else begin
         c = np.where(total >= least, total, 0)
-        names = h[other]
-        sums = np.stack([np.add.reduceat(x, starts) if len(starts) else starts for x in (c, (c > 0).astype(np.int64))])
+        owners = owner[order[begin]]
+        sums = np.stack([np.bincount(owners, weights=x, minlength=len(names)).astype(np.int64) for x in (c, c > 0)])
         is_hot = _places(hot, names) >= 0
         counts = np.empty(len(n), np.int64)
-        counts[order] = c[gram]
-        place = _places(names, asked)
-        shown = np.where(place >= 0, np.where(is_hot, 0, sums)[:, place] if len(names) else 0, 0)
+        counts[order] = c[np.cumsum(fresh) - 1]
+        shown = np.where(is_hot, 0, sums)[:, group]
         large = np.flatnonzero(total >= frequent)
-        further = _longer(h[fresh][large], t[fresh][large])
+        further = sorted_grams[begin[large]]
         bodies = []
         for size, end, own, last in zip(sizes, np.cumsum(sizes), groups, np.cumsum(groups)):
             bodies.append(_packed(_planes(np.concatenate([[size], counts[end - size : end], shown[:, last - own : last].ravel()]), "<i8")))
@@ -469,17 +528,19 @@ def _count_level(parts: DataFrame, size: int, buckets: int, names: np.ndarray, l
     return level, found, path
 
 
-def _told(left: pa.Table, right: pa.Table, level: Level | None) -> Chunk:
+def _told(left: pa.Table, right: pa.Table, buckets: int, level: Level | None) -> Chunk:
     """A chunk with the counts of its words and the answers of a level, as far as they came."""
     row = {c: left[c][0] for c in left.column_names}
-    counted = right.filter(pc.is_valid(right["place"]))
-    if counted.num_rows or level is None or level.size == 2:
-        c = np.zeros(len(row["vocabulary"].as_buffer()) // 8, np.int64)
-        c[counted["place"].to_numpy()] = counted["c"].to_numpy()
+    right = right.sort_by("bucket")
+    words = right.filter(pc.equal(right["size"], 1))["body"]
+    if len(words):
+        order, _ = _by_bucket(np.frombuffer(row["vocabulary"].as_buffer(), np.uint64), buckets)
+        c = np.zeros(len(order), np.int64)
+        c[order] = np.concatenate([_unpacked(x, "<i8") for x in words])
         row["counts"] = pa.scalar(c.tobytes(), pa.binary())
     chunk = Chunk(row)
     if level is not None:
-        chunk.answered(level, list(right.filter(pc.is_valid(right["body"])).sort_by("bucket")["body"]))
+        chunk.answered(level, list(right.filter(pc.equal(right["size"], level.size))["body"]))
     return chunk
 
 
@@ -487,7 +548,8 @@ def _grower(shared: Broadcast):
     """The chunks as they were, with the answers of one level more."""
 
     def grow(left: pa.Table, right: pa.Table) -> pa.Table:
-        known = _told(left, right, shared.value)
+        level = shared.value
+        known = _told(left, right, level.buckets, level)
         columns = {c: left[c] for c in left.column_names}
         columns["counts"] = pa.array([known.row["counts"].as_py()], pa.binary())
         columns["levels"] = pa.array([known.levels()], pa.list_(pa.binary()))
@@ -524,42 +586,35 @@ def _score(docs: DataFrame, train: Column, id: str, text: str, order: int, share
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
     parts, path = _write(chunks(rows, chunk))
-    words = _word_rows(parts)
-    counts = stage(words.where("n > 0").groupBy("word").agg(F.sum("n").alias("c")), "counts")
-    tokens, distinct, once, twice = (
-        int(x)
-        for x in counts.agg(
-            F.coalesce(F.sum("c"), F.lit(0)), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)
-        ).first()
-    )
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count())
+    words, words_path = _write(_count_words(parts, buckets))
+    sums = [F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(4)]
+    tokens, distinct, once, twice = (int(x) for x in words.where("chunk IS NULL AND name IS NULL").agg(*sums).first())
     model = Unigrams(tokens, distinct, once / (once + 2 * twice) if once and twice else 0.5)
     least, frequent = max(2, math.ceil(share * tokens)), max(2, math.ceil(HOT * tokens))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count())
-    hot = counts.where(F.col("c") >= frequent).select(F.col("word").alias("name"))
-    answers = words.select("word", "chunk", "place").join(counts, "word").select("chunk", "place", "c")
+    hot = words.where(F.col("name").isNotNull() & (F.col("totals")[0] >= frequent)).select("name")
+    answers = words.where("chunk IS NOT NULL").select("chunk", F.lit(1).alias("size"), "bucket", "body")
     kind = docs.schema[id].dataType.simpleString()
     level = None
     for size in range(2, order + 1):
         names = np.sort(hot.toArrow()["name"].to_numpy().astype(np.int64).view(np.uint64))
         level, found, found_path = _count_level(parts, size, buckets, names, least, frequent if size < order else tokens + 1)
-        own = found.where("chunk IS NOT NULL").select("chunk", "bucket", "body")
-        answers = answers.unionByName(own, allowMissingColumns=True) if size == 2 else own.withColumns({"place": F.lit(None).cast("int"), "c": F.lit(None).cast("long")})
+        own = found.where("chunk IS NOT NULL").select("chunk", F.lit(size).alias("size"), "bucket", "body")
+        answers = answers.union(own) if size == 2 else own
         if size == order:
             break
         hot = stage(found.where("chunk IS NULL AND NOT hot").select("name"), "hot")
         shared = spark.sparkContext.broadcast(level)
         grown, grown_path = _write(parts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_grower(shared), _chunk_schema(kind)))
-        for old in (path, found_path):
+        for old in (path, found_path, *([words_path] if size == 2 else [])):
             _delete(spark, old)
         parts, path = grown, grown_path
-    if level is None:
-        answers = answers.withColumns({"bucket": F.lit(None).cast("long"), "body": F.lit(None).cast("binary")})
     shared = spark.sparkContext.broadcast((model, level))
     names = ["id", "train", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         model, level = shared.value
-        known = _told(left, right, level)
+        known = _told(left, right, buckets, level)
         sizes, c = known.sizes, known.counts[1]
         token = known.sequence[~known.pad]
         firsts = np.cumsum(sizes) - sizes
