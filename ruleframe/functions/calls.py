@@ -10,6 +10,7 @@ NAME = re.compile(r"[A-Za-z_]\w*")
 BLANK = re.compile(r"\s*")
 OVER = re.compile(r"\s*\bOVER\s*(?=\()", re.I)
 SUBQUERY = re.compile(r"\s*(?:SELECT|WITH|FROM|VALUES|TABLE|MAP|REDUCE)\b(?!\s*\()", re.I)
+RAW_PREFIX = re.compile(r"(?:^|\W)[rR]\Z")
 COMMENT_EDGE = re.compile(r"/\*|\*/")
 
 Replace = Callable[[str, str, "str | None"], "str | None"]
@@ -18,6 +19,9 @@ Replace = Callable[[str, str, "str | None"], "str | None"]
 def skip_quoted(text: str, at: int) -> int:
     """The end of the literal, quoted name or comment that starts at ``at``; else ``at``."""
     char = text[at]
+    if char in "'\"" and RAW_PREFIX.search(text, max(at - 2, 0), at):
+        end = text.find(char, at + 1)  # a raw literal knows no escapes
+        return len(text) if end < 0 else end + 1
     if char in "'\"":
         end = at + 1
         while end < len(text) and text[end] != char:
@@ -54,14 +58,29 @@ def closing_bracket(text: str, opening: int) -> int | None:
     return None
 
 
-def _is_subquery(inside: str) -> bool:
+def _brackets(text: str) -> dict[int, int]:
+    """Where each bracket closes, in one pass; brackets that are never closed are left out."""
+    closing, open_ = {}, []
     at = 0
-    while at < len(inside):
-        at = BLANK.match(inside, at).end()
-        end = skip_quoted(inside, at) if inside[at : at + 2] in ("--", "/*") else at
+    while at < len(text):
+        end = skip_quoted(text, at)
         if end == at:
-            return SUBQUERY.match(inside, at) is not None
+            if text[at] == "(":
+                open_.append(at)
+            elif text[at] == ")" and open_:
+                closing[open_.pop()] = at
+            end = at + 1
         at = end
+    return closing
+
+
+def _is_subquery(text: str, at: int, end: int) -> bool:
+    while at < end:
+        at = BLANK.match(text, at).end()
+        after = skip_quoted(text, at) if text[at : at + 2] in ("--", "/*") else at
+        if after == at:
+            return SUBQUERY.match(text, at, end) is not None
+        at = after
     return False
 
 
@@ -73,10 +92,8 @@ def replace_calls(text: str, replace: Replace, subqueries: bool = False) -> str:
     What stands inside a subquery belongs to other rows and is looked at with ``subqueries`` only.
     """
     out, at = [], 0
-
-    def inner(inside: str) -> str:
-        return inside if _is_subquery(inside) and not subqueries else replace_calls(inside, replace, subqueries)
-
+    closings = _brackets(text)
+    windows: dict[int, int] = {}  # the window behind the bracket that closes a kept call is kept as it is
     while at < len(text):
         end = skip_quoted(text, at)
         if end > at:
@@ -85,30 +102,37 @@ def replace_calls(text: str, replace: Replace, subqueries: bool = False) -> str:
             continue
         word = WORD.match(text, at)
         if word is None and text[at] != "(":
-            out.append(text[at])
-            at += 1
+            end = windows.get(at, at + 1)
+            out.append(text[at:end])
+            at = end
             continue
         opening = BLANK.match(text, word.end()).end() if word else at
-        closing = closing_bracket(text, opening) if text[opening : opening + 1] == "(" else None
+        closing = closings.get(opening)
         if closing is None:
             end = word.end() if word else at + 1
             out.append(text[at:end])
             at = end
             continue
-        args, end, over = text[opening + 1 : closing], closing + 1, None
+        end = closing + 1
         called = word is not None and NAME.fullmatch(word[0]) and (at == 0 or text[at - 1] not in ".`")
         if called:
             window = OVER.match(text, end)
-            last = closing_bracket(text, window.end()) if window else None
+            last = closings.get(window.end()) if window else None
+            over = None
             if last is not None:
                 over, end = text[window.end() + 1 : last], last + 1
-            new = replace(word[0].lower(), args, over)
+            new = replace(word[0].lower(), text[opening + 1 : closing], over)
             if new is not None:
                 out.append(new)
                 at = end
                 continue
-        out.append(text[at : opening + 1] + inner(args) + text[closing:end])
-        at = end
+            windows[closing] = end
+        if not subqueries and _is_subquery(text, opening + 1, closing):
+            out.append(text[at:end])
+            at = end
+            continue
+        out.append(text[at : opening + 1])  # and on with what is inside
+        at = opening + 1
     return "".join(out)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -23,26 +24,33 @@ KEYWORDS = tuple(
     """.split()
 )
 
-# Text literals and comments, and names in backticks, which may hold either's marks and are kept.
+# Text literals and comments, and names in backticks, which may hold either's marks and are kept. A raw literal
+# ends at its first quote, others escape by a backslash; both take their prefix along.
 # Each star runs over a character class or is possessive, so long texts do not recurse
 LITERALS = (
-    r"(`[^`]*`)|'[^'\\]*(?:\\.[^'\\]*)*+'|\"[^\"\\]*(?:\\.[^\"\\]*)*+\""
+    r"(`[^`]*`)|\b[rR](?:'[^']*'|\"[^\"]*\")"
+    r"|(?:\b[xX](?=['\"]))?(?:'[^'\\]*(?:\\.[^'\\]*)*+'|\"[^\"\\]*(?:\\.[^\"\\]*)*+\")"
     r"|--[^\n]*|/\*[^*]*\*+(?:[^/*][^*]*\*+)*+/"
 )
 UNITS = "YEAR|QUARTER|MONTH|WEEK|DAY|HOUR|MINUTE|SECOND|MILLISECOND|MICROSECOND|NANOSECOND"
-INTERVALS = rf"(?i)\bINTERVAL[-+.0-9 ]+(?:{UNITS})S?\b(?: +TO +(?:{UNITS})S?\b)?"
-# The unit that is the first argument of some date functions
-UNIT_ARGUMENTS = (
-    r"(?i)\b(?:EXTRACT *[(] *[A-Z_]+(?= +FROM\b)"
-    rf"|(?:TIMESTAMPDIFF|TIMESTAMPADD|DATEDIFF|DATE_DIFF|DATEADD|DATE_ADD) *[(] *(?:{UNITS})S?(?= *,))"
+# Words that are no names where they stand together, or behind another one:
+# units of an interval, the unit that is the first argument of some date functions, time zones, collations, the
+# fields of a struct type, and the path behind a colon
+PHRASES = (
+    rf"(?i)\bINTERVAL(?:[-+.0-9 ]+(?:{UNITS})S?\b)+(?: +TO +(?:{UNITS})S?\b)?"
+    r"|\bEXTRACT *[(] *[A-Z_]+(?= +FROM\b)"
+    rf"|\b(?:TIMESTAMPDIFF|TIMESTAMPADD|DATEDIFF|DATE_DIFF|DATEADD|DATE_ADD) *[(] *(?:(?:{UNITS})S?|DAYOFYEAR)(?= *,)"
+    r"|\bAT +TIME +ZONE\b|\bWITH(?:OUT)?(?: +LOCAL)? +TIME +ZONE\b|\bCOLLATE +[\w.]+"
+    r"|\bSTRUCT *<(?:[^()]|[(] *\d+ *(?:, *\d+ *)?[)])*>"
+    r"|(?<!:):(?!:) *(?: `[^`]*`|\w+)(?:[.](?: ?`[^`]*`|\w+)|\[[^\]]*\])*"
 )
-# A name, also of several parts: no number, plain or typed, and no function name before a bracket.
-# What follows a dot without a name before it is a field of a value.
+# A word that a phrase cannot do without
+PHRASE_WORDS = r"(?i)\b(?:INTERVAL|EXTRACT|TIMESTAMP(?:DIFF|ADD)|DATE_?(?:DIFF|ADD)|ZONE|COLLATE|STRUCT)\b|:"
+# A name, also of several parts, with the dot before it if it is a field of a value, and the bracket behind it
+# if it is a function
 PART = r"(?:[A-Za-z0-9_#]++|`[^`]*+`)"
-WORDS = (
-    r"(?<![A-Za-z0-9_#`.])(?![0-9]+(?:[Ee][0-9]+)?(?:[LlSsYyDdFf]|[Bb][Dd])?(?![A-Za-z0-9_#]))"
-    rf"{PART}(?:[.](?: (?=`))?{PART})*+(?! *[(])"
-)
+WORDS = rf"[.]?{PART}(?:[.](?: (?=`))?{PART})*+(?: *[(])?"
+NO_NAME = r"^[.]|[(]$|^[0-9]+(?:[Ee][0-9]+)?(?:[LlSsYyDdFf]|[Bb][Dd])?(?:[.]|$)"
 # The variables of a lambda: x -> or (x, y) ->
 LAMBDAS = r"([A-Za-z0-9_#]+|[(][A-Za-z0-9_#, ]+[)]) *->"
 
@@ -50,18 +58,19 @@ LAMBDAS = r"([A-Za-z0-9_#]+|[(][A-Za-z0-9_#, ]+[)]) *->"
 def expression_references(expression: Column | str) -> Column:
     """Distinct upper-case column names of a SQL expression, as an array.
 
-    Leaves out text literals, comments, numbers, function names, intervals, units, lambda variables
-    and keywords. ``v.top`` is one name, since only the rules can tell a column of a view from a
-    field of a column; a name in backticks is one too, whatever it holds. Works inside one row, so
-    it neither explodes nor shuffles.
+    Leaves out literals, comments, numbers, function names, intervals, units, types, collations, paths behind a
+    colon, lambda variables and keywords. ``v.top`` is one name, since only the rules can tell a column of a view
+    from a field of a column; a name in backticks is one too, whatever it holds. Works inside one row, so
+    it neither explodes nor shuffles. Patterns are tried where one of their words or marks occurs only.
     """
     col = F.col(expression) if isinstance(expression, str) else expression
-    bare = F.regexp_replace(F.regexp_replace(col, LITERALS, " $1"), INTERVALS, " ")
-    bare = F.regexp_replace(bare, UNIT_ARGUMENTS, " ( ")
+    marked = reduce(lambda a, b: a | b, [F.contains(col, F.lit(mark)) for mark in ("'", '"', "`", "--", "/*")])
+    bare = F.when(marked, F.regexp_replace(col, LITERALS, " $1")).otherwise(col)
+    bare = F.when(F.rlike(bare, F.lit(PHRASE_WORDS)), F.regexp_replace(bare, PHRASES, " , ")).otherwise(bare)
     # Upper case word by word, since words are ASCII but the text around them may not be; a long
     # text repeats its words, so only distinct ones are looked at.
-    names = F.transform(F.array_distinct(_all(bare, WORDS, 0)), lambda word: F.upper(word))
-    names = F.array_except(names, F.array(*[F.lit(word) for word in KEYWORDS]))
+    words = F.filter(F.array_distinct(_all(bare, WORDS, 0)), lambda word: ~F.rlike(word, F.lit(NO_NAME)))
+    names = F.filter(F.transform(words, lambda word: F.upper(word)), lambda name: ~name.isin(*KEYWORDS))
     variables = F.split(F.translate(F.upper(F.concat_ws(",", _all(bare, LAMBDAS, 1))), "() ", ""), ",")
     free = F.filter(names, lambda name: ~F.array_contains(variables, F.substring_index(name, ".", 1)))
     names = F.when(F.contains(col, F.lit("->")), free).otherwise(names)

@@ -222,6 +222,30 @@ def check_references_qualified(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_references(rules_from(spark, sf_dir, QUALIFIED_RULES))
 
 
+# Forms in which a rule names its own column (%), and whatever else looks like a name: the names that it refers to.
+REFERENCE_FORMS = (
+    ("X'1F' || %", ["%"]), ("concat(r'\\d', %) = r'\\'", ["%"]), ("% + INTERVAL 1 YEAR 2 MONTHS", ["%"]),
+    ("CAST(% AS STRUCT<b: INT, d: DECIMAL(10, 2)>).b > b1", ["%", "B1"]), ("CAST(% AS TIMESTAMP WITHOUT TIME ZONE)", ["%"]),
+    ("% AT TIME ZONE 'UTC'", ["%"]), ("timestampadd(DAYOFYEAR, 3, %)", ["%"]), ("% COLLATE UTF8_LCASE < e1", ["%", "E1"]),
+    ("%:b.c[0].`d e` || v.f", ["%", "V.F"]), ("%::INT + 1.5e3 * 10L", ["%"]), ("transform(%, (k, w) -> k + w + z)", ["%", "Z"]),
+    ("extract(DAY FROM %) -- it's a comment, no b", ["%"]), ("INTERVAL '1 2' DAY TO HOUR + % /* don't */", ["%"]),
+)
+
+
+@query(f"""
+SELECT p_partkey, replace(unnest(CASE p_partkey % {len(REFERENCE_FORMS)} {
+    " ".join(f"WHEN {i} THEN {names}" for i, (_, names) in enumerate(REFERENCE_FORMS))
+} END), '%', concat('C', CAST(p_partkey AS VARCHAR))) AS reference FROM part
+""")
+def expression_references_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Literals with prefixes, intervals, types, time zones, collations, paths and comments, whose words are no names."""
+    column = F.concat(F.lit("c"), F.col("p_partkey").cast("string"))
+    forms = F.array(*[F.lit(form) for form, _ in REFERENCE_FORMS])
+    form = F.element_at(forms, (F.col("p_partkey") % len(REFERENCE_FORMS) + 1).cast("int"))
+    rules = table(spark, sf_dir, "part").select("p_partkey", F.replace(form, F.lit("%"), column).alias("Expression"))
+    return rules.select("p_partkey", F.explode(expression_references("Expression")).alias("reference"))
+
+
 @query(f"""
 SELECT 'Duplicate Check' AS kind, seq_no + 1 AS line_no, TableName AS table_name,
        ColumnName AS column_name, Level AS level,

@@ -9,6 +9,7 @@ from ruleframe import (
     check_rules,
     clean_rules,
     duplicate_rows,
+    expand_calls,
     expression_references,
     load_rules,
     number_rows,
@@ -180,6 +181,12 @@ EXPRESSIONS = {
     "`it's` + c + 'x'": {"IT'S", "C"},
     "f(a)[0].field + arr[i].g + db.f(x) + 2.5e3": {"A", "ARR", "I", "X"},
     "transform(arr, x -> x.f + y.f)": {"ARR", "Y.F"},
+    r"""concat(r'\', a, R"b", X'1F', x"2A") || 'c\'d' || e""": {"A", "E"},
+    "a + INTERVAL 1 YEAR 2 MONTHS + INTERVAL '3' DAY": {"A"},
+    "CAST(a AS STRUCT<b: INT, c: MAP<STRING, STRUCT<d: DECIMAL(3, 1)>>>) = f AND g > h": {"A", "F", "G", "H"},
+    "CAST(a AS TIMESTAMP WITHOUT TIME ZONE) < b AT TIME ZONE 'UTC'": {"A", "B"},
+    "timestampadd(DAYOFYEAR, 1, a) + a:b.c['d'].e + f::INT": {"A", "F"},
+    "a COLLATE UTF8_LCASE = b": {"A", "B"},
 }
 
 
@@ -189,6 +196,15 @@ def test_expression_references(spark):
     assert found == EXPRESSIONS
 
 
+def test_calls_behind_raw_literals_and_at_any_depth():
+    assert expand_calls(r"concat(r'\', MostCommon(id) OVER (x))") == r"concat(r'\', mode(CAST(id AS STRING), true) OVER (x))"
+    assert expand_calls("car'\\'' || CollectWs(a)") == "car'\\'' || array_join(CAST(a AS ARRAY<STRING>), ',')"
+    deep = "(" * 20_000 + "MostCommon(a)" + ")" * 20_000
+    assert expand_calls(deep) == deep.replace("MostCommon(a)", "mode(CAST(a AS STRING), true)")
+    nested = "f(" * 3_000 + "CollectWs(a) OVER (CollectWs)" + ") OVER (PARTITION BY CollectWs(b))" * 3_000
+    assert expand_calls(nested).count("array_join") == 1
+
+
 def test_expression_references_of_very_long_text(spark):
     text = "a + '" + "x" * 200_000 + "' + " + "b + " * 50_000 + "c"
     df = spark.createDataFrame([(text,)], "e STRING")
