@@ -156,14 +156,14 @@ def neighbour_arguments(args: str) -> tuple[str, int, str] | None:
     return (value, int(distance), default) if re.fullmatch(r"-?\d+", distance) else None
 
 
-def cut_into_blocks(df: DataFrame, window: OrderedWindow, blocks: int = 0) -> DataFrame:
+def cut_into_blocks(df: DataFrame, window: OrderedWindow, blocks: int = 0, placed: bool = False) -> DataFrame:
     """``df`` cut along (keys, order), written to the shared folder.
 
     Adds ``__block``, numbered along the order, and the columns ``__key_0``, ``__order_0``, ...
     Rows of equal key and order follow each other by a hash of the row, and equal rows by their place in
     the sorted rows of their task; both are found again by a repeated task. So any run of rows may be cut
     apart. Writing fixes the blocks for all later steps.
-    The number of blocks is ``blocks``, or what adaptive execution makes of the session's shuffle
+    ``placed`` adds ``__in_block``, which grows along the order inside a block. The number of blocks is ``blocks``, or what adaptive execution makes of the session's shuffle
     partitions if those are more.
     """
     keys, sorting = key_names(window), _sorting(window)
@@ -173,12 +173,15 @@ def cut_into_blocks(df: DataFrame, window: OrderedWindow, blocks: int = 0) -> Da
     hashed = [F.col(f"`{name}`") for name, kind in df.dtypes if "map<" not in kind]
     helpers["__order_row"] = F.xxhash64(*hashed)
     rows = df.select("*", *[col.alias(name) for name, col in helpers.items()])
-    rows = rows.sortWithinPartitions(*keys, *sorting[:-1]).withColumn("__order_tie", F.monotonically_increasing_id())
+    rows = rows.sortWithinPartitions("__order_row").withColumn("__order_tie", F.monotonically_increasing_id())
     if blocks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
         ranged = rows.repartitionByRange(blocks, *keys, *sorting)
     else:
         ranged = rows.repartitionByRange(*keys, *sorting)
-    return stage(ranged.withColumn("__block", F.spark_partition_id()), "blocks")
+    ranged = ranged.withColumn("__block", F.spark_partition_id())
+    if placed:
+        ranged = ranged.sortWithinPartitions(*keys, *sorting).withColumn("__in_block", F.monotonically_increasing_id())
+    return stage(ranged, "blocks")
 
 
 def attach_running(
@@ -199,7 +202,8 @@ def attach_running(
     if near:
         others = {name: value for name, value in values.items() if name not in near}
         return _attach_neighbours(df, window, near, others, view, blocks)
-    rows = cut_into_blocks(df, window, blocks)
+    by_rows = all(value.rows for value in values.values())
+    rows = cut_into_blocks(df, window, blocks, placed=not by_rows)
     if view is not None:
         rows = rows.alias(view)
     keys = key_names(window)
@@ -218,14 +222,10 @@ def attach_running(
     totals = rows.groupBy("__block", *keys).agg(
         *[v.total().alias(n) for n, v in values.items()]
     )
-    runs = None
-    if not all(value.rows for value in values.values()):
-        runs = rows.groupBy(*keys, *orders).agg(
-            F.min("__block").alias("__block"), F.max("__block").alias("__last")
-        )
     if dense:
         # Every run counts once, in the block where it begins.
-        begun = runs.groupBy("__block", *keys).agg(F.count("*").alias("__begun"))
+        begun = rows.groupBy(*keys, *orders).agg(F.min("__block").alias("__block"))
+        begun = begun.groupBy("__block", *keys).agg(F.count("*").alias("__begun"))
         totals = matched(totals, begun, ["__block", *keys], "__of")
         totals = totals.withColumns({name: F.coalesce("__begun", F.lit(0)) for name in dense})
     earlier = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
@@ -237,8 +237,8 @@ def attach_running(
     # Only the first key of a block can have begun in an earlier one: one row per block at most,
     # whatever the size of the data, which is safe to broadcast.
     joined = matched(local, F.broadcast(offsets), ["__block", *keys], "__of")
-    if runs is not None:
-        parts = _cut_runs(rows, runs, keys, orders, values)
+    if not by_rows:
+        parts = _cut_runs(rows, keys, orders, values)
         parts = stage(parts, "runs") if dense else parts  # read twice below
         joined = matched(joined, F.broadcast(parts.drop("__goes_on")), ["__block", *keys, *orders], "__cut")
         if dense:
@@ -254,13 +254,12 @@ def attach_running(
         if not value.rows:
             result = value.combine(F.col(f"{name}_rest"), result)
         results.append(result.cast(types[name].dataType).alias(name))
-    kept = [F.col(f"`{name}`") for name in (rows if keep else df).columns]
+    kept = [F.col(f"`{name}`") for name in (rows if keep else df).columns if name != "__in_block"]
     return joined.select(*kept, *results)
 
 
 def _cut_runs(
     rows: DataFrame,
-    runs: DataFrame,
     keys: Sequence[str],
     orders: Sequence[str],
     values: Mapping[str, RunningValue],
@@ -268,9 +267,14 @@ def _cut_runs(
     """What the other parts of a run of equal (key, order) add to its part in a block.
 
     A value up to the last equal row takes the parts in later blocks as well, a rank does not
-    count those in earlier blocks. Each border of two blocks cuts one run at most.
+    count those in earlier blocks. Each border of two blocks cuts one run at most, the last of the one and the
+    first of the other, so that two rows per block tell which runs are cut.
     """
-    cut = runs.filter("__block < __last").select(*keys, *orders)
+    run = F.struct(*keys, *orders)
+    edges = rows.groupBy("__block").agg(F.min_by(run, "__in_block").alias("first"), F.max_by(run, "__in_block").alias("last"))
+    edges = edges.select("__block", F.explode(F.array("first", "last")).alias("run")).select("__block", "run.*")
+    spread = edges.groupBy(*keys, *orders).agg(F.min("__block").alias("__first"), F.max("__block").alias("__last"))
+    cut = spread.filter("__first < __last").select(*keys, *orders)
     parts = matched(rows, F.broadcast(cut.withColumn("__is_cut", F.lit(True))), [*keys, *orders], "__run")
     sums = [v.total().alias(n) for n, v in values.items() if not v.rows]
     parts = parts.filter("__is_cut").groupBy("__block", *keys, *orders).agg(*sums)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ruleframe.operators.derive import Rule, derive
+from ruleframe.operators.increment import attach_increment, group_state
 from ruleframe.operators.lineage import lowest_levels, rule_lineage
 from ruleframe.operators.sketches import (
     DISTINCT_ERROR,
@@ -178,3 +179,25 @@ def column_histogram_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equi-height buckets with exact counts, written to a table and read back."""
     found = stage(column_histogram(table(spark, sf_dir, "events"), "value"), "histogram")
     return found.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
+
+
+@query("""
+WITH whole AS (
+  SELECT *, sum(CAST(l_quantity AS DECIMAL(12,2))) OVER s AS quantity, count(*) OVER s AS lines, max(l_shipdate) OVER s AS latest,
+         avg(l_linenumber) OVER s AS mean_line FROM lineitem WINDOW s AS (PARTITION BY l_suppkey, l_returnflag)),
+usual AS (SELECT l_suppkey, l_returnflag, arg_min(v, (-n, v)) AS usual_line FROM (
+  SELECT l_suppkey, l_returnflag, CAST(l_linenumber AS VARCHAR) AS v, count(*) AS n FROM lineitem GROUP BY ALL) GROUP BY ALL)
+SELECT l_orderkey, l_linenumber, CAST(quantity AS DOUBLE) AS quantity, lines, latest, mean_line, usual_line
+FROM whole JOIN usual USING (l_suppkey, l_returnflag) WHERE l_orderkey % 10 = 0
+""")
+def derive_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New lines with group values over all lines, from stored states of the old ones and the new lines alone."""
+    lines = table(spark, sf_dir, "lineitem")
+    values = {
+        "quantity": "sum(CAST(l_quantity AS DECIMAL(12,2)))", "lines": "count(*)", "latest": "max(l_shipdate)",
+        "mean_line": "avg(l_linenumber)", "usual_line": "MostCommon(l_linenumber)",
+    }
+    old = group_state(lines.where("l_orderkey % 10 <> 0"), ["l_suppkey", "l_returnflag"], values)
+    old = old.stored(stage(old.sums, "sums"), stage(old.counts, "counts"))
+    found, _ = attach_increment(lines.where("l_orderkey % 10 = 0"), old)
+    return found.selectExpr("l_orderkey", "l_linenumber", "CAST(quantity AS DOUBLE) AS quantity", "lines", "latest", "mean_line", "usual_line")

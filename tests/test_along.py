@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ruleframe import Rule, derive
 from ruleframe.operators.groups import GroupValues, group_tables
+from ruleframe.operators.increment import attach_increment, group_state, group_values_of
 from ruleframe.operators.lineage import lowest_levels, rule_lineage
 from ruleframe.operators.percentiles import plain_percentiles
 from ruleframe.operators.running import OrderedWindow, cut_into_blocks
@@ -137,6 +138,51 @@ def test_rolled_up_values_equal_sparks(uneven, text):
     same_as_spark(uneven, text)
 
 
+# --- values that grow with new rows ---------------------------------------------------------------
+
+
+INCREMENT = {
+    "total": "sum(v)", "n": "count(o)", "low": "min(d)", "odd": "bool_or(v % 2 = 1)", "mean": "avg(v)", "usual": "MostCommon(o)",
+    "weighted": "WeightedAverage(v, o)", "mixed": "bit_xor(v)", "over_90": "count_if(v > 90)",
+}
+
+
+def test_increments_give_the_values_of_a_full_run(spark, uneven):
+    state = None
+    for low, high in ((0, 700), (700, 1_100), (1_100, 1_500)):
+        rows = uneven.where(f"id >= {low} AND id < {high}")
+        if state is None:
+            state = group_state(rows, ["k"], INCREMENT)
+        else:
+            found, state = attach_increment(rows, state)
+        state = state.stored(stage(state.sums, "sums"), stage(state.counts, "counts"))
+    full = group_values_of(group_state(uneven, ["k"], INCREMENT))
+    key = lambda r: (r[0] is None, r[0])
+    for a, b in zip(sorted(group_values_of(state).collect(), key=key), sorted(full.collect(), key=key), strict=True):
+        assert tuple(a) == pytest.approx(tuple(b)) if None not in tuple(a) else tuple(a) == tuple(b)
+    over = {name: f"{text} OVER (PARTITION BY k)" for name, text in INCREMENT.items()}
+    rules = [Rule(i, name, kind, 1, over[name]) for i, (name, kind) in enumerate(zip(over, [kind for _, kind in found.select(*over).dtypes]))]
+    expected = {r.id: r for r in derive(uneven, rules).where("id >= 1100").collect()}
+    for r in found.collect():
+        for name in INCREMENT:
+            assert r[name] == (pytest.approx(expected[r.id][name]) if isinstance(r[name], float) else expected[r.id][name])
+
+
+def test_increments_do_not_read_the_old_rows(spark, uneven):
+    old = stage(uneven.where("id < 1000"), "oldrows")
+    state = group_state(old, ["k"], INCREMENT)
+    state = state.stored(stage(state.sums, "sums"), stage(state.counts, "counts"))
+    found, merged = attach_increment(uneven.where("id >= 1000"), state)
+    for text in (plan(found), plan(merged.sums), plan(merged.counts)):
+        assert "/oldrows-" not in text and ("/sums-" in text or "/counts-" in text)
+
+
+@pytest.mark.parametrize("text", ["median(v)", "count(DISTINCT v)", "v + 1", "avg(CAST(v AS DECIMAL(5,1)))"])
+def test_increments_refuse_what_does_not_merge(uneven, text):
+    with pytest.raises(ValueError, match="cannot be merged"):
+        group_state(uneven, ["k"], {"x": text})
+
+
 # --- joins along time -----------------------------------------------------------------------------
 
 
