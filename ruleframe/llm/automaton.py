@@ -20,7 +20,7 @@ from ruleframe.session import fresh_path, session_settings, stage
 #: The hash of the token that ends every text.
 END = np.uint64(0x656E64)
 #: Tokens of a chunk: texts that share one dictionary and are scored together.
-CHUNK = 1 << 19
+CHUNK = 1 << 18
 #: Tokens of a lane: longer texts go through the automaton in several, side by side.
 LANE = 128
 #: Shuffled files go when the query that needed them has ended, so that a level's requests do not outlive its answers.
@@ -62,10 +62,6 @@ def _planes(numbers: np.ndarray, kind: str = "<i4") -> bytes:
     return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
 
 
-def _tokens(planes: pa.Scalar) -> np.ndarray:
-    return np.frombuffer(planes.as_buffer(), np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
-
-
 def _packed(planes: bytes) -> bytes:
     return len(planes).to_bytes(8, "little") + pa.compress(planes, "zstd", asbytes=True)
 
@@ -76,12 +72,15 @@ def _unpacked(body: pa.Scalar, kind: str) -> np.ndarray:
     return planes.T.copy().view(kind).ravel()
 
 
-def _write(rows: DataFrame) -> tuple[DataFrame, str]:
-    """Chunks in the shared folder, in small row groups: each row holds megabytes. Also the path."""
-    path, schema = fresh_path(rows.sparkSession, "chunks"), rows.schema
+def _write(*parts: DataFrame) -> tuple[DataFrame, str]:
+    """Chunks in the shared folder, in small row groups: each row holds megabytes. Also the path. Several parts are
+    written one after the other, so that what one shuffles is gone before the next begins."""
+    spark, schema = parts[0].sparkSession, parts[0].schema
+    path = fresh_path(spark, "chunks")
     options = {"parquet.block.size": 16 << 20, "parquet.enable.dictionary": "false", "compression": "zstd"}
-    rows.write.options(**options).parquet(path)
-    return rows.sparkSession.read.schema(schema).parquet(path), path
+    for rows in parts:
+        rows.write.options(**options).mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path), path
 
 
 def _delete(spark: SparkSession, path: str) -> None:
@@ -123,8 +122,8 @@ def chunks(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             learned = np.bincount(token[np.repeat(train, sizes)], minlength=len(vocabulary))
             columns = [
                 pa.array([task << 32 | number]), pa.array([ids.to_pylist()], pa.list_(ids.type)), pa.array([train.tobytes()]),
-                pa.array([sizes.astype(np.int64).tobytes()]), pa.array([_planes(token)]), pa.array([vocabulary.tobytes()]),
-                pa.array([learned.astype(np.int64).tobytes()]), pa.array([[]], pa.list_(pa.binary())),
+                pa.array([sizes.astype(np.int64).tobytes()]), pa.array([_packed(_planes(token))]), pa.array([vocabulary.tobytes()]),
+                pa.array([_packed(_planes(learned, "<i8"))]), pa.array([[]], pa.list_(pa.binary())),
             ]
             held, count = [], 0
             number += 1
@@ -179,7 +178,7 @@ def _count_words(parts: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for i in range(batch.num_rows):
                 words = np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64)
-                n = np.frombuffer(batch.column(2)[i].as_buffer(), np.int64)
+                n = _unpacked(batch.column(2)[i], "<i8")
                 order, bucket = _by_bucket(words, buckets)
                 words, n, cuts = words[order], n[order], _cuts(bucket)
                 yield _rows({
@@ -209,7 +208,7 @@ def _count_words(parts: DataFrame, buckets: int) -> DataFrame:
         })
 
     asked = parts.select("chunk", "vocabulary", "counts").mapInArrow(ask, "bucket long, word binary, n binary, chunk long")
-    return asked.groupBy("bucket").applyInArrow(count, "chunk long, bucket long, body binary, name long, totals array<long>")
+    return asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(count, "chunk long, bucket long, body binary, name long, totals array<long>")
 
 
 def _longer(history: np.ndarray, tag: np.ndarray) -> np.ndarray:
@@ -236,11 +235,10 @@ class Chunk:
 
     def __init__(self, row: dict[str, pa.Scalar]):
         self.row = row
-        self.train, self.sizes, self.vocabulary, counts = (
-            np.frombuffer(row[c].as_buffer(), t)
-            for c, t in (("train", bool), ("sizes", np.int64), ("vocabulary", np.uint64), ("counts", np.int64))
+        self.train, self.sizes, self.vocabulary = (
+            np.frombuffer(row[c].as_buffer(), t) for c, t in (("train", bool), ("sizes", np.int64), ("vocabulary", np.uint64))
         )
-        tokens = _tokens(row["tokens"])
+        tokens, counts = _unpacked(row["tokens"], "<i4"), _unpacked(row["counts"], "<i8")
         self.words = len(self.vocabulary)
         firsts = np.cumsum(self.sizes) - self.sizes
         end = int(np.flatnonzero(self.vocabulary == END)[0])
@@ -513,7 +511,7 @@ def _counted(requests: DataFrame, level: Level, least: int, frequent: int) -> Da
             **{x: pa.array(np.concatenate([np.zeros(k, np.int64), sums[i][is_hot], np.zeros(f, np.int64)])) for i, x in enumerate(("kept", "kinds"))},
         })
 
-    return requests.groupBy("bucket").applyInArrow(
+    return requests.repartition(level.buckets, "bucket").groupBy("bucket").applyInArrow(
         count, "chunk long, bucket long, body binary, hot boolean, name long, kept long, kinds long"
     )
 
@@ -537,7 +535,7 @@ def _told(left: pa.Table, right: pa.Table, buckets: int, level: Level | None) ->
         order, _ = _by_bucket(np.frombuffer(row["vocabulary"].as_buffer(), np.uint64), buckets)
         c = np.zeros(len(order), np.int64)
         c[order] = np.concatenate([_unpacked(x, "<i8") for x in words])
-        row["counts"] = pa.scalar(c.tobytes(), pa.binary())
+        row["counts"] = pa.scalar(_packed(_planes(c, "<i8")), pa.binary())
     chunk = Chunk(row)
     if level is not None:
         chunk.answered(level, list(right.filter(pc.equal(right["size"], level.size))["body"]))
@@ -586,7 +584,7 @@ def _score(docs: DataFrame, train: Column, id: str, text: str, order: int, share
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
     parts, path = _write(chunks(rows, chunk))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count())
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count() // 2)
     words, words_path = _write(_count_words(parts, buckets))
     sums = [F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(4)]
     tokens, distinct, once, twice = (int(x) for x in words.where("chunk IS NULL AND name IS NULL").agg(*sums).first())
@@ -605,7 +603,11 @@ def _score(docs: DataFrame, train: Column, id: str, text: str, order: int, share
             break
         hot = stage(found.where("chunk IS NULL AND NOT hot").select("name"), "hot")
         shared = spark.sparkContext.broadcast(level)
-        grown, grown_path = _write(parts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_grower(shared), _chunk_schema(kind)))
+        halves = []
+        for half in range(2):
+            own, told = (x.where(F.pmod(F.xxhash64("chunk"), F.lit(2)) == half).groupBy("chunk") for x in (parts, answers))
+            halves.append(own.cogroup(told).applyInArrow(_grower(shared), _chunk_schema(kind)))
+        grown, grown_path = _write(*halves)
         for old in (path, found_path, *([words_path] if size == 2 else [])):
             _delete(spark, old)
         parts, path = grown, grown_path

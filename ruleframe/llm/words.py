@@ -82,7 +82,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 def _power(count: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < count:
-        size = max(count, 2 * PIECE)
+        size = max(count, PIECE + PIECE // 8)
         tables = []
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             factors = np.full(size, base, np.uint64)
@@ -115,5 +115,13 @@ def grams(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, or the first longer one that none of the columns has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
