@@ -22,7 +22,7 @@ END = np.uint64(0x656E64)
 #: Tokens of a chunk: texts that share one dictionary and are scored together.
 CHUNK = 1 << 18
 #: Tokens of a lane: longer texts go through the automaton in several, side by side.
-LANE = 128
+LANE = 64
 #: Shuffled files go when the query that needed them has ended, so that a level's requests do not outlive its answers.
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Histories of at least this share of all training tokens are dealt out with the words that follow them.
@@ -161,11 +161,16 @@ def _cuts(bucket: np.ndarray) -> list[tuple[int, int, int]]:
     return list(zip(numbers.tolist(), firsts.tolist(), [*firsts[1:].tolist(), len(bucket)]))
 
 
+def _stable(bucket: np.ndarray, buckets: int) -> np.ndarray:
+    """The order of rows by bucket, else as they are; small numbers are sorted by their digits."""
+    return np.argsort(bucket.astype(np.min_scalar_type(max(buckets - 1, 0))), kind="stable")
+
+
 def _by_bucket(words: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The order of words by bucket and hash, and their buckets in that order."""
     bucket = (mix(words) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(words)
-    order = order[np.argsort(bucket[order], kind="stable")]
+    order = order[_stable(bucket[order], buckets)]
     return order, bucket[order]
 
 
@@ -311,14 +316,14 @@ class Chunk:
         own = _longer(hashes[history[dealt]], self.tags[word[dealt]])
         gram_bucket[dealt] = (own % np.uint64(level.buckets)).astype(np.int64)
         rank = np.empty(self.words, np.int64)  # of a word among all by its tag
-        rank[np.argsort(self.tags, kind="stable")] = np.arange(self.words)
+        rank[np.argsort(self.tags)] = np.arange(self.words)
         by_hash = np.empty(len(hashes), np.int64)
-        by_hash[np.argsort(hashes, kind="stable")] = np.arange(len(hashes))
+        by_hash[np.argsort(hashes)] = np.arange(len(hashes))
         none = np.full(len(alone), -1, np.int64)
         gram_bucket, history = np.concatenate([gram_bucket, bucket[alone]]), np.concatenate([history, alone])
         ranked = np.concatenate([rank[word], none * 0])
         order = np.argsort(by_hash[history] * self.words + ranked)
-        order = order[np.argsort(gram_bucket[order], kind="stable")]
+        order = order[_stable(gram_bucket[order], level.buckets)]
         tag = np.concatenate([self.tags[word], none.view(np.uint64)])
         key, n = np.concatenate([key, none]), np.concatenate([n, none])
         return tuple(x[order] for x in (gram_bucket, hashes[history], history, tag, key, n))
@@ -584,7 +589,7 @@ def _score(docs: DataFrame, train: Column, id: str, text: str, order: int, share
     spark = docs.sparkSession
     rows = docs.select(F.col(id).alias("id"), F.coalesce(train, F.lit(False)).alias("train"), F.col(text).alias("text"))
     parts, path = _write(chunks(rows, chunk))
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count() // 2)
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count() // 4)
     words, words_path = _write(_count_words(parts, buckets))
     sums = [F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(4)]
     tokens, distinct, once, twice = (int(x) for x in words.where("chunk IS NULL AND name IS NULL").agg(*sums).first())
