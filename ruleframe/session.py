@@ -59,8 +59,13 @@ def run_folder(spark: SparkSession) -> Iterator[str]:
         yield folder
     finally:
         _RUN_FOLDER.reset(former)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, folder)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder on any file system that Spark reaches; nothing happens if there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
