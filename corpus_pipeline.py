@@ -13,13 +13,15 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from ruleframe.llm import mixing, pii, simhash, toxicity, winnowing  # noqa: E402
 from ruleframe.llm.queries import TOXIC, pii_key, toxicity_model  # noqa: E402
-from ruleframe.session import stage  # noqa: E402
+from ruleframe.llm.words import free_name  # noqa: E402
+from ruleframe.session import delete_path, fresh_path, run_folder  # noqa: E402
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score below the threshold; the model learns from the labelled ones among them."""
     model = toxicity_model(spark, docs, sf_dir)
-    return toxicity.score_toxicity(docs, model, name="_score").where(F.col("_score") < TOXIC).drop("_score")
+    score = free_name(docs.columns, "_score")
+    return toxicity.score_toxicity(docs, model, name=score).where(F.col(score) < TOXIC).drop(score)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal values replaced by pseudonyms of the same format."""
-    return pii.pseudonymise_documents(docs, pii_key(spark), name="_private").drop("_private")
+    count = free_name(docs.columns, "_private")
+    return pii.pseudonymise_documents(docs, pii_key(spark), name=count).drop(count)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,8 +57,18 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, each written as Parquet and read again by the next one."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents, each written as Parquet and read again by the next one.
+
+    What a stage writes on its way goes when its result is stored, and that when the next one's is.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), name)
+        path = fresh_path(spark, name)
+        with run_folder(spark):
+            result = step(spark, docs, sf_dir)
+            result.write.parquet(path)
+        docs = spark.read.schema(result.schema).parquet(path)
+        if before is not None:
+            delete_path(spark, before)
+        before = path
     return docs
