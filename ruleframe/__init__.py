@@ -18,8 +18,17 @@ from ruleframe.operators.checks import (
 )
 from ruleframe.operators.derive import Rule, append_level, derive, project_level
 from ruleframe.operators.groups import with_group_values
+from ruleframe.operators.increment import attach_increment, group_state, merge_states
+from ruleframe.operators.lineage import lowest_levels, rule_lineage
 from ruleframe.operators.references import check_references, expression_references
+from ruleframe.operators.sketches import (
+    column_histogram,
+    merged_statistics,
+    partition_statistics,
+    replaced_partitions,
+)
 from ruleframe.operators.stats import analyze, profile, read_stats
+from ruleframe.operators.temporal import join_as_of, join_intervals
 from ruleframe.plans.jobs import run_aggregate, run_rules, run_sql, run_stats, run_steps
 from ruleframe.session import run_folder
 from ruleframe.sources.rules import (
@@ -40,11 +49,14 @@ from ruleframe.sources.tables import (
 )
 
 __all__ = [
-    "Field", "Rule", "analyze", "append_level", "check_duplicates", "check_fields",
-    "check_references", "check_rules", "clean_rules", "collect_ws", "create_table_from_rules",
-    "derive", "drop_table", "duplicate_rows", "expand_calls", "expression_references",
-    "load_rules", "most_common", "most_common_by", "number_rows", "profile", "project_level",
+    "Field", "Rule", "analyze", "append_level", "attach_increment", "check_duplicates",
+    "check_fields", "check_references", "check_rules", "clean_rules", "collect_ws",
+    "column_histogram", "create_table_from_rules", "derive", "drop_table", "duplicate_rows",
+    "expand_calls", "expression_references", "group_state", "join_as_of", "join_intervals",
+    "load_rules", "lowest_levels", "merge_states", "merged_statistics", "most_common",
+    "most_common_by", "number_rows", "partition_statistics", "profile", "project_level",
     "publish_rules", "read_back", "read_rules", "read_stats", "register_functions",
-    "report_lines", "run_aggregate", "run_folder", "run_rules", "run_sql", "run_stats", "run_steps",
-    "select_rules", "source_from_sql", "sql", "weighted_average", "with_group_values", "write_result",
+    "replaced_partitions", "report_lines", "rule_lineage", "run_aggregate", "run_folder",
+    "run_rules", "run_sql", "run_stats", "run_steps", "select_rules", "source_from_sql", "sql",
+    "weighted_average", "with_group_values", "write_result",
 ]

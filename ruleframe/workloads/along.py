@@ -5,17 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ruleframe.operators import lineage, sketches, temporal
 from ruleframe.operators.derive import Rule, derive
 from ruleframe.operators.increment import attach_increment, group_state
-from ruleframe.operators.lineage import lowest_levels, rule_lineage
-from ruleframe.operators.sketches import (
-    DISTINCT_ERROR,
-    column_histogram,
-    merged_statistics,
-    partition_statistics,
-    replaced_partitions,
-)
-from ruleframe.operators.temporal import join_as_of, join_intervals
 from ruleframe.session import stage
 from ruleframe.workloads.data import PART_RULES, rules_from, table
 from ruleframe.workloads.registry import query
@@ -88,14 +80,14 @@ FROM (SELECT event_id, user_id % 3 AS k, ts FROM events WHERE event_type <> 'pur
 ASOF LEFT JOIN bought b ON e.k = b.k AND e.ts >= b.at
 ASOF LEFT JOIN bought c ON e.k = c.k AND e.ts > c.at
 """)
-def join_as_of_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """For every other event the last purchase of its third of the users, and the one before its own time if recent."""
     events = table(spark, sf_dir, "events").withColumn("k", F.col("user_id") % 3)
     others = events.where("event_type <> 'purchase'").select("event_id", "k", "ts")
     bought = events.where("event_type = 'purchase'").select("k", F.col("ts").alias("at"), F.col("event_id").alias("bought_id"), F.col("value").alias("paid"))
-    first = join_as_of(others, bought, ["k"], "ts", "at", ["bought_id", "paid"])
+    first = temporal.join_as_of(others, bought, ["k"], "ts", "at", ["bought_id", "paid"])
     before = bought.withColumnRenamed("bought_id", "lately")
-    both = join_as_of(first, before, ["k"], "ts", "at", ["lately"], strict=True, within="INTERVAL '6' HOURS")
+    both = temporal.join_as_of(first, before, ["k"], "ts", "at", ["lately"], strict=True, within="INTERVAL '6' HOURS")
     return both.select("event_id", "bought_id", "paid", "lately")
 
 
@@ -107,13 +99,13 @@ SELECT o_orderkey, count(l_orderkey) AS lines, CAST(sum(l_linenumber) AS BIGINT)
 FROM valid JOIN (SELECT *, l_suppkey % 3 AS m FROM lineitem) ON k = m AND l_shipdate >= since AND (until IS NULL OR l_shipdate < until)
 GROUP BY o_orderkey
 """)
-def join_intervals_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def join_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines shipped while an order of their third was valid: short, long and open intervals."""
     orders = table(spark, sf_dir, "orders").where("o_orderkey % 5 < 3")
     until = "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate + make_dt_interval(CAST(o_orderkey % 5 * (o_orderkey % 17) AS INT)) END"
     valid = orders.selectExpr("o_orderkey", "o_custkey % 3 AS k", "o_orderdate AS since", f"{until} AS until")
     lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey % 3 AS k")
-    found = join_intervals(lines, valid, ["k"], "l_shipdate", "since", "until")
+    found = temporal.join_intervals(lines, valid, ["k"], "l_shipdate", "since", "until")
     return found.groupBy("o_orderkey").agg(F.count("l_orderkey").alias("lines"), F.sum("l_linenumber").alias("numbers"))
 
 
@@ -130,9 +122,9 @@ chains AS (SELECT t, c, r, 1 AS steps FROM edges
            UNION SELECT chains.t, chains.c, edges.r, steps + 1 FROM chains JOIN edges ON chains.t = edges.t AND chains.r = edges.c WHERE steps < 45)
 SELECT t AS TableName, c AS ColumnName, r AS reference, CAST(min(steps) AS INTEGER) AS steps FROM chains GROUP BY t, c, r
 """)
-def rule_lineage_part(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rule_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All columns that a column depends on through other rules; the generated rules have cycles too."""
-    return rule_lineage(rules_from(spark, sf_dir, PART_RULES))
+    return lineage.rule_lineage(rules_from(spark, sf_dir, PART_RULES))
 
 
 @query(f"""
@@ -143,7 +135,7 @@ SELECT t AS TableName, c AS ColumnName, CASE WHEN max(steps) < 45 THEN CAST(max(
 """)
 def rule_lowest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lowest level of each column; none where it depends on a cycle."""
-    return lowest_levels(rules_from(spark, sf_dir, PART_RULES))
+    return lineage.lowest_levels(rules_from(spark, sf_dir, PART_RULES))
 
 
 @query(" UNION ALL ".join(
@@ -151,20 +143,20 @@ def rule_lowest_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"CAST(max({c}) AS VARCHAR) AS max, true AS near, {middle} AS middle_near FROM (SELECT *, nullif(o_orderstatus, 'F') AS open FROM orders)"
     for c, middle in (("o_orderkey", "true"), ("o_custkey", "true"), ("open", "NULL"))
 ))
-def merged_statistics_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def merged_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Statistics of a table from those of its partitions, stored, and renewed for one partition only.
 
     Counts and bounds are exact; distinct counts and medians are compared with the exact ones, and are near.
     """
     orders = table(spark, sf_dir, "orders").withColumn("open", F.expr("nullif(o_orderstatus, 'F')"))
     columns, by = ["o_orderkey", "o_custkey", "open"], ["o_orderpriority"]
-    before = stage(partition_statistics(orders.where("o_orderkey % 2 = 0 OR o_orderpriority <> '5-LOW'"), by, columns), "statistics")
-    renewed = partition_statistics(orders.where("o_orderpriority = '5-LOW'"), by, columns)
-    merged = merged_statistics(stage(replaced_partitions(before, renewed, by), "statistics"))
+    before = stage(sketches.partition_statistics(orders.where("o_orderkey % 2 = 0 OR o_orderpriority <> '5-LOW'"), by, columns), "statistics")
+    renewed = sketches.partition_statistics(orders.where("o_orderpriority = '5-LOW'"), by, columns)
+    merged = sketches.merged_statistics(stage(sketches.replaced_partitions(before, renewed, by), "statistics"))
     exact = orders.select(F.explode(F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).cast("string").alias("v"), F.col(c).try_cast("double").alias("x")) for c in columns])).alias("e"))
     exact = exact.select("e.*").groupBy("of").agg(F.count_distinct("v").alias("n"), F.percentile("x", 0.45).alias("low"), F.percentile("x", 0.55).alias("high"))
     joined = merged.join(exact, merged["column_name"] == exact["of"])
-    near = F.abs(F.col("distinct_count") - F.col("n")) <= F.ceil(5 * DISTINCT_ERROR * F.col("n"))
+    near = F.abs(F.col("distinct_count") - F.col("n")) <= F.ceil(5 * sketches.DISTINCT_ERROR * F.col("n"))
     middle = F.col("quantiles")[1].between(F.col("low"), F.col("high"))
     return joined.select("column_name", "row_count", "num_nulls", "min", "max", near.alias("near"), middle.alias("middle_near"))
 
@@ -175,9 +167,9 @@ bounds AS (SELECT row_number() OVER (ORDER BY edge) AS bucket, edge AS low, lead
 SELECT CAST(bucket AS INTEGER) AS bucket, round(low, 6) AS low, round(high, 6) AS high, count(*) AS rows, count(DISTINCT value) AS "values"
 FROM bounds JOIN events ON (value > low OR bucket = 1 AND value >= low) AND value <= high WHERE high IS NOT NULL GROUP BY bucket, low, high
 """)
-def column_histogram_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def column_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Equi-height buckets with exact counts, written to a table and read back."""
-    found = stage(column_histogram(table(spark, sf_dir, "events"), "value"), "histogram")
+    found = stage(sketches.column_histogram(table(spark, sf_dir, "events"), "value"), "histogram")
     return found.withColumns({"low": F.round("low", 6), "high": F.round("high", 6)})
 
 
