@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ruleframe.llm.words import free_name
 from ruleframe.session import stage
 
 #: Fixed value: a word is a run of anything but ASCII white space.
@@ -82,21 +83,20 @@ def plan_mix(
     of the same name as a result are replaced by it.
     """
     sizes = docs.select(F.col(source).alias("source"), word_count(docs[text]).alias("size"))
+    of, size, wanted = (free_name(docs.columns, name) for name in ("_of", "_size", "_target"))
     targets = source_targets(sizes, weights, most).select(
-        F.col("source").alias("_of"), F.col("source_size").alias("_size"), F.col("target").alias("_target")
+        F.col("source").alias(of), F.col("source_size").alias(size), F.col("target").alias(wanted)
     )
-    kept = docs if keep else docs.select(F.col(id).alias("_id"), F.col(text).alias("_text"), F.col(source).alias("_source"))
-    of, body, key = (source, text, id) if keep else ("_source", "_text", "_id")
-    mixed = kept.join(targets, kept[of].eqNullSafe(targets["_of"]), "left")
-    rate = F.when(F.col("_size") > 0, F.col("_target") / F.col("_size")).otherwise(0.0)
-    extra = (draw(F.col(key), F.col(body), seed=seed) < rate - F.floor(rate)).cast("long")
-    mixed = mixed.withColumns({
-        "size": word_count(body), "source_size": F.col("_size"), "target": F.col("_target"),
+    mixed = docs.join(targets, docs[source].eqNullSafe(targets[of]), "left")
+    rate = F.when(F.col(size) > 0, F.col(wanted) / F.col(size)).otherwise(0.0)
+    extra = (draw(F.col(id), F.col(text), seed=seed) < rate - F.floor(rate)).cast("long")
+    results = {
+        "size": word_count(F.col(text)), "source_size": F.col(size), "target": F.col(wanted),
         "copies": F.floor(rate).cast("long") + extra,
-    })
+    }
     if keep:
-        return mixed.drop("_of", "_size", "_target")
-    return mixed.select(F.col("_id").alias(id), "size", "source_size", "target", "copies")
+        return mixed.withColumns(results).drop(of, size, wanted)
+    return mixed.select(F.col(id), *[column.alias(name) for name, column in results.items()])
 
 
 def mix_sources(docs: DataFrame, weights: DataFrame | None = None, **options) -> DataFrame:

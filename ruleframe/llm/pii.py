@@ -159,8 +159,8 @@ def _ip(value: str, f: Feistel, back: bool) -> str | None:
 
 def _iban(value: str, f: Feistel, back: bool) -> str | None:
     plain = value.replace(" ", "")
-    if not 15 <= len(plain) <= 34 or _mod97(plain[4:] + plain[:4]) != 1:
-        return None
+    if not 15 <= len(plain) <= 34 or _mod97(plain[4:] + plain[:4]) != 1 or plain[2:4] in ("00", "01", "99"):
+        return None  # those digits are none that are given out, and would share a pseudonym with their twins
     new = _characters(plain[4:], f, f"iban|{plain[:2]}", back)
     return _refill(value, f"{plain[:2]}{98 - _mod97(new + plain[:2] + '00'):02}{new}")
 

@@ -113,14 +113,15 @@ m AS ({_spans_sql('assign', 0, _ASSIGN, ', 1', 6)} UNION ALL {_spans_sql('access
 s AS (SELECT row_no, doc_id, source, ord, kind, v[i] AS value, list_sum([len(x) FOR x IN b[1:i]]) + list_sum([len(x) FOR x IN e[1:i]]) AS e1, len(e[i]) AS n
   FROM m WHERE len(v[i]) >= least),
 k AS (SELECT *, CAST(e1 - n AS BIGINT) AS s1, kind || ':' || CAST(CAST(e1 - n AS BIGINT) AS VARCHAR) || ':' || CAST(CAST(e1 AS BIGINT) AS VARCHAR) AS span FROM s),
-o AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners FROM k GROUP BY value),
-j AS (SELECT k.*, CASE WHEN owners >= 3 THEN 'example' WHEN kind = 'format' OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND len(list_distinct(string_split(value, ''))) >= 8) THEN 'live' ELSE 'weak' END AS verdict
+o AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) AS owners,
+  count(DISTINCT (coalesce(source, chr(0)), coalesce(CAST(doc_id AS VARCHAR), chr(0)))) AS repositories FROM k GROUP BY value),
+j AS (SELECT k.*, repositories, CASE WHEN owners >= 3 OR repositories >= 50 THEN 'example' WHEN kind = 'format' OR (regexp_matches(value, '[0-9]') AND regexp_matches(value, '[A-Za-z]') AND len(list_distinct(string_split(value, ''))) >= 8) THEN 'live' ELSE 'weak' END AS verdict
   FROM k JOIN o USING (value)),
 a AS (SELECT row_no, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   string_agg(span, ',' ORDER BY s1, ord) FILTER (ord < 3) AS base, string_agg(span, ',' ORDER BY s1, ord) AS spans,
-  count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example FROM j GROUP BY row_no)
+  count(*) FILTER (verdict = 'live') AS n_live, count(*) FILTER (verdict = 'example') AS n_example, max(repositories) AS most_repositories FROM j GROUP BY row_no)
 SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
-  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example FROM d LEFT JOIN a USING (row_no)
+  coalesce(spans, '') AS spans, coalesce(n_live, 0) AS n_live, coalesce(n_example, 0) AS n_example, coalesce(most_repositories, 0) AS most_repositories FROM d LEFT JOIN a USING (row_no)
 """)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
@@ -137,7 +138,7 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id > first THEN 'r
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     warc.write_warc(_table(spark, sf_dir, "pages"), path)
-    return warc.page_records(warc.read_warc(spark, path))
+    return warc.read_pages(spark, path)
 
 
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.ToxicityModel:

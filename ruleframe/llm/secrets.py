@@ -37,14 +37,15 @@ def _found(text: Column, order: int, kind: str, pattern: str, group: int) -> Col
 
 def secret_spans(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", owner: str = "source", repository: str = "doc_id",
-    kinds: tuple = (*KINDS, FORMATS), widely: int = 3,
+    kinds: tuple = (*KINDS, FORMATS), widely: int = 3, spread: int = 50,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): (row, id) of all documents, and one row for each secret in them.
 
     Spans hold row, kind, order (the kind's place), start, end (code points, end exclusive), value,
     owners, repositories and verdict. Matches are leftmost and do not overlap within a kind; those
     with too short a value are dropped. The values' hashes are grouped by distinct repository and
-    owner over the whole corpus: ``example`` if ``widely`` or more owners have the value, else
+    owner over the whole corpus: ``example`` if ``widely`` or more owners have the value, or if it stands in ``spread``
+    or more repositories of whatever owners, as a placeholder that one owner copies does; else
     ``live`` if it mixes letters and digits with at least eight different characters, else ``weak``.
     Null and empty texts hold nothing; a null owner or repository counts as one more; rows that
     repeat are scanned each. The texts are read once; only matches are shuffled, and a value that
@@ -77,7 +78,7 @@ def secret_spans(
     )
     value = F.col("value")
     mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.size(F.array_distinct(F.split(value, ""))) >= 8)
-    verdict = F.when(F.col("owners") >= widely, "example").when(mixed | (F.col("kind") == "format"), "live").otherwise("weak")
+    verdict = F.when((F.col("owners") >= widely) | (F.col("repositories") >= spread), "example").when(mixed | (F.col("kind") == "format"), "live").otherwise("weak")
     known = spans.join(owners, "hash").select(
         "row", "kind", "order", "start", "end", "value", "owners", "repositories", verdict.alias("verdict")
     )
@@ -86,7 +87,8 @@ def secret_spans(
 
 def secret_report(docs: DataFrame, *, base: tuple = KINDS, extra: tuple = (FORMATS,), **options) -> DataFrame:
     """One row per document: id, how many spans of each base kind, the SHA-256 of the base spans, all
-    spans as text (kind:start:end by start, then kind), and how many values look live or copied."""
+    spans as text (kind:start:end by start, then kind), how many values look live or copied, and in how many
+    repositories the most widespread of them stands."""
     rows, spans = secret_spans(docs, kinds=(*base, *extra), **options)
     place = F.struct("start", "order", F.concat_ws(":", "kind", "start", "end").alias("span"))
     is_base = F.col("order") < len(base)
@@ -94,6 +96,7 @@ def secret_report(docs: DataFrame, *, base: tuple = KINDS, extra: tuple = (FORMA
     by_row = spans.groupBy("row").agg(
         *counts, F.array_sort(F.collect_list(F.when(is_base, place))).alias("base"), F.array_sort(F.collect_list(place)).alias("all"),
         F.count_if(F.col("verdict") == "live").alias("n_live"), F.count_if(F.col("verdict") == "example").alias("n_example"),
+        F.max("repositories").alias("most_repositories"),
     )
     joined = rows.join(by_row, "row", "left")
 
@@ -104,4 +107,5 @@ def secret_report(docs: DataFrame, *, base: tuple = KINDS, extra: tuple = (FORMA
     return joined.select(
         "id", *(F.coalesce(f"n_{k}", none).alias(f"n_{k}") for k, *_ in base), F.sha2(text("base"), 256).alias("base_sha256"),
         text("all").alias("spans"), F.coalesce("n_live", none).alias("n_live"), F.coalesce("n_example", none).alias("n_example"),
+        F.coalesce("most_repositories", none).alias("most_repositories"),
     )

@@ -304,7 +304,10 @@ def drop_near_duplicates(
     numbered = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), F.monotonically_increasing_id().alias("row"))
     numbered = numbered.select("*", F.col(f"doc.{text}").alias("text"))
     marked = stage(with_fingerprints(numbered, "text", "fp").drop("text"), "documents")
-    found = _components(marked.select("row", F.col(f"doc.{id}").alias("id"), "fp"), radius, bucket)
+    found = stage(_components(marked.select("row", F.col(f"doc.{id}").alias("id"), "fp"), radius, bucket), "components")
     best = F.min(F.struct(F.col("id").isNull(), "id", "row"))
     kept = found.groupBy("component", F.when(F.col("component").isNull(), F.col("fingerprint"))).agg(best.alias("best"))
-    return marked.join(kept.select(F.col("best.row").alias("row")), "row", "left_semi").select("doc.*")
+    # Row numbers to drop, written before they meet the documents: the planner knows their size, and
+    # sends them to the documents instead of moving these, as long as they are few.
+    dropped = stage(found.select("row").join(kept.select(F.col("best.row").alias("row")), "row", "left_anti"), "dropped")
+    return marked.join(dropped, "row", "left_anti").select("doc.*")

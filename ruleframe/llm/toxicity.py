@@ -123,14 +123,19 @@ def _outside(hits: list[tuple], phrases: list[tuple]) -> list[tuple]:
     return kept[::-1]
 
 
+#: Word hashes that have to agree for two training texts to count as one; texts that share half their words
+#: do so once in two to the power of this.
+SKETCH = 16
+
+
 def _sketch(words: list[str]) -> int:
-    """Nearly equal texts mostly share it: the smallest word hash under each of three seeds."""
-    return hash(tuple(min(xxhash.xxh32_intdigest(w, seed) for w in words) for seed in (1, 2, 3)))
+    """Nearly equal texts mostly share it, others do not: the smallest word hash under each of ``SKETCH`` seeds."""
+    return hash(tuple(min(xxhash.xxh32_intdigest(w, seed) for w in words) for seed in range(1, SKETCH + 1)))
 
 
 def fit_toxicity(
     docs: DataFrame, labels: DataFrame, train: Column | None = None, *, id: str = "doc_id", text: str = "text",
-    label: str = "toxic", sample: int = 20_000, terms: int = 5_000, level: float = 0.05, exceptions: tuple = EXCEPTIONS,
+    label: str = "toxic", sample: int = 20_000, level: float = 0.05, exceptions: tuple = EXCEPTIONS,
 ) -> ToxicityModel:
     """Learn a lexicon and its curve from labelled documents.
 
@@ -138,8 +143,8 @@ def fit_toxicity(
     with the smallest hash, so that everything fitted is bounded. A word enters the lexicon if it is so
     much more frequent in documents with label 1 that chance explains none of all words at ``level``
     (Chernoff bound, corrected for the number of words); its weight is its log-odds. Nearly equal
-    documents count once, so that a group of copies does not make its words suspicious. At most
-    ``terms`` words are kept. Ids with contrary labels take the more frequent one, ties 1; null ids
+    documents of one label count once, so that a group of copies does not make its words suspicious. All words
+    that pass the test are kept; the sample bounds them. Ids with contrary labels take the more frequent one, ties 1; null ids
     and labels are left out. With no usable labels the lexicon is empty and every score 0.5.
     """
     usable = labels.where(F.col(id).isNotNull() & F.col(label).isNotNull())
@@ -166,7 +171,7 @@ def fit_toxicity(
             )
 
     bags = texts.select("text", "toxic").mapInArrow(words_of, "sketch long, toxic int, words array<string>")
-    groups = bags.groupBy("sketch").agg(F.max(F.struct("toxic", "words")).alias("one")).select("one.*")
+    groups = bags.groupBy("sketch", "toxic").agg(F.max("words").alias("words")).select("toxic", "words")
     groups = groups.persist()
     try:
         size = groups.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("toxic")).first()
@@ -185,7 +190,7 @@ def fit_toxicity(
         rows = (
             counted.where(share > prior).select("word", gain.alias("gain"), weight.alias("weight"))
             .where(F.col("gain") >= math.log(max(tested, 1) / level)).where("weight > 1")
-            .orderBy(F.desc("gain"), "word").limit(terms).collect()
+            .collect()
         )
     finally:
         groups.unpersist()

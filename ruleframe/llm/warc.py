@@ -22,6 +22,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.types import StructType
 
+from ruleframe.session import stage
+
 #: Column and WARC header field; the ``Length`` field is an extension of ours.
 FIELDS = {
     "warc_type": "WARC-Type", "record_id": "WARC-Record-ID", "refers_to": "WARC-Refers-To",
@@ -122,6 +124,8 @@ class WarcReader(DataSourceReader):
                     break
                 field, _, value = line.decode("utf-8", "replace").partition(":")
                 headers[field.strip().lower()] = value.strip()
+            if not headers.get("content-length", "").isdigit():
+                raise ValueError(f"a WARC record without a content length: {headers.get('warc-record-id')}")
             length = int(headers["content-length"])
             record = {c: headers[f.lower()] for c, f in FIELDS.items() if f.lower() in headers}
             if not self._wanted(record) or not self.payload:
@@ -175,16 +179,17 @@ def write_warc(
     revisits without a payload that refer to it; smaller payloads are always responses. A null id has a
     record id of its payload; a null URL no target; white space and control characters in a URL are
     percent-encoded. An empty table gives an archive without records. Spark's text writer makes the
-    files, so any file system that it reaches will do; equal payloads meet by their digest in a join,
-    which Spark splits if very many pages share one.
+    files, so any file system that it reaches will do; equal payloads meet by their digest in a join with the
+    digests that occur again, which Spark splits if very many pages share one.
     """
     payload = F.coalesce(F.col(html), F.lit(""))
     rows = pages.select(
         F.col(id).cast("string").alias("name"), F.col(id).alias("id"), F.col(url).alias("url"), payload.alias("html"),
         F.octet_length(payload).alias("bytes"), base32_sha1(payload).alias("digest"),
     )
-    first = rows.groupBy("digest").agg(F.min("id").alias("first"))
-    rows = rows.join(first, "digest")
+    # Digests that occur again, written first: payloads meet them without being moved if they are few.
+    again = rows.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).where("n > 1").select(F.col("digest").alias("of"), "first")
+    rows = rows.join(stage(again, "digests"), F.col("digest") == F.col("of"), "left")
     again = (F.col("bytes") >= least) & F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first")))
     address = F.col("url")
     for code in (*range(0x21), 0x7F):
@@ -226,13 +231,28 @@ def read_warc(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def page_records(records: DataFrame, kind: str = "long") -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of archives ``write_warc`` made."""
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of archives ``write_warc`` made.
+
+    Length and digest of a response are those of its payload, as read; one whose header names another digest
+    raises. A revisit has none, and they are those its header has of the payload it refers to.
+    """
     number = "^<urn:page:(.*)>$"
     page = F.regexp_extract("record_id", number, 1)
+    own = F.when((F.col("warc_type") == "response") & F.col("payload").isNotNull(), F.col("payload"))
+    header, digest = F.regexp_replace("payload_digest", "^sha1:", ""), base32_sha1(own)
+    wrong = F.raise_error(F.concat(F.lit("the payload does not have the digest of its header: "), F.col("record_id")))
     return records.select(
         F.when(~page.startswith("sha1:"), page).cast(kind).alias("page_id"),
-        F.col("payload_length").cast("long").alias("payload_bytes"),
-        F.regexp_replace("payload_digest", "^sha1:", "").alias("payload_digest"),
+        F.coalesce(F.octet_length(own), F.col("payload_length")).cast("long").alias("payload_bytes"),
+        F.when(own.isNull(), header).when(digest == header, digest).otherwise(wrong.cast("string")).alias("payload_digest"),
         F.col("warc_type").alias("record_type"),
         F.regexp_extract("refers_to", number, 1).cast(kind).alias("refers_to"),
     )
+
+
+def read_pages(spark: SparkSession, path: str, kind: str = "long") -> DataFrame:
+    """``page_records`` of an archive: payloads of responses only; revisits by their headers, which a pushed filter
+    and the option without payloads keep from reading anything else."""
+    responses = read_warc(spark, path).where("warc_type = 'response'")
+    revisits = read_warc(spark, path, payload="false").where("warc_type = 'revisit'")
+    return page_records(responses, kind).union(page_records(revisits, kind))

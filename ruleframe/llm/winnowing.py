@@ -179,10 +179,11 @@ def contamination(
         hits.select("row", "start", "span").withColumn("new", F.greatest(new, F.lit(0)))
         .groupBy("row").agg(F.sum("new").cast("long").alias("n_hit"))
     )
+    # The items of a window are one list before they meet the documents, which unite the few different lists they hit.
+    lists = windows.where("item IS NOT NULL").groupBy("span", "window").agg(F.array_sort(F.collect_set("item")).alias("items"))
     named = (
-        hits.select("row", "span", "window").distinct()
-        .join(windows.where("item IS NOT NULL").select("span", "window", "item"), ["span", "window"])
-        .groupBy("row").agg(F.collect_set("item").alias("items"))
+        hits.select("row", "span", "window").distinct().join(lists, ["span", "window"])
+        .groupBy("row").agg(F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
     )
     kind = items.schema[item_id].dataType.simpleString()
     out = marked.select("row", "id", "n_words").join(covered, "row", "left").join(named, "row", "left")
@@ -206,4 +207,6 @@ def drop_contaminated(docs: DataFrame, items: DataFrame, *, share: int = 20, **o
     columns = {"id": options.pop("id", "doc_id"), "text": options.pop("text", "text")}
     flat = numbered.select("row", *(F.col(f"doc.{c}").alias(k) for k, c in columns.items()))
     found = contamination(flat, items, id="id", text="text", row="row", **options)
-    return numbered.join(found.where(is_contaminated(share)).select("row"), "row", "left_anti").select("doc.*")
+    # Written first: the planner knows how few they are, and does not move the documents to meet them.
+    dropped = stage(found.where(is_contaminated(share)).select("row"), "dropped")
+    return numbered.join(dropped, "row", "left_anti").select("doc.*")

@@ -298,6 +298,14 @@ def test_pseudonyms_keep_their_format_and_can_be_undone(value):
     assert pii.pseudonymise(text, pii.Feistel(b"other"))[0] != new
 
 
+def test_check_digits_that_are_not_given_out_are_no_ibans():
+    f = pii.Feistel(b"key")
+    for digits, twin in (("97", "00"), ("98", "01"), ("02", "99")):
+        body = next(b for b in (f"{i:018}" for i in range(1, 300)) if int(f"{b}1314{digits}") % 97 == 1)
+        assert pii.pseudonymise(f"DE{digits}{body}", f)[1] == 1
+        assert int(f"{body}1314{twin}") % 97 == 1 and pii.pseudonymise(f"an DE{twin}{body}", f)[0] == f"an DE{twin}{body}"
+
+
 def test_feistel_is_a_permutation():
     f = pii.Feistel(b"key")
     for a, b in ((1, 10), (3, 7), (10, 10), (26, 260)):
@@ -415,3 +423,48 @@ def test_scores_on_held_out_documents(spark):
     none = toxicity.fit_toxicity(docs, table.limit(0))
     assert {r.score for r in toxicity.score_toxicity(documents(spark, ODD), none).collect()} == {0.5}
     assert toxicity.score_toxicity(docs.limit(0), model).count() == 0
+
+
+# --- clashing columns, odd tables and what the stages keep ------------------------------------------
+
+
+def test_mixing_keeps_columns_whatever_their_names(spark):
+    docs = documents(spark, ["a b", "c", None, "d e f"], ["x", "x", "y", None])
+    odd = docs.withColumns({name: F.lit(i) for i, name in enumerate(("_of", "_size", "_TARGET", "_id"))})
+    found = mixing.mix_sources(odd)
+    assert found.columns == [*odd.columns, "size", "source_size", "target", "copies", "copy"]
+    assert {(r["_of"], r["_size"], r["_TARGET"], r["_id"]) for r in found.collect()} == {(0, 1, 2, 3)}
+    plain = mixing.mix_sources(docs).select("doc_id", "target", "copy").collect()
+    assert sorted(map(tuple, found.select("doc_id", "target", "copy").collect())) == sorted(map(tuple, plain))
+
+
+def test_a_placeholder_of_one_owner_is_an_example(spark):
+    text = 'password = "Changeme0f11aX9"'
+    docs = documents(spark, [text] * 60 + ['password = "Qw3rty0f11aX9"'] * 2, ["s"] * 62)
+    found = {r.id: r for r in secrets.secret_report(docs).collect()}
+    assert (found[0].n_live, found[0].n_example, found[0].most_repositories) == (0, 1, 60)
+    assert (found[61].n_live, found[61].n_example, found[61].most_repositories) == (1, 0, 2)
+    few = {r.id: r for r in secrets.secret_report(docs, spread=100).collect()}
+    assert (few[0].n_live, few[0].n_example) == (1, 0)
+
+
+@pytest.mark.parametrize("rows", [[], [(None, None, None, None, None)] * 3, [(1, "", "en", "s", 0), (2, "same text", None, "s", 9), (2, "same text", None, "s", 9)]])
+def test_the_pipeline_takes_odd_tables(spark, tmp_path, rows):
+    import corpus_pipeline
+
+    table = spark.createDataFrame(rows, SCHEMA)
+    for name in ("_score", "_private", "_target", "_of", "row", "doc", "fp", "copies_"):
+        table = table.withColumn(name, F.lit(7))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, "a b c d e f g h i j k l m n"), (None, None)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.createDataFrame([(1, 1, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = corpus_pipeline.run(spark, str(tmp_path))
+    assert found.columns[: len(table.columns)] == table.columns
+    assert all(r["_score"] == r["_private"] == r["_target"] == r["row"] == 7 for r in found.collect())
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, step in corpus_pipeline.STAGES[:-1]:
+        docs = step(spark, docs, str(tmp_path))
+    if len(rows) == 3 and rows[1][1]:
+        assert sorted(r.text for r in docs.collect()) == ["", "same text"]
+    else:
+        assert docs.count() == min(len(rows), 1)

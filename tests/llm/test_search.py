@@ -319,3 +319,27 @@ def test_passages_of_no_documents(spark):
     assert passages.repeated_passages(spark.createDataFrame([], DOCS)).count() == 0
     two = spark.createDataFrame([(None, "w%d " * 60 % tuple(range(60)), "s")] * 2, DOCS)
     assert [(r.id, r.start, r.end, r.passage, r.documents) for r in passages.repeated_passages(two).collect()] == [(None, 0, 60, None, 2)] * 2
+
+
+# --- archives, read as the registered query does ----------------------------------------------------
+
+
+def test_lengths_and_digests_are_those_of_the_payloads(spark, tmp_path):
+    path = archive(spark, tmp_path, PAGES)
+    whole = sorted(map(tuple, warc.page_records(warc.read_warc(spark, path)).collect()), key=repr)
+    assert sorted(map(tuple, warc.read_pages(spark, path).collect()), key=repr) == whole
+    for file in (tmp_path / "warc").glob("*.txt"):
+        body = file.read_bytes()
+        if b"only null" in body:
+            file.with_suffix(".other").write_bytes(body.replace(b"only null", b"0nly null"))
+    for file in (tmp_path / "warc").glob("*.other"):
+        (tmp_path / "wrong").mkdir(exist_ok=True)
+        (tmp_path / "wrong" / "part.txt").write_bytes(file.read_bytes())
+    with pytest.raises(Exception, match="does not have the digest"):
+        warc.read_pages(spark, f"file://{tmp_path}/wrong").collect()
+
+
+def test_a_record_without_a_length_is_refused(spark, tmp_path):
+    (tmp_path / "odd.warc").write_bytes(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\n\r\n")
+    with pytest.raises(Exception, match="without a content length"):
+        warc.read_warc(spark, f"file://{tmp_path}/odd.warc").collect()
