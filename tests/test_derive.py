@@ -380,7 +380,7 @@ def test_level_0_writes_needed_columns_only(spark, ordered):
 
 def test_windows_left_to_spark_are_named(sales):
     rules = [
-        Rule(1, "a", "INT", 1, "sum(x) OVER (ORDER BY id ROWS BETWEEN 1 PRECEDING AND CURRENT ROW)"),
+        Rule(1, "a", "INT", 1, "sum(x) OVER (ORDER BY id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 FOLLOWING)"),
         Rule(2, "b", "INT", 1, "size(collect_list(x) OVER (PARTITION BY k))"),
         Rule(3, "c", "INT", 1, "sum(x) OVER (PARTITION BY k ORDER BY id) + count(x) OVER ()"),
     ]
