@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from ruleframe.llm.words import trimmed
+
 ROUNDS = 10
 _START, _DAYS, _SIDE = datetime.date(1900, 1, 1).toordinal(), 73049, 271  # fixed values: 1900 to 2099
 
@@ -289,4 +291,4 @@ def pseudonymise_documents(
             arrays[place] = pa.array(texts, batch.schema.types[place])
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ruleframe.llm.components import connected_components
-from ruleframe.llm.words import buffers
+from ruleframe.llm.words import buffers, trimmed
 from ruleframe.session import stage
 
 #: Bits of a byte value, most significant first.
@@ -63,7 +63,7 @@ def with_fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerpr
             arrays = [*batch.columns, pa.array(prints.view(np.int64))]
             yield pa.RecordBatch.from_arrays(arrays, names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)
 
 
 def _parts(bits: list[int], count: int) -> list[list[int]]:
@@ -263,7 +263,7 @@ def _search(rows: DataFrame, radius: int) -> DataFrame:
 
     dealt = rows.select("level", "key", "fp").repartition("level", "key")
     # Unsigned order within a bucket does not matter; equal keys must stand together.
-    return dealt.sortWithinPartitions("level", "key", "fp").mapInArrow(run, "a long, b long")
+    return dealt.sortWithinPartitions("level", "key", "fp").mapInArrow(trimmed(run), "a long, b long")
 
 
 def near_duplicates(

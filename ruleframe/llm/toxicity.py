@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ruleframe.llm.words import trimmed
+
 #: Letters of other scripts that look like Latin ones.
 HOMOGLYPHS = {
     "а": "a", "в": "b", "е": "e", "ё": "e", "і": "i", "ї": "i", "ј": "j", "к": "k", "м": "m", "н": "h", "о": "o",
@@ -170,7 +172,7 @@ def fit_toxicity(
                 ["sketch", "toxic", "words"],
             )
 
-    bags = texts.select("text", "toxic").mapInArrow(words_of, "sketch long, toxic int, words array<string>")
+    bags = texts.select("text", "toxic").mapInArrow(trimmed(words_of), "sketch long, toxic int, words array<string>")
     groups = bags.groupBy("sketch", "toxic").agg(F.max("words").alias("words")).select("toxic", "words")
     groups = groups.persist()
     try:
@@ -207,7 +209,7 @@ def _curve(texts: DataFrame, model: ToxicityModel) -> tuple[float, float, float]
             x, y = zip(*pairs) if pairs else ((), ())
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.float64()), pa.array(y, pa.float64()), batch.column(1)], ["x", "y", "toxic"])
 
-    rows = texts.select("text", "toxic").mapInArrow(run, "x double, y double, toxic int").groupBy("x", "y", "toxic").count().orderBy("x", "y", "toxic").collect()
+    rows = texts.select("text", "toxic").mapInArrow(trimmed(run), "x double, y double, toxic int").groupBy("x", "y", "toxic").count().orderBy("x", "y", "toxic").collect()
     if not rows:
         return 0.0, 0.0, 0.0
     data = np.array([(1.0, r.x, r.y) for r in rows])
@@ -239,4 +241,4 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", na
             scores = [model.score(t.as_py()) for t in batch.column(place)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(trimmed(run), schema)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ruleframe.llm.words import ALNUM, LOWER, buffers, grams, hashes, pieces, signed, spans
+from ruleframe.llm.words import ALNUM, buffers, grams, hashes, LOWER, pieces, signed, spans, trimmed
 from ruleframe.session import stage
 
 #: Bits of the filter that is sent to all tasks: 2 MB, whatever the size of the benchmark.
@@ -82,7 +82,7 @@ def item_windows(items: DataFrame, span: int, gram: int) -> DataFrame:
                     )
 
     kind = items.schema["item"].dataType.simpleString()
-    return items.select("item", "text").mapInArrow(run, f"item {kind}, span int, window string, print long")
+    return items.select("item", "text").mapInArrow(trimmed(run), f"item {kind}, span int, window string, print long")
 
 
 def _filter(prints: DataFrame, bits: int) -> bytes:
@@ -133,7 +133,7 @@ def seeds(docs: DataFrame, lengths: list[int], span: int, gram: int, bits) -> Da
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.select("row", "id", "text").mapInArrow(
-        run, f"row long, id {kind}, n_words long, seeds array<struct<span: int, print: long, first: int, around: string>>"
+        trimmed(run), f"row long, id {kind}, n_words long, seeds array<struct<span: int, print: long, first: int, around: string>>"
     )
 
 

@@ -7,6 +7,7 @@ if that is longer.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -115,6 +116,22 @@ def grams(words: np.ndarray, size: int) -> np.ndarray:
     return mix(out)
 
 
+def trimmed(run):
+    """``run`` over Arrow batches; when its task ends, freed memory goes back to the system, since the Python worker
+    stays for the next stage."""
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return runs
+
+
 def free_name(columns: list[str], name: str) -> str:
     """``name``, or the first longer one that none of the columns has."""
     taken = {c.lower() for c in columns}
