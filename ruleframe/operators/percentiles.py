@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ruleframe.functions.calls import closing_bracket, replace_calls, skip_quoted, split_arguments
+from ruleframe.functions.calls import closing_bracket, skip_quoted, split_arguments
 from ruleframe.operators.running import OrderedWindow, cut_into_blocks, matched
 
 PERCENTILES = frozenset(("median", "percentile"))
