@@ -9,16 +9,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Regex, pre_tokenizers
 
 from ruleframe.llm.words import LOWER, pieces
 from ruleframe.session import fresh_path, stage
-from ruleframe.sources.rules import number_rows
 
 #: Fixed value: what counts as a word of a text in lower case.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Fixed value: bits of a row's number in a task, below the task's, in Spark's increasing ids.
+TASK_BITS = 33
 #: Stretches of text whose words a task keeps in mind; others are split again.
 MEMORY = 1 << 18
 
@@ -200,6 +201,19 @@ def noise(id: Column, seed: int) -> Column:
     return F.floor(-1000 * F.log(-F.log((h + 0.5) / 4294967296.0)))
 
 
+def _numbered(ordered: DataFrame) -> DataFrame:
+    """The rows of a sorted table with their ``number`` from 1. Every task of the sort numbers its own rows before they are
+    written, for files are read in another order; one row per task says how many stand before it."""
+    rows = stage(ordered.withColumn("at", F.monotonically_increasing_id()), "ranked")
+    task = F.shiftright("at", TASK_BITS)
+    counts = rows.groupBy(task.alias("of")).agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("of").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("of", F.coalesce(before, F.lit(0)).alias("before"))
+    joined = rows.join(F.broadcast(starts), task == F.col("of"))  # one row per task
+    inside = F.col("at").bitwiseAND(F.lit((1 << TASK_BITS) - 1))
+    return joined.withColumn("number", F.col("before") + inside + 1).drop("of", "before", "at")
+
+
 def importance_resample(
     docs: DataFrame, target: DataFrame, *, id: str = "doc_id", text: str = "text", target_text: str = "text", longest: int = 3,
     buckets: int = 10_000, percent: int = 5, least_words: int = 20, seed: int = 42,
@@ -228,5 +242,5 @@ def importance_resample(
     eligible = F.col("n_words") >= least_words
     drawn = scored.where(eligible).count() * percent // 100
     order = [eligible.desc(), F.desc("score"), F.asc_nulls_last("id"), F.asc("place")]
-    numbered = number_rows(stage(scored.orderBy(*order), "ranked"), "number")
+    numbered = _numbered(scored.orderBy(*order))
     return numbered.select("id", "n_features", "weight", "score", F.when(F.col("number") <= drawn, F.col("number")).alias("rank"))

@@ -172,6 +172,20 @@ def test_resampling_of_odd_texts(spark):
         assert sorted(map(tuple, found), key=repr) == expected
 
 
+def test_ranks_follow_the_scores_over_many_tasks(spark):
+    """The sort is left in many tasks of uneven size, whose files Spark reads in another order."""
+    docs = spark.range(3_000).select(F.col("id").alias("doc_id"), F.expr("repeat(concat('w', id % 40, ' v '), CAST(10 + pow(id % 7, 3) AS INT))").alias("text"))
+    items = spark.createDataFrame([("w1 v w3 v",)], "text string")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = importance.importance_resample(docs, items, percent=60).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    best = sorted(found, key=lambda r: (-r.score, r.id))
+    assert [r["rank"] for r in best] == [*range(1, 1_801), *[None] * 1_200]
+
+
 def test_resampling_of_no_documents_and_no_target(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     some = spark.createDataFrame([(i, f"a b c{i} " * 10) for i in range(40)], "doc_id long, text string")
