@@ -31,27 +31,23 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 
 def number_rows(df: DataFrame, name: str = "seq_no") -> DataFrame:
-    """Number rows from 1 in reading order, for a frame that scans files.
+    """Number rows from 1, by file name and place in the file, for a frame that scans files.
 
-    Every task numbers its own rows; the first number of a task is the row count of the tasks
-    before it, from a table with one row per task. No row is sorted or moved.
+    Spark deals large files to tasks first, so the order of tasks is not that of the files. Every part of a
+    file that a task reads numbers its own rows; the first number of a part is the row count of the parts
+    before it, from a table with one row per part. No row is sorted or moved.
     """
-    row_id = F.monotonically_increasing_id()
-    tagged = df.select("*", row_id.alias("__row"))
-    counts = (
-        tagged.select(F.shiftright("__row", _ROW_BITS).alias("__task"))
-        .groupBy("__task")
-        .agg(F.count("*").alias("__rows"))
-    )
-    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select("__task", F.sum("__rows").over(before).alias("__before"))
-    inside = F.col("__row").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    number = F.coalesce("__before", F.lit(0)) + inside + 1
-    # One row per input task, whatever the size of the data: safe to broadcast.
-    numbered = tagged.withColumn("__task", F.shiftright("__row", _ROW_BITS)).join(
-        F.broadcast(starts), "__task"
-    )
-    return numbered.withColumn(name, number).drop("__task", "__row", "__before")
+    part = {"__file": F.input_file_name(), "__start": F.input_file_block_start()}
+    tagged = df.select("*", F.monotonically_increasing_id().alias("__row"), *[c.alias(n) for n, c in part.items()])
+    keys = ["__file", "__start", "__task"]
+    tagged = tagged.withColumn("__task", F.shiftright("__row", _ROW_BITS))
+    counts = tagged.groupBy(*keys).agg(F.count("*").alias("__rows"), F.min("__row").alias("__first"))
+    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(*keys, "__first", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    # One row per part of a file, whatever the size of the data: safe to broadcast.
+    numbered = tagged.join(F.broadcast(starts), keys)
+    number = F.col("__before") + F.col("__row") - F.col("__first") + 1
+    return numbered.withColumn(name, number).drop(*keys, "__row", "__first", "__before")
 
 
 def clean_rules(df: DataFrame, columns: tuple[str, ...] = QUOTED_COLUMNS) -> DataFrame:

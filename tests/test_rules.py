@@ -11,6 +11,7 @@ from ruleframe import (
     duplicate_rows,
     expand_calls,
     expression_references,
+    number_rows,
     load_rules,
     number_rows,
     publish_rules,
@@ -205,6 +206,21 @@ def test_calls_behind_raw_literals_and_at_any_depth():
     assert expand_calls(nested).count("array_join") == 1
 
 
+def test_rows_are_numbered_in_the_order_of_their_files(spark, tmp_path):
+    """Of files of uneven size Spark reads the largest first."""
+    for i, (low, high) in enumerate(((0, 10), (10, 4_000), (4_000, 4_100), (4_100, 9_000))):
+        part = tmp_path / "one"
+        spark.range(low, high, numPartitions=1).write.mode("overwrite").csv(str(part))
+        next(part.glob("*.csv")).rename(tmp_path / f"part-{i}.csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        found = number_rows(spark.read.schema("id long").csv(f"{tmp_path}/part-*.csv")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(found) == 9_000 and all(r.seq_no == r.id + 1 for r in found)
+
+
 def test_expression_references_of_very_long_text(spark):
     text = "a + '" + "x" * 200_000 + "' + " + "b + " * 50_000 + "c"
     df = spark.createDataFrame([(text,)], "e STRING")
