@@ -93,7 +93,7 @@ def join_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH valid AS (SELECT o_orderkey, o_custkey % 3 AS k, o_orderdate AS since,
-                      CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate + to_days(CAST(o_orderkey % 5 * (o_orderkey % 17) AS INTEGER)) END AS until
+                      CASE WHEN o_orderkey % 4999 = 1 THEN NULL ELSE o_orderdate + to_hours(CAST(o_orderkey % 5 * (o_orderkey % 17) AS INTEGER)) END AS until
                FROM orders WHERE o_orderkey % 5 < 3)
 SELECT o_orderkey, count(l_orderkey) AS lines, CAST(sum(l_linenumber) AS BIGINT) AS numbers
 FROM valid JOIN (SELECT *, l_suppkey % 3 AS m FROM lineitem) ON k = m AND l_shipdate >= since AND (until IS NULL OR l_shipdate < until)
@@ -102,7 +102,7 @@ GROUP BY o_orderkey
 def join_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines shipped while an order of their third was valid: short, long and open intervals."""
     orders = table(spark, sf_dir, "orders").where("o_orderkey % 5 < 3")
-    until = "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderdate + make_dt_interval(CAST(o_orderkey % 5 * (o_orderkey % 17) AS INT)) END"
+    until = "CASE WHEN o_orderkey % 4999 = 1 THEN NULL ELSE o_orderdate + make_dt_interval(0, CAST(o_orderkey % 5 * (o_orderkey % 17) AS INT)) END"
     valid = orders.selectExpr("o_orderkey", "o_custkey % 3 AS k", "o_orderdate AS since", f"{until} AS until")
     lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "l_linenumber", "l_shipdate", "l_suppkey % 3 AS k")
     found = temporal.join_intervals(lines, valid, ["k"], "l_shipdate", "since", "until")
