@@ -343,3 +343,37 @@ def test_a_record_without_a_length_is_refused(spark, tmp_path):
     (tmp_path / "odd.warc").write_bytes(b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:x>\r\n\r\n")
     with pytest.raises(Exception, match="without a content length"):
         warc.read_warc(spark, f"file://{tmp_path}/odd.warc").collect()
+
+
+# --- passages that only some texts of a list share --------------------------------------------------
+
+
+def linked(spark, texts, **options):
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], DOCS)
+    return {(r.id, r.passage) for r in passages.repeated_passages(docs, **options).collect()}
+
+
+@pytest.mark.parametrize("crowd", [4, 1000])
+@pytest.mark.parametrize("common", [20, 40])
+def test_no_link_is_lost_to_a_first_text_that_shares_less(spark, crowd, common):
+    """Pairs share 52 words around words that many other texts have as well."""
+    rng = random.Random(common)
+    filler = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    line = filler(common)
+    texts = [f"{filler(20)} {line} {filler(20)}" for _ in range(40)]
+    for _ in range(15):
+        before, after = filler((52 - common) // 2), filler((53 - common) // 2)
+        texts += [f"{filler(20)} {before} {line} {after} {filler(20)}" for _ in range(2)]
+    assert linked(spark, texts, crowd=crowd) == {(i, i - i % 2) for i in range(40, 70)}
+
+
+def test_passages_with_one_changed_word_are_found(spark):
+    rng = random.Random(5)
+    draw = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+    texts = []
+    for i in range(60):
+        shared = draw(50 + i % 6)
+        changed = list(shared)
+        changed[25] = "changed"
+        texts += [" ".join([*draw(15), *x, *draw(15)]) for x in (shared, changed)]
+    assert linked(spark, texts) == {(i, i - i % 2) for i in range(120)}
