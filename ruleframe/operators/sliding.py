@@ -29,6 +29,7 @@ from ruleframe.operators.running import (
     key_names,
     matched,
 )
+from ruleframe.operators.temporal import number_of
 from ruleframe.session import stage
 
 WINDOW = re.compile(
@@ -39,6 +40,9 @@ BETWEEN = re.compile(r"^\s*BETWEEN\b(?P<first>.*)\bAND\b(?P<last>.*)$", re.I | r
 BOUND = re.compile(r"^\s*(?:(?P<here>CURRENT\s+ROW)|(?P<far>.+?)\s+(?P<way>PRECEDING|FOLLOWING))\s*$", re.I | re.S)
 # How far a range may reach: a number, or an interval of literals
 DISTANCE = re.compile(r"^(?:[0-9.]+(?:E[0-9]+)?[A-Z]*|INTERVAL\s+['\"]?[-0-9.: ]+['\"]?\s+\w+(?:\s+TO\s+\w+)?|INTERVAL\s+'[^']*')$", re.I)
+# How frames over chunks add up the parts of a value, and how many order values of a frame Spark may add up anew
+CHUNKED = {"sum": "sum", "count": "sum", "count_if": "sum", "min": "min", "max": "max", "weightedaverage": "sum"}
+FEW = 256
 # Ranking functions know no frame, and a distinct count keeps no partial count
 UNFIT = frozenset("row_number rank dense_rank percent_rank cume_dist ntile lag lead grouping grouping_id".split())
 
@@ -209,17 +213,70 @@ def _attach_range(df, window, frame, values, view, blocks) -> DataFrame:
     parts_of = {key: f"__part_{i}" for i, key in enumerate(keys)}
     cut = cut_into_blocks(sums.withColumnsRenamed(parts_of), OrderedWindow(tuple(parts_of.values()), (f"__at {direction}",)), blocks)
     descending = (item["way"] or "").strip().upper() == "DESC"
-    rows = _with_halo(cut, keys, frame, blocks, descending)
-    over = f"(PARTITION BY {', '.join(['__block', *keys])} ORDER BY __at {direction} {frame.text()})"
-    found = {}
-    for name, group in parts.items():
-        own = [f"{name}_{i}" for i in range(len(group.parts()))]
-        found[name] = _combined(group, own, over).cast(types[name].dataType)
-    table = rows.select("*", *[c.alias(n) for n, c in found.items()]).filter("NOT __halo").select(*keys, "__at", *values)
+    table = _by_chunks(cut, parts_of, frame, parts, types, blocks, descending)
+    if table is None:
+        rows = _with_halo(cut, keys, frame, blocks, descending)
+        over = f"(PARTITION BY {', '.join(['__block', *keys])} ORDER BY __at {direction} {frame.text()})"
+        found = {}
+        for name, group in parts.items():
+            own = [f"{name}_{i}" for i in range(len(group.parts()))]
+            found[name] = _combined(group, own, over).cast(types[name].dataType)
+        table = rows.select("*", *[c.alias(n) for n, c in found.items()]).filter("NOT __halo").select(*keys, "__at", *values)
     joined = matched(named, stage(table, "frames"), [*keys, "__at"], "__of")
     return joined.select(*[F.col(f"`{name}`") for name in df.columns], *values)
 
 
+def _by_chunks(cut, parts_of, frame, parts, types, blocks, descending) -> DataFrame | None:
+    """The values of the frames of all order values, for frames that span many of them; None if they do not.
+
+    Spark adds up each frame anew, which costs the rows times the frame. Here the order is cut into chunks
+    somewhat narrower than a frame, so that each frame is the end of one chunk, the whole of the next if it reaches
+    over it, and the beginning of the last: running values of the chunks from either side, at places that are
+    put among their rows. Rows of a null or infinite order have only themselves in their frames.
+    """
+    calls = {name: CHUNKED.get(group.call) for name, group in parts.items()}
+    kind = cut.schema["__at"].dataType
+    cut = cut.withColumns(dict(zip(("__lo", "__hi"), [frame.reach(F.col("__at"), way, descending) for way in ((1, -1) if descending else (-1, 1))])))
+    if None in calls.values() or any(cut.schema[name].dataType != kind for name in ("__lo", "__hi")):
+        return None
+    place = {name: number_of(cut, name) for name in ("__at", "__lo", "__hi")}
+    near = place["__at"].isNotNull() & ~F.isnan(place["__at"]) & (F.abs(place["__at"]) < float("inf"))
+    rows = cut.where(near)
+    length = place["__hi"] - place["__lo"]
+    least, most, low, high = rows.agg(F.min(length), F.max(length), F.min(place["__at"]), F.max(place["__at"])).first()
+    if least is None or least <= 0 or most > 1.5 * least or high - low > 1e12 * least:
+        return None
+    chunk = {name: F.floor((col - low) / (0.99 * least)) for name, col in place.items()}
+    rows = rows.select("*", *[col.alias(f"{name}_chunk") for name, col in chunk.items()])
+    keys = list(parts_of.values())
+    largest = rows.groupBy(*keys, "__at_chunk").count().agg(F.max("count")).first()[0]
+    spans = rows.agg(F.min(F.col("__hi_chunk") - F.col("__lo_chunk")), F.max(F.col("__hi_chunk") - F.col("__lo_chunk"))).first()
+    if largest <= FEW or spans[0] < 1 or spans[1] > 2:
+        return None
+    pieces = {f"{name}_{i}": calls[name] for name, group in parts.items() for i in range(len(group.parts()))}
+    none = [F.lit(None).cast(cut.schema[piece].dataType).alias(piece) for piece in pieces]
+    data = rows.select(*keys, F.col("__at_chunk").alias("__chunk"), "__at", F.lit(0).alias("__side"), F.lit(None).cast(kind).alias("__of"), *pieces)
+
+    def running(edge: str, order: str) -> DataFrame:
+        probes = rows.select(*keys, f"{edge}_chunk", edge, F.lit(1), "__at", *none)
+        window = OrderedWindow((*keys, "__chunk"), (order, "__side"))
+        values = {f"{piece}_run": RunningValue(call, piece, True) for piece, call in pieces.items()}
+        found = attach_running(data.union(probes), window, values, blocks=blocks).where("__side = 1")
+        return found.select(*keys, "__of", *[F.col(f"{piece}_run").alias(piece) for piece in pieces])
+
+    totals = data.groupBy(*keys, "__chunk").agg(*[getattr(F, call)(piece).alias(piece) for piece, call in pieces.items()])
+    over = rows.where(F.col("__hi_chunk") - F.col("__lo_chunk") == 2)
+    over = over.select(*keys, F.col("__at").alias("__of"), (F.col("__lo_chunk") + 1).alias("__chunk"))
+    middle = matched(over, totals, [*keys, "__chunk"], "__in").select(*keys, "__of", *pieces)
+    alone = cut.where(~F.coalesce(near, F.lit(False))).select(*keys, F.col("__at").alias("__of"), *pieces)
+    found = running("__lo", "__at DESC").union(running("__hi", "__at")).union(middle).union(alone)
+    values = [
+        group.combine([F.col(f"{name}_{i}") for i in range(len(group.parts()))]).cast(types[name].dataType).alias(name) for name, group in parts.items()
+    ]
+    names = {new: key for key, new in parts_of.items()}
+    return found.groupBy(*keys, "__of").agg(*values).withColumnsRenamed(names | {"__of": "__at"})
+
+
 def _combined(group: GroupValue, pieces: list[str], over: str) -> Column:
     """The value of a frame from the parts of its order values."""
     if group.call == "weightedaverage":

@@ -7,10 +7,11 @@ from collections import Counter, defaultdict
 
 import duckdb
 import pytest
-from conftest import plan
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from ruleframe import Rule, derive
+from ruleframe.operators import sliding, temporal
 from ruleframe.operators.groups import GroupValues, group_tables
 from ruleframe.operators.increment import attach_increment, group_state, group_values_of
 from ruleframe.operators.lineage import lowest_levels, rule_lineage
@@ -315,3 +316,48 @@ def test_histograms_of_ties_nulls_and_nothing(spark):
     assert all(a.high == b.low for a, b in zip(found, found[1:])) and all(r.rows > 0 for r in found)
     assert column_histogram(rows.where("x IS NULL"), "x").collect() == []
     assert [(r.low, r.high, r.rows, r["values"]) for r in column_histogram(rows.where("x = 1"), "x").collect()] == [(1.0, 1.0, 50, 1)]
+
+
+# --- wide frames and many lengths of intervals ------------------------------------------------------
+
+
+@pytest.mark.parametrize("text", [
+    "count(*) OVER (PARTITION BY k ORDER BY t RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW)",
+    "max(v) OVER (PARTITION BY k ORDER BY t DESC RANGE BETWEEN INTERVAL 7 HOURS PRECEDING AND INTERVAL 2 HOURS FOLLOWING)",
+    "sum(v) OVER (PARTITION BY k ORDER BY d RANGE BETWEEN 300.5D PRECEDING AND 20D PRECEDING)",
+    "avg(v) OVER (ORDER BY n DESC NULLS FIRST RANGE BETWEEN 10 FOLLOWING AND 700 FOLLOWING)",
+    "min(v) OVER (PARTITION BY k ORDER BY n RANGE BETWEEN 2 PRECEDING AND 400 FOLLOWING)",
+])
+def test_wide_frames_equal_sparks_and_are_not_added_up_anew(spark, text, monkeypatch):
+    table = spark.range(6000).selectExpr(
+        "id", "IF(id % 50 = 0, NULL, id % 3) AS k", "CAST(pmod(xxhash64(id), 1000) AS INT) AS v",
+        "IF(id % 97 = 0, NULL, timestamp_micros(pmod(xxhash64(id, 1), 6 * 86400) * 1000000)) AS t",
+        "CASE id % 500 WHEN 0 THEN NULL WHEN 1 THEN double('NaN') WHEN 2 THEN double('Infinity') WHEN 3 THEN double('-Infinity') ELSE pmod(xxhash64(id, 2), 20000) / 8 END AS d",
+        "IF(id % 89 = 0, NULL, pmod(xxhash64(id, 3), 4000)) AS n",
+    )
+    rule = [Rule(1, "x", "DOUBLE", 1, text)]
+    expected = rows_of(derive(table, rule, windows="spark").select("id", "x"))
+    monkeypatch.setattr(sliding, "_with_halo", None)  # what Spark's frames need
+    monkeypatch.setattr(sliding, "FEW", 20)
+    assert rows_of(derive(table, rule, blocks=5).select("id", "x")) == pytest.approx(expected)
+
+
+def rows_of(df):
+    return {r[0]: r[1] for r in df.collect()}
+
+
+def test_points_are_not_looked_up_once_per_length(spark):
+    points = spark.range(3000).selectExpr("id % 3 AS k", "pmod(xxhash64(id), 100000) AS at")
+    spans = spark.range(800).selectExpr("id % 3 AS k", "id", "pmod(xxhash64(id, 1), 100000) AS since")
+    spans = spans.selectExpr("*", "IF(id % 200 = 0, NULL, since + id % 7 * (id % 61)) AS until")
+    found = join_intervals(points, spans, ["k"], "at", "since", "until")
+    expected = spans.join(points, "k").where("at >= since AND (until IS NULL OR at < until)")
+    assert rows(found.select("id", "at")) == rows(expected.select("id", "at"))
+    assert plan(found).count(" AS __level") + plan(found).count("__level, ") <= 6
+
+
+def test_levels_that_are_merged():
+    merged = temporal._merged_levels({16: 500, 17: 500, 18: 500, 19: 500, 24: 1}, 10_000)
+    assert len(set(merged.values())) <= 2
+    assert temporal._merged_levels({}, 0) == {}
+    assert temporal._merged_levels({0: 100_000, 9: 10}, 10) == {0: 0, 9: 9}  # neither many copies nor many comparisons
