@@ -1,16 +1,20 @@
-"""Quality rules: counts per text, and perplexity under an n-gram model within bands for each language."""
+"""Quality rules: counts per text, and perplexity under models of words and of letters within bands for each language."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ruleframe.llm.words import SPACED, buffers, grams, hashes, pieces, spans
+from ruleframe.llm.wordpairs import discounts, with_word_surprise
+from ruleframe.llm.words import LOWER, SPACED, buffers, grams, hashes, pieces, spans
 from ruleframe.session import stage
 
 #: Fixed value: the characters that count as symbols.
@@ -84,16 +88,6 @@ def _hash(numbers: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint32(16))
 
 
-def discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discounts of counts 1, 2 and 3 or more (of 0: nothing), from how many counts are 1 to 4."""
-    n = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
-    if not n[0] or not n[1]:
-        return np.array([0, 0.5, 0.5, 0.5])
-    y = n[0] / (n[0] + 2 * n[1])
-    found = [k - (k + 1) * y * n[k] / n[k - 1] if n[k - 1] else k / 2 for k in (1, 2, 3)]
-    return np.array([0, *(min(max(d, 0.0), float(k)) for k, d in enumerate(found, 1))])
-
-
 @dataclass(frozen=True)
 class Level:
     """Grams of one length: sorted hashes with log probabilities, and sorted hashes of histories with the log
@@ -128,7 +122,7 @@ class KneserNey:
             tables.insert(0, tuple(np.unique(longer % LETTERS**size, return_counts=True)))
         levels: list[Level] = []
         for size, (own, count) in enumerate(tables, 1):
-            taken = discounts(count)
+            taken = discounts([int((count == k).sum()) for k in (1, 2, 3, 4)])
             owner, which = np.unique(own // LETTERS, return_inverse=True)
             total = np.bincount(which, weights=count)
             less = taken[np.minimum(count, 3)]
@@ -171,6 +165,29 @@ def fit_quality(docs: DataFrame, *, text: str = "text", order: int = 4) -> Knese
     return KneserNey.of(found["gram"].to_numpy(), found["n"].to_numpy(), order)
 
 
+def _speller(shared: Broadcast) -> Callable:
+    """In a task, the function that gives the log chance of the bytes of each word, lower-cased, and the blank behind them:
+    that of their letters, evenly dealt among the bytes of each."""
+    own = shared.value
+    if own is None:  # no texts
+        return lambda data, starts, ends: np.zeros(len(starts))
+    kinds = np.maximum(np.bincount(LETTER[np.unique(LOWER)], minlength=LETTERS), 1)
+
+    def spell(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        before = own.order - 1
+        bounds = np.append(0, np.cumsum(ends - starts + before + 1))
+        row = np.repeat(np.arange(len(starts)), ends - starts)
+        inside = np.arange(len(row)) - np.repeat(np.cumsum(ends - starts) - (ends - starts), ends - starts)
+        spaced = np.full(bounds[-1], 0x20, np.uint8)
+        spaced[bounds[row] + before + inside] = data[starts[row] + inside]
+        found, at = np.unique(grams_of(spaced, bounds, own.order), return_inverse=True)
+        chance = own.chances(found)[at] - np.log(kinds)[LETTER[spaced]]
+        chance[np.add.outer(bounds[:-1], np.arange(before)).ravel()] = 0
+        return _sums(chance, bounds)
+
+    return spell
+
+
 def _sums(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """The sum of values[bounds[i]:bounds[i + 1]] for each i."""
     kind = np.float64 if values.dtype == np.float64 else np.int64
@@ -224,13 +241,12 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def with_quality(docs: DataFrame, model: KneserNey | None, *, text: str = "text", name: str = "quality") -> DataFrame:
-    """The documents with a struct: the counts of ``text_counts`` and ``log_perplexity``, the mean surprise per byte
-    in nats, null for an empty text."""
-    fields = ", ".join(f"{c}: long" for c in COUNTS)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = docs.select("*", F.lit(None).cast(f"struct<{fields}, log_perplexity: double>").alias(name)).schema
-    at = docs.columns.index(text)
+def _quality_type() -> T.StructType:
+    return T.StructType([*(T.StructField(c, T.LongType()) for c in COUNTS), T.StructField("log_perplexity", T.DoubleType())])
+
+
+def _counter(shared: Broadcast, at: int, name: str) -> Callable:
+    """The function that adds the struct of ``with_quality`` to Arrow batches."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
@@ -252,14 +268,22 @@ def with_quality(docs: DataFrame, model: KneserNey | None, *, text: str = "text"
                 struct = pa.StructArray.from_arrays(columns, [*COUNTS, "log_perplexity"])
                 yield pa.RecordBatch.from_arrays([*batch.columns, struct], names=[*batch.schema.names, name])
 
-    return docs.mapInArrow(run, schema)
+    return run
+
+
+def with_quality(docs: DataFrame, model: KneserNey | None, *, text: str = "text", name: str = "quality") -> DataFrame:
+    """The documents with a struct: the counts of ``text_counts`` and ``log_perplexity``, the mean surprise per byte
+    in nats, null for an empty text."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = docs.select("*", F.lit(None).cast(_quality_type()).alias(name)).schema
+    return docs.mapInArrow(_counter(shared, docs.columns.index(text), name), schema)
 
 
 def perplexity_bands(scored: DataFrame, lang: str, surprise: str, *, reach: float, least: float) -> DataFrame:
     """(lang, low, high, wide): per language the quarters of the surprises, and ``reach`` times their distance, at least
     ``least``. Quarters come from counts of thousandths, which any number of rows may share."""
     steps = scored.where(F.col(surprise).isNotNull()).groupBy(F.col(lang).alias("lang"), F.floor(F.col(surprise) * 1000).alias("step")).agg(F.count("*").alias("n"))
-    # As many rows per language as its surprises have thousandths, some ten thousand: log(LETTERS) bounds what a letter can miss.
+    # As many rows per language as its surprises have thousandths, some ten thousand: a mean varies little over 50 words.
     by = Window.partitionBy("lang").orderBy("step")
     ranked = steps.withColumn("upto", F.sum("n").over(by)).withColumn("all", F.sum("n").over(Window.partitionBy("lang")))
     quarters = [F.min(F.when(4 * F.col("upto") >= k * F.col("all"), F.col("step") / 1000.0)) for k in (1, 3)]
@@ -270,31 +294,41 @@ def perplexity_bands(scored: DataFrame, lang: str, surprise: str, *, reach: floa
 
 def quality_report(
     docs: DataFrame, *, id: str = "doc_id", text: str = "text", lang: str = "lang", order: int = 4, reach: float = 3.0,
-    least: float = 0.02, short: int = 300, least_words: int = 50, most_repeated: float = 50.0,
+    least: float = 0.02, short: int = 300, least_words: int = 50, most_repeated: float = 50.0, least_per_word: float = 0.1,
 ) -> DataFrame:
-    """(id, lang, counts..., base_failed, log_perplexity, low, high, kept) of each document.
+    """(id, lang, counts..., base_failed, log_perplexity, low, high, letter_perplexity, letter_low, letter_high, kept) of
+    each document.
 
     Base rules: a text of fewer than ``least_words`` words, or of which more than ``most_repeated`` percent stand in
     runs of three words found twice or more in it, fails. The rest are judged by their perplexity under an interpolated
-    modified Kneser-Ney model of all texts: its n-grams are runs of ``order`` letters, counted by Spark, its arrays
-    of hashes are sorted and searched, and their number is bounded by the ``LETTERS`` kinds of letters whatever the
-    corpus, so that every task may hold them. For each language a band is laid around the middle half of the texts
-    that pass the base rules: ``reach`` times that half's width to either side, at least ``least`` nats per byte, and
-    wider for a text of b bytes by the root of 1 + ``short`` / b, as short texts vary more. Texts above it (noise)
-    or below it (patter) are rejected.
+    modified Kneser-Ney model of the word pairs of all texts (``with_word_surprise``), however rare; a word's spelling
+    stands below its single word, by a model of the same kind of runs of ``order`` letters, whose number is bounded
+    by the ``LETTERS`` kinds of letters, so that every task may hold it. ``log_perplexity`` is the mean surprise per
+    word, the end of the text among them, and ``letter_perplexity`` that of the letter model alone per byte, in nats.
+    For each language and either one a band is laid around the middle half of the texts that pass the base rules:
+    ``reach`` times that half's width to either side, at least ``least_per_word`` nats a word or ``least`` a byte, and
+    wider for a text of b bytes by the root of 1 + ``short`` / b, as short texts vary more. Texts above either band (noise)
+    or below that of the letters (patter) are rejected. Below that of the words a text is not rejected for it: copies
+    and passages that other texts have as well lower its surprise, whatever their quality.
 
     Null and empty texts have no words, fail, and have no perplexity. A null language is one of its own; rows that
     repeat count each; null ids are kept; an empty table gives no rows. Other columns of the table play no part.
     """
     rows = docs.select(F.col(id).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text"))
     model = fit_quality(rows, order=order)
-    counted = with_quality(rows, model).select("id", "lang", F.octet_length("text").alias("bytes"), "quality.*")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows = rows.withColumn("bytes", F.octet_length("text"))
+    added = (T.StructField("quality", _quality_type()),)
+    judged = with_word_surprise(rows, partial(_speller, shared), name="words", added=added, add=_counter(shared, rows.columns.index("text"), "quality"))
+    judged = judged.select("id", "lang", "bytes", "words", "quality.*").withColumnRenamed("log_perplexity", "letter_perplexity")
     failed = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
-    counted = stage(counted.withColumn("base_failed", failed), "quality")
-    bands = stage(perplexity_bands(counted.where("NOT base_failed"), "lang", "log_perplexity", reach=reach, least=least), "bands")
-    bands = bands.withColumnRenamed("lang", "of")
-    judged = counted.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left")
-    wide = F.col("wide") * F.sqrt(1 + short / F.col("bytes"))
-    judged = judged.withColumns({"low": F.col("low") - wide, "high": F.col("high") + wide}).drop("of", "wide", "bytes")
-    inside = F.coalesce(F.col("log_perplexity").between(F.col("low"), F.col("high")), F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & inside)
+    judged = judged.withColumns({"base_failed": failed, "log_perplexity": F.when(F.col("bytes") > 0, F.col("words"))}).drop("words")
+    passed, kept = judged.where("NOT base_failed"), ~F.col("base_failed")
+    for value, width, low, high in (("log_perplexity", least_per_word, "low", "high"), ("letter_perplexity", least, "letter_low", "letter_high")):
+        bands = stage(perplexity_bands(passed, "lang", value, reach=reach, least=width), "bands").toDF("of", low, high, "wide")
+        judged = judged.join(bands, F.col("lang").eqNullSafe(F.col("of")), "left")
+        wide = F.col("wide") * F.sqrt(1 + short / F.greatest("bytes", F.lit(1)))
+        judged = judged.withColumns({low: F.col(low) - wide, high: F.col(high) + wide}).drop("of", "wide")
+        least_kept = F.col(low) if value == "letter_perplexity" else F.lit(0.0)
+        kept = kept & F.coalesce(F.col(value).between(least_kept, F.col(high)), F.lit(False))
+    return judged.withColumn("kept", kept).drop("bytes")

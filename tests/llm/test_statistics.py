@@ -103,6 +103,80 @@ def test_base_columns_of_the_registered_query(spark):
         assert not (r.base_failed and r.kept)
 
 
+def brute_word_surprise(texts):
+    """Modified Kneser-Ney over word pairs, written plainly; own occurrences taken off, spelling by the letter model."""
+    lower = str.maketrans({chr(c): chr(c + 32) for c in range(0x41, 0x5B)})
+    rows = [[None, *re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(lower)), None] for t in texts]
+    pairs = collections.Counter(p for r in rows for p in zip(r, r[1:]))
+    before = collections.Counter(w for _, w in pairs)
+    letters = [[quality.LINE] * 3 + [int(quality.LETTER[b]) for b in (t or "").encode()] for t in texts]
+    grams = collections.Counter(tuple(r[i - 3 : i + 1]) for r in letters for i in range(3, len(r)))
+    numbers = np.array([sum(x * quality.LETTERS**k for k, x in enumerate(reversed(g))) for g in sorted(grams)])
+    model = quality.KneserNey.of(numbers, np.array([grams[g] for g in sorted(grams)]), 4)
+    bytes_of = collections.Counter(int(quality.LETTER[b]) for b in range(256) if not 0x41 <= b <= 0x5A)
+
+    def spelled(word):
+        row = [27] * 3 + [int(quality.LETTER[b]) for b in ((word or "") + " ").encode()]
+        steps = [sum(x * quality.LETTERS**k for k, x in enumerate(reversed(row[i - 3 : i + 1]))) for i in range(3, len(row))]
+        return math.exp(sum(model.chances(np.array(steps)))) / math.prod(bytes_of[x] for x in row[3:])
+
+    def kneser_ney(counts, key, discounts, shorter):
+        counts = {k: c for k, c in counts.items() if c}
+        total = sum(counts.values())
+        if not total:
+            return shorter
+        less = {k: discounts[min(c, 3)] for k, c in counts.items()}
+        return (counts.get(key, 0) - less.get(key, 0)) / total + sum(less.values()) / total * shorter
+
+    def discounts(counts):
+        return quality.discounts([sum(c == k for c in counts.values()) for k in (1, 2, 3, 4)])
+
+    of_pairs, of_words = discounts(pairs), discounts(before)
+
+    def surprise(h, w):
+        others = before - collections.Counter([w]) if pairs[h, w] == 1 else before
+        word = kneser_ney(others, w, of_words, spelled(w))
+        behind = collections.Counter({y: c for (x, y), c in pairs.items() if x == h}) - collections.Counter([w])
+        return -math.log(kneser_ney(behind, w, of_pairs, word))
+
+    return [sum(surprise(h, w) for h, w in zip(r, r[1:])) / (len(r) - 1) for r in rows]
+
+
+def test_word_perplexity_against_plain_python(spark):
+    """Its pairs are counted over all texts: the same letters in other words, or the words in another order, surprise more."""
+    rng = np.random.default_rng(3)
+    words = ["The", "cat", "sat", "mat.", "été", "x9#", "漢字", "rat"]
+    texts = [*ODD[:-1], *(" ".join(rng.choice(words, n)) for n in (1, 9, 30, 80)), "cat The mat. sat", "zqx " + " the cat" * 7]
+    rows = spark.createDataFrame([(i, t, "en") for i, t in enumerate(texts)], DOCS).repartition(3)
+    found = {r.id: r.log_perplexity for r in quality.quality_report(rows).collect()}
+    for i, (text, expected) in enumerate(zip(texts, brute_word_surprise(texts))):
+        assert found[i] == (pytest.approx(expected, rel=1e-5) if text else None)
+    model = quality.fit_quality(rows)
+    shared = spark.sparkContext.broadcast(model)
+    scored = quality.with_word_surprise(rows, lambda: quality._speller(shared), chunk=20)  # many chunks
+    assert {r.doc_id: r.surprise for r in scored.collect() if texts[r.doc_id]} == pytest.approx({i: x for i, x in found.items() if texts[i]}, rel=1e-5)
+
+
+def test_words_in_an_order_of_their_own_are_rejected(spark):
+    """Letters as in the other texts, but words that follow one another nowhere else: a model of letters keeps it."""
+    rng = np.random.default_rng(8)
+    words = ["tan" + "".join(rng.choice(list("aeioulnrst"), 4)) + "ten" for _ in range(400)]
+    step = [[words[(7 * i + k) % 400] for k in range(2)] for i in range(400)]
+    texts = []
+    for _ in range(200):
+        at, row = int(rng.integers(400)), []
+        for _ in range(120):
+            row.append(words[at])
+            at = words.index(step[at][int(rng.integers(2))])
+        texts.append(" ".join(row))
+    salad = " ".join(" ".join(texts).split()[i] for i in rng.integers(0, 24_000, 120))
+    rows = spark.createDataFrame([(i, t, "en") for i, t in enumerate([*texts, salad])], DOCS)
+    found = {r.id: r for r in quality.quality_report(rows).collect()}
+    assert sum(found[i].kept or found[i].base_failed for i in range(200)) >= 198
+    assert not found[200].base_failed and not found[200].kept and found[200].log_perplexity > found[200].high
+    assert found[200].letter_low <= found[200].letter_perplexity <= found[200].letter_high
+
+
 def test_bands_reject_noise_and_patter_but_no_prose(spark):
     rng = np.random.default_rng(5)
     words = ["".join(rng.choice(list("aeioulnrst"), size)) for size in rng.integers(2, 9, 400)]
