@@ -14,14 +14,14 @@ from pyspark.sql import types as T
 
 from ruleframe.llm.automaton import CLEANUP, _by_bucket, _cuts, _longer, _packed, _places, _planes, _stable, _unpacked, _write
 from ruleframe.llm.words import LOWER, SPACED, buffers, hashes, mix, pieces, spans, trimmed
-from ruleframe.session import delete_path, session_settings
+from ruleframe.session import delete_path, fresh_path, session_settings
 
 #: Tokens of a chunk: texts that share one dictionary and are scored together.
 CHUNK = 1 << 21
 #: Parts that pairs are counted in, and chunks scored in, one after the other: what one part shuffles goes before the next.
 PARTS = 4
 #: Places that the words behind one history are dealt out to, so that a frequent one is no task of its own.
-SPREAD = 8
+SPREAD = 4
 
 
 def _tag(hashed: np.ndarray) -> np.ndarray:
@@ -79,7 +79,7 @@ def _chunks(rows: DataFrame, text: str, spell: Callable, size: int, added: list[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, number, speller = TaskContext.get().partitionId(), 0, spell()
-        held, known, count = [], [END], 0  # known: words of the chunk, by piece, each once
+        held, known, count = [], [END], 0  # known: words of the chunk that are new in a piece
         no_word = speller(np.zeros(0, np.uint8), *np.zeros((2, 1), np.int64))  # the end is spelled like it
         spelled = [no_word]
 
@@ -89,7 +89,8 @@ def _chunks(rows: DataFrame, text: str, spell: Callable, size: int, added: list[
             sizes = np.concatenate([h[1] for h in held])
             words, of_words = np.concatenate(known), np.concatenate(spelled)
             vocabulary, first = np.unique(words, return_index=True)
-            token = np.searchsorted(vocabulary, np.concatenate([h[2] for h in held]))
+            end = np.searchsorted(vocabulary, END[0])
+            token = np.concatenate([np.insert(np.searchsorted(vocabulary, own)[place], bounds, end) for _, _, own, place, bounds in held])
             order = np.argsort(-np.bincount(token, minlength=len(vocabulary)), kind="stable")  # small numbers compress
             place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order), dtype=np.int32)
@@ -107,15 +108,16 @@ def _chunks(rows: DataFrame, text: str, spell: Callable, size: int, added: list[
                 starts, ends = spans(data, offsets, SPACED)
                 bounds = np.searchsorted(starts, offsets)
                 tags = _tag(hashes(data, starts, ends))
-                new, first = np.unique(tags, return_index=True)
+                own, first, at_own = np.unique(tags, return_index=True, return_inverse=True)
+                new = own
                 for seen in known:
                     fresh = _places(seen, new) < 0
                     new, first = new[fresh], first[fresh]
                 known.append(new)
                 spelled.append(speller(data, starts[first], ends[first]))
                 columns = [batch.column(i) for i in range(batch.num_columns) if i != at]
-                held.append((columns, np.diff(bounds) + 1, np.insert(tags, bounds[1:], END[0])))
-                count += len(held[-1][2])
+                held.append((columns, np.diff(bounds) + 1, own, at_own.astype(np.int32), bounds[1:]))
+                count += len(tags) + batch.num_rows
                 if count >= size:
                     yield flush()
         if held:
@@ -124,10 +126,15 @@ def _chunks(rows: DataFrame, text: str, spell: Callable, size: int, added: list[
     return rows.mapInArrow(trimmed(run), schema)
 
 
+def _counted(values: np.ndarray) -> tuple[np.ndarray, None, np.ndarray]:
+    found, n = np.unique(values, return_counts=True)
+    return found, None, n
+
+
 class _Chunk:
     """The words of a chunk in the order of their tags, and its distinct pairs in the order of both."""
 
-    def __init__(self, sizes: pa.Scalar, tokens: pa.Scalar, vocabulary: pa.Scalar):
+    def __init__(self, sizes: pa.Scalar, tokens: pa.Scalar, vocabulary: pa.Scalar, places: bool = False):
         self.sizes = np.frombuffer(sizes.as_buffer(), "<i8")
         tags = _untagged(vocabulary)
         self.by_tag = np.argsort(tags)
@@ -137,8 +144,11 @@ class _Chunk:
         token = rank[_unpacked(tokens, "<i4")]
         before = np.append(0, token[:-1])
         before[np.cumsum(self.sizes) - self.sizes] = np.searchsorted(self.tags, END[0])
-        self.pairs, self.at, self.n = np.unique(before * len(tags) + token, return_inverse=True, return_counts=True)
-        self.history, self.word = self.pairs // len(tags), self.pairs % len(tags)
+        before *= len(tags)
+        before += token
+        # Where the pairs are in the texts costs most of it.
+        pairs, self.at, self.n = np.unique(before, return_inverse=True, return_counts=True) if places else _counted(before)
+        self.history, self.word = np.divmod(pairs, len(tags))
 
     def dealt(self, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """The order of the pairs by bucket and tags, and their buckets in that order."""
@@ -157,9 +167,11 @@ def _requests(parts: DataFrame, buckets: int, part: int) -> DataFrame:
             for i in range(batch.num_rows):
                 chunk = _Chunk(*(batch[c][i] for c in ("sizes", "tokens", "vocabulary")))
                 order, bucket = chunk.dealt(buckets)
+                own = bucket % PARTS == part
+                order, bucket = order[own], bucket[own]
                 history, word, n = chunk.history[order], chunk.tags[chunk.word[order]], chunk.n[order]
-                cuts, bodies = [c for c in _cuts(bucket) if c[0] % PARTS == part], []
-                if not cuts:
+                cuts, bodies = _cuts(bucket), []
+                if not len(bucket):
                     continue
                 for _, a, b in cuts:
                     first = np.flatnonzero(np.append(True, history[a + 1 : b] != history[a : b - 1]))
@@ -216,8 +228,8 @@ def _count_pairs(requests: DataFrame, buckets: int) -> DataFrame:
     return requests.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(count, _COUNTED)
 
 
-def _count_words(parts: DataFrame, counted: DataFrame, buckets: int) -> DataFrame:
-    """For each chunk and bucket what :func:`_count_pairs` found of its words, added up; and how many words stand behind
+def _count_words(parts: DataFrame, counted: DataFrame, buckets: int, part: int) -> DataFrame:
+    """For each chunk and bucket of a part what :func:`_count_pairs` found of its words, added up; and how many words stand behind
     one to four others, behind three or more, and all of these pairs."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +237,9 @@ def _count_words(parts: DataFrame, counted: DataFrame, buckets: int) -> DataFram
             for i in range(batch.num_rows):
                 tags = _untagged(batch["vocabulary"][i])
                 order, bucket = _by_bucket(tags, buckets)
-                tags, cuts = tags[order], _cuts(bucket)
+                tags, cuts = tags[order], [c for c in _cuts(bucket) if c[0] % PARTS == part]
+                if not cuts:
+                    continue
                 bodies = [_packed(_planes(np.diff(tags[a:b], prepend=np.uint64(0)), "<u8")) for _, a, b in cuts]
                 columns = [pa.array([batch["chunk"][i].as_py()] * len(cuts), pa.int64()), pa.array([k for k, _, _ in cuts], pa.int64())]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(bodies, pa.binary())], ["chunk", "bucket", "tags"])
@@ -243,10 +257,22 @@ def _count_words(parts: DataFrame, counted: DataFrame, buckets: int) -> DataFram
         return _table(of["chunk"].to_pylist(), of["bucket"].to_pylist(), [None] * len(asked), bodies, totals)
 
     asked = parts.select("chunk", "vocabulary").mapInArrow(ask, "chunk long, bucket long, tags binary").withColumn("body", F.lit(None).cast("binary"))
-    rows = asked.union(counted.where("tags IS NOT NULL").select("chunk", "bucket", "tags", "body"))
+    told = counted.where("kind = 'words'").where(F.col("bucket") % PARTS == part)
+    rows = asked.union(told.select("chunk", "bucket", "tags", "body"))
     return rows.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(add, _COUNTED)
 
 
+def _written_by_kind(*parts: DataFrame) -> tuple[DataFrame, str]:
+    """Answers, counts of words, and totals in folders of their own, so that one can go before the others. Also the path."""
+    spark = parts[0].sparkSession
+    path = fresh_path(spark, "pairs")
+    kind = F.when(F.col("chunk").isNotNull(), "answers").when(F.col("tags").isNotNull(), "words").otherwise("totals")
+    options = {"parquet.block.size": 16 << 20, "parquet.enable.dictionary": "false", "compression": "zstd"}
+    for rows in parts:
+        rows.withColumn("kind", kind).write.options(**options).partitionBy("kind").mode("append").parquet(path)
+    return spark.read.schema(f"{_COUNTED}, kind string").parquet(path), path
+
+
 def _totals(counted: DataFrame, size: int) -> list[int]:
     sums = [F.coalesce(F.sum(F.col("totals")[i]), F.lit(0)) for i in range(size)]
     return [int(x) for x in counted.where("totals IS NOT NULL").agg(*sums).first()]
@@ -265,7 +291,7 @@ def with_word_surprise(
     ``spell()`` in a task makes a function of bytes, starts and ends of words that returns log chances. As the texts
     themselves were counted, each token is judged by all others: its own occurrence is taken off every count.
 
-    Texts are dealt to chunks that ask for the counts of their distinct pairs, packed, by buckets of pairs; what stands
+    Texts are dealt to chunks of ``chunk`` tokens that ask for the counts of their distinct pairs, packed, by buckets of pairs; what stands
     before and behind a word is then added up by buckets of words. Nothing but a few totals goes through the driver.
     Null and empty texts are an end alone.
     """
@@ -273,16 +299,18 @@ def with_word_surprise(
     with session_settings(spark, {CLEANUP: "true"}):
         parts, parts_path = _write(_chunks(rows, text, spell, chunk, list(added), add))
         buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts.count() // 2)
-        pairs, pairs_path = _write(*(_count_pairs(_requests(parts, buckets, part), buckets) for part in range(PARTS)))
-        words, words_path = _write(_count_words(parts, pairs, buckets))
-        less = discounts(_totals(pairs, 4))
+        pairs, pairs_path = _written_by_kind(*(_count_pairs(_requests(parts, buckets, part), buckets) for part in range(PARTS)))
+        words, words_path = _write(*(_count_words(parts, pairs, buckets, part) for part in range(PARTS)))
+        delete_path(spark, f"{pairs_path}/kind=words")
+        less = discounts(_totals(pairs.where("kind = 'totals'"), 4))
         kinds = _totals(words, 6)
         less_words, of_words, distinct = discounts(kinds[:4]), [kinds[0], kinds[1], kinds[4]], kinds[5]
-        answers = [x.where("chunk IS NOT NULL").select("chunk", F.lit(size).alias("size"), "bucket", "body") for size, x in ((2, pairs), (1, words))]
+        found = ((2, pairs.where("kind = 'answers'")), (1, words.where("chunk IS NOT NULL")))
+        answers = [x.select("chunk", F.lit(size).alias("size"), "bucket", "body") for size, x in found]
         schema = T.StructType([*rows.drop(text).schema.fields, *added, T.StructField(name, T.DoubleType())])
 
         def score(left: pa.Table, right: pa.Table) -> pa.Table:
-            own = _Chunk(*(left[c][0] for c in ("sizes", "tokens", "vocabulary")))
+            own = _Chunk(*(left[c][0] for c in ("sizes", "tokens", "vocabulary")), places=True)
             right = right.sort_by("bucket")
             bodies = {size: right.filter(pc.equal(right["size"], size))["body"] for size in (1, 2)}
             order, _ = own.dealt(buckets)
