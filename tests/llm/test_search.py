@@ -6,12 +6,14 @@ import hashlib
 import math
 import random
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from ruleframe.llm import ann, automaton, passages, warc
+from ruleframe.session import run_folder
 
 DOCS = "doc_id long, text string, source string"
 
@@ -377,3 +379,18 @@ def test_passages_with_one_changed_word_are_found(spark):
         changed[25] = "changed"
         texts += [" ".join([*draw(15), *x, *draw(15)]) for x in (shared, changed)]
     assert linked(spark, texts) == {(i, i - i % 2) for i in range(120)}
+
+
+def test_what_is_staged_for_passages_is_little(spark):
+    """Signatures are gone when they are read, and of the words only those of texts that are compared are kept."""
+    rng = random.Random(6)
+    draw = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    shared = draw(60)
+    texts = [draw(80) for _ in range(20)] + [f"{draw(20)} {shared} {draw(20)}" for _ in range(2)]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], DOCS)
+    with run_folder(spark) as folder:
+        found = passages.repeated_passages(docs)
+        assert {(r.id, r.start, r.end) for r in found.collect()} == {(20, 20, 80), (21, 20, 80)}
+        staged = {p.name.split("-")[0]: str(p) for p in Path(folder.removeprefix("file:")).iterdir()}
+        assert "signatures" not in staged and "nearby" not in staged
+        assert spark.read.parquet(staged["arrays"]).count() == 2
