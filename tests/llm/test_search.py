@@ -369,6 +369,19 @@ def test_no_link_is_lost_to_a_first_text_that_shares_less(spark, crowd, common):
     assert linked(spark, texts, crowd=crowd) == {(i, i - i % 2) for i in range(40, 70)}
 
 
+@pytest.mark.parametrize("others", [0, 30])
+def test_all_texts_of_a_crowded_list_meet(spark, others):
+    """Two lines that many texts have make a passage only where few words stand between them."""
+    rng = random.Random(others)
+    filler = lambda n: " ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n))
+    one, two = filler(45), filler(12)
+    texts = [f"{filler(20)} {one} {filler(20)}" for _ in range(others)]
+    texts += [f"{filler(20)} {one} {filler(7)} {two} {filler(20)}" for _ in range(40)]
+    near = range(len(texts), len(texts) + 6)
+    texts += [f"{filler(20)} {one} {filler(2)} {two} {filler(20)}" for _ in near]
+    assert linked(spark, texts) == {(i, near[0]) for i in near}
+
+
 def test_passages_with_one_changed_word_are_found(spark):
     rng = random.Random(5)
     draw = lambda n: ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
