@@ -21,6 +21,7 @@ from ruleframe.operators.sketches import column_histogram, merged_statistics, pa
 from ruleframe.operators.sliding import Frame, sliding_window
 from ruleframe.operators.temporal import join_as_of, join_intervals
 from ruleframe.session import stage
+from ruleframe.workloads import along
 
 
 @pytest.fixture(scope="module")
@@ -301,6 +302,18 @@ def test_statistics_of_parts_are_those_of_the_whole(spark, uneven):
     assert {r.k: r.row_count for r in found} == dict(by_key)
 
 
+def test_exact_values_beside_merged_statistics_are_not_gathered(spark, tmp_path):
+    """No percentile or set of all values of a column is held by one task."""
+    r = random.Random(8)
+    rows = [(None if i % 40 == 0 else i, r.randrange(30), r.choice([None, "F", "O", "P"]), r.choice(["1-URGENT", "5-LOW"])) for i in range(400)]
+    orders = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = along.merged_statistics(spark, str(tmp_path))
+    text = plan(found)
+    assert "percentile(" not in text and "collect_set(" not in text
+    assert {(x.column_name, x.near, x.middle_near) for x in found.collect()} == {("o_orderkey", True, True), ("o_custkey", True, True), ("open", True, None)}
+
+
 def test_renewed_partitions_do_not_read_the_others(spark, uneven):
     parts = stage(partition_statistics(uneven.where("k <> 1 OR k IS NULL OR v < 50"), ["k"], ["v", "o"]), "parts")
     renewed = replaced_partitions(parts, partition_statistics(uneven.where("k = 1"), ["k"], ["v", "o"]), ["k"])
