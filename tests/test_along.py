@@ -252,6 +252,53 @@ def test_interval_join_against_brute_force(spark, how, kind):
     assert "NestedLoop" not in plan(found) and "CartesianProduct" not in plan(found)
 
 
+@pytest.mark.parametrize("kind", ["int", "double", "date", "timestamp_ntz"])
+def test_totals_of_intervals_are_those_of_their_pairs(spark, kind):
+    r = random.Random(6)
+    make = {
+        "int": lambda x: x, "double": lambda x: x / 7, "date": lambda x: datetime.date(2020, 1, 1) + datetime.timedelta(days=x),
+        "timestamp_ntz": lambda x: datetime.datetime(2020, 3, 28) + datetime.timedelta(minutes=7 * x),
+    }[kind]
+    points = [(r.choice([1, 1, 2, None]), None if i % 31 == 0 else make(r.randrange(-5, 90)), r.choice([None, -3, 8])) for i in range(300)]
+    spans = []
+    for j in range(80):
+        start = r.randrange(-8, 90)
+        end = start + r.choice([-3, 0, 1, 1, 2, 7, 40, 500])
+        spans.append((j % 70, r.choice([1, 2, 3, None]), None if j % 17 == 0 else make(start), None if j % 13 == 0 else make(end)))
+    a = spark.createDataFrame(points, f"k int, at {kind}, v int").withColumn("w", F.expr("CAST(v / 4 AS DECIMAL(9,2))"))
+    b = spark.createDataFrame(spans, f"j int, k int, since {kind}, until {kind}").withColumn("row", F.monotonically_increasing_id())
+    totals = {"n": ("count", "at"), "known": ("count", "v"), "v": ("sum", "v"), "w": ("sum", "w")}
+    found = join_intervals(a, b, ["k"], "at", "since", "until", totals=totals)
+    pairs = join_intervals(a, b, ["k"], "at", "since", "until")
+    expected = pairs.groupBy(*b.columns).agg(F.count("at").alias("n"), F.count("v").alias("known"), F.sum("v").alias("v"), F.sum("w").alias("w"))
+    assert found.columns == [*b.columns, "n", "known", "v", "w"]
+    assert found.dtypes == expected.select(*found.columns).dtypes
+    assert rows(found) == rows(expected.select(*found.columns))
+    with pytest.raises(ValueError, match="whole numbers"):
+        join_intervals(a.withColumn("x", F.lit(1.5)), b, ["k"], "at", "since", "until", totals={"x": ("sum", "x")})
+
+
+def test_running_sums_of_totals_do_not_overflow(spark):
+    a = spark.createDataFrame([(1, i, 2**62) for i in range(8)] + [(1, 9, None)], "k int, at int, v long")
+    b = spark.createDataFrame([(1, 6, 7), (1, 9, 10), (1, 20, None), (1, None, 1)], "k int, since int, until int")
+    found = join_intervals(a, b, ["k"], "at", "since", "until", totals={"n": ("count", "v"), "v": ("sum", "v")})
+    assert set(map(tuple, found.collect())) == {(1, 6, 7, 1, 2**62), (1, 9, 10, 0, None), (1, None, 1, 1, 2**62)}
+    none = join_intervals(a, b.limit(0), ["k"], "at", "since", "until", totals={"n": ("count", "v")})
+    assert none.count() == 0 and join_intervals(a.limit(0), b, ["k"], "at", "since", "until", totals={"n": ("count", "v")}).count() == 0
+
+
+def test_interval_query_makes_no_pairs(spark, tmp_path):
+    """Times that every line and order has at once would make 1,600 x 800 pairs."""
+    noon = datetime.datetime(2020, 1, 1)
+    lines = spark.createDataFrame([(i, 1, 3, noon) for i in range(1_600)], "l_orderkey long, l_linenumber int, l_suppkey long, l_shipdate timestamp_ntz")
+    orders = spark.createDataFrame([(5 * i + 1, 3, noon) for i in range(800)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = along.join_intervals(spark, str(tmp_path))
+    assert "l_shipdate" not in plan(found)
+    assert {(r.lines, r.numbers) for r in found.collect()} == {(1_600, 1_600)}
+
+
 def test_interval_join_of_nothing(spark):
     a = spark.createDataFrame([(1, 1, 5)], "id int, k int, at int")
     none = spark.createDataFrame([], "k int, since int, until int")
